@@ -29,7 +29,7 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze_rows(event_log(spark, sf_dir))
+    return bronze_rows(event_log(event_documents(spark, sf_dir)))
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hot_matches(spark: SparkSession, sf_dir: str) -> DataFrame | None:
     """Counted on the log, which has at least as many rows per match as Silver."""
-    return hot_groups(event_log(spark, sf_dir))
+    return hot_groups(event_log(event_documents(spark, sf_dir)))
 
 
 # --- log and Silver -------------------------------------------------------

@@ -2,15 +2,17 @@
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A table snapshot; an empty frame while the path does not exist.
+    """The schema's columns of a table; an empty frame while the path does not exist.
 
     Any other failure is raised.
     """
     try:
-        return spark.read.schema(schema).parquet(path)
+        names = StructType.fromDDL(schema).names
+        return spark.read.schema(schema).parquet(path).select(*names)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 TOPIC = "match.events"
 EVENTS_PER_MATCH = 100
+KICK_OFF = "2024-01-01 00:00:00"
 
 
 def _case(subject, bounds, otherwise):
@@ -100,7 +101,16 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def parallel_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as if all matches kicked off together, one event a minute."""
+    minutes = (F.col("source_id") % EVENTS_PER_MATCH).cast("int")
+    kick_off = F.lit(KICK_OFF).cast("timestamp")
+    return event_documents(spark, sf_dir).withColumn(
+        "ts", kick_off + F.make_dt_interval(mins=minutes)
+    )
+
+
+def event_log(documents: DataFrame) -> DataFrame:
     """Log rows with some values cut short and some messages sent twice."""
     copies = F.when(F.col("source_id") % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
         F.array(F.lit(0))
@@ -108,7 +118,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.when(F.col("source_id") % 97 == 0, F.substring("payload", 1, 20)).otherwise(
         F.col("payload")
     )
-    return event_documents(spark, sf_dir).select("*", F.explode(copies).alias("copy")).select(
+    return documents.select("*", F.explode(copies).alias("copy")).select(
         F.col("log_key").cast("binary").alias("key"),
         value.cast("binary").alias("value"),
         F.lit(TOPIC).alias("topic"),

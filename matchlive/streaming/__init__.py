@@ -1,0 +1 @@
+"""The same tables kept up to date by Structured Streaming."""

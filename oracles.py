@@ -186,11 +186,8 @@ running AS (
 )
 """
 
-# Momentum once more, at the end of each period; the last period a team has a row in wins.
-PERIOD_MOMENTUM = """,
-seen AS (
-  SELECT s.*, cut FROM silver s JOIN (SELECT unnest([1, 2, 3, 4]) AS cut) ON s.period <= cut
-),
+# Momentum at several cut-offs; the last cut-off at which a team has a row wins.
+CUT_MOMENTUM = """,
 cut_ends AS (
   SELECT cut, match_id, max(match_second) AS e, greatest(0, max(match_second) - 300) AS b
   FROM seen GROUP BY ALL
@@ -208,6 +205,30 @@ cut_momentum AS (
 )
 """
 
+NEWEST_MOMENTUM = """SELECT match_id, team_name, n AS attacking_actions, share AS dominance_pct,
+  b AS window_start_second, e AS window_end_second
+FROM cut_momentum WHERE age = 1"""
+
+BY_PERIOD = """,
+seen AS (
+  SELECT s.*, cut FROM silver s JOIN (SELECT unnest([1, 2, 3, 4]) AS cut) ON s.period <= cut
+)"""
+
+# The streams get each match in three slices.
+BY_SLICE = """,
+seen AS (
+  SELECT s.*, cut FROM silver s
+  JOIN (SELECT unnest([0, 1, 2]) AS cut) ON (s.event_index - 1) * 3 // 100 <= cut
+)"""
+
+# Seconds since kick-off at which the parallel log brings an event, and the watermark at its end.
+ARRIVALS = """,
+arrivals AS (
+  SELECT match_id, event_id, (eid % 100) * 60 AS first_at,
+         (eid % 100) * 60 + CASE WHEN eid % 7 = 0 THEN 30 ELSE 0 END AS last_at
+  FROM ev WHERE eid % 97 <> 0 AND period <= 4
+)"""
+
 ORACLES: dict[str, str] = {
     "bronze_envelope": _with(
         """SELECT match_id, log_key AS kafka_key,
@@ -371,9 +392,21 @@ WHERE period <= 4"""
     "tolerant_scan": SILVER,
     "merge_additive": XG_TIMELINE,
     "upsert_latest_by_key": _with(
-        """SELECT match_id, team_name, n AS attacking_actions, share AS dominance_pct,
-  b AS window_start_second, e AS window_end_second
-FROM cut_momentum WHERE age = 1""",
-        PERIOD_MOMENTUM,
+        NEWEST_MOMENTUM, BY_PERIOD + CUT_MOMENTUM
+    ),
+    "stream_silver": SILVER,
+    "stream_shots": SHOTS,
+    "stream_xg_timeline": XG_TIMELINE,
+    "stream_match_state": MATCH_STATE,
+    "stream_momentum": _with(NEWEST_MOMENTUM, BY_SLICE + CUT_MOMENTUM),
+    "stream_late_rows": _with(
+        """SELECT match_id, event_id FROM arrivals
+UNION ALL
+SELECT match_id, 'again-' || event_id FROM arrivals
+WHERE first_at > (SELECT max(last_at) FROM arrivals) - 600""",
+        ARRIVALS,
     ),
+    "stream_restart": _with(f"SELECT {SILVER_COLUMNS} FROM silver"),
 }
+
+ORACLES["stream_bronze"] = ORACLES["bronze_envelope"]
