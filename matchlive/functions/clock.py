@@ -33,5 +33,5 @@ def minute_label(minute: Column, period: Column) -> Column:
 
 
 def minutes_remaining(latest_minute: Column) -> Column:
-    """Minutes left to full time, 0 all through extra time."""
-    return F.greatest(F.lit(0), F.lit(FULL_TIME) - latest_minute)
+    """Minutes left to full time, 0 all through extra time, null if the minute is."""
+    return F.when(latest_minute >= FULL_TIME, 0).otherwise(FULL_TIME - latest_minute)

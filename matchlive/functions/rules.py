@@ -50,7 +50,7 @@ def win_probability(goal_diff: Column, xg_diff: Column, minutes_left: Column) ->
 
     A logistic curve: as time runs out a goal weighs more and xG weighs less.
     """
-    left = F.greatest(F.lit(0), F.least(F.lit(FULL_TIME), minutes_left))
+    left = F.when(minutes_left < 0, 0).when(minutes_left > FULL_TIME, FULL_TIME).otherwise(minutes_left)
     played = F.lit(1.0) - left / F.lit(float(FULL_TIME))
     goal_weight = F.lit(GOAL_WEIGHT_START) + F.lit(GOAL_WEIGHT_GAIN) * played
     xg_weight = F.lit(XG_WEIGHT_START) * (F.lit(1.0) - played)

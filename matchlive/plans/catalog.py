@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlive import functions as rules
+from matchlive.functions.rules import SHOT
 from matchlive.operators import parse
 from matchlive.operators.skew import hot_groups
 from matchlive.operators.upsert import VERSION, latest_by_key, merge_additive
@@ -138,8 +139,7 @@ def xg_race(spark, sf_dir):
 
 
 def kpi_row(spark, sf_dir):
-    events = silver(spark, sf_dir)
-    return views.kpi_row(gold.match_state(events), gold.momentum(events))
+    return views.kpi_row(gold.team_overview(silver(spark, sf_dir)))
 
 
 def shot_map(spark, sf_dir):
@@ -165,10 +165,10 @@ def table_head(spark, sf_dir):
 
 
 def table_summary(spark, sf_dir):
-    events = silver(spark, sf_dir)
-    return views.table_summary(
-        {"bronze": bronze(spark, sf_dir), "silver": events, "shots": gold.shots(events)}
+    events = views.row_counts(
+        silver(spark, sf_dir), {"silver": None, "shots": F.col("event_type") == SHOT}
     )
+    return views.row_counts(bronze(spark, sf_dir), {"bronze": None}).unionByName(events)
 
 
 # --- replay and files -----------------------------------------------------

@@ -86,24 +86,34 @@ def match_state(silver: DataFrame) -> DataFrame:
     return with_win_probability(team_totals(silver))
 
 
+def _with_time_window(per_second: DataFrame, by: Sequence[str], seconds: int) -> DataFrame:
+    """Adds the time window that ends with the match's newest second; both ends belong to it."""
+    newest = F.max("match_second").over(Window.partitionBy(*by))
+    return per_second.withColumn("window_end_second", newest).withColumn(
+        "window_start_second", F.greatest(F.lit(0), F.col("window_end_second") - seconds)
+    )
+
+
+def _share(by: Sequence[str]):
+    total = F.sum("attacking_actions").over(Window.partitionBy(*by))
+    return F.round(F.try_divide(F.col("attacking_actions"), total.cast("double")), 3)
+
+
 def momentum(
     silver: DataFrame, by: Sequence[str] = MATCH, seconds: int = MOMENTUM_SECONDS
 ) -> DataFrame:
     """Attacking actions per team in the last seconds of the match clock, and their share.
 
     Rows are counted per team and second first, so the window over a match sees
-    seconds, not events. Both ends of the time window belong to it.
+    seconds, not events.
     """
     per_second = (
         silver.filter(F.col("match_second").isNotNull())
         .groupBy(*by, "team_name", "match_second")
         .agg(F.count_if(is_attacking(F.col("event_type"))).alias("actions"))
     )
-    match = Window.partitionBy(*by)
-    end = F.col("window_end_second")
     in_window = (
-        per_second.withColumn("window_end_second", F.max("match_second").over(match))
-        .withColumn("window_start_second", F.greatest(F.lit(0), end - seconds))
+        _with_time_window(per_second, by, seconds)
         .filter(F.col("match_second") >= F.col("window_start_second"))
         .filter(F.col("actions") > 0)
     )
@@ -112,10 +122,36 @@ def momentum(
         F.max("window_start_second").alias("window_start_second"),
         F.max("window_end_second").alias("window_end_second"),
     )
-    total = F.sum("attacking_actions").over(match)
-    share = F.round(F.try_divide(F.col("attacking_actions"), total.cast("double")), 3)
     extra = [name for name in by if name not in MATCH]
-    return teams.withColumn("dominance_pct", share).select(*extra, *columns(MOMENTUM))
+    return teams.withColumn("dominance_pct", _share(by)).select(*extra, *columns(MOMENTUM))
+
+
+def team_overview(silver: DataFrame, seconds: int = MOMENTUM_SECONDS) -> DataFrame:
+    """Match state and momentum share of each team in one pass over Silver.
+
+    The share is null for a team without an attacking action in the time window.
+    """
+    per_second = silver.groupBy(*TEAM, "match_second").agg(
+        F.count_if(is_attacking(F.col("event_type"))).alias("actions"),
+        F.count_if(F.col("shot_outcome") == GOAL).alias("goals"),
+        F.sum("xg").alias("xg_total"),
+        F.max("minute").alias("latest_minute"),
+    )
+    recent = F.col("match_second") >= F.col("window_start_second")
+    teams = (
+        _with_time_window(per_second, MATCH, seconds)
+        .groupBy(*TEAM)
+        .agg(
+            F.sum("goals").alias("goals"),
+            F.sum("xg_total").alias("xg_total"),
+            F.max("latest_minute").alias("latest_minute"),
+            F.sum(F.when(recent & (F.col("actions") > 0), F.col("actions"))).alias(
+                "attacking_actions"
+            ),
+        )
+    )
+    shared = teams.withColumn("dominance_pct", _share(MATCH)).drop("attacking_actions")
+    return with_win_probability(shared)
 
 
 def momentum_series(

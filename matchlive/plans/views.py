@@ -1,6 +1,6 @@
 """Tables for display, built on Silver and Gold."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlive.functions import is_goal
@@ -69,23 +69,27 @@ def xg_race(timeline: DataFrame) -> DataFrame:
     )
 
 
-def kpi_row(state: DataFrame, momentum: DataFrame) -> DataFrame:
+def with_momentum(state: DataFrame, momentum: DataFrame) -> DataFrame:
+    """The match-state table with each team's momentum share, null where there is none."""
+    return join_on(state, momentum.select(*TEAM, "dominance_pct"), TEAM, "left")
+
+
+def kpi_row(teams: DataFrame) -> DataFrame:
     """One row per match: goals, xG, win probability and momentum of both teams.
 
-    Team 1 is the alphabetically first one. Percentages are rounded in decimal
-    arithmetic; the momentum ones are cut to whole numbers.
+    The input is ``with_momentum`` or ``gold.team_overview``. Team 1 is the
+    alphabetically first one. Percentages are rounded in decimal arithmetic; the
+    momentum ones are cut to whole numbers.
     """
     position = F.row_number().over(Window.partitionBy(*MATCH).orderBy("team_name"))
-    shown = state.withColumn("position", position).filter(
+    shown = teams.withColumn("position", position).filter(
         F.col("position") <= DISPLAYED_TEAMS
     )
-    shares = momentum.select(*TEAM, "dominance_pct")
-    joined = join_on(shown, shares, TEAM, "left")
 
     def of(team: int, column: str):
         return F.max(F.when(F.col("position") == team, F.col(column)))
 
-    both = joined.groupBy(*MATCH).agg(
+    both = shown.groupBy(*MATCH).agg(
         of(1, "team_name").alias("team1"),
         F.coalesce(of(1, "goals"), F.lit(0)).alias("goals1"),
         F.coalesce(of(1, "xg_total"), F.lit(0.0)).alias("xg1"),
@@ -115,7 +119,7 @@ def kpi_row(state: DataFrame, momentum: DataFrame) -> DataFrame:
     )
 
 
-def _lookup(key: str, values: dict):
+def _lookup(key: str, values: dict) -> Column:
     pairs = [F.lit(part) for pair in values.items() for part in pair]
     return F.try_element_at(F.create_map(*pairs), F.col(key))
 
@@ -142,7 +146,7 @@ def shot_map(shots: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     )
 
 
-def shot_zone(x, y):
+def shot_zone(x: Column, y: Column) -> Column:
     """Pitch zone of a shot towards x = 120 on a 120 by 80 pitch."""
     return (
         F.when(x.isNull() | y.isNull(), "unknown")
@@ -180,14 +184,25 @@ def table_head(silver: DataFrame, rows: int = 10) -> DataFrame:
     return silver.orderBy(*order).limit(rows).select(*columns(SILVER))
 
 
-def table_summary(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows and distinct matches of each table, counted per match first."""
-    summary = None
-    for name, table in tables.items():
-        per_match = table.groupBy(*MATCH).agg(F.count(F.lit(1)).alias("rows"))
-        one = per_match.agg(
-            F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("row_count"),
-            F.count("match_id").alias("distinct_matches"),
-        ).select(F.lit(name).alias("table_name"), "row_count", "distinct_matches")
-        summary = one if summary is None else summary.unionByName(one)
-    return summary
+def row_counts(table: DataFrame, names: dict[str, Column | None]) -> DataFrame:
+    """Rows and distinct matches of a table and of named parts of it, in one pass.
+
+    A part is given by a predicate, the whole table by None. Rows are counted
+    per match first.
+    """
+    parts = {n: F.lit(True) if part is None else part for n, part in names.items()}
+    per_match = table.groupBy(*MATCH).agg(
+        *(F.count_if(part).alias(name) for name, part in parts.items())
+    )
+    known = F.col("match_id").isNotNull()
+    totals = per_match.agg(
+        *(
+            F.struct(
+                F.lit(name).alias("table_name"),
+                F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias("row_count"),
+                F.count_if((F.col(name) > 0) & known).alias("distinct_matches"),
+            ).alias(name)
+            for name in parts
+        )
+    )
+    return totals.select(F.inline(F.array(*parts)))

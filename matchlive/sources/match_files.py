@@ -29,9 +29,7 @@ def read_match_documents(
     spark: SparkSession, path: str, pattern: str = MATCH_ID_IN_PATH
 ) -> DataFrame:
     """Events of all match files as JSON text, with every field kept."""
-    files = (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
-    )
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     return files.select(
         _match_id(pattern).alias("match_id"),
         F.explode(F.from_json("value", "ARRAY<STRING>")).alias("payload"),

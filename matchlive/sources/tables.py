@@ -2,6 +2,7 @@
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -19,14 +20,22 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
+def append_version(spark: SparkSession, path: str) -> int | None:
+    """Number of the newest batch a streaming file sink has committed to a table."""
+    commits = read_commits(spark, path)
+    if commits is None:
+        return None
+    number = F.regexp_extract("_metadata.file_name", r"^(\d+)", 1).try_cast("bigint")
+    return commits.select(number.alias("batch")).agg(F.max("batch")).first()[0]
+
+
+def read_commits(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        spark.read.schema("match_id BIGINT").parquet(path)
+        return spark.read.text(f"{path}/_spark_metadata")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return False
-    return True
+        return None
 
 
 def stream_table(spark: SparkSession, path: str, schema: str, **options) -> DataFrame:
