@@ -2,7 +2,6 @@
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -21,21 +20,17 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def append_version(spark: SparkSession, path: str) -> int | None:
-    """Number of the newest batch a streaming file sink has committed to a table."""
-    commits = read_commits(spark, path)
-    if commits is None:
-        return None
-    number = F.regexp_extract("_metadata.file_name", r"^(\d+)", 1).try_cast("bigint")
-    return commits.select(number.alias("batch")).agg(F.max("batch")).first()[0]
-
+    """Number of the newest batch a streaming file sink has committed to a table.
 
-def read_commits(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.text(f"{path}/_spark_metadata")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    Read from the names of the sink's commit files, which Spark's readers hide.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_spark_metadata")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
         return None
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    numbers = [name.removesuffix(".compact") for name in names]
+    return max((int(n) for n in numbers if n.isdigit()), default=None)
 
 
 def stream_table(spark: SparkSession, path: str, schema: str, **options) -> DataFrame:
