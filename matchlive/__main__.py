@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlive.plans import replay, views
-from matchlive.schemas import BRONZE, SHOTS, TEAM_TOTALS, XG_TIMELINE, MOMENTUM
+from matchlive.schemas import BRONZE, MOMENTUM, SHOTS, SILVER, TEAM_TOTALS, XG_TIMELINE
 from matchlive.sources.log import match_id_in_header, match_id_in_topic, read_log_stream
 from matchlive.sources.match_files import read_match_documents
 from matchlive.sources.tables import append_version, read_table
@@ -21,6 +21,7 @@ GOLD_JOBS = {
     "match_state": jobs.start_team_totals,
     "momentum": jobs.start_momentum,
 }
+APPENDED = {"bronze": BRONZE, "silver": SILVER, "shots": SHOTS}
 CHANGE_LOGS = {
     "xg_timeline": (XG_TIMELINE, jobs.current_xg_timeline),
     "match_state": (TEAM_TOTALS, jobs.current_match_state),
@@ -49,7 +50,7 @@ def run_bronze(spark: SparkSession, args) -> list:
 def run_silver(spark: SparkSession, args) -> list:
     started = jobs.start_silver(
         spark, args.source, args.out, args.checkpoint, trigger(args),
-        args.lateness, args.forever, args.combine, **dict(args.option),
+        args.lateness, args.forever, **dict(args.option),
     )
     return [started]
 
@@ -75,9 +76,7 @@ def table_now(spark: SparkSession, name: str, path: str) -> tuple[DataFrame, int
     if name in CHANGE_LOGS:
         schema, current = CHANGE_LOGS[name]
         return current(spark, path), change_log.version(spark, path, schema)
-    plain = {"bronze": lambda: read_table(spark, path, BRONZE), "shots": lambda: read_table(spark, path, SHOTS)}
-    rows = plain[name]() if name in plain else jobs.silver_table(spark, path)
-    return rows, append_version(spark, path)
+    return read_table(spark, path, APPENDED[name]), append_version(spark, path)
 
 
 def run_show(spark: SparkSession, args) -> list:
@@ -115,7 +114,6 @@ def parser() -> argparse.ArgumentParser:
     silver = command("silver", run_silver, "Bronze table", OTHERS_EVERY, required=True)
     silver.add_argument("--lateness", default=jobs.LATENESS)
     silver.add_argument("--forever", action="store_true", help="never forget an event id")
-    silver.add_argument("--combine", action="store_true", help="drop copies before the shuffle")
     gold = command("gold", run_gold, "Silver table", OTHERS_EVERY, required=True)
     gold.add_argument("--tables", nargs="+", choices=GOLD_JOBS, default=list(GOLD_JOBS))
     publish = command("publish", run_publish, "folder of match files", required=True)

@@ -1,5 +1,7 @@
 """Match-event log rows made from the ``events`` test table (FIXTURES.md, part B)."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,15 @@ def _label(subject, labels):
     return result
 
 
+def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source table, spread over all cores if it comes in fewer splits than those."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if events.rdd.getNumPartitions() >= cores:
+        return events
+    return events.repartition(cores, "event_id")
+
+
 def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON event document per source row: match_id, source_id, ts, log_key, payload."""
     pos = F.col("event_id") % EVENTS_PER_MATCH
@@ -92,7 +103,7 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
         ).alias("shot"),
     )
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    return source_events(spark, sf_dir).select(
         F.expr(f"event_id div {EVENTS_PER_MATCH}").alias("match_id"),
         F.col("event_id").alias("source_id"),
         F.col("ts").cast("timestamp").alias("ts"),
@@ -110,7 +121,7 @@ def parallel_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_log(documents: DataFrame) -> DataFrame:
+def event_log(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Log rows with some values cut short and some messages sent twice."""
     copies = F.when(F.col("source_id") % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
         F.array(F.lit(0))
@@ -126,4 +137,5 @@ def event_log(documents: DataFrame) -> DataFrame:
         (F.col("source_id") * 2 + F.col("copy")).alias("offset"),
         (F.col("ts") + F.make_dt_interval(secs=F.col("copy") * 30)).alias("timestamp"),
         "match_id",
+        *carry,
     )

@@ -60,26 +60,26 @@ class Run:
                 start().awaitTermination()
 
 
-def by_time(log: DataFrame, slices: int = SLICES) -> DataFrame:
-    """Cuts the log's time span into equal slices."""
-    at = F.unix_micros("timestamp")
-    first, last = log.agg(F.min(at), F.max(at)).first()
+def by_time(documents: DataFrame, slices: int = SLICES) -> DataFrame:
+    """Cuts the documents' time span into equal slices."""
+    at = F.unix_micros("ts")
+    first, last = documents.agg(F.min(at), F.max(at)).first()
     width = (last - first) // slices + 1
-    return log.withColumn(SLICE, F.floor((at - first) / width).cast("int"))
+    return documents.withColumn(SLICE, F.floor((at - first) / width).cast("int"))
 
 
-def by_position(log: DataFrame, slices: int = SLICES) -> DataFrame:
-    """Cuts every match into slices; for logs of matches played in parallel."""
-    position = F.floor(F.col("offset") / 2) % EVENTS_PER_MATCH
-    return log.withColumn(SLICE, F.floor(position * slices / EVENTS_PER_MATCH).cast("int"))
+def by_position(documents: DataFrame, slices: int = SLICES) -> DataFrame:
+    """Cuts every match into slices; for matches played in parallel."""
+    position = F.col("source_id") % EVENTS_PER_MATCH
+    return documents.withColumn(SLICE, F.floor(position * slices / EVENTS_PER_MATCH).cast("int"))
 
 
 def _timed(spark, sf_dir):
-    return by_time(event_log(event_documents(spark, sf_dir)))
+    return event_log(by_time(event_documents(spark, sf_dir)), [SLICE])
 
 
 def _parallel(spark, sf_dir):
-    return by_position(event_log(parallel_documents(spark, sf_dir)))
+    return event_log(by_position(parallel_documents(spark, sf_dir)), [SLICE])
 
 
 def stream_bronze(spark, sf_dir):

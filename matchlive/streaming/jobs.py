@@ -10,20 +10,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from matchlive.functions import is_attacking
 from matchlive.operators.parse import EVENT_KEY, parse_events
-from matchlive.operators.skew import join_on
 from matchlive.plans import gold
-from matchlive.schemas import BRONZE, MOMENTUM, SILVER, TEAM_TOTALS, XG_TIMELINE, columns
+from matchlive.schemas import BRONZE, MOMENTUM, SILVER, TEAM_TOTALS, XG_TIMELINE
 from matchlive.sources.log import bronze_rows
-from matchlive.sources.tables import read_table, stream_table
+from matchlive.sources.tables import stream_table
 from matchlive.streaming.change_log import current, write_changes
+from matchlive.streaming.stateful import first_of_chunk, live_momentum
 
 TEAM = ("match_id", "team_name")
 TEAM_MINUTE = (*TEAM, "minute")
-BUCKET = "match_bucket"
-BUCKETS = 16
-BROADCAST_MATCHES = 1_000_000
 LATENESS = "10 minutes"
 ONCE = {"availableNow": True}
 
@@ -50,14 +46,14 @@ def job_session(
 
 
 def _append(
-    rows: DataFrame, name: str, path: str, checkpoint: str, trigger: dict, by: str | None = None
+    rows: DataFrame, name: str, path: str, checkpoint: str, trigger: dict
 ) -> StreamingQuery:
-    counted = rows.observe(name, F.count(F.lit(1)).alias("rows"))
-    writer = counted.writeStream.format("parquet").outputMode("append")
-    if by is not None:
-        writer = writer.partitionBy(by)
+    """Appends to a parquet table; the progress reports the rows under ``name``."""
     return (
-        writer.option("checkpointLocation", checkpoint)
+        rows.observe(name, F.count(F.lit(1)).alias("rows"))
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
         .option("path", path)
         .trigger(**trigger)
         .start()
@@ -74,19 +70,8 @@ def start_bronze(
     return _append(bronze_rows(log, match_id), "bronze", path, checkpoint, trigger)
 
 
-def _first_of_chunk(batches):
-    """Keeps the first copy of each event within an Arrow batch."""
-    import pyarrow as pa
-
-    for batch in batches:
-        table = pa.table({name: batch[name] for name in EVENT_KEY})
-        table = table.append_column("row", pa.array(range(batch.num_rows), pa.int64()))
-        first = table.group_by(list(EVENT_KEY)).aggregate([("row", "min")])
-        yield batch.take(first["row_min"].combine_chunks().sort())
-
-
 def deduplicated(
-    events: DataFrame, lateness: str = LATENESS, forever: bool = False, combine: bool = False
+    events: DataFrame, lateness: str = LATENESS, forever: bool = False, combine: bool = True
 ) -> DataFrame:
     """Streaming events without repeated ids.
 
@@ -95,11 +80,11 @@ def deduplicated(
     the number of events. Rows older than the watermark are dropped.
 
     The state is found by shuffling every copy to the key's task. ``combine``
-    first drops copies within each Arrow batch, for logs in which a few events
-    are repeated very often.
+    first drops copies within each Arrow batch, so that an event repeated very
+    often does not keep one task busy.
     """
     if combine:
-        events = events.mapInArrow(_first_of_chunk, events.schema)
+        events = events.mapInArrow(first_of_chunk, events.schema)
     marked = events.withWatermark("event_time", lateness)
     if forever:
         return marked.dropDuplicates(list(EVENT_KEY))
@@ -114,24 +99,16 @@ def start_silver(
     trigger: dict = ONCE,
     lateness: str = LATENESS,
     forever: bool = False,
-    combine: bool = False,
+    combine: bool = True,
     **options,
 ) -> StreamingQuery:
     events = parse_events(stream_table(spark, bronze_path, BRONZE, **options))
     kept = deduplicated(events, lateness, forever, combine)
-    bucket = F.pmod(F.coalesce("match_id", F.lit(0)), F.lit(BUCKETS)).cast("int")
-    return _append(
-        kept.withColumn(BUCKET, bucket), "silver", path, checkpoint, trigger, by=BUCKET
-    )
+    return _append(kept, "silver", path, checkpoint, trigger)
 
 
 def silver_stream(spark: SparkSession, silver_path: str, **options) -> DataFrame:
-    """Silver as a stream, ``match_bucket`` included."""
-    return stream_table(spark, silver_path, f"{SILVER}, {BUCKET} INT", **options)
-
-
-def silver_table(spark: SparkSession, silver_path: str) -> DataFrame:
-    return read_table(spark, silver_path, f"{SILVER}, {BUCKET} INT")
+    return stream_table(spark, silver_path, SILVER, **options)
 
 
 def start_shots(
@@ -180,51 +157,16 @@ def current_match_state(spark: SparkSession, path: str) -> DataFrame:
     return gold.with_win_probability(current(spark, path, TEAM_TOTALS, TEAM))
 
 
-def momentum_now(
-    silver: DataFrame, batch: DataFrame, seconds: int = gold.MOMENTUM_SECONDS
-) -> DataFrame:
-    """Momentum of the matches in a batch, from the Silver table.
-
-    Silver is cut to the batch's buckets and to seconds that can lie in one of
-    the windows: no window starts before the earliest of the batch's own ones.
-    """
-    ends = (
-        batch.filter(F.col("match_second").isNotNull())
-        .groupBy("match_id", BUCKET)
-        .agg(F.max("match_second").alias("end"))
-    )
-    matches, earliest, buckets = ends.agg(
-        F.count(F.lit(1)), F.min("end"), F.collect_set(BUCKET)
-    ).first()
-    recent = silver.filter(F.col(BUCKET).isin(*buckets)).filter(
-        F.col("match_second") >= (earliest or 0) - seconds
-    )
-    touched = ends.select("match_id")
-    if matches <= BROADCAST_MATCHES:
-        touched = F.broadcast(touched)
-    return gold.momentum(join_on(recent, touched, ["match_id"], "left_semi"), seconds=seconds)
-
-
 def start_momentum(
     spark: SparkSession, silver_path: str, path: str, checkpoint: str, trigger: dict = ONCE, **options
 ) -> StreamingQuery:
-    def store(rows: DataFrame, batch_id: int) -> None:
-        rows.persist()
-        try:
-            if not rows.isEmpty():
-                table = silver_table(rows.sparkSession, silver_path)
-                write_changes(momentum_now(table, rows), batch_id, path)
-        finally:
-            rows.unpersist()
-
-    needed = silver_stream(spark, silver_path, **options).select("match_id", "match_second", BUCKET)
-    return (
-        needed.writeStream.outputMode("append")
-        .foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    """Momentum of the matches with new events.
+
+    Spark's state keeps, per match, the actions of the seconds that can still
+    lie in the time window, so no batch reads Silver's history.
+    """
+    silver = silver_stream(spark, silver_path, **options)
+    return _keep_changes(live_momentum(silver), path, checkpoint, trigger)
 
 
 def current_momentum(spark: SparkSession, path: str) -> DataFrame:

@@ -1,0 +1,108 @@
+"""The two places where a stream needs Python: combining before a shuffle, and momentum state.
+
+Spark shuffles a stateful operator's input uncombined. Grouping each Arrow
+batch first keeps a much repeated key from reaching its task row by row.
+"""
+
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from matchlive.functions import is_attacking
+from matchlive.operators.parse import EVENT_KEY
+from matchlive.plans.gold import MOMENTUM_SECONDS
+from matchlive.schemas import MOMENTUM, columns
+
+SECOND_COUNTS = "match_id BIGINT, team_name STRING, match_second INT, actions BIGINT"
+WINDOW_STATE = "latest INT, teams ARRAY<STRING>, seconds ARRAY<INT>, actions ARRAY<BIGINT>"
+WINDOW_TOTALS = """
+    match_id BIGINT, team_name STRING, attacking_actions BIGINT, all_actions BIGINT,
+    window_start_second INT, window_end_second INT
+"""
+
+
+def first_of_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keeps the first copy of each event within an Arrow batch."""
+    for batch in batches:
+        keys = pa.table({name: batch[name] for name in EVENT_KEY})
+        keys = keys.append_column("row", pa.array(range(batch.num_rows), pa.int64()))
+        first = keys.group_by(list(EVENT_KEY)).aggregate([("row", "min")])
+        yield batch.take(first["row_min"].combine_chunks().sort())
+
+
+def count_per_second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums the actions per match, team and second within an Arrow batch."""
+    by = ["match_id", "team_name", "match_second"]
+    for batch in batches:
+        counted = pa.Table.from_batches([batch]).group_by(by).aggregate([("actions", "sum")])
+        counted = counted.rename_columns({"actions_sum": "actions"}).select([*by, "actions"])
+        yield from counted.to_batches()
+
+
+def _fold_window(
+    key: tuple, parts: Iterator[pd.DataFrame], state: GroupState, seconds: int
+) -> Iterator[pd.DataFrame]:
+    """Moves a match's time window on to its newest second and reports the teams in it.
+
+    The newest second never goes back, so what has left the window is dropped
+    at once and the state stays within the window's length.
+    """
+    latest, counts = None, {}
+    if state.exists:
+        latest, teams, at, actions = state.get
+        counts = dict(zip(zip(teams, at), actions))
+    for part in parts:
+        at = part["match_second"].to_numpy()
+        newest = int(at.max())
+        latest = newest if latest is None else max(latest, newest)
+        start = max(0, latest - seconds)
+        actions = part["actions"].to_numpy()
+        live = (at >= start) & (actions > 0)
+        for team, second, n in zip(
+            part["team_name"].to_numpy()[live], at[live].tolist(), actions[live].tolist()
+        ):
+            place = (team if isinstance(team, str) else None, second)
+            counts[place] = counts.get(place, 0) + n
+        counts = {place: n for place, n in counts.items() if place[1] >= start}
+    state.update(
+        (latest, [t for t, _ in counts], [s for _, s in counts], list(counts.values()))
+    )
+    per_team = {}
+    for (team, _), n in counts.items():
+        per_team[team] = per_team.get(team, 0) + n
+    if per_team:
+        match = None if pd.isna(key[0]) else int(key[0])
+        rows = len(per_team)
+        yield pd.DataFrame(
+            {
+                "match_id": [match] * rows,
+                "team_name": list(per_team),
+                "attacking_actions": list(per_team.values()),
+                "all_actions": [sum(per_team.values())] * rows,
+                "window_start_second": [max(0, latest - seconds)] * rows,
+                "window_end_second": [latest] * rows,
+            }
+        )
+
+
+def live_momentum(silver: DataFrame, seconds: int = MOMENTUM_SECONDS) -> DataFrame:
+    """Momentum rows of every match with new events, in update mode."""
+    actions = is_attacking(F.col("event_type")).cast("bigint").alias("actions")
+    counted = (
+        silver.filter(F.col("match_second").isNotNull())
+        .select("match_id", "team_name", "match_second", actions)
+        .mapInArrow(count_per_second, SECOND_COUNTS)
+    )
+
+    def fold(key, parts, state):
+        return _fold_window(key, parts, state, seconds)
+
+    totals = counted.groupBy("match_id").applyInPandasWithState(
+        fold, WINDOW_TOTALS, WINDOW_STATE, "update", GroupStateTimeout.NoTimeout
+    )
+    share = F.try_divide(F.col("attacking_actions"), F.col("all_actions").cast("double"))
+    return totals.withColumn("dominance_pct", F.round(share, 3)).select(*columns(MOMENTUM))

@@ -3,6 +3,7 @@
 import datetime
 import json
 import os
+import random
 from pathlib import Path
 
 import pytest
@@ -96,7 +97,7 @@ def test_dropping_copies_early_changes_nothing(pipe, combine):
 
 def test_early_copies_keep_the_first(pipe):
     pipe.add(*(shot(1, second=n) for n in range(60)))
-    pipe.silver(combine=True)
+    pipe.silver()
     [row] = pipe.table("silver")[0].collect()
     assert row.second == 0
 
@@ -188,12 +189,39 @@ def test_momentum_keeps_the_row_of_a_quiet_team(pipe):
     assert version == 1
 
 
+def test_momentum_of_random_batches_against_a_loop(pipe):
+    rng = random.Random(11)
+    seen, want, number = {}, {}, 0
+    for _ in range(4):
+        batch = []
+        for _ in range(60):
+            number += 1
+            kind = rng.choice(["Shot", "Pass", "Foul Committed"])
+            team, match_id = rng.choice(["A", "B", None]), rng.choice([1, 2, None])
+            minute, second = rng.randrange(40), rng.randrange(60)
+            batch.append(shot(number, team, minute, second=second, kind=kind, match_id=match_id))
+            seen.setdefault(match_id, []).append((minute * 60 + second, team, kind))
+        pipe.add(*batch, files=3)
+        pipe.silver()
+        pipe.gold("momentum")
+        for match_id in {row[0] for row in batch}:
+            end = max(at for at, _, _ in seen[match_id])
+            start = max(0, end - 300)
+            acting = [t for at, t, kind in seen[match_id] if at >= start and kind != "Foul Committed"]
+            for team in set(acting):
+                n = acting.count(team)
+                want[match_id, team] = (n, round(n / len(acting), 3), start, end)
+    rows, _ = pipe.table("momentum")
+    got = {(r.match_id, r.team_name): tuple(r)[2:] for r in rows.collect()}
+    assert got == want
+
+
 def test_shots_and_batch_agree_after_restarts(pipe):
     for start in range(0, 30, 10):
         pipe.add(*(shot(n, kind="Shot" if n % 3 else "Pass", minute=n) for n in range(start, start + 10)))
         pipe.silver()
         pipe.gold("shots")
-    silver = pipe.table("silver")[0].drop(jobs.BUCKET)
+    silver = pipe.table("silver")[0]
     key = ["event_id"]
     streamed = pipe.table("shots")[0].orderBy(*key).collect()
     assert streamed == gold.shots(silver).orderBy(*key).collect()
