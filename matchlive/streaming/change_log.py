@@ -4,6 +4,7 @@ A batch that is run again replaces its own partition, so a retry changes
 nothing. The rows hold totals, not increments.
 """
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,15 +13,26 @@ from pyspark.sql import functions as F
 from matchlive.operators.upsert import VERSION, latest_by_key
 from matchlive.sources.tables import read_table
 
-FILES_PER_BATCH = 8
+ROWS_PER_FILE = 1_000_000
 
 
 def write_changes(
-    rows: DataFrame, batch_id: int, path: str, files: int = FILES_PER_BATCH
+    rows: DataFrame, batch_id: int, path: str, rows_per_file: int = ROWS_PER_FILE
 ) -> None:
-    """Stores the rows as the changes of one batch, replacing an earlier attempt."""
-    target = f"{path}/{VERSION}={batch_id}"
-    rows.repartition(files).write.mode("overwrite").parquet(target)
+    """Stores the rows as the changes of one batch, replacing an earlier attempt.
+
+    Adaptive execution is off in streaming, so the rows are kept and counted
+    first: a small batch becomes one file, a large one is written by all tasks.
+    An empty batch is skipped.
+    """
+    rows.persist()
+    try:
+        files = math.ceil(rows.count() / rows_per_file)
+        if files > 0:
+            target = f"{path}/{VERSION}={batch_id}"
+            rows.coalesce(files).write.mode("overwrite").parquet(target)
+    finally:
+        rows.unpersist()
 
 
 def read_changes(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -43,7 +55,6 @@ def compact(
     target: str,
     schema: str,
     keys: Sequence[str],
-    files: int = FILES_PER_BATCH,
 ) -> None:
     """Writes the current rows to a new path as one batch of the same version.
 
@@ -53,4 +64,4 @@ def compact(
     newest = version(spark, path, schema)
     if newest is None:
         return
-    write_changes(current(spark, path, schema, keys), newest, target, files)
+    write_changes(current(spark, path, schema, keys), newest, target)

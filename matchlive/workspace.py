@@ -11,17 +11,18 @@ SETTING = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
+    Without the setting it is the folder the program has set for checkpoints.
     Only a local session, where driver and executors are one process, gets a
-    temporary folder if the setting is missing.
+    temporary folder if there is neither.
     """
-    named = spark.conf.get(SETTING, None)
+    context = spark.sparkContext
+    named = spark.conf.get(SETTING, None) or context.getCheckpointDir()
     if named is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {SETTING} to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="matchlive-")
-        spark.conf.set(SETTING, named)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
     return named
 
 
