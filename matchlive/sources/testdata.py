@@ -9,20 +9,40 @@ TOPIC = "match.events"
 EVENTS_PER_MATCH = 100
 KICK_OFF = "2024-01-01 00:00:00"
 
-
-def _case(subject, bounds, otherwise):
-    """First value whose upper bound lies above the subject."""
-    result = otherwise
-    for bound, value in reversed(bounds):
-        result = F.when(subject < bound, value).otherwise(result)
-    return result
-
-
-def _label(subject, labels):
-    result = F.lit(None).cast("string")
-    for name, label in labels.items():
-        result = F.when(subject == name, label).otherwise(result)
-    return result
+POSITION = f"event_id % {EVENTS_PER_MATCH} AS pos"
+EVENT_NUMBER = "CAST(get_json_object(props, '$.k') AS INT) AS k"
+
+POSSESSION = "CASE WHEN k = 99 THEN NULL WHEN k % 2 = 0 THEN 'Home' ELSE 'Away' END AS possession"
+
+DOCUMENT = """
+named_struct(
+  'id', concat('e', event_id),
+  'index', CAST(pos + 1 AS INT),
+  'period', CASE WHEN pos < 40 THEN 1 WHEN pos < 80 THEN 2 WHEN pos < 88 THEN 3
+                 WHEN pos < 96 THEN 4 ELSE 5 END,
+  'minute', CAST(CASE WHEN pos < 40 THEN pos * 48 div 40
+                      WHEN pos < 80 THEN 45 + (pos - 40) * 50 div 40
+                      WHEN pos < 88 THEN 90 + (pos - 80) * 2
+                      WHEN pos < 96 THEN 105 + (pos - 88) * 2
+                      ELSE 120 END AS INT),
+  'second', CAST(user_id % 60 AS INT),
+  'type', named_struct('name', CASE event_type
+     WHEN 'view' THEN 'Pass' WHEN 'click' THEN 'Carry' WHEN 'signup' THEN 'Ball Receipt*'
+     WHEN 'purchase' THEN 'Shot' WHEN 'error' THEN 'Foul Committed' END),
+  'team', CASE WHEN user_id % 2 = 0 THEN named_struct('id', 1, 'name', 'Home')
+               ELSE named_struct('id', 2, 'name', 'Away') END,
+  'possession_team', CASE WHEN possession IS NOT NULL THEN named_struct('name', possession) END,
+  'player', named_struct('id', CAST(user_id AS INT), 'name', concat('P', user_id)),
+  'location', CASE WHEN event_type <> 'error'
+     THEN array(k * CAST(1.2 AS DOUBLE), CAST(user_id % 81 AS DOUBLE)) END,
+  'shot', CASE WHEN event_type = 'purchase' THEN named_struct(
+     'statsbomb_xg', least(CAST(0.99 AS DOUBLE), value / CAST(500 AS DOUBLE)),
+     'outcome', named_struct('name', CASE
+        WHEN k < 12 THEN 'Goal' WHEN k < 40 THEN 'Saved' WHEN k < 60 THEN 'Off T'
+        WHEN k < 75 THEN 'Blocked' WHEN k < 85 THEN 'Wayward' WHEN k < 90 THEN 'Post'
+        ELSE 'Saved to Post' END)) END
+)
+"""
 
 
 def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,106 +56,38 @@ def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON event document per source row: match_id, source_id, ts, log_key, payload."""
-    pos = F.col("event_id") % EVENTS_PER_MATCH
-    k = F.get_json_object("props", "$.k").cast("int")
-    shot = F.col("event_type") == "purchase"
-    even = F.col("user_id") % 2 == 0
-
-    period = _case(pos, [(40, F.lit(1)), (80, F.lit(2)), (88, F.lit(3)), (96, F.lit(4))], F.lit(5))
-    minute = _case(
-        pos,
-        [
-            (40, F.expr(f"(event_id % {EVENTS_PER_MATCH}) * 48 div 40")),
-            (80, F.expr(f"45 + (event_id % {EVENTS_PER_MATCH} - 40) * 50 div 40")),
-            (88, 90 + (pos - 80) * 2),
-            (96, 105 + (pos - 88) * 2),
-        ],
-        F.lit(120),
-    )
-    outcome = _case(
-        k,
-        [
-            (12, F.lit("Goal")),
-            (40, F.lit("Saved")),
-            (60, F.lit("Off T")),
-            (75, F.lit("Blocked")),
-            (85, F.lit("Wayward")),
-            (90, F.lit("Post")),
-        ],
-        F.lit("Saved to Post"),
-    )
-    kind = _label(
-        F.col("event_type"),
-        {
-            "view": "Pass",
-            "click": "Carry",
-            "signup": "Ball Receipt*",
-            "purchase": "Shot",
-            "error": "Foul Committed",
-        },
-    )
-    team = F.when(even, "Home").otherwise("Away")
-    possession = F.when(k == 99, None).otherwise(
-        F.when(k % 2 == 0, "Home").otherwise("Away")
-    )
-    document = F.struct(
-        F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("id"),
-        (pos + 1).cast("int").alias("index"),
-        period.alias("period"),
-        minute.cast("int").alias("minute"),
-        (F.col("user_id") % 60).cast("int").alias("second"),
-        F.struct(kind.alias("name")).alias("type"),
-        F.struct(F.when(even, 1).otherwise(2).alias("id"), team.alias("name")).alias("team"),
-        F.when(possession.isNotNull(), F.struct(possession.alias("name"))).alias("possession_team"),
-        F.struct(
-            F.col("user_id").cast("int").alias("id"),
-            F.concat(F.lit("P"), F.col("user_id").cast("string")).alias("name"),
-        ).alias("player"),
-        F.when(
-            F.col("event_type") != "error",
-            F.array(k * F.lit(1.2), (F.col("user_id") % 81).cast("double")),
-        ).alias("location"),
-        F.when(
-            shot,
-            F.struct(
-                F.least(F.lit(0.99), F.col("value") / F.lit(500.0)).alias("statsbomb_xg"),
-                F.struct(outcome.alias("name")).alias("outcome"),
-            ),
-        ).alias("shot"),
-    )
-    return source_events(spark, sf_dir).select(
-        F.expr(f"event_id div {EVENTS_PER_MATCH}").alias("match_id"),
-        F.col("event_id").alias("source_id"),
-        F.col("ts").cast("timestamp").alias("ts"),
-        F.coalesce(possession, F.lit("unknown")).alias("log_key"),
-        F.to_json(document).alias("payload"),
+    return (
+        source_events(spark, sf_dir)
+        .selectExpr("*", POSITION, EVENT_NUMBER)
+        .selectExpr("*", POSSESSION)
+        .selectExpr(
+            f"event_id div {EVENTS_PER_MATCH} AS match_id",
+            "event_id AS source_id",
+            "CAST(ts AS TIMESTAMP) AS ts",
+            "coalesce(possession, 'unknown') AS log_key",
+            f"to_json({DOCUMENT}) AS payload",
+        )
     )
 
 
 def parallel_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as if all matches kicked off together, one event a minute."""
-    minutes = (F.col("source_id") % EVENTS_PER_MATCH).cast("int")
-    kick_off = F.lit(KICK_OFF).cast("timestamp")
-    return event_documents(spark, sf_dir).withColumn(
-        "ts", kick_off + F.make_dt_interval(mins=minutes)
-    )
+    minute = f"make_dt_interval(0, 0, CAST(source_id % {EVENTS_PER_MATCH} AS INT))"
+    kick_off = F.expr(f"TIMESTAMP '{KICK_OFF}' + {minute}")
+    return event_documents(spark, sf_dir).withColumn("ts", kick_off)
 
 
 def event_log(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Log rows with some values cut short and some messages sent twice."""
-    copies = F.when(F.col("source_id") % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
-        F.array(F.lit(0))
-    )
-    value = F.when(F.col("source_id") % 97 == 0, F.substring("payload", 1, 20)).otherwise(
-        F.col("payload")
-    )
-    return documents.select("*", F.explode(copies).alias("copy")).select(
-        F.col("log_key").cast("binary").alias("key"),
-        value.cast("binary").alias("value"),
-        F.lit(TOPIC).alias("topic"),
-        (F.col("match_id") % 4).cast("int").alias("partition"),
-        (F.col("source_id") * 2 + F.col("copy")).alias("offset"),
-        (F.col("ts") + F.make_dt_interval(secs=F.col("copy") * 30)).alias("timestamp"),
+    return documents.selectExpr(
+        "*", "explode(CASE WHEN source_id % 7 = 0 THEN array(0, 1) ELSE array(0) END) AS copy"
+    ).selectExpr(
+        "CAST(log_key AS BINARY) AS key",
+        "CAST(CASE WHEN source_id % 97 = 0 THEN substring(payload, 1, 20) ELSE payload END AS BINARY) AS value",
+        f"'{TOPIC}' AS topic",
+        "CAST(match_id % 4 AS INT) AS partition",
+        "source_id * 2 + copy AS offset",
+        "ts + make_dt_interval(0, 0, 0, copy * 30) AS timestamp",
         "match_id",
         *carry,
     )

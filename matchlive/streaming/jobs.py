@@ -34,7 +34,8 @@ def job_session(
     RocksDB keeps state off the JVM heap, with changes uploaded as they occur.
     """
     session = spark.newSession()
-    session.conf.set("spark.sql.session.timeZone", "UTC")
+    zone = "spark.sql.session.timeZone"
+    session.conf.set(zone, spark.conf.get(zone))
     if state_partitions is not None:
         session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     if rocksdb:
