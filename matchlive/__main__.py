@@ -66,8 +66,8 @@ def run_gold(spark: SparkSession, args) -> list:
 
 
 def run_publish(spark: SparkSession, args) -> list:
-    rows = replay.log_rows(read_match_documents(spark, args.source))
-    replay.publish(rows, args.format, args.out, **dict(args.option))
+    documents = replay.in_match_order(read_match_documents(spark, args.source))
+    replay.publish(replay.log_rows(documents), args.format, args.out, **dict(args.option))
     return []
 
 

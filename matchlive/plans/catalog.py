@@ -188,7 +188,7 @@ def replay_progress(spark, sf_dir):
 def publish_log_rows(spark, sf_dir):
     """Log rows written and read back."""
     path = new_run_dir(spark, "published-log")
-    rows = replay.log_rows(event_documents(spark, sf_dir))
+    rows = replay.log_rows(replay.in_match_order(event_documents(spark, sf_dir)))
     replay.publish(rows, "parquet", path)
     return spark.read.parquet(path).select("match_id", "key", "value")
 

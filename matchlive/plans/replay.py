@@ -60,6 +60,15 @@ def replay_progress(
     return rows.filter(F.col("emitted") % step == 0).select(*MATCH, "emitted", "minute")
 
 
+def in_match_order(documents: DataFrame) -> DataFrame:
+    """Documents sorted by match and index, so that each task sends its share in order.
+
+    A distributed sort: a large match is spread over several tasks.
+    """
+    index = F.from_json("payload", LOG_FIELDS)["index"]
+    return documents.orderBy("match_id", F.coalesce(index, F.lit(0)))
+
+
 def log_rows(documents: DataFrame) -> DataFrame:
     """Key and value for the log: the possessing team and the document, untouched."""
     team = F.from_json("payload", LOG_FIELDS)["possession_team"]["name"]
@@ -78,5 +87,4 @@ def publish(rows: DataFrame, fmt: str = "kafka", path: str | None = None, **opti
             F.col("match_id").cast("string").cast("binary").alias("value"),
         )
         rows = rows.select("key", "value", F.array(header).alias("headers"))
-        options = {"includeHeaders": "true", **options}
     rows.write.format(fmt).options(**options).mode("append").save(path)

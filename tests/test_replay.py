@@ -96,6 +96,16 @@ def test_log_rows_keep_the_document(spark):
     assert [(r.key, r.value) for r in rows] == [("Home", text), ("unknown", '{"id":"b"}'), ("unknown", "{")]
 
 
+def test_documents_are_sent_in_match_order(spark, matches, tmp_path):
+    documents = frame(spark, matches).repartition(4)
+    replay.publish(replay.log_rows(replay.in_match_order(documents)), "parquet", str(tmp_path / "rows"))
+    order = []
+    for part in sorted((tmp_path / "rows").glob("part-*")):
+        for r in spark.read.parquet(str(part)).coalesce(1).collect():
+            order.append((r.match_id or 0, json.loads(r.value).get("index", 0)))
+    assert len(order) == len(matches) and order == sorted(order)
+
+
 def test_match_files(spark, tmp_path):
     events = [json.loads(document(n, n, 0, f"e{n}")) | {"extra": {"n": n}} for n in (1, 2, 3)]
     (tmp_path / "events_77.json").write_text(json.dumps(events, indent=1))
