@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlive.functions import is_goal
-from matchlive.operators.skew import join_on, join_per_group
+from matchlive.operators.skew import join_on, join_per_group, only_hot, without_hot
 from matchlive.schemas import SILVER, columns
 
 MATCH = ("match_id",)
@@ -124,11 +124,28 @@ def _lookup(key: str, values: dict) -> Column:
     return F.try_element_at(F.create_map(*pairs), F.col(key))
 
 
+def _displayed_shots(shots: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """Shots of the displayed teams with the team's position."""
+    named = shots.filter(F.col("team_name").isNotNull())
+    position = F.dense_rank().over(Window.partitionBy(*MATCH).orderBy("team_name"))
+    shown = (
+        without_hot(named, hot, MATCH)
+        .withColumn("position", position)
+        .filter(F.col("position") <= DISPLAYED_TEAMS)
+    )
+    if hot is None:
+        return shown
+    large = only_hot(named, hot, MATCH)
+    return shown.unionByName(
+        join_per_group(large, displayed_teams(large), TEAM, "event_id", hot)
+    )
+
+
 def shot_map(shots: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Markers for the shots of the displayed teams with one of six outcomes."""
-    teams = displayed_teams(shots)
-    known = shots.filter(F.col("shot_outcome").isin(*OUTCOME_COLOURS))
-    marked = join_per_group(known, teams, TEAM, "event_id", hot)
+    marked = _displayed_shots(shots, hot).filter(
+        F.col("shot_outcome").isin(*OUTCOME_COLOURS)
+    )
     team_colours = dict(enumerate(TEAM_COLOURS, start=1))
     return marked.select(
         *MATCH,
