@@ -7,6 +7,7 @@ above a row limit are found first. Of those there are at most
 then run over range-partitioned pieces, their joins over salted keys.
 """
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -63,7 +64,6 @@ def ordered_pieces(
     by: Sequence[str],
     order: Sequence[Column],
     hot: DataFrame | None,
-    rows_per_piece: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Rows ready for ``previous_value`` and ``running_sum``.
 
@@ -75,7 +75,7 @@ def ordered_pieces(
         return rows
     hot_rows = only_hot(rows, hot, by)
     total = hot.agg(F.sum("group_rows")).first()[0]
-    pieces = -(-total // rows_per_piece) + 1
+    pieces = math.ceil(total / ROWS_PER_TASK) + 1
     shared_dir(rows.sparkSession)
     cut = (
         hot_rows.repartitionByRange(pieces, *by, *order)

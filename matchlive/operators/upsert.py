@@ -1,12 +1,11 @@
 """Keyed tables as frames: merge, versioned change log, newest row per key."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlive.operators.skew import join_on
-
 VERSION = "batch_id"
 
 
@@ -16,10 +15,9 @@ def merge_additive(
     """Target with the batch's values added to matching keys and new keys inserted."""
     theirs = {name: f"_batch_{name}" for name in (*keys, *added)}
     batch = batch.select(*(F.col(name).alias(new) for name, new in theirs.items()))
-    match = None
-    for name in keys:
-        same = F.col(name).eqNullSafe(F.col(theirs[name]))
-        match = same if match is None else match & same
+    match = reduce(
+        lambda a, b: a & b, (F.col(name).eqNullSafe(F.col(theirs[name])) for name in keys)
+    )
     in_target = target.select(*keys, *added, F.lit(True).alias("_in_target"))
     return in_target.join(batch, match, "full_outer").select(
         *(

@@ -28,7 +28,11 @@ def read_match_events(
 def read_match_documents(
     spark: SparkSession, path: str, pattern: str = MATCH_ID_IN_PATH
 ) -> DataFrame:
-    """Events of all match files as JSON text, with every field kept."""
+    """Events of all match files as JSON text, with every field kept.
+
+    A file is one row before it is split into events, and a JSON array cannot be
+    read in parts: a match larger than a task's memory has to come by the log.
+    """
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     return files.select(
         _match_id(pattern).alias("match_id"),

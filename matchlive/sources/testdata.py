@@ -79,11 +79,11 @@ def parallel_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_log(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Log rows with some values cut short and some messages sent twice."""
-    return documents.selectExpr(
-        "*", "explode(CASE WHEN source_id % 7 = 0 THEN array(0, 1) ELSE array(0) END) AS copy"
-    ).selectExpr(
+    copies = "explode(CASE WHEN source_id % 7 = 0 THEN array(0, 1) ELSE array(0) END) AS copy"
+    value = "CASE WHEN source_id % 97 = 0 THEN substring(payload, 1, 20) ELSE payload END"
+    return documents.selectExpr("*", copies).selectExpr(
         "CAST(log_key AS BINARY) AS key",
-        "CAST(CASE WHEN source_id % 97 = 0 THEN substring(payload, 1, 20) ELSE payload END AS BINARY) AS value",
+        f"CAST({value} AS BINARY) AS value",
         f"'{TOPIC}' AS topic",
         "CAST(match_id % 4 AS INT) AS partition",
         "source_id * 2 + copy AS offset",

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from matchlive.operators import skew
 from matchlive.operators.skew import hot_groups
 from matchlive.plans import gold, views
 from matchlive.schemas import MOMENTUM, SILVER
@@ -15,6 +16,12 @@ OUTCOMES = ["Goal", "Saved", "Off T", "Saved to Post", None]
 ATTACKING = {"Shot", "Pass", "Carry", "Miscontrol"}
 
 
+@pytest.fixture(autouse=True)
+def small_pieces(monkeypatch):
+    """Cuts large groups into pieces of about 20 rows."""
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 20)
+
+
 def event(match_id, n, rng, teams=("Away", "Home")):
     minute = rng.choice([None, *range(95)])
     second = rng.randrange(60)
@@ -279,3 +286,13 @@ def test_row_counts(spark, silver, events):
 def test_shot_zone(spark, x, y, zone):
     frame = spark.createDataFrame([(x and float(x), None if y is None else float(y))], "x DOUBLE, y DOUBLE")
     assert frame.select(views.shot_zone(F.col("x"), F.col("y"))).first()[0] == zone
+
+
+def test_split_plans_have_no_nested_loops(silver, hot):
+    for frame in (
+        gold.momentum_series(silver, hot),
+        gold.win_probability_by_shot(silver, hot),
+        views.shot_map(gold.shots(silver), hot),
+    ):
+        text = frame._jdf.queryExecution().toString()
+        assert "NestedLoop" not in text and "CartesianProduct" not in text

@@ -6,12 +6,19 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from matchlive.operators import skew
 from matchlive.operators.skew import hot_groups
 from matchlive.plans import replay
 from matchlive.sources.log import bronze_rows, match_id_in_header, match_id_in_topic
 from matchlive.sources.match_files import read_match_documents, read_match_events
 
 
+@pytest.fixture(autouse=True)
+def small_pieces(monkeypatch):
+    """Cuts large groups into pieces of about 20 rows."""
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 20)
+
+
 def document(index=None, minute=None, second=None, id=None, team="Home"):
     fields = {"id": id, "index": index, "minute": minute, "second": second, "period": 1}
     kept = {k: v for k, v in fields.items() if v is not None}
@@ -130,3 +137,14 @@ def test_match_id_from_header_or_topic(spark):
     assert [r.match_id for r in by_header] == [34, None]
     assert [r.match_id for r in by_topic] == [12, None]
     assert by_header[0].kafka_key == "k" and by_header[0].event_json == "{}"
+
+
+def test_large_group_is_cut_into_many_pieces(spark, matches):
+    documents = frame(spark, matches).repartition(4)
+    order = [F.col("payload")]
+    pieces = skew.ordered_pieces(documents, ["match_id"], order, hot_groups(documents, limit=50))
+    sizes = {tuple(r)[:2]: r["count"] for r in pieces.groupBy("match_id", "_piece").count().collect()}
+    assert sum(sizes.values()) == len(matches)
+    large = [n for (match_id, _), n in sizes.items() if match_id == 1]
+    assert len(large) > 10 and max(large) < 100
+    assert [n for (match_id, _), n in sizes.items() if match_id == 2] == [30]

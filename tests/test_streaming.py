@@ -77,7 +77,8 @@ def pipe(spark, tmp_path):
 
 def test_silver_keeps_one_copy_across_batches(pipe):
     pipe.add(shot(1), shot(1), shot(2))
-    pipe.silver()
+    run = pipe.silver()
+    assert run.recentProgress[0]["observedMetrics"]["silver"]["rows"] == 2
     pipe.add(shot(2, after=1), shot(3, after=1), shot(2, match_id=2, after=1))
     pipe.silver()
     rows, version = pipe.table("silver")
