@@ -6,6 +6,7 @@ batch first keeps a much repeated key from reaching its task row by row.
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,11 +35,23 @@ def first_of_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield batch.take(first["row_min"].combine_chunks().sort())
 
 
-def count_per_second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums the actions per match, team and second within an Arrow batch."""
+def count_per_second(
+    batches: Iterator[pa.RecordBatch], seconds: int = MOMENTUM_SECONDS
+) -> Iterator[pa.RecordBatch]:
+    """Sums the actions per match, team and second within an Arrow batch.
+
+    What lies before the time window of a match's newest second in the batch is
+    left out: later rows can only move the window on.
+    """
     by = ["match_id", "team_name", "match_second"]
     for batch in batches:
-        counted = pa.Table.from_batches([batch]).group_by(by).aggregate([("actions", "sum")])
+        match = batch["match_id"].dictionary_encode(null_encoding="encode")
+        number = match.indices.to_numpy()
+        at = batch["match_second"].to_numpy().astype("int64")
+        newest = np.full(len(match.dictionary), np.iinfo("int64").min)
+        np.maximum.at(newest, number, at)
+        recent = pa.Table.from_batches([batch]).filter(pa.array(at >= newest[number] - seconds))
+        counted = recent.group_by(by).aggregate([("actions", "sum")])
         counted = counted.rename_columns({"actions_sum": "actions"}).select([*by, "actions"])
         yield from counted.to_batches()
 
@@ -92,10 +105,14 @@ def _fold_window(
 def live_momentum(silver: DataFrame, seconds: int = MOMENTUM_SECONDS) -> DataFrame:
     """Momentum rows of every match with new events, in update mode."""
     actions = is_attacking(F.col("event_type")).cast("bigint").alias("actions")
+
+    def count(batches):
+        return count_per_second(batches, seconds)
+
     counted = (
         silver.filter(F.col("match_second").isNotNull())
         .select("match_id", "team_name", "match_second", actions)
-        .mapInArrow(count_per_second, SECOND_COUNTS)
+        .mapInArrow(count, SECOND_COUNTS)
     )
 
     def fold(key, parts, state):

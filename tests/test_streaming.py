@@ -6,6 +6,7 @@ import os
 import random
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from matchlive.operators.upsert import latest_by_key, merge_additive
 from matchlive.plans import gold
 from matchlive.schemas import BRONZE, LOG, SILVER, XG_TIMELINE
 from matchlive.sources.tables import append_version, read_table, stream_table
-from matchlive.streaming import change_log, jobs
+from matchlive.streaming import change_log, jobs, stateful
 from matchlive.workspace import new_run_dir, shared_dir
 
 NOON = datetime.datetime(2024, 1, 1, 12)
@@ -217,6 +218,19 @@ def test_momentum_of_random_batches_against_a_loop(pipe):
     assert got == want
 
 
+def test_counts_per_second_keep_what_can_lie_in_the_window():
+    rows = [
+        (1, "A", 100, 1), (1, "A", 100, 1), (1, None, 400, 0), (1, "A", 99, 1),
+        (None, "B", 5, 1), (None, "B", 600, 1), (2, "B", 3, 1),
+    ]
+    names = ["match_id", "team_name", "match_second", "actions"]
+    types = [pa.int64(), pa.string(), pa.int32(), pa.int64()]
+    arrays = [pa.array(values, kind) for values, kind in zip(zip(*rows), types)]
+    [batch] = stateful.count_per_second([pa.record_batch(arrays, names)], 300)
+    got = {tuple(row[n] for n in names) for row in batch.to_pylist()}
+    assert got == {(1, "A", 100, 2), (1, None, 400, 0), (None, "B", 600, 1), (2, "B", 3, 1)}
+
+
 def test_shots_and_batch_agree_after_restarts(pipe):
     for start in range(0, 30, 10):
         pipe.add(*(shot(n, kind="Shot" if n % 3 else "Pass", minute=n) for n in range(start, start + 10)))
