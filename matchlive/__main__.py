@@ -11,6 +11,7 @@ from matchlive.sources.log import match_id_in_header, match_id_in_topic, read_lo
 from matchlive.sources.match_files import read_match_documents
 from matchlive.sources.tables import append_version, read_table
 from matchlive.streaming import change_log, jobs
+from matchlive.streaming.serving import live_views
 
 BRONZE_EVERY = "2 seconds"
 OTHERS_EVERY = "5 seconds"
@@ -87,6 +88,13 @@ def run_show(spark: SparkSession, args) -> list:
     return []
 
 
+def run_views(spark: SparkSession, args) -> list:
+    for name, rows in live_views(spark, args.source, args.gold, args.match).items():
+        print(name)
+        rows.show(args.rows, truncate=False)
+    return []
+
+
 def pair(text: str) -> tuple[str, str]:
     name, _, value = text.partition("=")
     return name, value
@@ -122,6 +130,10 @@ def parser() -> argparse.ArgumentParser:
     show = command("show", run_show, "table path", required=True)
     show.add_argument("--table", required=True, choices=["bronze", "silver", *GOLD_JOBS])
     show.add_argument("--rows", type=int, default=10)
+    shown = command("views", run_views, "Silver table", required=True)
+    shown.add_argument("--gold", required=True, help="folder of the Gold tables")
+    shown.add_argument("--match", type=int)
+    shown.add_argument("--rows", type=int, default=20)
     return top
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from matchlive.functions import clock_or_zero
 from matchlive.operators.skew import ordered_pieces, previous_value, running_sum
-from matchlive.schemas import LOG_FIELDS
+from matchlive.schemas import CLOCK_FIELDS, LOG_FIELDS
 from matchlive.sources.log import UNKNOWN_KEY
 
 MATCH = ("match_id",)
@@ -16,9 +16,7 @@ PROGRESS_STEP = 200
 
 def _clocked(documents: DataFrame) -> DataFrame:
     """Position and clock of each document, a missing number counting as 0."""
-    fields = documents.select(
-        *MATCH, F.inline(F.array(F.from_json("payload", f"id STRING, {LOG_FIELDS}")))
-    )
+    fields = documents.select(*MATCH, F.inline(F.array(F.from_json("payload", CLOCK_FIELDS))))
     return fields.select(
         *MATCH,
         F.col("id").alias("event_id"),

@@ -14,11 +14,15 @@ EVENT = """
     shot STRUCT<statsbomb_xg: DOUBLE, outcome: STRUCT<name: STRING>>
 """
 
-# The fields of the event document that the log and the replay clock need.
-LOG_FIELDS = """
+# The fields of the event document that the replay clock and the log need.
+CLOCK_FIELDS = """
+    id STRING,
     index INT,
     minute INT,
-    second INT,
+    second INT
+"""
+LOG_FIELDS = """
+    index INT,
     possession_team STRUCT<name: STRING>
 """
 

@@ -19,6 +19,7 @@ from matchlive.sources.testdata import (
     parallel_documents,
 )
 from matchlive.streaming import jobs
+from matchlive.streaming.serving import live_views
 from matchlive.workspace import new_run_dir
 
 SLICES = 3
@@ -150,6 +151,18 @@ def stream_momentum(spark, sf_dir):
     return jobs.current_momentum(spark, path)
 
 
+def stream_kpi_row(spark, sf_dir):
+    """The KPI row from the tables two jobs keep up to date."""
+    run = Run(spark, "stream-kpi-row")
+    state = (jobs.start_team_totals, "gold/match_state")
+    momentum = (jobs.start_momentum, "gold/momentum")
+    run.feed(
+        _parallel(spark, sf_dir),
+        [run.bronze, run.silver, lambda: run.gold(*state), lambda: run.gold(*momentum)],
+    )
+    return live_views(spark, run.path("silver"), run.path("gold"))["kpi_row"]
+
+
 STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_bronze": stream_bronze,
     "stream_silver": stream_silver,
@@ -157,6 +170,7 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_xg_timeline": stream_xg_timeline,
     "stream_match_state": stream_match_state,
     "stream_momentum": stream_momentum,
+    "stream_kpi_row": stream_kpi_row,
     "stream_late_rows": stream_late_rows,
     "stream_restart": stream_restart,
 }

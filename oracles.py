@@ -205,6 +205,19 @@ cut_momentum AS (
 )
 """
 
+KPI_ROW = """SELECT p.match_id, p.t1 AS team1, a.goals AS goals1,
+  CAST(round(CAST(a.xg_total AS DECIMAL(18,6)), 2) AS DOUBLE) AS xg1,
+  p.t2 AS team2, b.goals AS goals2,
+  CAST(round(CAST(b.xg_total AS DECIMAL(18,6)), 2) AS DOUBLE) AS xg2,
+  CAST(round(CAST(a.win_probability AS DECIMAL(9,4)) * 100, 1) AS DOUBLE) AS p1_pct,
+  CAST(100 - round(CAST(a.win_probability AS DECIMAL(9,4)) * 100, 1) AS DOUBLE) AS p2_pct,
+  CAST(trunc(coalesce(m.dominance_pct, 0.5::DOUBLE) * 100) AS INTEGER) AS dom1_pct,
+  CAST(trunc((1 - coalesce(m.dominance_pct, 0.5::DOUBLE)) * 100) AS INTEGER) AS dom2_pct
+FROM pairs p
+JOIN match_state a ON a.match_id = p.match_id AND a.team_name = p.t1
+JOIN match_state b ON b.match_id = p.match_id AND b.team_name = p.t2
+LEFT JOIN {momentum} m ON m.match_id = p.match_id AND m.team_name = p.t1"""
+
 NEWEST_MOMENTUM = """SELECT match_id, team_name, n AS attacking_actions, share AS dominance_pct,
   b AS window_start_second, e AS window_end_second
 FROM cut_momentum WHERE age = 1"""
@@ -300,20 +313,7 @@ FROM silver"""
     "safe_xg": _with(
         "SELECT match_id, event_id, xg, greatest(0::DOUBLE, xg) AS safe_xg FROM silver"
     ),
-    "kpi_row": _with(
-        """SELECT p.match_id, p.t1 AS team1, a.goals AS goals1,
-  CAST(round(CAST(a.xg_total AS DECIMAL(18,6)), 2) AS DOUBLE) AS xg1,
-  p.t2 AS team2, b.goals AS goals2,
-  CAST(round(CAST(b.xg_total AS DECIMAL(18,6)), 2) AS DOUBLE) AS xg2,
-  CAST(round(CAST(a.win_probability AS DECIMAL(9,4)) * 100, 1) AS DOUBLE) AS p1_pct,
-  CAST(100 - round(CAST(a.win_probability AS DECIMAL(9,4)) * 100, 1) AS DOUBLE) AS p2_pct,
-  CAST(trunc(coalesce(m.dominance_pct, 0.5::DOUBLE) * 100) AS INTEGER) AS dom1_pct,
-  CAST(trunc((1 - coalesce(m.dominance_pct, 0.5::DOUBLE)) * 100) AS INTEGER) AS dom2_pct
-FROM pairs p
-JOIN match_state a ON a.match_id = p.match_id AND a.team_name = p.t1
-JOIN match_state b ON b.match_id = p.match_id AND b.team_name = p.t2
-LEFT JOIN momentum m ON m.match_id = p.match_id AND m.team_name = p.t1"""
-    ),
+    "kpi_row": _with(KPI_ROW.format(momentum="momentum")),
     "shot_map": _with(
         """SELECT s.match_id, event_id, s.team_name, player_name, loc_x, loc_y, xg,
   shot_outcome AS outcome, round(xg * 60 + 6, 6) AS marker_size,
@@ -399,6 +399,9 @@ WHERE period <= 4"""
     "stream_xg_timeline": XG_TIMELINE,
     "stream_match_state": MATCH_STATE,
     "stream_momentum": _with(NEWEST_MOMENTUM, BY_SLICE + CUT_MOMENTUM),
+    "stream_kpi_row": _with(
+        KPI_ROW.format(momentum=f"({NEWEST_MOMENTUM})"), BY_SLICE + CUT_MOMENTUM
+    ),
     "stream_late_rows": _with(
         """SELECT match_id, event_id FROM arrivals
 UNION ALL

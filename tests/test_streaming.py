@@ -308,6 +308,10 @@ def test_commands(spark, tmp_path, capsys):
     assert "6 rows, 1 matches, version 0" in capsys.readouterr().out
     cli.main(["show", "--source", f"{root}/gold/momentum", "--table", "momentum"])
     assert "2 rows, 1 matches, version 0" in capsys.readouterr().out
+    cli.main(["views", "--source", f"{root}/silver", "--gold", f"{root}/gold", "--match", "5"])
+    shown = capsys.readouterr().out
+    assert [shown.count(name) for name in ("kpi_row", "xg_race", "shot_map", "event_log")] == [1] * 4
+    assert "Away — Saved" in shown
 
 
 def test_missing_table_is_empty_but_other_errors_show(spark, tmp_path):
