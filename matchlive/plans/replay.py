@@ -61,10 +61,11 @@ def replay_progress(
 def in_match_order(documents: DataFrame) -> DataFrame:
     """Documents sorted by match and index, so that each task sends its share in order.
 
-    A distributed sort: a large match is spread over several tasks.
+    A distributed sort: a large match is spread over several tasks, also where
+    many documents lack an index, since the hash tells those apart.
     """
     index = F.from_json("payload", LOG_FIELDS)["index"]
-    return documents.orderBy("match_id", F.coalesce(index, F.lit(0)))
+    return documents.orderBy("match_id", F.coalesce(index, F.lit(0)), F.xxhash64("payload"))
 
 
 def log_rows(documents: DataFrame) -> DataFrame:
