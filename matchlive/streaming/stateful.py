@@ -4,11 +4,13 @@ Spark shuffles a stateful operator's input uncombined. Grouping each Arrow
 batch first keeps a much repeated key from reaching its task row by row.
 """
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -18,6 +20,9 @@ from matchlive.operators.parse import EVENT_KEY
 from matchlive.plans.gold import MOMENTUM_SECONDS
 from matchlive.schemas import MOMENTUM, columns
 
+# Workers get the functions themselves, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SECOND_COUNTS = "match_id BIGINT, team_name STRING, match_second INT, actions BIGINT"
 WINDOW_STATE = "latest INT, teams ARRAY<STRING>, seconds ARRAY<INT>, actions ARRAY<BIGINT>"
 WINDOW_TOTALS = """

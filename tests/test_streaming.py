@@ -4,10 +4,13 @@ import datetime
 import json
 import os
 import random
+import subprocess
+import sys
 from pathlib import Path
 
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from matchlive import __main__ as cli
@@ -218,6 +221,17 @@ def test_momentum_of_random_batches_against_a_loop(pipe):
     assert got == want
 
 
+def test_workers_need_no_package():
+    functions = [stateful.first_of_chunk, stateful.count_per_second, stateful._fold_window]
+    load = "import pickle, sys; print(len(pickle.load(sys.stdin.buffer)), 'matchlive' in sys.modules)"
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", load], input=cloudpickle.dumps(functions), cwd="/", env=environment,
+        capture_output=True, check=True,
+    )
+    assert done.stdout.split() == [b"3", b"False"]
+
+
 def test_counts_per_second_keep_what_can_lie_in_the_window():
     rows = [
         (1, "A", 100, 1), (1, "A", 100, 1), (1, None, 400, 0), (1, "A", 99, 1),
