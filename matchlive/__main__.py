@@ -28,6 +28,7 @@ CHANGE_LOGS = {
     "match_state": (TEAM_TOTALS, jobs.current_match_state),
     "momentum": (MOMENTUM, jobs.current_momentum),
 }
+KEYS = {"xg_timeline": jobs.TEAM_MINUTE, "match_state": jobs.TEAM, "momentum": jobs.TEAM}
 
 
 def match_id_column(source: str) -> Column | None:
@@ -88,6 +89,12 @@ def run_show(spark: SparkSession, args) -> list:
     return []
 
 
+def run_compact(spark: SparkSession, args) -> list:
+    schema, keys = CHANGE_LOGS[args.table][0], KEYS[args.table]
+    change_log.compact(spark, args.source, args.out, schema, keys)
+    return []
+
+
 def run_views(spark: SparkSession, args) -> list:
     for name, rows in live_views(spark, args.source, args.gold, args.match).items():
         print(name)
@@ -130,6 +137,9 @@ def parser() -> argparse.ArgumentParser:
     show = command("show", run_show, "table path", required=True)
     show.add_argument("--table", required=True, choices=["bronze", "silver", *GOLD_JOBS])
     show.add_argument("--rows", type=int, default=10)
+    compact = command("compact", run_compact, "change log of a stopped job", required=True)
+    compact.add_argument("--table", required=True, choices=CHANGE_LOGS)
+    compact.add_argument("--out", required=True, help="new path, in another Gold folder")
     shown = command("views", run_views, "Silver table", required=True)
     shown.add_argument("--gold", required=True, help="folder of the Gold tables")
     shown.add_argument("--match", type=int)

@@ -257,6 +257,21 @@ def test_shots_and_batch_agree_after_restarts(pipe):
     assert len(streamed) == 20
 
 
+def test_job_goes_on_with_a_compacted_table(pipe):
+    for n in (1, 2, 3):
+        pipe.add(shot(n, minute=n % 2))
+        pipe.silver()
+        pipe.gold("xg_timeline")
+    old, new = pipe.path("xg_timeline"), pipe.path("compacted/xg_timeline")
+    cli.main(["compact", "--table", "xg_timeline", "--source", old, "--out", new])
+    assert len(list(Path(new).glob("batch_id=*"))) == 1
+    pipe.add(shot(4, minute=1))
+    pipe.silver()
+    cli.main(["gold", "--tables", "xg_timeline", "--source", pipe.path("silver"), "--out", pipe.path("compacted"), "--checkpoint", pipe.path("ck"), "--once"])
+    rows = jobs.current_xg_timeline(pipe.spark, new).collect()
+    assert {r.minute: (r.xg_total, r.shots_total) for r in rows} == {0: (0.25, 1), 1: (0.75, 3)}
+
+
 def timeline_rows(spark, *rows):
     return spark.createDataFrame(list(rows), XG_TIMELINE)
 
@@ -345,5 +360,28 @@ def test_work_folders_lie_in_the_named_folder(spark):
     assert first != second and first.startswith(named)
 
 
+class Cluster:
+    """As much of a session as is looked at, on a cluster."""
+
+    master = "yarn"
+    settings = {}
+
+    @property
+    def sparkContext(self):
+        return self
+
+    @property
+    def conf(self):
+        return self.settings
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_a_cluster_must_name_its_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Cluster())
+
+
 def test_log_schema_is_read_as_a_stream(spark, tmp_path):
     assert stream_table(spark, str(tmp_path), LOG).isStreaming
