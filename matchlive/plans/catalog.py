@@ -252,8 +252,11 @@ def merge_additive_halves(spark, sf_dir):
 def upsert_latest_by_key(spark, sf_dir):
     """Momentum at the end of each period, then the newest row per team."""
     after_period = F.explode(F.sequence("period", F.lit(parse.LAST_PERIOD_OF_PLAY)))
-    seen = silver(spark, sf_dir).filter(F.col("period") >= 1).withColumn(VERSION, after_period)
-    changes = gold.momentum(seen, by=(VERSION, "match_id"))
+    events = silver(spark, sf_dir).filter(F.col("period") >= 1)
+    counted = gold.actions_per_second(events, by=("match_id", "period"))
+    changes = gold.momentum_of(
+        counted.withColumn(VERSION, after_period), by=(VERSION, "match_id")
+    )
     return latest_by_key(changes, ["match_id", "team_name"])
 
 

@@ -99,19 +99,19 @@ def _share(by: Sequence[str]):
     return F.round(F.try_divide(F.col("attacking_actions"), total.cast("double")), 3)
 
 
-def momentum(
-    silver: DataFrame, by: Sequence[str] = MATCH, seconds: int = MOMENTUM_SECONDS
-) -> DataFrame:
-    """Attacking actions per team in the last seconds of the match clock, and their share.
-
-    Rows are counted per team and second first, so the window over a match sees
-    seconds, not events.
-    """
-    per_second = (
+def actions_per_second(silver: DataFrame, by: Sequence[str] = MATCH) -> DataFrame:
+    """Attacking actions per team and second; seconds without one are there with 0."""
+    return (
         silver.filter(F.col("match_second").isNotNull())
         .groupBy(*by, "team_name", "match_second")
         .agg(F.count_if(is_attacking(F.col("event_type"))).alias("actions"))
     )
+
+
+def momentum_of(
+    per_second: DataFrame, by: Sequence[str] = MATCH, seconds: int = MOMENTUM_SECONDS
+) -> DataFrame:
+    """Momentum from ``actions_per_second``, separately for each value of ``by``."""
     in_window = (
         _with_time_window(per_second, by, seconds)
         .filter(F.col("match_second") >= F.col("window_start_second"))
@@ -126,6 +126,15 @@ def momentum(
     return teams.withColumn("dominance_pct", _share(by)).select(*extra, *columns(MOMENTUM))
 
 
+def momentum(silver: DataFrame, seconds: int = MOMENTUM_SECONDS) -> DataFrame:
+    """Attacking actions per team in the last seconds of the match clock, and their share.
+
+    Rows are counted per team and second first, so the window over a match sees
+    seconds, not events.
+    """
+    return momentum_of(actions_per_second(silver), seconds=seconds)
+
+
 def team_overview(silver: DataFrame, seconds: int = MOMENTUM_SECONDS) -> DataFrame:
     """Match state and momentum share of each team in one pass over Silver.
 
