@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlive.llm import mixing, packing
-from matchlive.llm.common import table
+from matchlive.llm import mixing, packing, sharding, substring
+from matchlive.llm.common import table, text_of
 
 
 def op3_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,9 +16,28 @@ def op5_subset_sum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", taken)
 
 
+def op8_histogram_sort_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.write_shards(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        sharding.size_of().alias("size"),
+        F.crc32(text_of("text")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op10_fixed_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring.without_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op3_best_two_fit": op3_best_two_fit,
     "op5_subset_sum_mix": op5_subset_sum_mix,
+    "op8_histogram_sort_shards": op8_histogram_sort_shards,
+    "op10_fixed_block_anchors": op10_fixed_block_anchors,
 }
 
 ORACLES: dict[str, str] = {}

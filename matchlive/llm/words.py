@@ -40,9 +40,7 @@ class Words(NamedTuple):
         out = np.empty(len(self.start), np.uint64)
         length = self.end - self.start
         total = np.concatenate(([0], np.cumsum(length)))
-        low = 0
-        while low < len(out):
-            high = max(low + 1, int(np.searchsorted(total, total[low] + HASH_BYTES, "right")) - 1)
+        for low, high in self._groups(length, total):
             size, begin = length[low:high], total[low:high] - total[low]
             place = np.arange(total[high] - total[low]) - np.repeat(begin, size)
             data = self.bytes[place + np.repeat(self.start[low:high], size)]
@@ -50,9 +48,29 @@ class Words(NamedTuple):
             if size.max() > 64:
                 term = term * np.power(np.uint64(0x9E3779B97F4A7C15), (place >> 6).astype(np.uint64))
             out[low:high] = np.add.reduceat(term, begin)
-            low = high
         return mix(out + length.astype(np.uint64))
 
+    def _groups(self, length: np.ndarray, total: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Runs of words of about HASH_BYTES together."""
+        low = 0
+        while low < len(length):
+            high = max(low + 1, int(np.searchsorted(total, total[low] + HASH_BYTES, "right")) - 1)
+            yield low, high
+            low = high
+
+    def spaced(self, keep: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The words kept, each followed by one space, and where each document begins in that."""
+        start, size = self.start[keep], (self.end - self.start)[keep]
+        total = np.concatenate(([0], np.cumsum(size + 1)))
+        out = np.full(total[-1], 0x20, np.uint8)
+        for low, high in self._groups(size, total):
+            length = size[low:high]
+            begin = np.cumsum(length) - length
+            place = np.arange(length.sum()) - np.repeat(begin, length)
+            out[place + np.repeat(total[low:high], length)] = self.bytes[place + np.repeat(start[low:high], length)]
+        before = np.concatenate(([0], np.cumsum(keep)))
+        return out.tobytes(), total[before[self.first]]
+
     def documents(self) -> np.ndarray:
         """The document of each word."""
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
@@ -113,8 +131,7 @@ def _rolled(values: np.ndarray, size: int, odd: np.uint64) -> np.ndarray:
     """sum(values[i + j] * odd**j for j < size), from running sums in blocks of fixed length."""
     block = 1 << 16
     inverse = np.uint64(pow(int(odd), -1, 1 << 64))
-    power = np.cumprod(np.concatenate(([1], np.full(block + size, odd, np.uint64))).astype(np.uint64))
-    back = np.cumprod(np.concatenate(([1], np.full(block, inverse, np.uint64))).astype(np.uint64))
+    power, back = _powers(odd, block + size), _powers(inverse, block)
     out = np.empty(len(values) - size + 1, np.uint64)
     for low in range(0, len(out), block):
         part = values[low : low + block + size - 1]
@@ -122,3 +139,9 @@ def _rolled(values: np.ndarray, size: int, odd: np.uint64) -> np.ndarray:
         count = len(part) - size + 1
         out[low : low + count] = (sums[size:] - sums[:count]) * back[:count]
     return out
+
+
+def _powers(base: np.uint64, count: int) -> np.ndarray:
+    factors = np.full(count, base, np.uint64)
+    factors[0] = 1
+    return np.cumprod(factors)
