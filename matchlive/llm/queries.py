@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlive.llm import mixing, packing, sharding, substring
+from matchlive.llm import mixing, packing, sharding, simhash, substring
 from matchlive.llm.common import table, text_of
 
 
@@ -16,6 +16,12 @@ def op5_subset_sum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", taken)
 
 
+def op7_generalised_pigeonhole_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint")
+    return found.select("doc_id", digits, "component_id")
+
+
 def op8_histogram_sort_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.write_shards(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -36,6 +42,7 @@ def op10_fixed_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_best_two_fit": op3_best_two_fit,
     "op5_subset_sum_mix": op5_subset_sum_mix,
+    "op7_generalised_pigeonhole_simhash": op7_generalised_pigeonhole_simhash,
     "op8_histogram_sort_shards": op8_histogram_sort_shards,
     "op10_fixed_block_anchors": op10_fixed_block_anchors,
 }
