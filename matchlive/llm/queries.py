@@ -3,10 +3,14 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlive.llm import mixing, packing, sharding, simhash, substring
+from matchlive.llm import chat, embeddings, mixing, oracles, packing, sharding, simhash, substring, warc
 from matchlive.llm.common import table, text_of
 
 
+def op2_subspace_pigeonhole_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -16,6 +20,18 @@ def op5_subset_sum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", taken)
 
 
+def op6_index_first_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.read_records(warc.write_archives(table(spark, sf_dir, "pages")))
+    stored = F.col("record_type") == "response"
+    return read.select(
+        "page_id",
+        F.when(stored, F.octet_length("payload")).otherwise(F.col("payload_bytes")).cast("long").alias("payload_bytes"),
+        F.when(stored, F.sha2("payload", 256)).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
 def op7_generalised_pigeonhole_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint")
@@ -34,17 +50,32 @@ def op8_histogram_sort_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_typed_parts_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    return chat.conversation_digests(chat.format_turns(turns.unionByName(probe)))
+
+
 def op10_fixed_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = substring.without_repeats(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 QUERIES = {
+    "op2_subspace_pigeonhole_join": op2_subspace_pigeonhole_join,
     "op3_best_two_fit": op3_best_two_fit,
     "op5_subset_sum_mix": op5_subset_sum_mix,
+    "op6_index_first_warc": op6_index_first_warc,
     "op7_generalised_pigeonhole_simhash": op7_generalised_pigeonhole_simhash,
     "op8_histogram_sort_shards": op8_histogram_sort_shards,
+    "op9_typed_parts_chat": op9_typed_parts_chat,
     "op10_fixed_block_anchors": op10_fixed_block_anchors,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op2_subspace_pigeonhole_join": oracles.OP2,
+    "op6_index_first_warc": oracles.OP6,
+    "op9_typed_parts_chat": oracles.OP9,
+    "op10_fixed_block_anchors": oracles.OP10,
+}
