@@ -3,10 +3,14 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlive.llm import chat, embeddings, mixing, oracles, packing, sharding, simhash, substring, warc
+from matchlive.llm import chat, embeddings, mixing, oracles, packing, quality, sharding, simhash, substring, warc
 from matchlive.llm.common import table, text_of
 
 
+def op1_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
 def op2_subspace_pigeonhole_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -63,6 +67,7 @@ def op10_fixed_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_distribution_divergence": op1_distribution_divergence,
     "op2_subspace_pigeonhole_join": op2_subspace_pigeonhole_join,
     "op3_best_two_fit": op3_best_two_fit,
     "op5_subset_sum_mix": op5_subset_sum_mix,
