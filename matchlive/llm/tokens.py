@@ -16,9 +16,20 @@ from matchlive.llm.common import text_of
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
 #: Words whose ids a worker remembers before it starts anew.
-CACHED_WORDS = 400_000
-#: Letters, then punctuation that cannot begin a contraction: the vocabulary cuts between the two.
-PLAIN = re.compile(rb"([A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")
+CACHED_WORDS = 600_000
+#: Latin letters in composed form, then ASCII marks without the apostrophe of contractions:
+#: the vocabulary cuts between the two, and its normal form only changes case.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+
+
+def byte_letters() -> dict[int, str]:
+    """The printable character that byte-level vocabularies write for each byte."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [byte for byte in range(256) if byte not in plain]
+    return {byte: chr(byte) for byte in plain} | {byte: chr(256 + n) for n, byte in enumerate(others)}
+
+
+BYTE_LETTERS = byte_letters()
 
 
 class WordTokenizer:
@@ -32,7 +43,7 @@ class WordTokenizer:
         self.full = tokenizers.Tokenizer.from_file(path)
         self.full.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {}
+        self.cores: dict[str, bytes] = {}
 
     def ids(self, text: bytes) -> bytes:
         """Ids of the text as little-endian unsigned 32-bit numbers."""
@@ -43,23 +54,22 @@ class WordTokenizer:
             if len(self.known) > CACHED_WORDS:
                 self.known.clear()
                 self.cores.clear()
-            for run in set(runs) - self.known.keys():
-                self.known[run] = self._run(run)
+            for run in set(runs):
+                if run not in self.known:
+                    self.known[run] = self._run(run)
             return b"".join([self.known[run] for run in runs])
 
     def _run(self, run: bytes) -> bytes:
-        plain = PLAIN.fullmatch(run)
+        plain = PLAIN.fullmatch(text := run.decode())
         if plain is None:
-            return self._pack(self.full.encode(run.decode(), add_special_tokens=False).ids)
-        core, tail = plain[1].lower(), plain[2]
+            return self._pack(self.full.encode(text, add_special_tokens=False).ids)
+        core, marks = plain[1].lower(), plain[2]
         if core not in self.cores:
-            self.cores[core] = self._pack([token.id for token in self.full.model.tokenize(core.decode())])
-        return self.cores[core] + (self._run_of_marks(tail) if tail else b"")
-
-    def _run_of_marks(self, marks: bytes) -> bytes:
-        if marks not in self.cores:
-            self.cores[marks] = self._pack(self.full.encode(marks.decode(), add_special_tokens=False).ids)
-        return self.cores[marks]
+            letters = core.encode().decode("latin-1").translate(BYTE_LETTERS)
+            self.cores[core] = self._pack([token.id for token in self.full.model.tokenize(letters)])
+        if marks and marks not in self.cores:
+            self.cores[marks] = self._pack(self.full.encode(marks, add_special_tokens=False).ids)
+        return self.cores[core] + (self.cores[marks] if marks else b"")
 
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
