@@ -55,3 +55,20 @@ def numbered(
 def parts_for(rows: int, rows_per_part: int = 50_000) -> int:
     """How many parts to deal a key over, so that even one with all rows fits its tasks."""
     return max(64, -(-rows // rows_per_part))
+
+
+class Carried:
+    """All columns of a frame under names that clash with nothing, to pass through a task unread."""
+
+    def __init__(self, frame: DataFrame) -> None:
+        self.names = frame.columns
+        self.own = [f"__c{place}" for place in range(len(self.names))]
+        self.columns = [F.col(f"`{name}`").alias(own) for name, own in zip(self.names, self.own, strict=True)]
+        kinds = (field.dataType.simpleString() for field in frame.schema)
+        self.schema = ", ".join(f"{own} {kind}" for own, kind in zip(self.own, kinds, strict=True))
+
+    def __getitem__(self, name: str) -> str:
+        return self.own[self.names.index(name)]
+
+    def restored(self, frame: DataFrame) -> DataFrame:
+        return frame.select(*[F.col(own).alias(name) for own, name in zip(self.own, self.names, strict=True)])

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlive.llm import chat, embeddings, mixing, oracles, packing, quality, sharding, simhash, substring, warc
+from matchlive.llm import chat, classifier, embeddings, mixing, oracles, packing, quality, sharding, simhash, substring, warc
 from matchlive.llm.common import table, text_of
 
 
@@ -19,6 +19,10 @@ def op3_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_subset_sum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = (F.col("size") * F.col("copies")).alias("taken")
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", taken)
@@ -70,6 +74,7 @@ QUERIES = {
     "op1_distribution_divergence": op1_distribution_divergence,
     "op2_subspace_pigeonhole_join": op2_subspace_pigeonhole_join,
     "op3_best_two_fit": op3_best_two_fit,
+    "op4_co_training": op4_co_training,
     "op5_subset_sum_mix": op5_subset_sum_mix,
     "op6_index_first_warc": op6_index_first_warc,
     "op7_generalised_pigeonhole_simhash": op7_generalised_pigeonhole_simhash,

@@ -265,7 +265,11 @@ def near_duplicates(documents: DataFrame, distance: int = DISTANCE, size: int =
     return marked.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def survivors(documents: DataFrame, **settings) -> DataFrame:
-    """One document of each group, with its columns: that whose id names the group."""
-    kept = near_duplicates(documents, **settings).where("doc_id = component_id").select("doc_id")
-    return documents.join(kept.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+def survivors(documents: DataFrame, distance: int = DISTANCE, size: int = SHINGLE_WORDS) -> DataFrame:
+    """One document of each group, with its columns: that whose id names the group.
+
+    Of rows repeated with that id one stays; rows without an id all stay.
+    """
+    ids = near_duplicates(documents.where("doc_id IS NOT NULL"), distance, size).where("doc_id = component_id")
+    kept = documents.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(documents.where("doc_id IS NULL")).select(documents.columns)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlive.llm.common import saved, text_of
+from matchlive.llm.common import Carried, saved, text_of
 from matchlive.llm.words import Words, chunks, mix, windows
 
 WINDOW = 50
@@ -268,37 +268,53 @@ def without_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     left are joined by one space. Null text has no words; documents shorter than
     a window lose none; rows repeated with one id do not count as two documents,
     and each loses what the id loses; a null doc_id neither loses nor takes
-    words. Extra columns are left out.
+    words. Extra columns are left out. Ids are integers.
     """
-    rows = documents.select("doc_id", text_of("text").alias("text"))
-    starts = saved(repeated_windows(documents, window), "repeated-windows")
-    by_doc = starts.groupBy("doc_id").agg(F.collect_set("word").alias("starts"))
-    ids = starts.select("doc_id").distinct()
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    if few:
+    ids = Carried(documents.select("doc_id"))
+    return _with_kept_text(documents, window, ids).withColumnRenamed(ids["doc_id"], "doc_id")
+
+
+def removed_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The documents with all their columns; texts that lose words are replaced, and n_chars with them."""
+    whole = Carried(documents)
+    found = _with_kept_text(documents, window, whole)
+    changed = F.col("n_removed") > 0
+    out = found.withColumn(whole["text"], F.when(changed, F.col("kept_text")).otherwise(F.col(whole["text"])))
+    if "n_chars" in whole.names:
+        kind = documents.schema["n_chars"].dataType
+        length = F.when(changed, F.length("kept_text").cast(kind)).otherwise(F.col(whole["n_chars"]))
+        out = out.withColumn(whole["n_chars"], length)
+    return whole.restored(out)
+
+
+def _with_kept_text(documents: DataFrame, window: int, carried: Carried) -> DataFrame:
+    text, own = carried["text"] if "text" in carried.names else "text", carried.own
+    rows = documents.select(*carried.columns, *([F.col("text")] if text == "text" else []))
+    id_ = carried["doc_id"]
+    found = saved(repeated_windows(documents, window), "repeated-windows")
+    starts = found.groupBy(F.col("doc_id").alias(id_)).agg(F.collect_set("word").alias("starts"))
+    ids = found.select(F.col("doc_id").alias(id_)).distinct()
+    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         none = F.lit(None).cast("array<int>").alias("starts")
-        clean = rows.join(F.broadcast(ids), "doc_id", "left_anti").select("doc_id", "text", none)
-        marked = rows.join(F.broadcast(ids), "doc_id", "left_semi").join(by_doc, "doc_id")
-        marked = marked.select("doc_id", "text", "starts").unionByName(clean)
+        clean = rows.join(F.broadcast(ids), id_, "left_anti").select(*rows.columns, none)
+        hit = rows.join(F.broadcast(ids), id_, "left_semi").join(starts, id_)
+        marked = hit.select(*rows.columns, "starts").unionByName(clean)
     else:
-        marked = rows.join(by_doc, "doc_id", "left").select("doc_id", "text", "starts")
+        marked = rows.join(starts, id_, "left").select(*rows.columns, "starts")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, words in chunks(batch.column("text")):
-                keep = kept_words(words, batch.column("starts").slice(low, high - low), window)
+            for low, high, words in chunks(batch.column(text)):
+                part = batch.slice(low, high - low)
+                keep = kept_words(words, part.column("starts"), window)
                 count = np.diff(words.first)
                 left = np.concatenate(([0], np.cumsum(keep)))
-                removed = count - (left[words.first[1:]] - left[words.first[:-1]])
+                gone = count - (left[words.first[1:]] - left[words.first[:-1]])
                 spaced, begin = words.spaced(keep)
                 texts = [spaced[a : max(a, b - 1)] for a, b in zip(begin[:-1], begin[1:], strict=True)]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": batch.column("doc_id").slice(low, high - low),
-                        "n_words": pa.array(count, pa.int64()),
-                        "n_removed": pa.array(removed, pa.int64()),
-                        "kept_text": pa.array(texts, pa.binary()).cast(pa.string()),
-                    }
-                )
-
-    return marked.mapInArrow(remove, "doc_id long, n_words long, n_removed long, kept_text string")
+                columns = [part.column(name) for name in own]
+                columns += [pa.array(count, pa.int64()), pa.array(gone, pa.int64())]
+                columns.append(pa.array(texts, pa.binary()).cast(pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=[*own, "n_words", "n_removed", "kept_text"])
+
+    return marked.mapInArrow(remove, f"{carried.schema}, n_words long, n_removed long, kept_text string")
