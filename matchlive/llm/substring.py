@@ -29,7 +29,7 @@ WINDOW = 50
 BUCKET_BYTES = 8 << 20
 MOST_BUCKETS = 1 << 16
 #: Positions a task gathers before it writes its packs.
-GATHERED = 2_000_000
+GATHERED = 500_000
 #: Up to so many document ids are broadcast to pick out documents (16 MB); more are joined by shuffles.
 BROADCAST_IDS = 2_000_000
 #: Hash bytes that go with a probe for candidates, and with a window for the comparison.
@@ -119,7 +119,8 @@ def resolver(width: int, references: bool) -> Callable[[Iterator[pa.RecordBatch]
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, index, hit, gathered, size = None, None, None, [], 0
         for batch in batches:
-            for row in batch.to_pylist():
+            for at_row in range(batch.num_rows):
+                row = {name: batch.column(name)[at_row].as_py() for name in batch.schema.names}
                 if row["bucket"] != bucket:
                     yield from close(index, hit)
                     bucket, index, hit, gathered, size = row["bucket"], None, None, [], 0
