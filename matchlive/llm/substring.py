@@ -18,7 +18,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlive.llm.common import Carried, saved, text_of
@@ -34,6 +34,8 @@ GATHERED = 500_000
 BROADCAST_IDS = 2_000_000
 #: Hash bytes that go with a probe for candidates, and with a window for the comparison.
 PROBE_BYTES, WINDOW_BYTES = 5, 8
+#: Word numbers are below 2 ** WORD_BITS; in the comparison a mark of the text stands above them.
+WORD_BITS = 31
 
 PACK = "bucket int, kind int, docs binary, first binary, hashes binary, places binary"
 
@@ -79,12 +81,12 @@ def packs(places: Places, kind: int, buckets: int, width: int) -> pa.RecordBatch
         columns["first"].append(planes(first, 4))
         raw = hashes[low:high].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
         columns["hashes"].append(np.ascontiguousarray(raw).tobytes())
-        columns["places"].append(planes(word[low:high], 4))
+        columns["places"].append(planes(word[low:high], 8))
     return pa.RecordBatch.from_pydict(rows | {k: pa.array(v, pa.binary()) for k, v in columns.items()})
 
 
 def unpacked(row: dict[str, bytes], width: int) -> Places:
-    word = from_planes(row["places"], 4)
+    word = from_planes(row["places"], 8)
     raw = np.zeros((len(word), 8), np.uint8)
     raw[:, :width] = np.frombuffer(row["hashes"], np.uint8).reshape(-1, width)
     docs = from_planes(row["docs"], 8)
@@ -110,7 +112,7 @@ def resolver(width: int, references: bool) -> Callable[[Iterator[pa.RecordBatch]
     """
 
     def answers(doc: np.ndarray, word: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"doc_id": pa.array(doc, pa.int64()), "word": pa.array(word, pa.int32())})
+        return pa.RecordBatch.from_pydict({"doc_id": pa.array(doc, pa.int64()), "word": pa.array(word, pa.int64())})
 
     def close(index: Places | None, hit: np.ndarray | None) -> Iterator[pa.RecordBatch]:
         if references and index is not None and hit is not None and hit.any():
@@ -156,7 +158,7 @@ def resolver(width: int, references: bool) -> Callable[[Iterator[pa.RecordBatch]
 def exchanged(packed: DataFrame, width: int, references: bool) -> DataFrame:
     """(doc_id, word) of the probes answered, bucket by bucket, references first."""
     dealt = packed.repartition("bucket").sortWithinPartitions("bucket", "kind")
-    return dealt.mapInArrow(resolver(width, references), "doc_id long, word int")
+    return dealt.mapInArrow(resolver(width, references), "doc_id long, word long")
 
 
 def gatherer(
@@ -204,7 +206,7 @@ def anchors(batch: pa.RecordBatch, block: int, window: int) -> Iterator[tuple[Pl
 
 def around(batch: pa.RecordBatch, block: int, window: int) -> Iterator[tuple[Places, Places]]:
     """The windows that hold a hit, as references (one per hash) and as probes."""
-    ids, hits = batch.column("doc_id").to_numpy(), batch.column("hits")
+    ids, hits, mark = batch.column("doc_id").to_numpy(), batch.column("hits"), batch.column("mark").to_numpy()
     for low, high, words in chunks(batch.column("text")):
         full = windows(words.hashes(), window)
         count = np.diff(words.first)
@@ -220,14 +222,15 @@ def around(batch: pa.RecordBatch, block: int, window: int) -> Iterator[tuple[Pla
             np.add.at(near, words.first[at - low] + end, -1)
         place = np.flatnonzero(np.cumsum(near)[:-1] > 0)
         doc = words.documents()[place] if len(place) else place
-        found = Places(full[place], ids[low:high][doc], place - words.first[doc])
+        found = Places(full[place], ids[low:high][doc], (mark[low:high][doc] << WORD_BITS) + place - words.first[doc])
         yield first_holders(found, False), found
 
 
 def repeated_windows(documents: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, word): starts of windows whose words a document with a smaller doc_id has too.
+    """(doc_id, mark, word): starts of windows whose words a document with a smaller doc_id has too.
 
-    Equality is that of 64-bit hashes with a bucket besides.
+    The mark tells texts of one id apart. Equality is that of 64-bit hashes with
+    a bucket besides.
     """
     block = window // 2
     rows = documents.select("doc_id", text_of("text").alias("text")).where("doc_id IS NOT NULL")
@@ -237,10 +240,16 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     hits = saved(exchanged(first, PROBE_BYTES, True), "anchor-hits")
     by_doc = hits.groupBy("doc_id").agg(F.collect_set("word").alias("hits"))
     near = only(rows, hits.select("doc_id").distinct()).join(by_doc, "doc_id")
-    second = near.select("doc_id", "text", "hits").mapInArrow(
+    second = near.select("doc_id", "text", "hits", mark_of("text")).mapInArrow(
         gatherer(lambda batch: around(batch, block, window), buckets, WINDOW_BYTES), PACK
     )
-    return exchanged(second, WINDOW_BYTES, False)
+    found = exchanged(second, WINDOW_BYTES, False)
+    word = F.col("word").bitwiseAND((1 << WORD_BITS) - 1).cast("int").alias("word")
+    return found.select("doc_id", F.shiftright("word", WORD_BITS).alias("mark"), word)
+
+
+def mark_of(text: str | Column) -> Column:
+    return F.pmod(F.xxhash64(text), F.lit(1 << WORD_BITS)).alias("mark")
 
 
 def only(rows: DataFrame, ids: DataFrame) -> DataFrame:
@@ -267,9 +276,8 @@ def without_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     A word goes if a window of ``window`` words covers it whose words also start
     in a document with a smaller doc_id; all is judged on the input. The words
     left are joined by one space. Null text has no words; documents shorter than
-    a window lose none; rows repeated with one id do not count as two documents,
-    and each loses what the id loses; a null doc_id neither loses nor takes
-    words. Extra columns are left out. Ids are integers.
+    a window lose none; rows repeated with one id do not count as two documents;
+    a null doc_id neither loses nor takes words. Extra columns are left out. Ids are integers.
     """
     ids = Carried(documents.select("doc_id"))
     return _with_kept_text(documents, window, ids).withColumnRenamed(ids["doc_id"], "doc_id")
@@ -290,18 +298,19 @@ def removed_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def _with_kept_text(documents: DataFrame, window: int, carried: Carried) -> DataFrame:
     text, own = carried["text"] if "text" in carried.names else "text", carried.own
-    rows = documents.select(*carried.columns, *([F.col("text")] if text == "text" else []))
+    read = [F.col("text")] if text == "text" else []
+    rows = documents.select(*carried.columns, *read, mark_of(text_of("text")))
     id_ = carried["doc_id"]
     found = saved(repeated_windows(documents, window), "repeated-windows")
-    starts = found.groupBy(F.col("doc_id").alias(id_)).agg(F.collect_set("word").alias("starts"))
+    starts = found.groupBy(F.col("doc_id").alias(id_), "mark").agg(F.collect_set("word").alias("starts"))
     ids = found.select(F.col("doc_id").alias(id_)).distinct()
     if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         none = F.lit(None).cast("array<int>").alias("starts")
         clean = rows.join(F.broadcast(ids), id_, "left_anti").select(*rows.columns, none)
-        hit = rows.join(F.broadcast(ids), id_, "left_semi").join(starts, id_)
+        hit = rows.join(F.broadcast(ids), id_, "left_semi").join(starts, [id_, "mark"], "left")
         marked = hit.select(*rows.columns, "starts").unionByName(clean)
     else:
-        marked = rows.join(starts, id_, "left").select(*rows.columns, "starts")
+        marked = rows.join(starts, [id_, "mark"], "left").select(*rows.columns, "starts")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,0 +1,103 @@
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from brute import odd_documents, words
+
+from matchlive.llm import quality
+
+KIND = {**{c: 0 for c in "abcdefghijklmnopqrstuvwxyz"}, **{c: 1 for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}}
+KIND |= {**{c: 2 for c in "0123456789"}, **{c: 3 for c in " \t\n\v\f\r"}, **{c: 4 for c in "#*$%&|<>"}}
+
+
+def base(text):
+    listed = words(text)
+    runs = Counter(zip(listed, listed[1:], listed[2:], strict=False))
+    covered = {i + j for i in range(len(listed) - 2) if runs[tuple(listed[i : i + 3])] > 1 for j in range(3)}
+    lines = [line for line in (text or "").split("\n") if words(line)]
+    failed = len(listed) < 50 or 100 * len(covered) > 50 * len(listed)
+    symbols = sum((text or "").count(c) for c in "#*$%&|<>")
+    return (len(listed), sum(map(len, listed)), symbols, len(lines) - len(set(lines)), len(covered), failed)
+
+
+def classes(text):
+    out = [0] * 8
+    for c in text or "":
+        out[KIND.get(c, 7 if ord(c) > 127 else 5 if 33 <= ord(c) < 127 else 6)] += 1
+    return out
+
+
+def distance(p, q):
+    def bits(a, b):
+        return sum(x * math.log2(x / ((x + y) / 2)) for x, y in zip(a, b, strict=True) if x)
+
+    return math.sqrt(max(0.0, (bits(p, q) + bits(q, p)) / 2))
+
+
+def share(counts):
+    return [c / max(1, sum(counts)) for c in counts]
+
+
+def brute(rows, most):
+    """(base, class distance or None, word distance or None, kept) per row."""
+    listed = {}
+    for lang in {row[2] for row in rows}:
+        seen = Counter(word for row in rows if row[2] == lang for word in set(words(row[1])))
+        listed[lang] = sorted(seen, key=lambda word: (-seen[word], word.encode()))[:most]
+    both = []
+    for row in rows:
+        counts = Counter(words(row[1]))
+        own = [counts[word] for word in listed[row[2]]]
+        own += [0] * (most - len(own)) + [sum(counts.values()) - sum(own)]
+        both.append((share(classes(row[1])), share(own)))
+    out = []
+    for row, own in zip(rows, both, strict=True):
+        values = base(row[1])
+        group = [h for other, h in zip(rows, both, strict=True) if other[2] == row[2] and not base(other[1])[5]]
+        far = [None, None]
+        if len(group) >= quality.REFERENCE_DOCUMENTS:
+            for i, judged in enumerate((len(row[1] or "") >= quality.CLASS_CHARS, values[0] >= quality.WORD_WORDS)):
+                if judged:
+                    far[i] = distance(own[i], np.mean([h[i] for h in group], 0))
+        too = [d is not None and d > most_ for d, most_ in zip(far, (quality.CLASS_DISTANCE, quality.WORD_DISTANCE), strict=True)]
+        out.append((values, far, not values[5] and not any(too)))
+    return out
+
+
+def check(frame, rows):
+    got = sorted(map(tuple, frame.collect()), key=lambda r: (r[0], r[1:7]))
+    want = sorted(zip([r[0] for r in rows], brute(rows, quality.COMMON_WORDS), strict=True), key=lambda r: (r[0], r[1][0]))
+    assert len(got) == len(want)
+    for row, (doc_id, (values, far, kept)) in zip(got, want, strict=True):
+        assert row[:7] == (doc_id, *values)
+        assert row[7:9] == pytest.approx(tuple(far), abs=1e-9) if None not in far else True
+        assert [row[7] is None, row[8] is None] == [far[0] is None, far[1] is None]
+        assert row[9] == kept
+
+
+def test_odd_documents(odd):
+    check(quality.judged(odd), odd_documents())
+
+
+def test_real_documents(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    check(quality.judged(frame), [tuple(r) for r in frame.select("doc_id", "text", "lang").collect()])
+
+
+def test_no_documents(none):
+    assert quality.judged(none).collect() == []
+
+
+def test_distance_is_zero_for_equal_and_one_for_disjoint():
+    rows = np.array([[0.5, 0.5, 0], [0, 0, 1.0]])
+    assert quality.divergence(rows, np.array([0.5, 0.5, 0])).tolist() == pytest.approx([0, 1])
+
+
+def test_labelled_documents_are_told_apart(spark):
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where("toxic = 0")
+    found = quality.judged(spark.read.parquet(f"{folder}/documents.parquet")).join(labels, "doc_id")
+    rate = {row[0]: row[1] for row in found.groupBy("quality").agg({"kept": "count"}).collect()}
+    kept = {row[0]: row[1] for row in found.where("kept").groupBy("quality").count().collect()}
+    assert kept[1] > 0.93 * rate[1] and kept.get(0, 0) < 0.35 * rate[0]

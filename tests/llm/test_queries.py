@@ -1,0 +1,54 @@
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from matchlive.llm import queries
+
+FOLDER = "/root/testdata/sf0.01"
+TABLES = ("documents", "embeddings", "pages", "conversations")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
+    return connection
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_sql(spark, duck, name):
+    frame = queries.QUERIES[name](spark, FOLDER)
+    result = duck.execute(queries.ORACLES[name])
+    names = [column[0] for column in result.description]
+    want = sorted(result.fetchall(), key=repr)
+    got = sorted((tuple(row[n] for n in names) for row in frame.collect()), key=repr)
+    assert sorted(names) == sorted(frame.columns) and got == want
+
+
+def test_one_query_per_operator():
+    numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
+    assert numbers == list(range(1, 11))
+    assert set(queries.QUERIES) | {"pipeline"} <= set(contract.queries())
+
+
+def test_pipeline_stages(spark, tmp_path):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    counts = [docs.count()]
+    for place, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, FOLDER)
+        if place + 1 < len(corpus_pipeline.STAGES):
+            assert out.dtypes == docs.dtypes
+        out.write.parquet(str(tmp_path / str(place)))
+        docs = spark.read.parquet(str(tmp_path / str(place)))
+        counts.append(docs.count())
+    start, fit, distinct, cut, mixed, packed = counts
+    assert start > fit > distinct == cut < mixed <= packed
+    assert docs.agg({"length": "max"}).first()[0] <= 4096
+
+
+def test_pipeline_over_no_documents(spark, tmp_path):
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{FOLDER}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

@@ -1,0 +1,84 @@
+import hashlib
+import zlib
+
+from pyarrow import fs
+
+from matchlive.llm import warc
+
+SCHEMA = "page_id long, url string, html string, digest string, file string, offset string, size string"
+
+
+def page(page_id, html, url="http://a/ü"):
+    return (page_id, url, html, "x", "x", "x", "x")
+
+
+def pages():
+    long, nasty = "<p>é</p>" * 40, "WARC/1.1\r\n\r\nWARC-Type: revisit\r\n\r\n" * 5
+    rows = [page(i, long) for i in (9, 4, 5, 4, 30)] + [page(1, None), page(2, ""), page(3, "short"), page(6, "short")]
+    rows += [page(7, nasty), page(8, nasty, None), page(10, "y" * 3_000_000, "u\r\nv%0A")]
+    rows += [page(11, "é" * 50), page(12, "é" * 50), page(13, "z" * 99), page(14, "z" * 99), page(15, "a\r\nb\n" * 50)]
+    return rows + [page(100 + i, f"<p>{i % 7}</p>" * 30) for i in range(300)]
+
+
+def brute(rows):
+    out = []
+    for row in rows:
+        data = (row[2] or "").encode()
+        first = min(other[0] for other in rows if (other[2] or "") == (row[2] or ""))
+        again = len(data) >= 100 and row[0] > first
+        out.append((row[0], len(data), hashlib.sha256(data).hexdigest(), again, first if again else None, None if again else data, row[1]))
+    return sorted(out, key=repr)
+
+
+def result(frame):
+    rows = warc.read_records(frame).collect()
+    return sorted(
+        ((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"] == "revisit", r["refers_to"],
+          None if r["payload"] is None else bytes(r["payload"]), r["url"]) for r in rows),
+        key=repr,
+    )
+
+
+def test_round_trip(spark, monkeypatch):
+    frame = spark.createDataFrame(pages(), SCHEMA).repartition(3)
+    index = warc.write_archives(frame)
+    assert result(index) == brute(pages())
+    monkeypatch.setattr(warc, "GAP_BYTES", 0)  # a read for nearly every record
+    monkeypatch.setattr(warc, "READ_BYTES", 1)
+    monkeypatch.setattr(warc, "STRETCH_BYTES", 2000)
+    assert result(index) == brute(pages())
+    chosen = index.where("length % 2 = 0")
+    assert warc.read_records(chosen).count() == chosen.count()
+
+
+def test_index_names_whole_records(spark):
+    index = warc.write_archives(spark.createDataFrame(pages(), SCHEMA).coalesce(2))
+    for row in index.collect():
+        files, place = fs.FileSystem.from_uri(row["file"])
+        data = files.open_input_file(place).read_at(row["length"], row["offset"])
+        assert zlib.decompress(data, wbits=31).startswith(b"WARC/1.1\r\n")
+        assert row["digest"] == warc.parsed(data)["payload_digest"] and row["url"] == warc.parsed(data)["url"]
+    ends = index.selectExpr("file", "offset", "offset + length AS stop").toPandas().sort_values(["file", "offset"])
+    for _, own in ends.groupby("file"):
+        assert own["offset"].tolist() == [0, *own["stop"].tolist()[:-1]]
+
+
+def test_several_archives_a_task(spark, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 5000)
+    index = warc.write_archives(spark.createDataFrame(pages(), SCHEMA).coalesce(1))
+    assert index.select("file").distinct().count() > 3 and result(index) == brute(pages())
+
+
+def test_no_pages_and_no_ids(spark):
+    assert warc.read_records(warc.write_archives(spark.createDataFrame([], SCHEMA))).collect() == []
+    rows = [page(None, "q" * 200), page(3, "q" * 200), page(None, None, None)]
+    found = warc.read_records(warc.write_archives(spark.createDataFrame(rows, SCHEMA))).collect()
+    assert sorted((r["page_id"] or 0, r["record_type"], r["payload_bytes"]) for r in found) == [
+        (0, "response", 0), (0, "response", 200), (3, "response", 200),
+    ]
+
+
+def test_a_third_of_the_pages_alike(spark):
+    frame = spark.range(3000).selectExpr("id AS page_id", "'u' AS url", "if(id % 3 = 0, repeat('a', 500), repeat(id, 200)) AS html")
+    found = warc.read_records(warc.write_archives(frame)).where("record_type = 'revisit'").collect()
+    assert len(found) == 999 and {row["refers_to"] for row in found} == {0}
