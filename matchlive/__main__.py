@@ -52,7 +52,7 @@ def run_bronze(spark: SparkSession, args) -> list:
 def run_silver(spark: SparkSession, args) -> list:
     started = jobs.start_silver(
         spark, args.source, args.out, args.checkpoint, trigger(args),
-        args.lateness, args.forever, **dict(args.option),
+        args.lateness, args.forget, **dict(args.option),
     )
     return [started]
 
@@ -78,7 +78,7 @@ def table_now(spark: SparkSession, name: str, path: str) -> tuple[DataFrame, int
     if name in CHANGE_LOGS:
         schema, current = CHANGE_LOGS[name]
         return current(spark, path), change_log.version(spark, path, schema)
-    return read_table(spark, path, APPENDED[name]), append_version(spark, path)
+    return read_table(spark, path, APPENDED[name]), append_version(path)
 
 
 def run_show(spark: SparkSession, args) -> list:
@@ -128,7 +128,7 @@ def parser() -> argparse.ArgumentParser:
     bronze.add_argument("--match-id", default="header", help="column, header, topic or a number")
     silver = command("silver", run_silver, "Bronze table", OTHERS_EVERY, required=True)
     silver.add_argument("--lateness", default=jobs.LATENESS)
-    silver.add_argument("--forever", action="store_true", help="never forget an event id")
+    silver.add_argument("--forget", action="store_true", help="forget event ids older than the lateness")
     gold = command("gold", run_gold, "Silver table", OTHERS_EVERY, required=True)
     gold.add_argument("--tables", nargs="+", choices=GOLD_JOBS, default=list(GOLD_JOBS))
     publish = command("publish", run_publish, "folder of match files", required=True)

@@ -41,8 +41,9 @@ def is_attacking(event_type: Column) -> Column:
 
 
 def safe_xg(xg: Column) -> Column:
-    """xG with null and negative values counted as 0."""
-    return F.greatest(F.lit(0.0), F.coalesce(xg.cast("double"), F.lit(0.0)))
+    """xG with null, negative and non-numeric (NaN) values counted as 0."""
+    value = xg.cast("double")
+    return F.greatest(F.lit(0.0), F.coalesce(F.when(~F.isnan(value), value), F.lit(0.0)))
 
 
 def win_probability(goal_diff: Column, xg_diff: Column, minutes_left: Column) -> Column:

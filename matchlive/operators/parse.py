@@ -4,6 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from matchlive.functions import match_second
 from matchlive.schemas import EVENT, SILVER, columns
@@ -13,15 +14,40 @@ EVENT_KEY = ("match_id", "event_id")
 ARRIVAL = ("event_time", "partition", "offset")
 
 
+# The fields of the event document that a column of Silver is made of, where that is not its name.
+FIELDS = {
+    "event_id": ("id",),
+    "event_index": ("index",),
+    "match_second": ("minute", "second"),
+    "event_type": ("type",),
+    "team_id": ("team",),
+    "team_name": ("team",),
+    "player_id": ("player",),
+    "player_name": ("player",),
+    "loc_x": ("location",),
+    "loc_y": ("location",),
+    "xg": ("shot",),
+    "shot_outcome": ("shot",),
+}
+
+
 def parse_documents(
-    bronze: DataFrame, event_time: str = "kafka_timestamp", carry: Sequence[str] = ()
+    bronze: DataFrame,
+    event_time: str = "kafka_timestamp",
+    carry: Sequence[str] = (),
+    wanted: Sequence[str] | None = None,
 ) -> DataFrame:
     """Flat typed columns of every row; all null where the text is not a JSON object.
 
-    ``inline`` keeps the optimizer from pushing later filters below the parse,
-    which would parse a row once more for each field they name.
+    Only the fields for the ``wanted`` columns are read, all of Silver's without
+    it. ``inline`` keeps the optimizer from pushing later filters below the
+    parse, which would parse a row once more for each field they name; it also
+    hides from it which fields are used. NaN is no xG.
     """
-    document = F.inline(F.array(F.from_json("event_json", EVENT)))
+    wanted = [name for name in columns(SILVER) if wanted is None or name in wanted]
+    read = {field for name in wanted for field in FIELDS.get(name, (name,))}
+    schema = StructType([field for field in StructType.fromDDL(EVENT) if field.name in read])
+    document = F.inline(F.array(F.from_json("event_json", schema)))
     parsed = bronze.select("match_id", F.col(event_time).alias("event_time"), *carry, document)
     flat = {
         "event_id": F.col("id"),
@@ -34,22 +60,24 @@ def parse_documents(
         "player_name": F.col("player.name"),
         "loc_x": F.try_element_at("location", F.lit(1)),
         "loc_y": F.try_element_at("location", F.lit(2)),
-        "xg": F.coalesce("shot.statsbomb_xg", F.lit(0.0)),
+        "xg": F.coalesce(F.nullif(F.col("shot.statsbomb_xg"), F.lit(float("nan"))), F.lit(0.0)),
         "shot_outcome": F.col("shot.outcome.name"),
     }
-    return parsed.select(
-        *(flat.get(name, F.col(name)).alias(name) for name in columns(SILVER)), *carry
-    )
+    return parsed.select(*(flat.get(name, F.col(name)).alias(name) for name in wanted), *carry)
 
 
 def parse_events(
-    bronze: DataFrame, event_time: str = "kafka_timestamp", carry: Sequence[str] = ()
+    bronze: DataFrame,
+    event_time: str = "kafka_timestamp",
+    carry: Sequence[str] = (),
+    wanted: Sequence[str] | None = None,
 ) -> DataFrame:
     """Events of play: rows with an id, without the penalty shoot-out.
 
     A row whose period is missing is dropped too.
     """
-    parsed = parse_documents(bronze, event_time, carry)
+    read = None if wanted is None else {*wanted, *EVENT_KEY, "period"}
+    parsed = parse_documents(bronze, event_time, carry, read)
     return parsed.filter(
         F.col("event_id").isNotNull() & (F.col("period") <= LAST_PERIOD_OF_PLAY)
     )
@@ -65,16 +93,18 @@ def first_arrivals(events: DataFrame) -> DataFrame:
     return events.withColumn("_copy", F.row_number().over(arrival)).filter("_copy <= 1").drop("_copy")
 
 
-def silver_events(bronze: DataFrame) -> DataFrame:
-    """The Silver table of a batch of Bronze rows."""
-    events = parse_events(bronze, carry=("partition", "offset"))
-    return first_arrivals(events).select(*columns(SILVER))
+def silver_events(bronze: DataFrame, wanted: Sequence[str] | None = None) -> DataFrame:
+    """The Silver table of a batch of Bronze rows, or some columns of it."""
+    read = None if wanted is None else {*wanted, "event_time"}
+    events = parse_events(bronze, carry=("partition", "offset"), wanted=read)
+    kept = [name for name in columns(SILVER) if wanted is None or name in wanted]
+    return first_arrivals(events).select(*kept)
 
 
 def repeated_events(bronze: DataFrame) -> DataFrame:
     """Events of play that were logged more than once, with the time of the copy kept."""
     return (
-        parse_events(bronze)
+        parse_events(bronze, wanted=("event_time",))
         .groupBy(*EVENT_KEY)
         .agg(F.count(F.lit(1)).alias("copies"), F.min("event_time").alias("kept_time"))
         .filter(F.col("copies") > 1)
@@ -83,7 +113,7 @@ def repeated_events(bronze: DataFrame) -> DataFrame:
 
 def malformed_rows(bronze: DataFrame) -> DataFrame:
     """Log rows from which no event id can be read."""
-    event_id = F.from_json("event_json", EVENT)["id"]
+    event_id = F.from_json("event_json", "id STRING")["id"]
     return bronze.filter(event_id.isNull()).select(
         "match_id", "topic", "partition", "offset", "event_json"
     )
@@ -91,7 +121,8 @@ def malformed_rows(bronze: DataFrame) -> DataFrame:
 
 def excluded_shootouts(bronze: DataFrame) -> DataFrame:
     """Distinct events and shots per match that lie after the last period of play."""
-    late = parse_documents(bronze).filter(
+    wanted = (*EVENT_KEY, "period", "event_type")
+    late = parse_documents(bronze, wanted=wanted).filter(
         F.col("event_id").isNotNull() & (F.col("period") > LAST_PERIOD_OF_PLAY)
     )
     once = late.groupBy(*EVENT_KEY).agg(

@@ -1,40 +1,20 @@
-"""Work on groups that may hold a large share of all rows.
+"""Running values along an order within groups, however many rows a group has.
 
-Aggregations need nothing of this: Spark combines them before the shuffle.
-Windows and joins do, since they bring a whole group to one task. The groups
-above a row limit are found first. Of those there are at most
-``rows / limit``, so their keys may be collected and broadcast. Their windows
-then run over range-partitioned pieces, their joins over salted keys.
+A window brings a whole group to one task. Here the rows of all groups are
+range-partitioned along (group, order) instead, so that small groups share a
+task and a large one is cut into pieces. Windows run within the pieces, and the
+totals and last values of the pieces before are added to them.
 """
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from matchlive.workspace import shared_dir
 
-ROWS_PER_TASK = 4_000_000
-SALTS = 64
-
-
-def hot_groups(
-    rows: DataFrame, by: Sequence[str] = ("match_id",), limit: int = ROWS_PER_TASK
-) -> DataFrame | None:
-    """Keys and row counts of the groups with more than ``limit`` rows, or None.
-
-    Runs one pre-aggregated count over the key columns alone.
-    """
-    counts = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("group_rows"))
-    found = counts.filter(F.col("group_rows") > limit)
-    keys = found.collect()
-    if not keys:
-        return None
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in found.schema])
-    return rows.sparkSession.createDataFrame(keys, schema)
+PIECE = "_piece"
 
 
 def join_on(
@@ -49,64 +29,37 @@ def join_on(
     return left.join(right, match, how).drop(*theirs.values())
 
 
-def only_hot(rows: DataFrame, hot: DataFrame, by: Sequence[str]) -> DataFrame:
-    return join_on(rows, F.broadcast(hot.select(*by)), by, "left_semi")
-
-
-def without_hot(rows: DataFrame, hot: DataFrame | None, by: Sequence[str]) -> DataFrame:
-    if hot is None:
-        return rows
-    return join_on(rows, F.broadcast(hot.select(*by)), by, "left_anti")
-
-
 def ordered_pieces(
-    rows: DataFrame,
-    by: Sequence[str],
-    order: Sequence[Column],
-    hot: DataFrame | None,
+    rows: DataFrame, by: Sequence[str], order: Sequence[Column], pieces: int | None = None
 ) -> DataFrame:
-    """Rows ready for ``previous_value`` and ``running_sum``.
+    """Rows ready for ``previous_value`` and ``running_sum``, in pieces along the order.
 
-    Without hot groups the rows come back as they are. Otherwise column
-    ``_piece`` numbers consecutive pieces of each hot group along the order; a
-    checkpoint fixes the numbers, as they come from the partition a row fell in.
+    The order has to tell rows apart, or else rows that agree in it stay in one
+    piece. Column ``_piece`` numbers the pieces; a checkpoint fixes the numbers,
+    as they come from the partition a row fell in. The number of pieces is that
+    of the shuffle partitions, of which adaptive execution merges small ones.
     """
-    if hot is None:
-        return rows
-    hot_rows = only_hot(rows, hot, by)
-    total = hot.agg(F.sum("group_rows")).first()[0]
-    pieces = math.ceil(total / ROWS_PER_TASK) + 1
     shared_dir(rows.sparkSession)
-    cut = (
-        hot_rows.repartitionByRange(pieces, *by, *order)
-        .withColumn("_piece", F.spark_partition_id())
-        .checkpoint()
-    )
-    return without_hot(rows, hot, by).withColumn("_piece", F.lit(0)).unionByName(cut)
-
-
-def _pieces_of(rows: DataFrame, by: Sequence[str]) -> list[str]:
-    return [*by, "_piece"] if "_piece" in rows.columns else list(by)
+    number = () if pieces is None else (pieces,)
+    cut = rows.repartitionByRange(*number, *by, *order)
+    return cut.withColumn(PIECE, F.spark_partition_id()).checkpoint()
 
 
 def previous_value(
-    rows: DataFrame, by: Sequence[str], order: Sequence[Column], value: str, name: str
+    pieces: DataFrame, by: Sequence[str], order: Sequence[Column], value: str, name: str
 ) -> DataFrame:
     """Adds the value of the row before in the group's order, null for the first row."""
-    keys = _pieces_of(rows, by)
+    keys = [*by, PIECE]
     within = Window.partitionBy(*keys).orderBy(*order)
-    if "_piece" not in keys:
-        return rows.withColumn(name, F.lag(value).over(within))
-
     # The first row of a piece follows the last row of the piece before.
-    along = Window.partitionBy(*by).orderBy("_piece")
+    along = Window.partitionBy(*by).orderBy(PIECE)
     lasts = (
-        rows.groupBy(*keys)
+        pieces.groupBy(*keys)
         .agg(F.max_by(F.struct(value), F.struct(*order)).alias("_last"))
         .withColumn("_before", F.lag("_last").over(along))
         .drop("_last")
     )
-    numbered = rows.withColumn("_n", F.row_number().over(within)).withColumn(
+    numbered = pieces.withColumn("_n", F.row_number().over(within)).withColumn(
         name, F.lag(value).over(within)
     )
     before = F.when(F.col("_n") == 1, F.col("_before")[value]).otherwise(F.col(name))
@@ -116,26 +69,23 @@ def previous_value(
 
 
 def running_sum(
-    rows: DataFrame, by: Sequence[str], order: Sequence[Column], sums: dict[str, Column]
+    pieces: DataFrame, by: Sequence[str], order: Sequence[Column], sums: dict[str, Column]
 ) -> DataFrame:
     """Adds, per name, the sum over the group's rows up to and including this one."""
-    keys = _pieces_of(rows, by)
+    keys = [*by, PIECE]
     so_far = (
         Window.partitionBy(*keys)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    local = rows.withColumns({n: F.sum(value).over(so_far) for n, value in sums.items()})
-    if "_piece" not in keys:
-        return local
-
+    local = pieces.withColumns({n: F.sum(value).over(so_far) for n, value in sums.items()})
     # A piece starts from the total of all pieces before it.
     earlier = (
         Window.partitionBy(*by)
-        .orderBy("_piece")
+        .orderBy(PIECE)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    totals = rows.groupBy(*keys).agg(*(F.sum(v).alias(n) for n, v in sums.items()))
+    totals = pieces.groupBy(*keys).agg(*(F.sum(v).alias(n) for n, v in sums.items()))
     starts = totals.select(*keys, *(F.sum(n).over(earlier).alias(f"_start_{n}") for n in sums))
     joined = join_on(local, starts, keys, "left")
     return joined.withColumns({n: _plus(F.col(n), F.col(f"_start_{n}")) for n in sums}).drop(
@@ -146,38 +96,3 @@ def running_sum(
 def _plus(a: Column, b: Column) -> Column:
     """Sum in which one null counts as nothing, as in an aggregate."""
     return F.coalesce(a + b, a, b)
-
-
-def join_per_group(
-    rows: DataFrame,
-    groups: DataFrame,
-    keys: Sequence[str],
-    spread: str,
-    hot: DataFrame | None,
-    hot_by: Sequence[str] = ("match_id",),
-    salts: int = SALTS,
-) -> DataFrame:
-    """Inner join of many rows with few rows per key; null keys match.
-
-    Keys of hot groups are salted: their rows go to ``salts`` tasks by the hash
-    of the ``spread`` column, and their group rows are sent to each of them.
-    """
-    keys = list(keys)
-    if hot is None:
-        left, right = rows, groups
-    else:
-        left = _salted(rows, hot, hot_by, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-        every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-        cold = without_hot(groups, hot, hot_by).withColumn("_salt", F.lit(0))
-        right = cold.unionByName(only_hot(groups, hot, hot_by).withColumn("_salt", every))
-        keys.append("_salt")
-    return join_on(left, right, keys).drop("_salt")
-
-
-def _salted(rows: DataFrame, hot: DataFrame, by: Sequence[str], salt: Column) -> DataFrame:
-    marks = F.broadcast(hot.select(*by, F.lit(True).alias("_hot")))
-    return (
-        join_on(rows, marks, by, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)))
-        .drop("_hot")
-    )

@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from matchlive import functions as rules
 from matchlive.functions.rules import SHOT
 from matchlive.operators import parse
-from matchlive.operators.skew import hot_groups
 from matchlive.operators.upsert import VERSION, latest_by_key, merge_additive
 from matchlive.plans import gold, replay, views
-from matchlive.schemas import SILVER
+from matchlive.schemas import SHOTS, SILVER, columns
 from matchlive.sources.log import bronze_rows
 from matchlive.sources.match_files import read_match_documents, read_match_events
 from matchlive.sources.tables import read_table
@@ -33,13 +32,28 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze_rows(event_log(event_documents(spark, sf_dir)))
 
 
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse.silver_events(bronze(spark, sf_dir))
+def silver(spark: SparkSession, sf_dir: str, wanted: str | None = None) -> DataFrame:
+    """Silver, or the columns named."""
+    return parse.silver_events(bronze(spark, sf_dir), wanted and wanted.split())
 
 
-def hot_matches(spark: SparkSession, sf_dir: str) -> DataFrame | None:
-    """Counted on the log, which has at least as many rows per match as Silver."""
-    return hot_groups(event_log(event_documents(spark, sf_dir)))
+def one_match(documents: DataFrame) -> DataFrame:
+    """All documents as those of one match, which then has every row."""
+    return documents.withColumn("match_id", F.lit(0).cast("bigint"))
+
+
+def large_silver(spark: SparkSession, sf_dir: str, wanted: str) -> DataFrame:
+    log = event_log(one_match(event_documents(spark, sf_dir)))
+    return parse.silver_events(bronze_rows(log), wanted.split())
+
+
+# Columns of Silver that the tables are made of.
+FOR_SHOTS = " ".join(columns(SHOTS)) + " event_type"
+FOR_TIMELINE = "match_id team_name minute xg"
+FOR_STATE = "match_id team_name shot_outcome xg minute"
+FOR_MOMENTUM = "match_id team_name match_second event_type"
+FOR_SERIES = "match_id team_name match_second event_index event_id event_type"
+FOR_CHANCES = "match_id team_name event_index event_id event_type minute shot_outcome xg"
 
 
 # --- log and Silver -------------------------------------------------------
@@ -69,27 +83,36 @@ def shootout_excluded(spark, sf_dir):
 
 
 def shots(spark, sf_dir):
-    return gold.shots(silver(spark, sf_dir))
+    return gold.shots(silver(spark, sf_dir, FOR_SHOTS))
 
 
 def xg_timeline(spark, sf_dir):
-    return rounded(gold.xg_timeline(silver(spark, sf_dir)), "xg_total")
+    return rounded(gold.xg_timeline(silver(spark, sf_dir, FOR_TIMELINE)), "xg_total")
 
 
 def match_state(spark, sf_dir):
-    return rounded(gold.match_state(silver(spark, sf_dir)), "xg_total")
+    return rounded(gold.match_state(silver(spark, sf_dir, FOR_STATE)), "xg_total")
 
 
 def momentum(spark, sf_dir):
-    return gold.momentum(silver(spark, sf_dir))
+    return gold.momentum(silver(spark, sf_dir, FOR_MOMENTUM))
 
 
 def momentum_series(spark, sf_dir):
-    return gold.momentum_series(silver(spark, sf_dir), hot_matches(spark, sf_dir))
+    return gold.momentum_series(silver(spark, sf_dir, FOR_SERIES))
+
+
+def momentum_series_large_match(spark, sf_dir):
+    return gold.momentum_series(large_silver(spark, sf_dir, FOR_SERIES))
 
 
 def win_probability(spark, sf_dir):
-    result = gold.win_probability_by_shot(silver(spark, sf_dir), hot_matches(spark, sf_dir))
+    result = gold.win_probability_by_shot(silver(spark, sf_dir, FOR_CHANCES))
+    return rounded(result, "xg_diff")
+
+
+def win_probability_large_match(spark, sf_dir):
+    result = gold.win_probability_by_shot(large_silver(spark, sf_dir, FOR_CHANCES))
     return rounded(result, "xg_diff")
 
 
@@ -98,7 +121,7 @@ def win_probability(spark, sf_dir):
 
 def match_clock(spark, sf_dir):
     minute, second = F.col("minute"), F.col("second")
-    return silver(spark, sf_dir).select(
+    return silver(spark, sf_dir, "match_id event_id minute second").select(
         "match_id",
         "event_id",
         rules.match_second(minute, second).alias("match_second"),
@@ -108,14 +131,14 @@ def match_clock(spark, sf_dir):
 
 def minute_label(spark, sf_dir):
     label = rules.minute_label(F.col("minute"), F.col("period"))
-    return silver(spark, sf_dir).select(
+    return silver(spark, sf_dir, "match_id event_id period minute").select(
         "match_id", "event_id", "period", "minute", label.alias("label")
     )
 
 
 def event_flags(spark, sf_dir):
     kind, outcome = F.col("event_type"), F.col("shot_outcome")
-    return silver(spark, sf_dir).select(
+    return silver(spark, sf_dir, "match_id event_id event_type shot_outcome").select(
         "match_id",
         "event_id",
         rules.is_shot(kind).alias("is_shot"),
@@ -125,7 +148,7 @@ def event_flags(spark, sf_dir):
 
 
 def safe_xg(spark, sf_dir):
-    return silver(spark, sf_dir).select(
+    return silver(spark, sf_dir, "match_id event_id xg").select(
         "match_id", "event_id", "xg", rules.safe_xg(F.col("xg")).alias("safe_xg")
     )
 
@@ -134,29 +157,35 @@ def safe_xg(spark, sf_dir):
 
 
 def xg_race(spark, sf_dir):
-    race = views.xg_race(gold.xg_timeline(silver(spark, sf_dir)))
+    race = views.xg_race(gold.xg_timeline(silver(spark, sf_dir, FOR_TIMELINE)))
     return rounded(race, "xg_total", "xg_cumulative")
 
 
 def kpi_row(spark, sf_dir):
-    return views.kpi_row(gold.team_overview(silver(spark, sf_dir)))
+    return views.kpi_row(gold.team_overview(silver(spark, sf_dir, f"{FOR_STATE} {FOR_MOMENTUM}")))
 
 
 def shot_map(spark, sf_dir):
-    found = views.shot_map(gold.shots(silver(spark, sf_dir)), hot_matches(spark, sf_dir))
+    found = views.shot_map(gold.shots(silver(spark, sf_dir, FOR_SHOTS)))
+    return rounded(found, "marker_size")
+
+
+def shot_map_large_match(spark, sf_dir):
+    found = views.shot_map(gold.shots(large_silver(spark, sf_dir, FOR_SHOTS)))
     return rounded(found, "marker_size")
 
 
 def shot_zones(spark, sf_dir):
-    return rounded(views.shot_zones(gold.shots(silver(spark, sf_dir))), "xg_total")
+    return rounded(views.shot_zones(gold.shots(silver(spark, sf_dir, FOR_SHOTS))), "xg_total")
 
 
 def event_log_rows(spark, sf_dir):
-    return views.event_log(silver(spark, sf_dir))
+    wanted = "match_id event_id event_index match_second " + " ".join(views.EVENT_LOG_COLUMNS)
+    return views.event_log(silver(spark, sf_dir, wanted))
 
 
 def team_list(spark, sf_dir):
-    teams = views.team_list(gold.xg_timeline(silver(spark, sf_dir)))
+    teams = views.team_list(gold.xg_timeline(silver(spark, sf_dir, FOR_TIMELINE)))
     return teams.withColumn("teams", F.array_join("teams", ", "))
 
 
@@ -166,7 +195,8 @@ def table_head(spark, sf_dir):
 
 def table_summary(spark, sf_dir):
     events = views.row_counts(
-        silver(spark, sf_dir), {"silver": None, "shots": F.col("event_type") == SHOT}
+        silver(spark, sf_dir, "match_id event_type"),
+        {"silver": None, "shots": F.col("event_type") == SHOT},
     )
     return views.row_counts(bronze(spark, sf_dir), {"bronze": None}).unionByName(events)
 
@@ -176,13 +206,21 @@ def table_summary(spark, sf_dir):
 
 def replay_schedule(spark, sf_dir):
     documents = event_documents(spark, sf_dir)
-    result = replay.replay_schedule(documents, hot=hot_groups(documents))
-    return rounded(result, "delay_s", "emit_at_s")
+    return rounded(replay.replay_schedule(documents), "delay_s", "emit_at_s")
+
+
+def replay_schedule_large_match(spark, sf_dir):
+    documents = one_match(event_documents(spark, sf_dir))
+    return rounded(replay.replay_schedule(documents), "delay_s", "emit_at_s")
 
 
 def replay_progress(spark, sf_dir):
     documents = event_documents(spark, sf_dir)
-    return replay.replay_progress(documents, PROGRESS_STEP, hot=hot_groups(documents))
+    return replay.replay_progress(documents, PROGRESS_STEP)
+
+
+def replay_progress_large_match(spark, sf_dir):
+    return replay.replay_progress(one_match(event_documents(spark, sf_dir)), PROGRESS_STEP)
 
 
 def publish_log_rows(spark, sf_dir):
@@ -239,10 +277,11 @@ def tolerant_scan(spark, sf_dir):
 
 
 def merge_additive_halves(spark, sf_dir):
-    """The timeline of the first period merged with that of the others."""
-    events = silver(spark, sf_dir)
-    first = gold.xg_timeline(events.filter(F.col("period") == 1))
-    later = gold.xg_timeline(events.filter(F.col("period") > 1))
+    """The timeline of the first period merged with that of all other events."""
+    events = silver(spark, sf_dir, f"{FOR_TIMELINE} period")
+    in_first = F.col("period").eqNullSafe(1)
+    first = gold.xg_timeline(events.filter(in_first))
+    later = gold.xg_timeline(events.filter(~in_first))
     merged = merge_additive(
         first, later, ["match_id", "team_name", "minute"], ["xg_total", "shots_total"]
     )
@@ -250,9 +289,13 @@ def merge_additive_halves(spark, sf_dir):
 
 
 def upsert_latest_by_key(spark, sf_dir):
-    """Momentum at the end of each period, then the newest row per team."""
-    after_period = F.explode(F.sequence("period", F.lit(parse.LAST_PERIOD_OF_PLAY)))
-    events = silver(spark, sf_dir).filter(F.col("period") >= 1)
+    """Momentum at the end of each period, then the newest row per team.
+
+    What lies before the first period is seen at its end.
+    """
+    first = F.greatest(F.col("period"), F.lit(1))
+    after_period = F.explode(F.sequence(first, F.lit(parse.LAST_PERIOD_OF_PLAY)))
+    events = silver(spark, sf_dir, f"{FOR_MOMENTUM} period")
     counted = gold.actions_per_second(events, by=("match_id", "period"))
     changes = gold.momentum_of(
         counted.withColumn(VERSION, after_period), by=(VERSION, "match_id")
@@ -292,4 +335,9 @@ BATCH: dict[str, Query] = {
     "tolerant_scan": tolerant_scan,
     "merge_additive": merge_additive_halves,
     "upsert_latest_by_key": upsert_latest_by_key,
+    "momentum_series_large_match": momentum_series_large_match,
+    "win_probability_large_match": win_probability_large_match,
+    "shot_map_large_match": shot_map_large_match,
+    "replay_schedule_large_match": replay_schedule_large_match,
+    "replay_progress_large_match": replay_progress_large_match,
 }

@@ -1,8 +1,7 @@
 """Gold tables: shots, xG timeline, match state, momentum.
 
 Every function takes Silver rows (or another Gold table) of any number of
-matches. Where a window has to see single rows of a match, ``hot`` names the
-matches too large for one task (``operators.skew.hot_groups``).
+matches of any size.
 """
 
 from collections.abc import Sequence
@@ -18,13 +17,7 @@ from matchlive.functions import (
     win_probability,
 )
 from matchlive.functions.rules import GOAL, SHOT
-from matchlive.operators.skew import (
-    join_per_group,
-    only_hot,
-    ordered_pieces,
-    running_sum,
-    without_hot,
-)
+from matchlive.operators.skew import join_on, ordered_pieces, running_sum
 from matchlive.schemas import MOMENTUM, SHOTS, columns
 
 MATCH = ("match_id",)
@@ -58,8 +51,9 @@ def team_totals(silver: DataFrame) -> DataFrame:
 def with_win_probability(totals: DataFrame) -> DataFrame:
     """Adds each team's win probability; 0.5 unless the match has exactly two teams.
 
-    The alphabetically first team gets the model's value and the other one the
-    complement. The clock is that of the match's newest event. The rows are one
+    Events without a team count as a team here, so a match of two named teams
+    that also has such events stays at 0.5. The alphabetically first team gets
+    the model's value and the other one the complement. The clock is that of the match's newest event. The rows are one
     per team, so a match is a small window group.
     """
     match = Window.partitionBy(*MATCH)
@@ -163,33 +157,23 @@ def team_overview(silver: DataFrame, seconds: int = MOMENTUM_SECONDS) -> DataFra
     return with_win_probability(shared)
 
 
-def momentum_series(
-    silver: DataFrame, hot: DataFrame | None = None, seconds: int = MOMENTUM_SECONDS
-) -> DataFrame:
-    """Attacking actions of the event's team in the seconds up to each event."""
+def momentum_series(silver: DataFrame, seconds: int = MOMENTUM_SECONDS) -> DataFrame:
+    """Attacking actions of the event's team in the seconds up to each event.
+
+    Counted per team and second, so that the window sees seconds, and joined
+    back to the events of that second.
+    """
     name = f"attacking_{seconds}s"
     rows = silver.filter(F.col("match_second").isNotNull()).select(
         *TEAM, "match_second", "event_index", "event_id", "event_type"
     )
     trailing = Window.partitionBy(*TEAM).orderBy("match_second").rangeBetween(-seconds, 0)
-    attacking = is_attacking(F.col("event_type"))
-
-    plain = without_hot(rows, hot, MATCH).withColumn(
-        name, F.sum(attacking.cast("bigint")).over(trailing)
-    )
-    if hot is not None:
-        hot_rows = only_hot(rows, hot, MATCH)
-        per_second = hot_rows.groupBy(*TEAM, "match_second").agg(
-            F.count_if(attacking).alias("actions")
-        )
-        counts = per_second.withColumn(name, F.sum("actions").over(trailing)).drop("actions")
-        plain = plain.unionByName(
-            join_per_group(hot_rows, counts, (*TEAM, "match_second"), "event_id", hot)
-        )
-    return plain.select(*TEAM, "match_second", "event_index", name)
+    counts = actions_per_second(rows).withColumn(name, F.sum("actions").over(trailing))
+    joined = join_on(rows, counts.drop("actions"), (*TEAM, "match_second"))
+    return joined.select(*TEAM, "match_second", "event_index", name)
 
 
-def win_probability_by_shot(silver: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def win_probability_by_shot(silver: DataFrame, pieces: int | None = None) -> DataFrame:
     """Win probability of ``team1`` after each shot.
 
     ``team1`` is the alphabetically first team that shoots in the match.
@@ -200,15 +184,11 @@ def win_probability_by_shot(silver: DataFrame, hot: DataFrame | None = None) ->
         .withColumn("goal", is_goal(F.col("event_type"), F.col("shot_outcome")).cast("bigint"))
         .select(*TEAM, "event_index", "event_id", "minute", "goal", "xg")
     )
-    first_team = F.min("team_name").over(Window.partitionBy(*MATCH)).alias("team1")
-    if hot is None:
-        rows = rows.select("*", first_team)
-    else:
-        firsts = rows.groupBy(*MATCH).agg(F.min("team_name").alias("team1"))
-        rows = join_per_group(rows, firsts, MATCH, "event_id", hot)
+    cut = ordered_pieces(rows, MATCH, order, pieces)
+    firsts = cut.groupBy(*MATCH).agg(F.min("team_name").alias("team1"))
     for_team1 = F.when(F.col("team_name") == F.col("team1"), 1).otherwise(-1)
     summed = running_sum(
-        ordered_pieces(rows, MATCH, order, hot),
+        join_on(cut, firsts, MATCH),
         MATCH,
         order,
         {"goal_diff": for_team1 * F.col("goal"), "xg_diff": for_team1 * F.col("xg")},

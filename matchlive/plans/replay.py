@@ -16,28 +16,31 @@ PROGRESS_STEP = 200
 
 def _clocked(documents: DataFrame) -> DataFrame:
     """Position and clock of each document, a missing number counting as 0."""
-    fields = documents.select(*MATCH, F.inline(F.array(F.from_json("payload", CLOCK_FIELDS))))
+    parsed = F.inline(F.array(F.from_json("payload", CLOCK_FIELDS)))
+    fields = documents.select(*MATCH, F.xxhash64("payload").alias("_hash"), parsed)
     return fields.select(
         *MATCH,
         F.col("id").alias("event_id"),
         F.coalesce("index", F.lit(0)).alias("event_index"),
         F.coalesce("minute", F.lit(0)).alias("minute"),
         clock_or_zero(F.col("minute"), F.col("second")).alias("match_second"),
+        "_hash",
     )
 
 
 def _order():
-    return [F.col("event_index"), F.col("event_id")]
+    """By index and id; a hash tells documents apart that lack both."""
+    return [F.col("event_index"), F.col("event_id"), F.col("_hash")]
 
 
 def replay_schedule(
     documents: DataFrame,
     speed: float = SPEED,
     longest_wait: float = LONGEST_WAIT,
-    hot: DataFrame | None = None,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Seconds to wait before each event and the time it is due since the replay's start."""
-    rows = ordered_pieces(_clocked(documents), MATCH, _order(), hot)
+    rows = ordered_pieces(_clocked(documents), MATCH, _order(), pieces)
     rows = previous_value(rows, MATCH, _order(), "match_second", "_previous")
     gap = F.greatest(F.lit(0), F.col("match_second") - F.col("_previous")) / F.lit(float(speed))
     wait = F.when(F.col("_previous").isNull(), 0.0).otherwise(
@@ -50,10 +53,10 @@ def replay_schedule(
 
 
 def replay_progress(
-    documents: DataFrame, step: int = PROGRESS_STEP, hot: DataFrame | None = None
+    documents: DataFrame, step: int = PROGRESS_STEP, pieces: int | None = None
 ) -> DataFrame:
     """Every ``step``-th event of a match in replay order, with its minute."""
-    rows = ordered_pieces(_clocked(documents), MATCH, _order(), hot)
+    rows = ordered_pieces(_clocked(documents), MATCH, _order(), pieces)
     rows = running_sum(rows, MATCH, _order(), {"emitted": F.lit(1).cast("bigint")})
     return rows.filter(F.col("emitted") % step == 0).select(*MATCH, "emitted", "minute")
 
@@ -62,7 +65,9 @@ def in_match_order(documents: DataFrame) -> DataFrame:
     """Documents sorted by match and index, so that each task sends its share in order.
 
     A distributed sort: a large match is spread over several tasks, also where
-    many documents lack an index, since the hash tells those apart.
+    many documents lack an index, since the hash tells those apart. The tasks of
+    one match write side by side, so a log partition gets each task's share in
+    order but the shares in any order; one task at a time keeps the whole order.
     """
     index = F.from_json("payload", LOG_FIELDS)["index"]
     return documents.orderBy("match_id", F.coalesce(index, F.lit(0)), F.xxhash64("payload"))

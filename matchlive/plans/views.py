@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlive.functions import is_goal
-from matchlive.operators.skew import join_on, join_per_group, only_hot, without_hot
+from matchlive.operators.skew import join_on
 from matchlive.schemas import SILVER, columns
 
 MATCH = ("match_id",)
@@ -24,6 +24,7 @@ OUTCOME_COLOURS = {
 }
 TEAM_COLOURS = ("#75aadb", "#ffffff")
 
+# Columns of the displayed event log.
 EVENT_LOG_COLUMNS = ("minute", "second", "team_name", "player_name", "event_type", "xg")
 EVENT_LOG_ROWS = 20
 
@@ -78,11 +79,12 @@ def kpi_row(teams: DataFrame) -> DataFrame:
     """One row per match: goals, xG, win probability and momentum of both teams.
 
     The input is ``with_momentum`` or ``gold.team_overview``. Team 1 is the
-    alphabetically first one. Percentages are rounded in decimal arithmetic; the
-    momentum ones are cut to whole numbers.
+    alphabetically first one; events without a team are not shown. Percentages
+    are rounded in decimal arithmetic; the momentum ones are cut to whole numbers.
     """
     position = F.row_number().over(Window.partitionBy(*MATCH).orderBy("team_name"))
-    shown = teams.withColumn("position", position).filter(
+    named = teams.filter(F.col("team_name").isNotNull())
+    shown = named.withColumn("position", position).filter(
         F.col("position") <= DISPLAYED_TEAMS
     )
 
@@ -124,28 +126,14 @@ def _lookup(key: str, values: dict) -> Column:
     return F.try_element_at(F.create_map(*pairs), F.col(key))
 
 
-def _displayed_shots(shots: DataFrame, hot: DataFrame | None) -> DataFrame:
-    """Shots of the displayed teams with the team's position."""
-    named = shots.filter(F.col("team_name").isNotNull())
-    position = F.dense_rank().over(Window.partitionBy(*MATCH).orderBy("team_name"))
-    shown = (
-        without_hot(named, hot, MATCH)
-        .withColumn("position", position)
-        .filter(F.col("position") <= DISPLAYED_TEAMS)
-    )
-    if hot is None:
-        return shown
-    large = only_hot(named, hot, MATCH)
-    return shown.unionByName(
-        join_per_group(large, displayed_teams(large), TEAM, "event_id", hot)
-    )
+def shot_map(shots: DataFrame) -> DataFrame:
+    """Markers for the shots of the displayed teams with one of six outcomes.
 
-
-def shot_map(shots: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Markers for the shots of the displayed teams with one of six outcomes."""
-    marked = _displayed_shots(shots, hot).filter(
-        F.col("shot_outcome").isin(*OUTCOME_COLOURS)
-    )
+    The teams are at most two rows per match, so a match with many shots is
+    split by the join among tasks.
+    """
+    teams = displayed_teams(shots).select(*TEAM, "position")
+    marked = join_on(shots, teams, TEAM).filter(F.col("shot_outcome").isin(*OUTCOME_COLOURS))
     team_colours = dict(enumerate(TEAM_COLOURS, start=1))
     return marked.select(
         *MATCH,
@@ -197,7 +185,7 @@ def event_log(events: DataFrame, rows: int = EVENT_LOG_ROWS) -> DataFrame:
 
 
 def table_head(silver: DataFrame, rows: int = 10) -> DataFrame:
-    order = ("event_index", "event_id")
+    order = ("event_index", "event_id", "match_id")
     return silver.orderBy(*order).limit(rows).select(*columns(SILVER))
 
 

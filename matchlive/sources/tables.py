@@ -1,5 +1,8 @@
 """Table reads that stand a table not being there yet, and append-only tables as streams."""
 
+import os
+
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -19,18 +22,16 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def append_version(spark: SparkSession, path: str) -> int | None:
+def append_version(path: str) -> int | None:
     """Number of the newest batch a streaming file sink has committed to a table.
 
-    Read from the names of the sink's commit files, which Spark's readers hide.
+    It is the name of the newest of the sink's commit files, which Spark's
+    readers hide; None before the first.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_spark_metadata")
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return None
-    names = [status.getPath().getName() for status in files.listStatus(folder)]
-    numbers = [name.removesuffix(".compact") for name in names]
-    return max((int(n) for n in numbers if n.isdigit()), default=None)
+    store, place = fs.FileSystem.from_uri(path if ":" in path else os.path.abspath(path))
+    commits = fs.FileSelector(f"{place}/_spark_metadata", allow_not_found=True)
+    names = [found.base_name.removesuffix(".compact") for found in store.get_file_info(commits)]
+    return max((int(name) for name in names if name.isdigit()), default=None)
 
 
 def stream_table(spark: SparkSession, path: str, schema: str, **options) -> DataFrame:

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlive.plans.catalog import rounded
-from matchlive.schemas import BRONZE, SHOTS, SILVER, columns
+from matchlive.plans.views import row_counts
+from matchlive.schemas import BRONZE, SHOTS, SILVER, XG_TIMELINE, columns
 from matchlive.sources.log import read_log_stream
-from matchlive.sources.tables import read_table
+from matchlive.sources.tables import append_version, read_table
 from matchlive.sources.testdata import (
     EVENTS_PER_MATCH,
     event_documents,
@@ -19,6 +20,7 @@ from matchlive.sources.testdata import (
     parallel_documents,
 )
 from matchlive.streaming import jobs
+from matchlive.streaming.change_log import version
 from matchlive.streaming.serving import live_views
 from matchlive.workspace import new_run_dir
 
@@ -33,6 +35,8 @@ class Run:
         self.root = new_run_dir(spark, name)
         # Chosen once: the state keeps the number of partitions of its first run.
         self.session = jobs.job_session(spark, spark.sparkContext.defaultParallelism)
+        self.interval: str | None = None
+        self.observed: dict[tuple[str, int], int] = {}
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -44,9 +48,9 @@ class Run:
         log = read_log_stream(self.session, "parquet", self.path("log"))
         return jobs.start_bronze(log, self.path("bronze"), self.checkpoint("bronze"))
 
-    def silver(self):
+    def silver(self, **settings):
         return jobs.start_silver(
-            self.session, self.path("bronze"), self.path("silver"), self.checkpoint("silver")
+            self.session, self.path("bronze"), self.path("silver"), self.checkpoint("silver"), **settings
         )
 
     def gold(self, start: Callable, table: str):
@@ -58,7 +62,23 @@ class Run:
             part = log.filter(F.col(SLICE) == number).drop(SLICE)
             part.write.mode("append").parquet(self.path("log"))
             for start in starts:
-                start().awaitTermination()
+                query = start()
+                if self.runs_on(query):
+                    query.processAllAvailable()
+                    query.stop()
+                query.awaitTermination()
+                self.finished(number, query)
+
+    def runs_on(self, query) -> bool:
+        """Whether the query waits for more rows, rather than ending with those there are."""
+        return self.interval is not None and query.isActive
+
+    def finished(self, number: int, query) -> None:
+        """Adds up what the query's batches report of the slice."""
+        for batch in query.recentProgress:
+            for name, row in (batch.observedMetrics or {}).items():
+                key = (name, number)
+                self.observed[key] = self.observed.get(key, 0) + row["rows"]
 
 
 def by_time(documents: DataFrame, slices: int = SLICES) -> DataFrame:
@@ -99,6 +119,58 @@ def stream_silver(spark, sf_dir):
     return _silver(spark, _timed(spark, sf_dir), "stream-silver")
 
 
+def stream_processing_time(spark, sf_dir):
+    """Silver by jobs that trigger by the clock and are stopped once they have seen all rows."""
+    run = Run(spark, "stream-processing-time")
+    run.interval = "1 second"
+    every = {"processingTime": run.interval}
+    run.feed(_timed(spark, sf_dir), [run.bronze, lambda: run.silver(trigger=every)])
+    return read_table(spark, run.path("silver"), SILVER)
+
+
+def stream_replayed_match(spark, sf_dir):
+    """The whole log once more, an hour after its end: no event counts twice."""
+    log = _timed(spark, sf_dir)
+    first, last = log.agg(F.min("timestamp"), F.max("timestamp")).first()
+    later = F.col("timestamp") + F.lit(last - first) + F.expr("INTERVAL 1 HOUR")
+    again = log.withColumn("timestamp", later).withColumn(SLICE, F.lit(SLICES))
+    run = Run(spark, "stream-replayed-match")
+    run.feed(log.unionByName(again), [run.bronze, run.silver], SLICES + 1)
+    return read_table(spark, run.path("silver"), SILVER)
+
+
+def stream_batch_metrics(spark, sf_dir):
+    """Rows that the jobs themselves reported to have written, per slice of the log."""
+    run = Run(spark, "stream-batch-metrics")
+    run.feed(_timed(spark, sf_dir), [run.bronze, run.silver])
+    rows = [(name, number, rows) for (name, number), rows in run.observed.items()]
+    return spark.createDataFrame(rows, "table_name STRING, slice INT, rows BIGINT")
+
+
+def stream_table_versions(spark, sf_dir):
+    """Rows and version of an appended table and of a keyed one, as a dashboard's footer shows them."""
+    run = Run(spark, "stream-table-versions")
+    run.feed(
+        _parallel(spark, sf_dir),
+        [run.bronze, run.silver, lambda: run.gold(jobs.start_shots, "shots"),
+         lambda: run.gold(jobs.start_xg_timeline, "xg_timeline")],
+    )
+    versions = {
+        "bronze": append_version(run.path("bronze")),
+        "shots": append_version(run.path("shots")),
+        "xg_timeline": version(spark, run.path("xg_timeline"), XG_TIMELINE),
+    }
+    tables = {
+        "bronze": read_table(spark, run.path("bronze"), BRONZE),
+        "shots": read_table(spark, run.path("shots"), SHOTS),
+        "xg_timeline": jobs.current_xg_timeline(spark, run.path("xg_timeline")),
+    }
+    counted = [row_counts(tables[name], {name: None}) for name in tables]
+    numbers = F.create_map(*[F.lit(part) for pair in versions.items() for part in pair])
+    every = counted[0].unionByName(counted[1]).unionByName(counted[2])
+    return every.withColumn("version", F.try_element_at(numbers, F.col("table_name")).cast("bigint"))
+
+
 def stream_restart(spark, sf_dir):
     """Silver, with the second job started only twice: on half the log and on the rest."""
     run = Run(spark, "stream-restart")
@@ -173,4 +245,8 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_kpi_row": stream_kpi_row,
     "stream_late_rows": stream_late_rows,
     "stream_restart": stream_restart,
+    "stream_processing_time": stream_processing_time,
+    "stream_replayed_match": stream_replayed_match,
+    "stream_batch_metrics": stream_batch_metrics,
+    "stream_table_versions": stream_table_versions,
 }

@@ -35,8 +35,22 @@ def write_changes(
         rows.unpersist()
 
 
+def refuse_older(spark: SparkSession, batch_id: int, path: str) -> None:
+    """Fails if the table has changes of a later batch than the one a job is about to write.
+
+    That is so when a job starts with a new checkpoint over an old path: its
+    changes would be numbered below the old ones and never be seen.
+    """
+    newest = version(spark, path, f"{VERSION} BIGINT")
+    if newest is not None and newest > batch_id:
+        raise ValueError(
+            f"{path} has changes up to batch {newest}, the checkpoint goes on with {batch_id}: "
+            "use the checkpoint that belongs to the path, or a new path"
+        )
+
+
 def read_changes(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return read_table(spark, path, f"{schema}, {VERSION} BIGINT")
+    return read_table(spark, path, schema if VERSION in schema else f"{schema}, {VERSION} BIGINT")
 
 
 def current(spark: SparkSession, path: str, schema: str, keys: Sequence[str]) -> DataFrame:

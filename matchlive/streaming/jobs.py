@@ -15,7 +15,7 @@ from matchlive.plans import gold
 from matchlive.schemas import BRONZE, MOMENTUM, SILVER, TEAM_TOTALS, XG_TIMELINE
 from matchlive.sources.log import bronze_rows
 from matchlive.sources.tables import stream_table
-from matchlive.streaming.change_log import current, write_changes
+from matchlive.streaming.change_log import current, refuse_older, write_changes
 from matchlive.streaming.stateful import first_of_chunk, live_momentum
 
 TEAM = ("match_id", "team_name")
@@ -73,13 +73,15 @@ def start_bronze(
 
 
 def deduplicated(
-    events: DataFrame, lateness: str = LATENESS, forever: bool = False, combine: bool = True
+    events: DataFrame, lateness: str = LATENESS, forget: bool = False, combine: bool = True
 ) -> DataFrame:
     """Streaming events without repeated ids.
 
-    An id is remembered until the watermark has passed the event by
-    ``lateness``. With ``forever`` it is never forgotten, and state grows with
-    the number of events. Rows older than the watermark are dropped.
+    An id is never forgotten, so a match that is replayed later does not count
+    twice; state grows by an id per event, which RocksDB keeps on disk. With
+    ``forget`` an id goes once the watermark has passed the event by
+    ``lateness``: state is bounded, and what is repeated after that counts
+    again. Rows older than the watermark are dropped either way.
 
     The state is found by shuffling every copy to the key's task. ``combine``
     first drops copies within each Arrow batch, so that an event repeated very
@@ -88,9 +90,9 @@ def deduplicated(
     if combine:
         events = events.mapInArrow(first_of_chunk, events.schema)
     marked = events.withWatermark("event_time", lateness)
-    if forever:
-        return marked.dropDuplicates(list(EVENT_KEY))
-    return marked.dropDuplicatesWithinWatermark(list(EVENT_KEY))
+    if forget:
+        return marked.dropDuplicatesWithinWatermark(list(EVENT_KEY))
+    return marked.dropDuplicates(list(EVENT_KEY))
 
 
 def start_silver(
@@ -100,12 +102,12 @@ def start_silver(
     checkpoint: str,
     trigger: dict = ONCE,
     lateness: str = LATENESS,
-    forever: bool = False,
+    forget: bool = False,
     combine: bool = True,
     **options,
 ) -> StreamingQuery:
     events = parse_events(stream_table(spark, bronze_path, BRONZE, **options))
-    kept = deduplicated(events, lateness, forever, combine)
+    kept = deduplicated(events, lateness, forget, combine)
     return _append(kept, "silver", path, checkpoint, trigger)
 
 
@@ -123,7 +125,13 @@ def start_shots(
 def _keep_changes(
     totals: DataFrame, path: str, checkpoint: str, trigger: dict
 ) -> StreamingQuery:
+    checked = False
+
     def store(rows: DataFrame, batch_id: int) -> None:
+        nonlocal checked
+        if not checked:
+            refuse_older(rows.sparkSession, batch_id, path)
+            checked = True
         write_changes(rows, batch_id, path)
 
     return (

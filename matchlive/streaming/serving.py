@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlive.operators.skew import hot_groups
 from matchlive.plans import views
 from matchlive.schemas import SHOTS, SILVER
 from matchlive.sources.tables import read_table
@@ -25,6 +24,6 @@ def live_views(
     return {
         "kpi_row": views.kpi_row(views.with_momentum(state, momentum)),
         "xg_race": views.xg_race(timeline),
-        "shot_map": views.shot_map(shots, hot_groups(shots)),
+        "shot_map": views.shot_map(shots),
         "event_log": views.event_log(of_match(read_table(spark, silver_path, SILVER))),
     }

@@ -161,7 +161,7 @@ SHOTS = _with("SELECT * FROM shots")
 CLOCKED = """,
 clocked AS (
   SELECT match_id, event_index, event_id, minute, CAST(minute * 60 + second AS INTEGER) AS match_second,
-         lag(minute * 60 + second) OVER (PARTITION BY match_id ORDER BY event_index) AS previous
+         lag(minute * 60 + second) OVER (PARTITION BY match_id ORDER BY event_index, event_id) AS previous
   FROM ev
 ),
 waits AS (
@@ -182,7 +182,7 @@ running AS (
     CAST(sum(CASE WHEN shot_outcome = 'Goal' THEN side ELSE 0 END) OVER w AS BIGINT) AS goal_diff,
     sum(side * xg) OVER w AS xg_diff
   FROM led
-  WINDOW w AS (PARTITION BY match_id ORDER BY event_index ROWS UNBOUNDED PRECEDING)
+  WINDOW w AS (PARTITION BY match_id ORDER BY event_index, event_id ROWS UNBOUNDED PRECEDING)
 )
 """
 
@@ -196,7 +196,8 @@ cut_actions AS (
   SELECT s.cut, s.match_id, s.team_name, count(*) AS n, x.b, x.e
   FROM seen s JOIN cut_ends x ON x.cut = s.cut AND x.match_id = s.match_id
    AND s.match_second BETWEEN x.b AND x.e
-  WHERE s.event_type <> 'Foul Committed' GROUP BY ALL
+  WHERE s.event_type IN ('Shot', 'Dribble', 'Carry', 'Pass', 'Ball Receipt*', 'Dribbled Past',
+                         'Miscontrol') GROUP BY ALL
 ),
 cut_momentum AS (
   SELECT *, round(n / CAST(sum(n) OVER (PARTITION BY cut, match_id) AS DOUBLE), 3) AS share,
@@ -242,6 +243,14 @@ arrivals AS (
   FROM ev WHERE eid % 97 <> 0 AND period <= 4
 )"""
 
+# The slices of the source's time span that the log arrives in.
+TIME_SLICES = """,
+span AS (SELECT min(epoch_us(ts)) AS first, max(epoch_us(ts)) AS last FROM ev),
+sliced AS (
+  SELECT eid, event_id, CAST((epoch_us(ts) - first) // ((last - first) // 3 + 1) AS INTEGER) AS slice
+  FROM ev, span
+)"""
+
 ORACLES: dict[str, str] = {
     "bronze_envelope": _with(
         """SELECT match_id, log_key AS kafka_key,
@@ -280,7 +289,8 @@ WHERE pos <= 2"""
     "momentum": MOMENTUM,
     "momentum_series": _with(
         """SELECT match_id, team_name, match_second, event_index,
-  CAST(sum(CASE WHEN event_type <> 'Foul Committed' THEN 1 ELSE 0 END)
+  CAST(sum(CASE WHEN event_type IN ('Shot', 'Dribble', 'Carry', 'Pass', 'Ball Receipt*',
+                'Dribbled Past', 'Miscontrol') THEN 1 ELSE 0 END)
     OVER (PARTITION BY match_id, team_name ORDER BY match_second
           RANGE BETWEEN 300 PRECEDING AND CURRENT ROW) AS BIGINT) AS attacking_300s
 FROM silver"""
@@ -307,7 +317,8 @@ FROM (SELECT *, CASE period WHEN 1 THEN 45 WHEN 2 THEN 90 WHEN 3 THEN 90 ELSE 10
     "event_flags": _with(
         """SELECT match_id, event_id, event_type = 'Shot' AS is_shot,
   event_type = 'Shot' AND shot_outcome = 'Goal' AS is_goal,
-  event_type <> 'Foul Committed' AS is_attacking
+  event_type IN ('Shot', 'Dribble', 'Carry', 'Pass', 'Ball Receipt*', 'Dribbled Past',
+                 'Miscontrol') AS is_attacking
 FROM silver"""
     ),
     "safe_xg": _with(
@@ -353,7 +364,7 @@ FROM (SELECT DISTINCT match_id, team_name FROM xg_timeline) GROUP BY match_id"""
     ),
     "table_head": _with(
         f"""SELECT {SILVER_COLUMNS}, event_time FROM silver
-ORDER BY event_index, event_id LIMIT 10"""
+ORDER BY event_index, event_id, match_id LIMIT 10"""
     ),
     "table_summary": _with(
         """SELECT 'bronze' AS table_name, count(*) AS row_count,
@@ -363,14 +374,14 @@ UNION ALL SELECT 'shots', count(*), count(DISTINCT match_id) FROM shots"""
     ),
     "replay_schedule": _with(
         """SELECT match_id, event_index, match_second, round(delay_s, 6) AS delay_s,
-  round(sum(delay_s) OVER (PARTITION BY match_id ORDER BY event_index
+  round(sum(delay_s) OVER (PARTITION BY match_id ORDER BY event_index, event_id
         ROWS UNBOUNDED PRECEDING), 6) AS emit_at_s
 FROM waits""",
         CLOCKED,
     ),
     "replay_progress": _with(
         """SELECT match_id, emitted, minute
-FROM (SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY event_index) AS emitted
+FROM (SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY event_index, event_id) AS emitted
       FROM clocked)
 WHERE emitted % 25 = 0""",
         CLOCKED,
@@ -410,6 +421,27 @@ WHERE first_at > (SELECT max(last_at) FROM arrivals) - 600""",
         ARRIVALS,
     ),
     "stream_restart": _with(f"SELECT {SILVER_COLUMNS} FROM silver"),
+    "stream_processing_time": SILVER,
+    "stream_replayed_match": SILVER,
+    "stream_batch_metrics": _with(
+        """SELECT 'bronze' AS table_name, slice, count(*) AS rows
+FROM log l JOIN sliced s ON s.eid = l.eid GROUP BY slice
+UNION ALL
+SELECT 'silver', slice, count(*) FROM silver v JOIN sliced s ON s.event_id = v.event_id GROUP BY slice""",
+        TIME_SLICES,
+    ),
+    "stream_table_versions": _with(
+        """SELECT 'bronze' AS table_name, count(*) AS row_count,
+  count(DISTINCT match_id) AS distinct_matches, CAST(2 AS BIGINT) AS version FROM log
+UNION ALL SELECT 'shots', count(*), count(DISTINCT match_id), 2 FROM shots
+UNION ALL SELECT 'xg_timeline', count(*), count(DISTINCT match_id), 2 FROM xg_timeline"""
+    ),
 }
 
 ORACLES["stream_bronze"] = ORACLES["bronze_envelope"]
+
+# The same with every event in one match.
+ORACLES |= {
+    f"{name}_large_match": ORACLES[name].replace("event_id // 100 AS match_id", "CAST(0 AS BIGINT) AS match_id")
+    for name in ("momentum_series", "win_probability", "shot_map", "replay_schedule", "replay_progress")
+}

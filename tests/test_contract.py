@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from matchlive.operators.skew import hot_groups
 from matchlive.plans import catalog, gold, views
 from matchlive.schemas import SILVER
 from matchlive.sources.testdata import event_documents, event_log
@@ -95,12 +94,30 @@ def test_ranks_are_limited_before_the_shuffle(silver_table):
     assert plan.index("Exchange hashpartitioning") < plan.index("row_number(), 20, Partial")
 
 
-def test_a_log_of_even_matches_has_no_hot_ones(spark):
-    log = event_log(event_documents(spark, "/root/testdata/sf0.001"))
-    assert hot_groups(log) is None
-    found = hot_groups(log, limit=114).collect()
-    assert found and all(row.group_rows > 114 for row in found)
+def test_only_the_wanted_fields_are_parsed(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    for name, absent in (("match_clock", "location"), ("xg_timeline", "player"), ("momentum", "shot")):
+        plan = catalog.BATCH[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        schema = plan[plan.index("from_json(StructField") :].split("event_json")[0]
+        assert f"StructField({absent}," not in schema and "StructField(id," in schema
+
+
+def test_merges_keep_rows_outside_the_usual_periods(spark, monkeypatch):
+    """Period 0 and below belong to the second half of the merge and to the end of the first period."""
+    kept = catalog.silver
+
+    def moved(spark, sf_dir, wanted=None):
+        rows = kept(spark, sf_dir, wanted and wanted + " period")
+        return rows.withColumn("period", F.when(F.col("period") == 2, F.lit(0)).otherwise(F.col("period")))
+
+    sf_dir = "/root/testdata/sf0.001"
+    want = sorted(map(tuple, catalog.xg_timeline(spark, sf_dir).collect()))
+    monkeypatch.setattr(catalog, "silver", moved)
+    assert sorted(map(tuple, catalog.merge_additive_halves(spark, sf_dir).collect())) == want
+    teams = {tuple(r) for r in kept(spark, sf_dir).select("match_id", "team_name").distinct().collect()}
+    found = {(r.match_id, r.team_name) for r in catalog.upsert_latest_by_key(spark, sf_dir).collect()}
+    assert found <= teams and len(found) >= len(catalog.momentum(spark, sf_dir).collect())
 
 
 def test_names_agree():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(contract.ORACLES) == {*catalog.BATCH, *contract.STREAMS}

@@ -6,8 +6,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from matchlive.operators import skew
-from matchlive.operators.skew import hot_groups
 from matchlive.plans import gold, views
 from matchlive.schemas import MOMENTUM, SILVER
 
@@ -16,12 +14,6 @@ OUTCOMES = ["Goal", "Saved", "Off T", "Saved to Post", None]
 ATTACKING = {"Shot", "Pass", "Carry", "Miscontrol"}
 
 
-@pytest.fixture(autouse=True)
-def small_pieces(monkeypatch):
-    """Cuts large groups into pieces of about 20 rows."""
-    monkeypatch.setattr(skew, "ROWS_PER_TASK", 20)
-
-
 def event(match_id, n, rng, teams=("Away", "Home")):
     minute = rng.choice([None, *range(95)])
     second = rng.randrange(60)
@@ -66,13 +58,6 @@ def silver(spark, events):
     return spark.createDataFrame([tuple(e[n] for n in names) for e in events], SILVER)
 
 
-@pytest.fixture(scope="module")
-def hot(spark, silver):
-    found = hot_groups(silver, limit=30)
-    assert {row.match_id for row in found.collect()} == {1, 2, None, 5}
-    return found
-
-
 def groups(rows, *keys):
     found = {}
     for row in rows:
@@ -168,8 +153,7 @@ def test_team_overview_is_state_with_momentum(silver):
     assert rows(gold.team_overview(silver)) == rows(joined)
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_momentum_series(silver, events, hot, split):
+def test_momentum_series(silver, events):
     clocked = [e for e in events if e["match_second"] is not None]
     want = []
     for mine in groups(clocked, "match_id", "team_name").values():
@@ -179,12 +163,12 @@ def test_momentum_series(silver, events, hot, split):
                 x["event_type"] in ATTACKING and at - 300 <= x["match_second"] <= at for x in mine
             )
             want.append((e["match_id"], e["team_name"], at, e["event_index"], n))
-    got = gold.momentum_series(silver, hot if split else None)
+    got = gold.momentum_series(silver)
     assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_win_probability_by_shot(silver, events, hot, split):
+@pytest.mark.parametrize("pieces", [None, 40])
+def test_win_probability_by_shot(silver, events, pieces):
     want = []
     shots = [e for e in events if e["event_type"] == "Shot"]
     for (match_id,), rows in groups(shots, "match_id").items():
@@ -197,7 +181,7 @@ def test_win_probability_by_shot(silver, events, hot, split):
             xg += side * e["xg"]
             left = None if e["minute"] is None else max(0, 90 - e["minute"])
             want.append((match_id, e["event_index"], team1, goals, round(xg, 6), left))
-    got = gold.win_probability_by_shot(silver, hot if split else None)
+    got = gold.win_probability_by_shot(silver, pieces)
     kept = got.withColumn("xg_diff", F.round("xg_diff", 6) + 0.0).drop("p_team1").collect()
 
     def clean(rows):
@@ -206,8 +190,7 @@ def test_win_probability_by_shot(silver, events, hot, split):
     assert clean(kept) == clean(want)
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_shot_map(silver, events, hot, split):
+def test_shot_map(silver, events):
     want = set()
     shots = [e for e in events if e["event_type"] == "Shot"]
     for (match_id,), rows in groups(shots, "match_id").items():
@@ -216,7 +199,7 @@ def test_shot_map(silver, events, hot, split):
             if e["team_name"] in teams and e["shot_outcome"] in ("Goal", "Saved", "Off T"):
                 colour = views.TEAM_COLOURS[teams.index(e["team_name"])]
                 want.add((match_id, e["event_id"], f"{e['team_name']} — {e['shot_outcome']}", colour))
-    found = views.shot_map(gold.shots(silver), hot if split else None).collect()
+    found = views.shot_map(gold.shots(silver)).collect()
     assert {(r.match_id, r.event_id, r.label, r.team_colour) for r in found} == want
     assert len(found) == len(want)
 
@@ -288,11 +271,20 @@ def test_shot_zone(spark, x, y, zone):
     assert frame.select(views.shot_zone(F.col("x"), F.col("y"))).first()[0] == zone
 
 
-def test_split_plans_have_no_nested_loops(silver, hot):
+def test_kpi_row_leaves_events_without_a_team_out(spark, silver):
+    rows = [(9, None, 5), (9, "Home", 1), (9, "Away", 2)]
+    named = spark.createDataFrame(rows, "match_id BIGINT, team_name STRING, goals BIGINT").selectExpr(
+        "*", "0.5D AS xg_total", "0.5D AS win_probability", "0.5D AS dominance_pct"
+    )
+    [row] = views.kpi_row(named).collect()
+    assert (row.team1, row.goals1, row.team2, row.goals2) == ("Away", 2, "Home", 1)
+
+
+def test_plans_have_no_nested_loops(silver):
     for frame in (
-        gold.momentum_series(silver, hot),
-        gold.win_probability_by_shot(silver, hot),
-        views.shot_map(gold.shots(silver), hot),
+        gold.momentum_series(silver),
+        gold.win_probability_by_shot(silver),
+        views.shot_map(gold.shots(silver)),
     ):
         text = frame._jdf.queryExecution().toString()
         assert "NestedLoop" not in text and "CartesianProduct" not in text

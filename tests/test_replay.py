@@ -7,18 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchlive.operators import skew
-from matchlive.operators.skew import hot_groups
 from matchlive.plans import replay
 from matchlive.sources.log import bronze_rows, match_id_in_header, match_id_in_topic
 from matchlive.sources.match_files import read_match_documents, read_match_events
 
 
-@pytest.fixture(autouse=True)
-def small_pieces(monkeypatch):
-    """Cuts large groups into pieces of about 20 rows."""
-    monkeypatch.setattr(skew, "ROWS_PER_TASK", 20)
-
-
 def document(index=None, minute=None, second=None, id=None, team="Home"):
     fields = {"id": id, "index": index, "minute": minute, "second": second, "period": 1}
     kept = {k: v for k, v in fields.items() if v is not None}
@@ -69,8 +62,8 @@ def matches(spark):
     return rows
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_schedule_against_a_loop(spark, matches, split):
+@pytest.mark.parametrize("pieces", [None, 40])
+def test_schedule_against_a_loop(spark, matches, pieces):
     want = []
     for match_id in (1, 2, None):
         events = [json.loads(text) for m, text in matches if m == match_id]
@@ -82,17 +75,15 @@ def test_schedule_against_a_loop(spark, matches, split):
             previous, due = clock, due + wait
             want.append((match_id, e.get("index", 0), clock, round(wait, 6), round(due, 6)))
     documents = frame(spark, matches).repartition(4)
-    hot = hot_groups(documents, limit=50) if split else None
-    got = replay.replay_schedule(documents, hot=hot)
+    got = replay.replay_schedule(documents, pieces=pieces)
     rows = got.withColumns({n: F.round(n, 6) for n in ("delay_s", "emit_at_s")}).collect()
     assert sorted(map(tuple, rows), key=str) == sorted(want, key=str)
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_progress(spark, matches, split):
+@pytest.mark.parametrize("pieces", [None, 40])
+def test_progress(spark, matches, pieces):
     documents = frame(spark, matches)
-    hot = hot_groups(documents, limit=50) if split else None
-    rows = replay.replay_progress(documents, 25, hot).collect()
+    rows = replay.replay_progress(documents, 25, pieces).collect()
     marks = sorted((r.match_id or 0, r.emitted) for r in rows)
     assert marks == [(0, n) for n in (25, 50, 75)] + [(1, n) for n in range(25, 401, 25)] + [(2, 25)]
 
@@ -141,10 +132,26 @@ def test_match_id_from_header_or_topic(spark):
 
 def test_large_group_is_cut_into_many_pieces(spark, matches):
     documents = frame(spark, matches).repartition(4)
-    order = [F.col("payload")]
-    pieces = skew.ordered_pieces(documents, ["match_id"], order, hot_groups(documents, limit=50))
+    pieces = skew.ordered_pieces(documents, ["match_id"], [F.col("payload")], 26)
     sizes = {tuple(r)[:2]: r["count"] for r in pieces.groupBy("match_id", "_piece").count().collect()}
     assert sum(sizes.values()) == len(matches)
     large = [n for (match_id, _), n in sizes.items() if match_id == 1]
     assert len(large) > 10 and max(large) < 100
-    assert [n for (match_id, _), n in sizes.items() if match_id == 2] == [30]
+
+
+def test_documents_without_index_and_id_are_cut_too(spark):
+    """Only the hash of the text tells them apart."""
+    rows = [(1, document(None, n % 90, n % 60, None, f"team {n}")) for n in range(600)]
+    documents = frame(spark, rows).repartition(4)
+    sizes = skew.ordered_pieces(replay._clocked(documents), ["match_id"], replay._order(), 12)
+    assert max(r["count"] for r in sizes.groupBy("_piece").count().collect()) <= 100
+    hashes = {r.payload: r.h for r in documents.select("payload", F.xxhash64("payload").alias("h")).collect()}
+    want, due, previous = [], 0.0, None
+    for text in sorted(hashes, key=hashes.get):
+        event = json.loads(text)
+        clock = event["minute"] * 60 + event["second"]
+        wait = 0.0 if previous is None else min(max(0, clock - previous) / 60, 3)
+        previous, due = clock, due + wait
+        want.append((clock, round(wait, 6), round(due, 6)))
+    got = replay.replay_schedule(documents, pieces=12).collect()
+    assert sorted((r.match_second, round(r.delay_s, 6), round(r.emit_at_s, 6)) for r in got) == sorted(want)

@@ -107,15 +107,26 @@ def test_early_copies_keep_the_first(pipe):
     assert row.second == 0
 
 
-def test_ids_are_forgotten_after_the_horizon_only_without_forever(spark, tmp_path):
+def test_ids_are_forgotten_only_if_wanted(spark, tmp_path):
     counts = {}
-    for forever in (False, True):
-        pipe = Pipeline(spark, tmp_path / str(forever))
+    for forget in (False, True):
+        pipe = Pipeline(spark, tmp_path / str(forget))
         for after, n in ((0, 1), (60, 2), (61, 3), (62, 1)):
             pipe.add(shot(n, after=after))
-            pipe.silver(forever=forever)
-        counts[forever] = pipe.table("silver")[0].filter("event_id = 'e1'").count()
-    assert counts == {False: 2, True: 1}
+            pipe.silver(forget=forget)
+        counts[forget] = pipe.table("silver")[0].filter("event_id = 'e1'").count()
+    assert counts == {False: 1, True: 2}
+
+
+def test_a_new_checkpoint_over_an_old_table_is_refused(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = spark.createDataFrame([(1, "a", 2, 0.5, 1)], XG_TIMELINE)
+    for batch_id in (0, 1, 3):
+        change_log.refuse_older(spark, batch_id, path)
+        change_log.write_changes(rows, batch_id, path)
+    change_log.refuse_older(spark, 3, path)  # the last batch once more
+    with pytest.raises(ValueError, match="checkpoint"):
+        change_log.refuse_older(spark, 0, path)
 
 
 def test_late_row_is_dropped(pipe):
@@ -346,7 +357,7 @@ def test_commands(spark, tmp_path, capsys):
 def test_missing_table_is_empty_but_other_errors_show(spark, tmp_path):
     missing = read_table(spark, str(tmp_path / "nothing"), SILVER)
     assert missing.count() == 0 and missing.columns[0] == "match_id"
-    assert append_version(spark, str(tmp_path / "nothing")) is None
+    assert append_version(str(tmp_path / "nothing")) is None
     (tmp_path / "broken").mkdir()
     (tmp_path / "broken" / "part.parquet").write_text("not parquet")
     with pytest.raises(Exception, match="(?i)parquet"):
