@@ -2,6 +2,7 @@
 
 import math
 import os
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -16,7 +17,8 @@ SQL = contract.oracle_sql()
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW events AS SELECT * FROM '{SF_DIR}/events.parquet'")
+    for path in Path(SF_DIR).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
     return connection
 
 
