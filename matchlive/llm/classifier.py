@@ -21,15 +21,17 @@ from matchlive.llm.quality import CLASSES, class_counts, repeated_lines, shares
 from matchlive.llm.words import Words, chunks, mix, split
 
 #: Labelled documents used, a quarter of them for calibration only, and unlabelled ones.
-LABELLED, POOL = 16_000, 8_000
+LABELLED, POOL = 10_000, 4_000
 TEXT_BITS = 18
 META_BITS = 12
 ROUNDS = 3
 #: A view lends a document to the other from this calibrated probability on, and so many a round.
 CONFIDENCE, LENT = 0.97, 1_000
-STEPS, RATE, PENALTY = 150, 0.5, 3e-4
+STEPS, RATE, PENALTY = 150, 0.5, 1e-4
+#: Steps from weights of the round before.
+MORE_STEPS = 50
 #: Places that fewer training rows have are left out.
-LEAST_ROWS = 3
+LEAST_ROWS = 8
 #: The threshold keeps this share of the good calibration documents at least.
 KEEP_GOOD = 0.99
 SHAPES = CLASSES + 5
@@ -54,11 +56,11 @@ class Rows(NamedTuple):
     value: np.ndarray
 
     def times(self, weights: np.ndarray) -> np.ndarray:
-        sums = np.concatenate(([0], np.cumsum(self.value * weights[self.at])))
+        sums = np.concatenate(([0.0], np.cumsum(self.value * weights[self.at])))
         return sums[self.first[1:]] - sums[self.first[:-1]]
 
     def row_numbers(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
+        return np.repeat(np.arange(len(self.first) - 1, dtype=np.int32), np.diff(self.first))
 
     def take(self, rows: np.ndarray) -> "Rows":
         length = np.diff(self.first)[rows]
@@ -113,7 +115,7 @@ def beside(rows: Rows, dense: np.ndarray, start: int) -> Rows:
     first = np.concatenate(([0], np.cumsum(length)))
     own = np.arange(len(rows.at)) + np.repeat(np.arange(count) * width, np.diff(rows.first))
     added = (first[1:, None] - width + np.arange(width)).ravel()
-    at, value = np.empty(first[-1], np.int64), np.empty(first[-1])
+    at, value = np.empty(first[-1], np.int32), np.empty(first[-1], np.float32)
     at[own], value[own] = rows.at, rows.value
     at[added], value[added] = np.tile(start + np.arange(width), count), dense.ravel()
     return Rows(first, at, value)
@@ -144,13 +146,14 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 def fitted(rows: Rows, good: np.ndarray, places: int, weights: np.ndarray | None = None) -> np.ndarray:
     """Logistic regression with both classes weighed alike, by Adam from ``weights`` on."""
+    steps = STEPS if weights is None else MORE_STEPS
     weights = np.zeros(places) if weights is None else weights.copy()
     balance = np.where(good, 0.5 / max(good.sum(), 1), 0.5 / max((~good).sum(), 1))
     mean, square = np.zeros(places), np.zeros(places)
     seen = (np.bincount(rows.at, minlength=places) >= LEAST_ROWS)[rows.at]
     rows = Rows(np.concatenate(([0], np.cumsum(seen)))[rows.first], rows.at[seen], rows.value[seen])
     number = rows.row_numbers()
-    for step in range(1, STEPS + 1):
+    for step in range(1, steps + 1):
         error = (sigmoid(rows.times(weights)) - good) * balance
         slope = np.bincount(rows.at, rows.value * error[number], places) + PENALTY * weights
         mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope**2
@@ -238,7 +241,7 @@ def sampled(documents: DataFrame, ids: DataFrame) -> tuple[np.ndarray, Rows, Row
                 part = batch.slice(low, high - low)
                 lists = [
                     pa.ListArray.from_arrays(pa.array(found.first, pa.int32()), pa.array(values))
-                    for values in (found.at.astype(np.int32), found.value.astype(np.float32))
+                    for values in (found.at, found.value)
                 ]
                 kept = [part.column(name) for name in ("doc_id", *META)]
                 yield pa.RecordBatch.from_arrays([*kept, *lists], names=["doc_id", *META, "at", "value"])
@@ -248,7 +251,7 @@ def sampled(documents: DataFrame, ids: DataFrame) -> tuple[np.ndarray, Rows, Row
     ids_, first = np.unique(table.column("doc_id").to_numpy(), return_index=True)  # repeated ids count once
     at, value = table.column("at").combine_chunks(), table.column("value").combine_chunks()
     text = Rows(np.concatenate(([0], np.cumsum(at.value_lengths().to_numpy()))).astype(np.int64),
-                at.flatten().to_numpy().astype(np.int64), value.flatten().to_numpy().astype(np.float64))
+                at.flatten().to_numpy(), value.flatten().to_numpy())
     columns = np.column_stack([table.column(name).to_numpy() for name in META])
     return ids_, text.take(first), meta_rows(columns[first])
 
