@@ -120,6 +120,7 @@ def win_probability_large_match(spark, sf_dir):
 
 
 def match_clock(spark, sf_dir):
+    """The clock, null and counted as 0 where the minute is missing."""
     minute, second = F.col("minute"), F.col("second")
     return silver(spark, sf_dir, "match_id event_id minute second").select(
         "match_id",
@@ -148,9 +149,13 @@ def event_flags(spark, sf_dir):
 
 
 def safe_xg(spark, sf_dir):
-    return silver(spark, sf_dir, "match_id event_id xg").select(
-        "match_id", "event_id", "xg", rules.safe_xg(F.col("xg")).alias("safe_xg")
+    """Of the documents as they come: xG may be missing, negative or NaN."""
+    shot = "id STRING, shot STRUCT<statsbomb_xg: DOUBLE>"
+    documents = event_documents(spark, sf_dir).select(
+        "match_id", F.inline(F.array(F.from_json("payload", shot)))
     )
+    xg = F.col("shot.statsbomb_xg")
+    return documents.select("match_id", F.col("id").alias("event_id"), xg.alias("xg"), rules.safe_xg(xg).alias("safe_xg"))
 
 
 # --- views ----------------------------------------------------------------

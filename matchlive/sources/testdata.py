@@ -1,4 +1,8 @@
-"""Match-event log rows made from the ``events`` test table (FIXTURES.md, part B)."""
+"""Match-event log rows made from the ``events`` test table (FIXTURES.md, part B).
+
+Some matches have one team, three, or events without a team; some events lack
+the minute or have an xG that is missing, negative or NaN.
+"""
 
 from collections.abc import Sequence
 
@@ -14,29 +18,39 @@ EVENT_NUMBER = "CAST(get_json_object(props, '$.k') AS INT) AS k"
 
 POSSESSION = "CASE WHEN k = 99 THEN NULL WHEN k % 2 = 0 THEN 'Home' ELSE 'Away' END AS possession"
 
+TEAM = """CASE WHEN match_id % 10 = 3 AND user_id % 7 = 1 THEN 3
+            WHEN match_id % 10 = 4 AND user_id % 7 = 1 THEN 0
+            WHEN match_id % 10 = 5 OR user_id % 2 = 0 THEN 1 ELSE 2 END AS team"""
+MATCH = f"event_id div {EVENTS_PER_MATCH} AS match_id"
+
 DOCUMENT = """
 named_struct(
   'id', concat('e', event_id),
   'index', CAST(pos + 1 AS INT),
   'period', CASE WHEN pos < 40 THEN 1 WHEN pos < 80 THEN 2 WHEN pos < 88 THEN 3
                  WHEN pos < 96 THEN 4 ELSE 5 END,
-  'minute', CAST(CASE WHEN pos < 40 THEN pos * 48 div 40
+  'minute', CAST(CASE WHEN event_type = 'view' AND k = 50 THEN NULL
+                      WHEN pos < 40 THEN pos * 48 div 40
                       WHEN pos < 80 THEN 45 + (pos - 40) * 50 div 40
                       WHEN pos < 88 THEN 90 + (pos - 80) * 2
                       WHEN pos < 96 THEN 105 + (pos - 88) * 2
                       ELSE 120 END AS INT),
   'second', CAST(user_id % 60 AS INT),
   'type', named_struct('name', CASE event_type
-     WHEN 'view' THEN 'Pass' WHEN 'click' THEN 'Carry' WHEN 'signup' THEN 'Ball Receipt*'
+     WHEN 'view' THEN element_at(array('Pass', 'Dribble', 'Dribbled Past', 'Miscontrol'), k % 4 + 1)
+     WHEN 'click' THEN 'Carry' WHEN 'signup' THEN 'Ball Receipt*'
      WHEN 'purchase' THEN 'Shot' WHEN 'error' THEN 'Foul Committed' END),
-  'team', CASE WHEN user_id % 2 = 0 THEN named_struct('id', 1, 'name', 'Home')
-               ELSE named_struct('id', 2, 'name', 'Away') END,
+  'team', CASE team WHEN 1 THEN named_struct('id', 1, 'name', 'Home')
+                    WHEN 2 THEN named_struct('id', 2, 'name', 'Away')
+                    WHEN 3 THEN named_struct('id', 3, 'name', 'Third') END,
   'possession_team', CASE WHEN possession IS NOT NULL THEN named_struct('name', possession) END,
   'player', named_struct('id', CAST(user_id AS INT), 'name', concat('P', user_id)),
   'location', CASE WHEN event_type <> 'error'
      THEN array(k * CAST(1.2 AS DOUBLE), CAST(user_id % 81 AS DOUBLE)) END,
   'shot', CASE WHEN event_type = 'purchase' THEN named_struct(
-     'statsbomb_xg', least(CAST(0.99 AS DOUBLE), value / CAST(500 AS DOUBLE)),
+     'statsbomb_xg', CASE k WHEN 13 THEN NULL WHEN 14 THEN CAST(-0.1 AS DOUBLE)
+        WHEN 15 THEN CAST('NaN' AS DOUBLE)
+        ELSE least(CAST(0.99 AS DOUBLE), value / CAST(500 AS DOUBLE)) END,
      'outcome', named_struct('name', CASE
         WHEN k < 12 THEN 'Goal' WHEN k < 40 THEN 'Saved' WHEN k < 60 THEN 'Off T'
         WHEN k < 75 THEN 'Blocked' WHEN k < 85 THEN 'Wayward' WHEN k < 90 THEN 'Post'
@@ -58,10 +72,10 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON event document per source row: match_id, source_id, ts, log_key, payload."""
     return (
         source_events(spark, sf_dir)
-        .selectExpr("*", POSITION, EVENT_NUMBER)
-        .selectExpr("*", POSSESSION)
+        .selectExpr("*", POSITION, EVENT_NUMBER, MATCH)
+        .selectExpr("*", POSSESSION, TEAM)
         .selectExpr(
-            f"event_id div {EVENTS_PER_MATCH} AS match_id",
+            "match_id",
             "event_id AS source_id",
             "CAST(ts AS TIMESTAMP) AS ts",
             "coalesce(possession, 'unknown') AS log_key",

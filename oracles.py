@@ -6,7 +6,7 @@ starts from one row per source event.
 
 EVENTS = """
 src AS (
-  SELECT event_id AS eid, event_id // 100 AS match_id, event_id % 100 AS pos,
+  SELECT event_id AS eid, event_id // 100 AS match_id, event_id // 100 AS own_match, event_id % 100 AS pos,
          CAST(regexp_extract(props, ':\\s*([0-9]+)', 1) AS INTEGER) AS k,
          ts, user_id, event_type AS kind, value
   FROM events
@@ -15,22 +15,27 @@ ev AS (
   SELECT eid, match_id, ts, k, 'e' || eid AS event_id, CAST(pos + 1 AS INTEGER) AS event_index,
          CASE WHEN pos < 40 THEN 1 WHEN pos < 80 THEN 2 WHEN pos < 88 THEN 3
               WHEN pos < 96 THEN 4 ELSE 5 END AS period,
-         CAST(CASE WHEN pos < 40 THEN pos * 48 // 40
+         CAST(CASE WHEN kind = 'view' AND k = 50 THEN NULL WHEN pos < 40 THEN pos * 48 // 40
                    WHEN pos < 80 THEN 45 + (pos - 40) * 50 // 40
                    WHEN pos < 88 THEN 90 + (pos - 80) * 2
                    WHEN pos < 96 THEN 105 + (pos - 88) * 2 ELSE 120 END AS INTEGER) AS minute,
          CAST(user_id % 60 AS INTEGER) AS second,
-         CASE kind WHEN 'view' THEN 'Pass' WHEN 'click' THEN 'Carry'
+         CASE kind WHEN 'view' THEN ['Pass', 'Dribble', 'Dribbled Past', 'Miscontrol'][k % 4 + 1]
+                   WHEN 'click' THEN 'Carry'
                    WHEN 'signup' THEN 'Ball Receipt*' WHEN 'purchase' THEN 'Shot'
                    WHEN 'error' THEN 'Foul Committed' END AS event_type,
-         CASE WHEN user_id % 2 = 0 THEN 1 ELSE 2 END AS team_id,
-         CASE WHEN user_id % 2 = 0 THEN 'Home' ELSE 'Away' END AS team_name,
+         CASE WHEN own_match % 10 = 3 AND user_id % 7 = 1 THEN 3
+              WHEN own_match % 10 = 4 AND user_id % 7 = 1 THEN NULL
+              WHEN own_match % 10 = 5 OR user_id % 2 = 0 THEN 1 ELSE 2 END AS team_id,
+         ['Home', 'Away', 'Third'][team_id] AS team_name,
          CASE WHEN k = 99 THEN 'unknown' WHEN k % 2 = 0 THEN 'Home' ELSE 'Away' END AS log_key,
          CAST(user_id AS INTEGER) AS player_id, 'P' || user_id AS player_name,
          CASE WHEN kind <> 'error' THEN k * CAST(1.2 AS DOUBLE) END AS loc_x,
          CASE WHEN kind <> 'error' THEN CAST(user_id % 81 AS DOUBLE) END AS loc_y,
-         CASE WHEN kind = 'purchase' THEN least(CAST(0.99 AS DOUBLE), value / CAST(500 AS DOUBLE))
-              ELSE CAST(0 AS DOUBLE) END AS xg,
+         CASE WHEN kind = 'purchase' THEN
+           CASE k WHEN 13 THEN NULL WHEN 14 THEN CAST(-0.1 AS DOUBLE) WHEN 15 THEN CAST('NaN' AS DOUBLE)
+                  ELSE least(CAST(0.99 AS DOUBLE), value / CAST(500 AS DOUBLE)) END END AS raw_xg,
+         CASE WHEN raw_xg IS NULL OR isnan(raw_xg) THEN CAST(0 AS DOUBLE) ELSE raw_xg END AS xg,
          CASE WHEN kind = 'purchase' THEN
            CASE WHEN k < 12 THEN 'Goal' WHEN k < 40 THEN 'Saved' WHEN k < 60 THEN 'Off T'
                 WHEN k < 75 THEN 'Blocked' WHEN k < 85 THEN 'Wayward' WHEN k < 90 THEN 'Post'
@@ -84,6 +89,10 @@ match_state AS (
               WHEN t.team_name = c.t1 THEN c.p1 ELSE round(1 - c.p1, 4) END AS win_probability
   FROM totals t LEFT JOIN chances c ON c.match_id = t.match_id
 ),
+named AS (
+  SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY team_name) AS place
+  FROM match_state WHERE team_name IS NOT NULL
+),
 ends AS (
   SELECT match_id, max(match_second) AS window_end_second,
          greatest(0, max(match_second) - 300) AS window_start_second
@@ -118,16 +127,17 @@ numbers AS (
 documents AS (
   SELECT e.eid,
     '{"id":"' || event_id || '","index":' || event_index || ',"period":' || period
-    || ',"minute":' || minute || ',"second":' || second
+    || CASE WHEN minute IS NULL THEN '' ELSE ',"minute":' || minute END || ',"second":' || second
     || ',"type":{"name":"' || event_type || '"}'
-    || ',"team":{"id":' || team_id || ',"name":"' || team_name || '"}'
+    || CASE WHEN team_id IS NULL THEN '' ELSE ',"team":{"id":' || team_id || ',"name":"' || team_name || '"}' END
     || CASE WHEN log_key = 'unknown' THEN ''
             ELSE ',"possession_team":{"name":"' || log_key || '"}' END
     || ',"player":{"id":' || player_id || ',"name":"' || player_name || '"}'
     || CASE WHEN loc_x IS NULL THEN '' ELSE ',"location":[' || loc_x || ',' || loc_y || ']' END
     || CASE WHEN shot_outcome IS NULL THEN ''
+            WHEN raw_xg IS NULL THEN ',"shot":{"outcome":{"name":"' || shot_outcome || '"}}'
             ELSE ',"shot":{"statsbomb_xg":' ||
-              CASE WHEN xg = 0 OR xg >= 0.001 THEN t
+              CASE WHEN isnan(raw_xg) THEN '"NaN"' WHEN xg <= 0 OR xg >= 0.001 THEN t
                    WHEN contains(t, 'e') THEN
                      CASE WHEN contains(t, '.') THEN split_part(t, 'e', 1)
                           ELSE split_part(t, 'e', 1) || '.0' END
@@ -160,8 +170,9 @@ SHOTS = _with("SELECT * FROM shots")
 # Replay runs over the source documents, before the log repeats or cuts any.
 CLOCKED = """,
 clocked AS (
-  SELECT match_id, event_index, event_id, minute, CAST(minute * 60 + second AS INTEGER) AS match_second,
-         lag(minute * 60 + second) OVER (PARTITION BY match_id ORDER BY event_index, event_id) AS previous
+  SELECT match_id, event_index, event_id, coalesce(minute, 0) AS minute,
+         CAST(coalesce(minute, 0) * 60 + second AS INTEGER) AS match_second,
+         lag(coalesce(minute, 0) * 60 + second) OVER (PARTITION BY match_id ORDER BY event_index, event_id) AS previous
   FROM ev
 ),
 waits AS (
@@ -206,18 +217,18 @@ cut_momentum AS (
 )
 """
 
-KPI_ROW = """SELECT p.match_id, p.t1 AS team1, a.goals AS goals1,
+KPI_ROW = """SELECT a.match_id, a.team_name AS team1, a.goals AS goals1,
   CAST(round(CAST(a.xg_total AS DECIMAL(18,6)), 2) AS DOUBLE) AS xg1,
-  p.t2 AS team2, b.goals AS goals2,
-  CAST(round(CAST(b.xg_total AS DECIMAL(18,6)), 2) AS DOUBLE) AS xg2,
+  coalesce(b.team_name, '?') AS team2, coalesce(b.goals, 0) AS goals2,
+  CAST(round(CAST(coalesce(b.xg_total, 0) AS DECIMAL(18,6)), 2) AS DOUBLE) AS xg2,
   CAST(round(CAST(a.win_probability AS DECIMAL(9,4)) * 100, 1) AS DOUBLE) AS p1_pct,
   CAST(100 - round(CAST(a.win_probability AS DECIMAL(9,4)) * 100, 1) AS DOUBLE) AS p2_pct,
   CAST(trunc(coalesce(m.dominance_pct, 0.5::DOUBLE) * 100) AS INTEGER) AS dom1_pct,
   CAST(trunc((1 - coalesce(m.dominance_pct, 0.5::DOUBLE)) * 100) AS INTEGER) AS dom2_pct
-FROM pairs p
-JOIN match_state a ON a.match_id = p.match_id AND a.team_name = p.t1
-JOIN match_state b ON b.match_id = p.match_id AND b.team_name = p.t2
-LEFT JOIN {momentum} m ON m.match_id = p.match_id AND m.team_name = p.t1"""
+FROM named a
+LEFT JOIN named b ON b.match_id = a.match_id AND b.place = 2
+LEFT JOIN {momentum} m ON m.match_id = a.match_id AND m.team_name = a.team_name
+WHERE a.place = 1"""
 
 NEWEST_MOMENTUM = """SELECT match_id, team_name, n AS attacking_actions, share AS dominance_pct,
   b AS window_start_second, e AS window_end_second
@@ -282,7 +293,7 @@ FROM ev WHERE eid % 97 <> 0 AND period > 4 GROUP BY match_id"""
   round(sum(xg_total) OVER (PARTITION BY match_id, team_name ORDER BY minute
         ROWS UNBOUNDED PRECEDING), 6) AS xg_cumulative
 FROM (SELECT *, dense_rank() OVER (PARTITION BY match_id ORDER BY team_name) AS pos
-      FROM xg_timeline)
+      FROM xg_timeline WHERE team_name IS NOT NULL)
 WHERE pos <= 2"""
     ),
     "match_state": MATCH_STATE,
@@ -293,7 +304,7 @@ WHERE pos <= 2"""
                 'Dribbled Past', 'Miscontrol') THEN 1 ELSE 0 END)
     OVER (PARTITION BY match_id, team_name ORDER BY match_second
           RANGE BETWEEN 300 PRECEDING AND CURRENT ROW) AS BIGINT) AS attacking_300s
-FROM silver"""
+FROM silver WHERE match_second IS NOT NULL"""
     ),
     "win_probability": _with(
         """SELECT match_id, event_index, team1, goal_diff, round(xg_diff, 6) AS xg_diff,
@@ -305,7 +316,8 @@ FROM running""",
         RUNNING,
     ),
     "match_clock": _with(
-        "SELECT match_id, event_id, match_second, match_second AS clock_or_zero FROM silver"
+        """SELECT match_id, event_id, match_second,
+  CAST(coalesce(minute, 0) * 60 + second AS INTEGER) AS clock_or_zero FROM silver"""
     ),
     "minute_label": _with(
         """SELECT match_id, event_id, period, minute,
@@ -322,7 +334,7 @@ FROM (SELECT *, CASE period WHEN 1 THEN 45 WHEN 2 THEN 90 WHEN 3 THEN 90 ELSE 10
 FROM silver"""
     ),
     "safe_xg": _with(
-        "SELECT match_id, event_id, xg, greatest(0::DOUBLE, xg) AS safe_xg FROM silver"
+        """SELECT match_id, event_id, raw_xg AS xg, greatest(0::DOUBLE, xg) AS safe_xg FROM ev"""
     ),
     "kpi_row": _with(KPI_ROW.format(momentum="momentum")),
     "shot_map": _with(
@@ -335,7 +347,7 @@ FROM silver"""
   CASE pos WHEN 1 THEN '#75aadb' ELSE '#ffffff' END AS team_colour
 FROM shots s
 JOIN (SELECT match_id, team_name, row_number() OVER (PARTITION BY match_id ORDER BY team_name) AS pos
-      FROM (SELECT DISTINCT match_id, team_name FROM shots)) t
+      FROM (SELECT DISTINCT match_id, team_name FROM shots WHERE team_name IS NOT NULL)) t
   ON t.match_id = s.match_id AND t.team_name = s.team_name AND pos <= 2
 WHERE shot_outcome IN ('Goal', 'Saved', 'Off T', 'Blocked', 'Wayward', 'Post')"""
     ),
@@ -360,7 +372,7 @@ WHERE r <= 20"""
     "team_list": _with(
         """SELECT match_id, string_agg(team_name, ', ' ORDER BY team_name) AS teams,
   count(*) AS team_count
-FROM (SELECT DISTINCT match_id, team_name FROM xg_timeline) GROUP BY match_id"""
+FROM (SELECT DISTINCT match_id, team_name FROM xg_timeline WHERE team_name IS NOT NULL) GROUP BY match_id"""
     ),
     "table_head": _with(
         f"""SELECT {SILVER_COLUMNS}, event_time FROM silver
