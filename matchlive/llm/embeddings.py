@@ -24,9 +24,9 @@ COSINE = 0.95
 BLOCK_DIMENSIONS = 16
 GRID_DIMENSIONS = 2
 SEED = 7
-#: Vectors of one grid cell compared in one task, and pairs compared in one step there.
+#: Vectors of one grid cell compared in one task; vectors and pairs compared in one step there.
 TILE_ROWS = 16_384
-STEP_PAIRS = 1 << 22
+STEP_ROWS, STEP_PAIRS = 512, 1 << 20
 VERIFIED_AT_ONCE = 1 << 14
 #: Room for rounding when candidates are looked for; the cosine itself has none.
 SLACK = 1e-5
@@ -63,11 +63,11 @@ def rotated(raw: np.ndarray) -> np.ndarray:
     return raw / np.linalg.norm(raw, axis=1, keepdims=True) @ rotation(raw.shape[1])
 
 
-def cells(cosine: float):
+def cells(cosine: float, whole: bool):
     """Rows (block, cell_x, cell_y, visitor) of every vector: its own cell and the later ones in reach.
 
     Of two neighbouring cells the one that sorts first visits the other, so a
-    pair meets in one cell of a block.
+    pair meets in one cell of a block. ``whole`` adds the vector and its class.
     """
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,18 +89,16 @@ def cells(cosine: float):
             gap_x = reach - inside[:, 0] if dx else 0.0
             gap_y = {1: reach - inside[:, 1], -1: inside[:, 1], 0: 0.0}[dy]
             at = np.flatnonzero(np.full(len(points), gap_x**2 + gap_y**2) <= (reach + SLACK) ** 2)
-            rows = part.take(pa.array(at))
+            carried = ["size", "first", "copies", "vector"] if whole else ["size"]
+            rows = part.select(carried).take(pa.array(at))
             yield pa.RecordBatch.from_pydict(
                 {
-                    "size": rows.column("size"),
                     "block": pa.array(np.full(len(at), block, np.int32)),
                     "cell_x": pa.array((own[at, 0] + dx).astype(np.int32)),
                     "cell_y": pa.array((own[at, 1] + dy).astype(np.int32)),
                     "visitor": pa.array(np.full(len(at), bool(dx or dy))),
-                    "first": rows.column("first"),
-                    "copies": rows.column("copies"),
-                    "vector": rows.column("vector"),
                 }
+                | {name: rows.column(name) for name in carried}
             )
 
     return place
@@ -109,16 +107,32 @@ def cells(cosine: float):
 def compare(cosine: float):
     """Links within a tile: how many vectors each vector is linked to there, and links that connect them."""
 
-    def pairs_of(points: np.ndarray, home: np.ndarray, all_: np.ndarray, block: slice, budget: float):
-        """Candidates of one block, a home row with any later or visiting row, some rows at a time."""
-        low = points[:, block].astype(np.float32)
-        square = (low**2).sum(1)
-        rows = max(1, STEP_PAIRS // max(1, len(all_)))
-        for begin in range(0, len(home), rows):
-            mine = home[begin : begin + rows]
-            apart = square[mine][:, None] + square[all_][None, :] - 2 * (low[mine] @ low[all_].T)
-            one, other = np.nonzero(apart <= budget + SLACK)
-            yield mine[one], all_[other]
+    def pairs_of(points: np.ndarray, home: np.ndarray, visiting: np.ndarray, block: slice, budget: float):
+        """Candidates of one block, a home row with any later home row or a visitor, some rows at a time.
+
+        Rows are in order of one more coordinate, so that only a stretch of them
+        is compared. One product gives minus half of the squared distances.
+        """
+        low = points[:, block]
+        along = low[:, min(GRID_DIMENSIONS, low.shape[1] - 1)]
+        home, visiting = home[np.argsort(along[home])], visiting[np.argsort(along[visiting])]
+        half, ones = -(low**2).sum(1, keepdims=True) / 2, np.ones((len(low), 1))
+        left = np.hstack([low, half, ones]).astype(np.float32)
+        right = np.hstack([low, ones, half]).astype(np.float32)
+        reach, least = np.sqrt(budget) + SLACK, -(budget + SLACK) / 2
+        for begin in range(0, len(home), STEP_ROWS):
+            mine = home[begin : begin + STEP_ROWS]
+            first, last = along[mine[0]] - reach, along[mine[-1]] + reach
+            later = home[begin : np.searchsorted(along[home], last, "right")]
+            near = visiting[np.searchsorted(along[visiting], first) : np.searchsorted(along[visiting], last, "right")]
+            for others, same in ((later, True), (near, False)):
+                for at in range(0, len(others), STEP_PAIRS // STEP_ROWS):
+                    part = others[at : at + STEP_PAIRS // STEP_ROWS]
+                    close = left[mine] @ right[part].T >= least
+                    one, other = np.divmod(np.flatnonzero(close), len(part))
+                    if same:
+                        one, other = one[at + other > one], other[at + other > one]
+                    yield mine[one], part[other]
 
     def links(table: pa.Table) -> pa.Table:
         raw = matrix(table.column("vector").combine_chunks())
@@ -129,12 +143,11 @@ def compare(cosine: float):
         unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
         points, parts, most = rotated(raw), blocks(raw.shape[1]), budgets(raw.shape[1], cosine)
         found, total = np.arange(len(raw)), np.zeros(len(raw), np.int64)
-        home = np.flatnonzero(~visitor)
-        for one, other in pairs_of(points, home, np.arange(len(raw)), parts[block], most[block]):
-            once = visitor[other] | (one < other)  # two home rows are met from both ends
+        home, visiting = np.flatnonzero(~visitor), np.flatnonzero(visitor)
+        for one, other in pairs_of(points, home, visiting, parts[block], most[block]):
             if crossing:
-                once &= side[one] != side[other]
-            one, other = one[once], other[once]
+                two = side[one] != side[other]
+                one, other = one[two], other[two]
             for at in range(0, len(one), VERIFIED_AT_ONCE):
                 a, b = one[at : at + VERIFIED_AT_ONCE], other[at : at + VERIFIED_AT_ONCE]
                 apart = (points[a] - points[b]) ** 2
@@ -181,12 +194,11 @@ def near_duplicates(vectors: DataFrame, id_: str = "vec_id", vector: str = "embe
     )
     compared = classes.where("first IS NOT NULL").select(F.size("vector").alias("size"), "first", "copies", "vector")
     kind = classes.schema["vector"].dataType.simpleString()
-    spread = compared.mapInArrow(
-        cells(cosine),
-        "size int, block int, cell_x int, cell_y int, visitor boolean, first long, copies long, vector " + kind,
-    )
+    place = "block int, cell_x int, cell_y int, visitor boolean, size int"
+    spread = compared.mapInArrow(cells(cosine, True), f"{place}, first long, copies long, vector {kind}")
+    bare = compared.select("size", "vector").mapInArrow(cells(cosine, False), place)
     cell = ["size", "block", "cell_x", "cell_y"]
-    counts = spread.groupBy(*cell).agg(F.count("*").alias("count"), F.count_if(~F.col("visitor")).alias("home"))
+    counts = bare.groupBy(*cell).agg(F.count("*").alias("count"), F.count_if(~F.col("visitor")).alias("home"))
     counts = saved(counts.where("home > 0 AND count > 1").drop("home"), "vector-cells")
     tiles = tiled(spread, cell, "first", TILE_ROWS, counts)
     found = saved(
