@@ -5,8 +5,8 @@ replaced by a hash of the id, so that equal texts lie side by side. Rounds of
 probes count the exact bytes below candidate boundaries over all partitions and
 narrow each splitter down until it is within tolerance of its target; no key
 passes through the driver, only counts per probe. Candidates lie between groups
-of equal texts as long as that is precise enough; only a group larger than the
-tolerance can be split between two shards.
+of equal texts as long as that is precise enough; only a group that would put a
+shard off by more than the wider tolerance is split.
 """
 
 from collections.abc import Iterator
@@ -23,8 +23,8 @@ from matchlive.workspace import new_run_dir
 
 SHARDS = 40
 ROW_BYTES = 16
-#: A splitter may be off by this part of a shard.
-TOLERANCE = 0.01
+#: A splitter may be off by this part of a shard, and by so much more to keep equal texts together.
+TOLERANCE, GROUP_TOLERANCE = 0.01, 0.04
 #: Shards are sorted in parts of about so many bytes, four at least.
 PART_BYTES = 64 << 20
 PROBES = 16
@@ -103,7 +103,9 @@ def splitters(keys: DataFrame, shards: int, parts: int, tolerance: float = TOLER
             low, high = known[at - 1], known[min(at, len(known) - 1)]
             best = low if target - low.bytes < high.bytes - target else high
             chosen.append(best.key)
-            if abs(best.bytes - target) > off and high.rows - low.rows > 1:
+            alone = low.key >> GROUP_BITS == (high.key - 1) >> GROUP_BITS  # nothing but one group in between
+            most = max(off, GROUP_TOLERANCE * total / shards) if alone else off
+            if abs(best.bytes - target) > most and high.rows - low.rows > 1:
                 probes.update(between(low, high))
         if not probes:
             return np.maximum.accumulate(np.array(chosen, np.int64))
