@@ -11,14 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from matchlive.operators.parse import EVENT_KEY, parse_events
+from matchlive.operators.skew import join_on
+from matchlive.operators.upsert import VERSION
 from matchlive.plans import gold
 from matchlive.schemas import BRONZE, MOMENTUM, SILVER, TEAM_TOTALS, XG_TIMELINE
 from matchlive.sources.log import bronze_rows
-from matchlive.sources.tables import stream_table
+from matchlive.sources.tables import read_table, stream_table
 from matchlive.streaming.change_log import current, refuse_older, write_changes
-from matchlive.streaming.stateful import first_of_chunk, live_momentum
 
 TEAM = ("match_id", "team_name")
+BUCKET = "match_bucket"
+MATCH_BUCKETS = 16
+SECONDS = f"match_id BIGINT, team_name STRING, match_second INT, actions BIGINT, {BUCKET} INT, {VERSION} BIGINT"
 TEAM_MINUTE = (*TEAM, "minute")
 LATENESS = "10 minutes"
 ONCE = {"availableNow": True}
@@ -72,9 +76,7 @@ def start_bronze(
     return _append(bronze_rows(log, match_id), "bronze", path, checkpoint, trigger)
 
 
-def deduplicated(
-    events: DataFrame, lateness: str = LATENESS, forget: bool = False, combine: bool = True
-) -> DataFrame:
+def deduplicated(events: DataFrame, lateness: str = LATENESS, forget: bool = False) -> DataFrame:
     """Streaming events without repeated ids.
 
     An id is never forgotten, so a match that is replayed later does not count
@@ -82,13 +84,7 @@ def deduplicated(
     ``forget`` an id goes once the watermark has passed the event by
     ``lateness``: state is bounded, and what is repeated after that counts
     again. Rows older than the watermark are dropped either way.
-
-    The state is found by shuffling every copy to the key's task. ``combine``
-    first drops copies within each Arrow batch, so that an event repeated very
-    often does not keep one task busy.
     """
-    if combine:
-        events = events.mapInArrow(first_of_chunk, events.schema)
     marked = events.withWatermark("event_time", lateness)
     if forget:
         return marked.dropDuplicatesWithinWatermark(list(EVENT_KEY))
@@ -103,11 +99,10 @@ def start_silver(
     trigger: dict = ONCE,
     lateness: str = LATENESS,
     forget: bool = False,
-    combine: bool = True,
     **options,
 ) -> StreamingQuery:
     events = parse_events(stream_table(spark, bronze_path, BRONZE, **options))
-    kept = deduplicated(events, lateness, forget, combine)
+    kept = deduplicated(events, lateness, forget)
     return _append(kept, "silver", path, checkpoint, trigger)
 
 
@@ -172,11 +167,39 @@ def start_momentum(
 ) -> StreamingQuery:
     """Momentum of the matches with new events.
 
-    Spark's state keeps, per match, the actions of the seconds that can still
-    lie in the time window, so no batch reads Silver's history.
+    Each batch stores its actions per team and second beside the checkpoint, in
+    a folder of its own that a second attempt replaces. The momentum of the
+    matches it touches comes from what all batches up to it have stored; of that
+    only their buckets are read. A finished match is touched no more and costs
+    nothing, and no match is held in one task.
     """
-    silver = silver_stream(spark, silver_path, **options)
-    return _keep_changes(live_momentum(silver), path, checkpoint, trigger)
+    counts = f"{checkpoint}/seconds"
+    checked = False
+
+    def store(rows: DataFrame, batch_id: int) -> None:
+        nonlocal checked
+        if not checked:
+            refuse_older(rows.sparkSession, batch_id, path)
+            checked = True
+        bucket = F.pmod(F.xxhash64("match_id"), F.lit(MATCH_BUCKETS)).alias(BUCKET)
+        added = gold.actions_per_second(rows).select("*", bucket)
+        added.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{counts}/{VERSION}={batch_id}")
+        stored = read_table(rows.sparkSession, counts, SECONDS).filter(F.col(VERSION) <= batch_id)
+        new = stored.filter(F.col(VERSION) == batch_id)
+        buckets = [row[0] for row in new.select(BUCKET).distinct().collect()]  # MATCH_BUCKETS at most
+        if buckets:
+            touched = new.select(*gold.MATCH).distinct()
+            theirs = join_on(stored.filter(F.col(BUCKET).isin(buckets)), touched, gold.MATCH, "left_semi")
+            seconds = theirs.groupBy(*TEAM, "match_second").agg(F.sum("actions").alias("actions"))
+            write_changes(gold.momentum_of(seconds), batch_id, path)
+
+    return (
+        silver_stream(spark, silver_path, **options)
+        .writeStream.foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
 
 
 def current_momentum(spark: SparkSession, path: str) -> DataFrame:

@@ -4,13 +4,9 @@ import datetime
 import json
 import os
 import random
-import subprocess
-import sys
 from pathlib import Path
 
-import pyarrow as pa
 import pytest
-from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from matchlive import __main__ as cli
@@ -18,7 +14,7 @@ from matchlive.operators.upsert import latest_by_key, merge_additive
 from matchlive.plans import gold
 from matchlive.schemas import BRONZE, LOG, SILVER, XG_TIMELINE
 from matchlive.sources.tables import append_version, read_table, stream_table
-from matchlive.streaming import change_log, jobs, stateful
+from matchlive.streaming import change_log, jobs
 from matchlive.workspace import new_run_dir, shared_dir
 
 NOON = datetime.datetime(2024, 1, 1, 12)
@@ -92,21 +88,13 @@ def test_silver_keeps_one_copy_across_batches(pipe):
     assert version is not None and version >= 1
 
 
-@pytest.mark.parametrize("combine", [False, True])
-def test_dropping_copies_early_changes_nothing(pipe, combine):
+def test_copies_within_a_batch_are_dropped(pipe):
     pipe.add(*(shot(n % 7) for n in range(500)), shot(9, period=5), files=2)
-    pipe.silver(combine=combine)
+    pipe.silver()
     rows, _ = pipe.table("silver")
     assert sorted(r.event_id for r in rows.collect()) == [f"e{n}" for n in range(7)]
 
 
-def test_early_copies_keep_the_first(pipe):
-    pipe.add(*(shot(1, second=n) for n in range(60)))
-    pipe.silver()
-    [row] = pipe.table("silver")[0].collect()
-    assert row.second == 0
-
-
 def test_ids_are_forgotten_only_if_wanted(spark, tmp_path):
     counts = {}
     for forget in (False, True):
@@ -232,28 +220,27 @@ def test_momentum_of_random_batches_against_a_loop(pipe):
     assert got == want
 
 
-def test_workers_need_no_package():
-    functions = [stateful.first_of_chunk, stateful.count_per_second, stateful._fold_window]
-    load = "import pickle, sys; print(len(pickle.load(sys.stdin.buffer)), 'matchlive' in sys.modules)"
-    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
-    done = subprocess.run(
-        [sys.executable, "-c", load], input=cloudpickle.dumps(functions), cwd="/", env=environment,
-        capture_output=True, check=True,
-    )
-    assert done.stdout.split() == [b"3", b"False"]
+def test_retried_momentum_batch_counts_once(pipe):
+    for n in (1, 2):
+        pipe.add(shot(n, minute=n))
+        pipe.silver()
+        pipe.gold("momentum")
+    before = sorted(map(tuple, pipe.table("momentum")[0].collect()))
+    pipe.forget_last_commit("momentum")
+    pipe.gold("momentum")
+    assert sorted(map(tuple, pipe.table("momentum")[0].collect())) == before
+    pipe.add(shot(3, minute=3))
+    pipe.silver()
+    pipe.gold("momentum")
+    [row] = pipe.table("momentum")[0].collect()
+    assert row.attacking_actions == 3
 
 
-def test_counts_per_second_keep_what_can_lie_in_the_window():
-    rows = [
-        (1, "A", 100, 1), (1, "A", 100, 1), (1, None, 400, 0), (1, "A", 99, 1),
-        (None, "B", 5, 1), (None, "B", 600, 1), (2, "B", 3, 1),
-    ]
-    names = ["match_id", "team_name", "match_second", "actions"]
-    types = [pa.int64(), pa.string(), pa.int32(), pa.int64()]
-    arrays = [pa.array(values, kind) for values, kind in zip(zip(*rows), types)]
-    [batch] = stateful.count_per_second([pa.record_batch(arrays, names)], 300)
-    got = {tuple(row[n] for n in names) for row in batch.to_pylist()}
-    assert got == {(1, "A", 100, 2), (1, None, 400, 0), (None, "B", 600, 1), (2, "B", 3, 1)}
+def test_momentum_needs_no_python_worker(spark, pipe):
+    pipe.add(shot(1))
+    pipe.silver()
+    rows = gold.actions_per_second(pipe.table("silver")[0])
+    assert "Python" not in rows._jdf.queryExecution().toString()
 
 
 def test_shots_and_batch_agree_after_restarts(pipe):
