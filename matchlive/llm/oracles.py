@@ -1,5 +1,78 @@
 """The operators' queries as DuckDB SQL, where SQL can express them."""
 
+# Shares of character classes and of each language's 40 commonest words, against the mean of the
+# documents that pass the base rules; 20 of these make a reference.
+OP1 = r"""
+WITH w AS (
+  SELECT doc_id, coalesce('=' || lang, 'null') AS lang, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+runs AS (
+  SELECT doc_id, p, array_to_string(words[p:p + 2], ' ') AS k
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS p FROM w)
+),
+again AS (SELECT doc_id, p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k) AS n FROM runs) WHERE n > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT i) AS n FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS i FROM again) GROUP BY doc_id
+),
+lines AS (
+  SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM w
+),
+base AS (
+  SELECT w.doc_id, lang, t, words, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words, length(t) AS n_chars
+  FROM w JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)
+),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base),
+classes AS (
+  SELECT doc_id, lang, base_failed, n_chars, unnest([
+    length(regexp_replace(t, '[^a-z]', '', 'g')), length(regexp_replace(t, '[^A-Z]', '', 'g')),
+    length(regexp_replace(t, '[^0-9]', '', 'g')), length(regexp_replace(t, '[^\x20\x09-\x0D]', '', 'g')),
+    n_symbols, length(regexp_replace(t, '[^!-/:-@\[-`{-~]', '', 'g')) - n_symbols,
+    length(regexp_replace(t, '[^\x00-\x08\x0E-\x1F\x7F]', '', 'g')),
+    length(regexp_replace(t, '[\x00-\x7F]', '', 'g'))]) / greatest(n_chars, 1) AS share, unnest(range(8)) AS place
+  FROM judged
+),
+known AS (
+  SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS place
+  FROM (SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(list_distinct(words)) AS word FROM w) GROUP BY ALL)
+  QUALIFY place <= 40
+),
+times AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(words) AS word FROM w) GROUP BY ALL),
+common AS (
+  SELECT doc_id, judged.lang, base_failed, n_words, place, coalesce(n, 0) / greatest(n_words, 1) AS share
+  FROM judged JOIN known ON known.lang = judged.lang LEFT JOIN times USING (doc_id, word)
+),
+both_ AS (
+  SELECT 'classes' AS kind, doc_id, lang, base_failed, n_chars >= 200 AS long_enough, place, share FROM classes
+  UNION ALL SELECT 'words', doc_id, lang, base_failed, n_words >= 200, place, share FROM common
+  UNION ALL SELECT 'words', doc_id, lang, base_failed, any_value(n_words) >= 200, 0,
+    CASE WHEN any_value(n_words) > 0 THEN 1 - sum(share) ELSE 0 END FROM common GROUP BY doc_id, lang, base_failed
+),
+refs AS (
+  SELECT kind, lang, place, avg(share) AS r FROM both_ WHERE NOT base_failed GROUP BY ALL HAVING count(*) >= 20
+),
+bits AS (
+  SELECT kind, doc_id, long_enough,
+    sum(CASE WHEN share > 0 THEN share * log2(share / ((share + r) / 2)) ELSE 0 END
+      + CASE WHEN r > 0 THEN r * log2(r / ((share + r) / 2)) ELSE 0 END) / 2 AS b
+  FROM both_ JOIN refs USING (kind, lang, place) GROUP BY ALL
+),
+far AS (SELECT kind, doc_id, sqrt(least(1, greatest(0, b))) AS d FROM bits WHERE long_enough),
+found AS (
+  SELECT judged.*, c.d AS class_distance, x.d AS word_distance
+  FROM judged LEFT JOIN far c ON c.doc_id = judged.doc_id AND c.kind = 'classes'
+  LEFT JOIN far x ON x.doc_id = judged.doc_id AND x.kind = 'words'
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+  n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+  round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance,
+  NOT base_failed AND coalesce(class_distance <= 0.25, true) AND coalesce(word_distance <= 0.30, true) AS kept
+FROM found
+"""
+
 # Vectors without a finite direction link with nothing; components by walking links from every vector.
 OP2 = """
 WITH RECURSIVE v AS (

@@ -8,7 +8,8 @@ from matchlive.llm.common import table, text_of
 
 
 def op1_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judged(table(spark, sf_dir, "documents"))
+    found = quality.judged(table(spark, sf_dir, "documents"))
+    return found.withColumns({name: F.round(name, 6) for name in ("class_distance", "word_distance")})
 
 
 def op2_subspace_pigeonhole_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +85,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_distribution_divergence": oracles.OP1,
     "op2_subspace_pigeonhole_join": oracles.OP2,
     "op6_index_first_warc": oracles.OP6,
     "op9_typed_parts_chat": oracles.OP9,
