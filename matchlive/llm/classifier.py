@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchlive.llm.common import Carried, text_of
+from matchlive.llm.common import Carried, small_batches, text_of
 from matchlive.llm.quality import CLASSES, class_counts, repeated_lines, shares
 from matchlive.llm.words import Words, chunks, mix, split
 
@@ -300,7 +300,7 @@ def fit_for_training(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _with_scores(documents: DataFrame, labels: DataFrame, carried: Carried) -> DataFrame:
-    model = trained(documents, labels)
+    model = trained(small_batches(documents), labels)
     names = ("text_score", "meta_score", "score")
     if model is None:
         none = [F.lit(None).cast("double").alias(name) for name in names]

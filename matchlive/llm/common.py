@@ -10,11 +10,25 @@ from matchlive.workspace import new_run_dir
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
+BATCH_SETTING, BATCH_DEFAULT, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(frame: DataFrame) -> DataFrame:
+    """The frame; its session sends Python workers fewer rows at once from now on.
+
+    Texts are long, and a task holds several copies of a batch. A session with a
+    setting of its own keeps it.
+    """
+    conf = frame.sparkSession.conf
+    if conf.get(BATCH_SETTING) == BATCH_DEFAULT:
+        conf.set(BATCH_SETTING, BATCH_ROWS)
+    return frame
+
+
 def saved(frame: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read back.
 

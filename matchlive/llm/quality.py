@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchlive.llm.common import WORD, saved, text_of
+from matchlive.llm.common import WORD, saved, small_batches, text_of
 from matchlive.llm.words import Words, chunks, mix, string_buffers, split, windows
 
 #: Common words per language.
@@ -147,7 +147,7 @@ def measured(documents: DataFrame, common: dict[str, list[str]]) -> DataFrame:
                     }
                 )
 
-    rows = documents.select("doc_id", group_of(), text_of("text").alias("text"))
+    rows = small_batches(documents).select("doc_id", group_of(), text_of("text").alias("text"))
     return rows.mapInArrow(measure, f"doc_id {kind}, group string, {MEASURES}")
 
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlive.llm.common import saved, text_of
+from matchlive.llm.common import saved, small_batches, text_of
 from matchlive.llm.components import components, forest
 from matchlive.llm.tiles import tiled
 from matchlive.llm.words import Words, chunks
@@ -83,7 +83,7 @@ def fingerprints(documents: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
                 values = pa.array(np.concatenate(parts).view(np.int64))
                 yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "fingerprint": values})
 
-    rows = documents.select("doc_id", text_of("text").alias("text"))
+    rows = small_batches(documents).select("doc_id", text_of("text").alias("text"))
     return rows.mapInArrow(digest, f"doc_id {kind}, fingerprint long")
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchlive.llm.common import Carried, saved, text_of
+from matchlive.llm.common import Carried, saved, small_batches, text_of
 from matchlive.llm.words import Words, chunks, mix, windows
 
 WINDOW = 50
@@ -233,7 +233,7 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     a bucket besides.
     """
     block = window // 2
-    rows = documents.select("doc_id", text_of("text").alias("text")).where("doc_id IS NOT NULL")
+    rows = small_batches(documents).select("doc_id", text_of("text").alias("text")).where("doc_id IS NOT NULL")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(min(MOST_BUCKETS, max(64, total // BUCKET_BYTES)))
     first = rows.mapInArrow(gatherer(lambda batch: anchors(batch, block, window), buckets, PROBE_BYTES), PACK)

@@ -11,7 +11,7 @@ import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlive.llm.common import text_of
+from matchlive.llm.common import small_batches, text_of
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
@@ -116,4 +116,5 @@ def cut(documents: DataFrame, most: int, path: str = VOCABULARY, end_id: int = E
             }
             yield pa.RecordBatch.from_pydict(columns | ({"ids": pa.array(data, pa.binary())} if ids else {}))
 
-    return documents.select("doc_id", text_of("text").alias("text")).mapInArrow(pieces, schema)
+    rows = small_batches(documents).select("doc_id", text_of("text").alias("text"))
+    return rows.mapInArrow(pieces, schema)

@@ -15,7 +15,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlive.llm.common import saved, text_of
+from matchlive.llm.common import saved, small_batches, text_of
 from matchlive.workspace import new_run_dir
 
 #: Equal payloads of fewer bytes are all stored.
@@ -101,7 +101,7 @@ def write_archives(pages: DataFrame) -> DataFrame:
     never referred to; a null URL has no target. Extra columns are left out.
     """
     payload = text_of("html")
-    rows = pages.select("page_id", "url", payload.alias("html"), F.sha2(payload, 256).alias("digest"))
+    rows = small_batches(pages).select("page_id", "url", payload.alias("html"), F.sha2(payload, 256).alias("digest"))
     again = saved(revisits(rows.withColumn("size", F.octet_length("html"))), "revisits")
     few = again.limit(BROADCAST_REVISITS + 1).count() <= BROADCAST_REVISITS
     marked = rows.join(F.broadcast(again) if few else again, ["page_id", "digest"], "left")

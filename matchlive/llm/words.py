@@ -9,7 +9,7 @@ import pyarrow as pa
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: Bytes of text handled at once, unless one text alone is longer.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 #: Bytes of words hashed at once.
 HASH_BYTES = 1 << 19
 
