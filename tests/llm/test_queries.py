@@ -1,9 +1,14 @@
+import os
+import subprocess
+import sys
+
 import duckdb
 import pytest
+from pyspark import cloudpickle
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from matchlive.llm import queries
+from matchlive.llm import chat, classifier, embeddings, packing, quality, queries, simhash, substring, tokens, warc
 
 FOLDER = "/root/testdata/sf0.01"
 TABLES = ("documents", "embeddings", "pages", "conversations")
@@ -52,3 +57,18 @@ def test_pipeline_over_no_documents(spark, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{FOLDER}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_workers_need_no_package():
+    functions = [
+        substring.resolver(5, True), substring.gatherer(substring.anchors, 64, 5), simhash.verifier(2),
+        embeddings.compare(0.95), embeddings.cells(0.95, True), quality.divergence, packing.plan, warc.parsed,
+        tokens.tokenizer, classifier.co_train, chat.segment,
+    ]
+    load = "import pickle, sys; print(len(pickle.load(sys.stdin.buffer)), 'matchlive' in sys.modules)"
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", load], input=cloudpickle.dumps(functions), cwd="/", env=environment,
+        capture_output=True, check=True,
+    )
+    assert done.stdout.split() == [b"11", b"False"]
