@@ -3,6 +3,7 @@
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -15,8 +16,8 @@ from matchlive.llm.common import small_batches, text_of
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
-#: Words whose ids a worker remembers before it starts anew.
-CACHED_WORDS = 600_000
+#: Words whose ids a worker remembers, and those it keeps when there are more, and between tasks.
+CACHED_WORDS, KEPT_WORDS = 200_000, 80_000
 #: Latin letters in composed form, then ASCII marks without the apostrophe of contractions:
 #: the vocabulary cuts between the two, and its normal form only changes case.
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
@@ -52,13 +53,17 @@ class WordTokenizer:
             return b"".join([self.known[run] for run in runs])
         except KeyError:
             if len(self.known) > CACHED_WORDS:
-                self.known.clear()
-                self.cores.clear()
+                self.forget()
             for run in set(runs):
                 if run not in self.known:
                     self.known[run] = self._run(run)
             return b"".join([self.known[run] for run in runs])
 
+    def forget(self) -> None:
+        """Keeps the words seen first, as common words are."""
+        self.known = dict(islice(self.known.items(), KEPT_WORDS))
+        self.cores = dict(islice(self.cores.items(), KEPT_WORDS))
+
     def _run(self, run: bytes) -> bytes:
         plain = PLAIN.fullmatch(text := run.decode())
         if plain is None:
@@ -115,6 +120,7 @@ def cut(documents: DataFrame, most: int, path: str = VOCABULARY, end_id: int = E
                 "ids_crc32": pa.array(check, pa.int64()),
             }
             yield pa.RecordBatch.from_pydict(columns | ({"ids": pa.array(data, pa.binary())} if ids else {}))
+        tokenizer(path).forget()
 
     rows = small_batches(documents).select("doc_id", text_of("text").alias("text"))
     return rows.mapInArrow(pieces, schema)
