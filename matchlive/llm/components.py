@@ -38,18 +38,19 @@ def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node of ``links`` (a, b; long); component is the smallest node reached.
 
     Large-star and small-star steps in turn: neighbours are tied to the smallest
-    node around them until only stars are left. Each round is written to the
-    shared folder. Minima are combined before the shuffle, and joins on them
-    have one row per node on one side, so that a node with many links can be
-    split among tasks.
+    node around them until only stars are left. Minima are combined before the
+    shuffle. They are written to the shared folder before rows are joined to
+    them, so that the join has plain shuffles on both sides and adaptive
+    execution can split the rows of a node with very many links.
     """
     real = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     stars, known = saved(real.mapInArrow(contracted, "a long, b long"), "links"), None
     while True:
         both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        parent = large.groupBy("a").agg(F.min("b").alias("m"))
+        near = both.where("b > a").join(saved(lowest, "lowest"), "a")
+        large = saved(near.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large-stars")
+        parent = saved(large.groupBy("a").agg(F.min("b").alias("m")), "parents")
         others = large.join(parent, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = others.unionByName(parent.select("a", F.col("m").alias("b"))).distinct()
         stars = saved(small, "stars")
