@@ -1,14 +1,14 @@
 """Quality by co-training: one classifier reads the text, another only what is known about the page.
 
 Both are logistic regressions, fitted on a bounded sample of labelled documents.
-In each round either view scores a bounded pool of unlabelled documents, and
-those it is sure of become training documents of the other view. Each view is
-calibrated, and the calibrated views combined, on labelled documents that
+In each round either view scores all unlabelled documents, and those it is surest
+of, and has not lent before, become training documents of the other view. Each
+view is calibrated, and the calibrated views combined, on labelled documents that
 neither has been trained on. The combined score is then computed for every
 document.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -16,22 +16,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchlive.llm.common import Carried, small_batches, text_of
+from matchlive.llm.common import Carried, saved, small_batches, text_of
 from matchlive.llm.quality import CLASSES, class_counts, repeated_lines, shares
 from matchlive.llm.words import Words, chunks, mix, split
 
-#: Labelled documents used, a quarter of them for calibration only, and unlabelled ones.
-LABELLED, POOL = 10_000, 4_000
+#: Labelled documents used, a quarter of them for calibration only, and rows whose products are held at once.
+LABELLED, POOL = 16_000, 4_000
 TEXT_BITS = 18
 META_BITS = 12
 ROUNDS = 3
-#: A view lends a document to the other from this calibrated probability on, and so many a round.
+#: A view lends a document to the other from this calibrated probability on, and so many of either class a round.
 CONFIDENCE, LENT = 0.97, 1_000
 STEPS, RATE, PENALTY = 150, 0.5, 1e-4
 #: Steps from weights of the round before.
 MORE_STEPS = 50
 #: Places that fewer training rows have are left out.
-LEAST_ROWS = 8
+LEAST_ROWS = 3
 #: The threshold keeps this share of the good calibration documents at least.
 KEEP_GOOD = 0.99
 SHAPES = CLASSES + 5
@@ -56,8 +56,17 @@ class Rows(NamedTuple):
     value: np.ndarray
 
     def times(self, weights: np.ndarray) -> np.ndarray:
-        sums = np.concatenate(([0.0], np.cumsum(self.value * weights[self.at])))
-        return sums[self.first[1:]] - sums[self.first[:-1]]
+        out = np.zeros(len(self.first) - 1)
+        for low, part in self.blocks():
+            first = self.first[low : low + POOL + 1] - part.start
+            sums = np.concatenate(([0.0], np.cumsum(self.value[part] * weights[self.at[part]])))
+            out[low : low + POOL] = sums[first[1:]] - sums[first[:-1]]
+        return out
+
+    def blocks(self) -> Iterator[tuple[int, slice]]:
+        """Number of the first of POOL rows, and their places."""
+        for low in range(0, len(self.first) - 1, POOL):
+            yield low, slice(self.first[low], self.first[min(low + POOL, len(self.first) - 1)])
 
     def row_numbers(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1, dtype=np.int32), np.diff(self.first))
@@ -155,7 +164,9 @@ def fitted(rows: Rows, good: np.ndarray, places: int, weights: np.ndarray | None
     number = rows.row_numbers()
     for step in range(1, steps + 1):
         error = (sigmoid(rows.times(weights)) - good) * balance
-        slope = np.bincount(rows.at, rows.value * error[number], places) + PENALTY * weights
+        slope = PENALTY * weights
+        for _, part in rows.blocks():
+            slope += np.bincount(rows.at[part], rows.value[part] * error[number[part]], places)
         mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope**2
         weights -= RATE / np.sqrt(step) * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)
     return weights
@@ -193,27 +204,62 @@ class Model(NamedTuple):
         return sigmoid(one), sigmoid(other), sigmoid(both)
 
 
+class Lent(NamedTuple):
+    """Documents lent to a view: their keys, their features there, and what the other view takes them for."""
+
+    key: np.ndarray
+    rows: Rows
+    good: np.ndarray
+
+    def plus(self, key: np.ndarray, rows: Rows, good: np.ndarray) -> "Lent":
+        return Lent(np.append(self.key, key), stacked(self.rows, rows), np.append(self.good, good))
+
+
+NOTHING = Rows(np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32))
+#: From weights and calibrations of both views, and what either has been lent, to what either has then.
+Lending = Callable[[list[np.ndarray], list[np.ndarray], list[Lent]], list[Lent]]
+
+
+def margins(rows: Rows, weights: np.ndarray, scale: np.ndarray, key: np.ndarray, lent: np.ndarray) -> np.ndarray:
+    """Calibrated scores on the logistic scale; 0 for documents that are unsure or lent already."""
+    margin = scale[0] * rows.times(weights) + scale[1]
+    sure = np.abs(margin) >= np.log(CONFIDENCE / (1 - CONFIDENCE))
+    return np.where(sure & ~np.isin(key, lent), margin, 0.0)
+
+
 def co_train(text: Rows, meta: Rows, good: np.ndarray, pool_text: Rows, pool_meta: Rows) -> Model:
+    """Trains both views on rows with an outcome and a pool at hand."""
+    pools, key = (pool_text, pool_meta), np.arange(len(pool_text.first) - 1)
+
+    def lend(weights: list[np.ndarray], scales: list[np.ndarray], lent: list[Lent]) -> list[Lent]:
+        out = []
+        for view, giver in ((0, 1), (1, 0)):
+            margin = margins(pools[giver], weights[giver], scales[giver], key, lent[view].key)
+            order = np.argsort(-np.abs(margin), kind="stable")
+            chosen = np.concatenate([order[margin[order] > 0][:LENT], order[margin[order] < 0][:LENT]])
+            out.append(lent[view].plus(chosen, pools[view].take(chosen), margin[chosen] > 0))
+        return out
+
+    return co_trained(text, meta, good, lend)
+
+
+def co_trained(text: Rows, meta: Rows, good: np.ndarray, lend: Lending) -> Model:
     """Trains both views on three quarters of the rows; the fourth calibrates and sets the threshold."""
     held = np.arange(len(good)) % 4 == 3
-    views = [(text, pool_text, (1 << TEXT_BITS) + SHAPES), (meta, pool_meta, (1 << META_BITS) + 1)]
-    lent: list[dict[int, bool]] = [{}, {}]
+    views = [(text, (1 << TEXT_BITS) + SHAPES), (meta, (1 << META_BITS) + 1)]
+    lent = [Lent(np.zeros(0, np.int64), NOTHING, np.zeros(0, bool)) for _ in views]
     weights: list[np.ndarray | None] = [None, None]
     scales = [np.zeros(2), np.zeros(2)]
     own = np.flatnonzero(~held)
     for round_ in range(ROUNDS + 1):
-        for view, (rows, pool, places) in enumerate(views):
-            added = np.array(sorted(lent[view]), np.int64)
-            joined = stacked(rows.take(own), pool.take(added))
-            outcome = np.concatenate([good[own], np.array([lent[view][i] for i in added], bool)])
+        for view, (rows, places) in enumerate(views):
+            joined = stacked(rows.take(own), lent[view].rows)
+            outcome = np.concatenate([good[own], lent[view].good])
             weights[view] = fitted(joined, outcome, places, weights[view])
             scales[view] = calibrated(rows.take(np.flatnonzero(held)).times(weights[view]), good[held])
-        for view, (_, pool, _) in enumerate(views if round_ < ROUNDS else ()):
-            p = sigmoid(scales[view][0] * pool.times(weights[view]) + scales[view][1])
-            sure = np.argsort(-np.abs(p - 0.5), kind="stable")[:LENT]
-            for i in sure[np.maximum(p, 1 - p)[sure] >= CONFIDENCE]:
-                lent[1 - view].setdefault(int(i), bool(p[i] >= 0.5))
-    raw = [rows.take(np.flatnonzero(held)).times(weights[view]) for view, (rows, _, _) in enumerate(views)]
+        if round_ < ROUNDS:
+            lent = lend(weights, scales, lent)
+    raw = [rows.take(np.flatnonzero(held)).times(weights[view]) for view, (rows, _) in enumerate(views)]
     logits = np.column_stack([scales[view][0] * raw[view] + scales[view][1] for view in (0, 1)])
     combine = calibrated(logits, good[held])
     model = Model(weights[0], weights[1], scales[0], scales[1], combine, 0.5)
@@ -229,10 +275,11 @@ def stacked(one: Rows, other: Rows) -> Rows:
     )
 
 
-def sampled(documents: DataFrame, ids: DataFrame) -> tuple[np.ndarray, Rows, Rows]:
-    """Ids and features of the documents in ``ids``, at most LABELLED or POOL, in order of the id."""
-    rows = documents.select("doc_id", text_of("text").alias("text"), *meta_columns())
-    rows = rows.join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi")
+def sampled(documents: DataFrame, key: Column, keys: Sequence[int]) -> tuple[np.ndarray, Rows, Rows]:
+    """Keys and features of the documents with these keys, in order of the key; one with each key."""
+    ids = documents.sparkSession.createDataFrame([(int(i),) for i in keys], "key long")
+    rows = documents.select(key.cast("long").alias("key"), text_of("text").alias("text"), *meta_columns())
+    rows = rows.join(F.broadcast(ids), "key", "left_semi")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,12 +290,12 @@ def sampled(documents: DataFrame, ids: DataFrame) -> tuple[np.ndarray, Rows, Row
                     pa.ListArray.from_arrays(pa.array(found.first, pa.int32()), pa.array(values))
                     for values in (found.at, found.value)
                 ]
-                kept = [part.column(name) for name in ("doc_id", *META)]
-                yield pa.RecordBatch.from_arrays([*kept, *lists], names=["doc_id", *META, "at", "value"])
+                kept = [part.column(name) for name in ("key", *META)]
+                yield pa.RecordBatch.from_arrays([*kept, *lists], names=["key", *META, "at", "value"])
 
-    schema = "doc_id long, " + ", ".join(f"{name} long" for name in META) + ", at array<int>, value array<float>"
+    schema = "key long, " + ", ".join(f"{name} long" for name in META) + ", at array<int>, value array<float>"
     table = rows.mapInArrow(features, schema).toArrow().combine_chunks()
-    ids_, first = np.unique(table.column("doc_id").to_numpy(), return_index=True)  # repeated ids count once
+    ids_, first = np.unique(table.column("key").to_numpy(), return_index=True)  # repeated keys count once
     at, value = table.column("at").combine_chunks(), table.column("value").combine_chunks()
     text = Rows(np.concatenate(([0], np.cumsum(at.value_lengths().to_numpy()))).astype(np.int64),
                 at.flatten().to_numpy(), value.flatten().to_numpy())
@@ -256,29 +303,83 @@ def sampled(documents: DataFrame, ids: DataFrame) -> tuple[np.ndarray, Rows, Row
     return ids_, text.take(first), meta_rows(columns[first])
 
 
+def row_key() -> Column:
+    """Rows with one id and the same features are one document, rows without an id too."""
+    return F.xxhash64("doc_id", text_of("text"), *meta_columns())
+
+
+def sure_documents(documents: DataFrame, labels: DataFrame, weights: list[np.ndarray], scales: list[np.ndarray],
+                   lent: list[Lent]) -> DataFrame:
+    """(key, metadata, text_margin, meta_margin) of every unlabelled document that a view can lend."""
+    lent_by_text, lent_by_meta = lent[1].key, lent[0].key
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = np.column_stack([batch.column(name).to_numpy() for name in META])
+            keys = batch.column("key").to_numpy()
+            for low, high, words in chunks(batch.column("text")):
+                key = keys[low:high]
+                by_text = margins(text_rows(words), weights[0], scales[0], key, lent_by_text)
+                by_meta = margins(meta_rows(columns[low:high]), weights[1], scales[1], key, lent_by_meta)
+                out = batch.slice(low, high - low).select(["doc_id", "key", *META])
+                out = out.append_column("text_margin", pa.array(by_text)).append_column("meta_margin", pa.array(by_meta))
+                yield out.filter(pa.array((by_text != 0) | (by_meta != 0)))
+
+    rows = documents.select(F.col("doc_id").cast("long"), row_key().alias("key"), text_of("text").alias("text"), *meta_columns())
+    metas = ", ".join(f"{name} long" for name in META)
+    found = rows.mapInArrow(score, f"doc_id long, key long, {metas}, text_margin double, meta_margin double")
+    # rows without an id match no label; their own hash spreads them
+    found = found.withColumn("spread", F.when(F.col("doc_id").isNull(), F.col("key")).otherwise(F.lit(0)))
+    known = labels.where(LABEL).select(F.col("doc_id").cast("long"), F.lit(0).cast("long").alias("spread"))
+    return saved(found.join(known, ["doc_id", "spread"], "left_anti").drop("doc_id", "spread"), "sure-documents")
+
+
+def lending(documents: DataFrame, labels: DataFrame) -> Lending:
+    """Either view lends the other the LENT documents of either class that it is surest of, of the whole table."""
+
+    def lend(weights: list[np.ndarray], scales: list[np.ndarray], lent: list[Lent]) -> list[Lent]:
+        sure, out = sure_documents(documents, labels, weights, scales, lent), []
+        for view, margin in enumerate(("meta_margin", "text_margin")):
+            chosen = []
+            for of_class in (F.col(margin) > 0, F.col(margin) < 0):
+                some = sure.where(of_class).select("key", *META, margin).distinct()
+                chosen += some.orderBy(F.abs(margin).desc(), "key").limit(LENT).collect()
+            if not chosen:
+                out.append(lent[view])
+                continue
+            good = {row["key"]: row[margin] > 0 for row in chosen}
+            if view == 0:
+                key, rows, _ = sampled(documents, row_key(), list(good))
+            else:
+                key = np.array([row["key"] for row in chosen], np.int64)
+                rows = meta_rows(np.array([[row[name] for name in META] for row in chosen], np.int64))
+            out.append(lent[view].plus(key, rows, np.array([good[int(i)] for i in key], bool)))
+        return out
+
+    return lend
+
+
+#: Labels that count.
+LABEL = "doc_id IS NOT NULL AND quality IS NOT NULL"
+
+
 def trained(documents: DataFrame, labels: DataFrame) -> Model | None:
     """The model, or none if the labelled documents are not of both kinds.
 
     Good is quality 1 and not toxic. Labels without an id or quality do not
     count; of several for one id the lowest does.
     """
-    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id")
+    known = labels.where(LABEL).groupBy("doc_id")
     good = ((F.min("quality") > 0) & (F.max(F.coalesce("toxic", F.lit(0))) == 0)).alias("good")
     known = known.agg(good).join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
     order = F.xxhash64(F.lit("sample"), "doc_id")
     outcome = {row["doc_id"]: row["good"] for row in known.orderBy(order, "doc_id").limit(LABELLED).collect()}
     if len(set(outcome.values())) < 2 or len(outcome) < 16:
         return None
-    spark = documents.sparkSession
-    others = documents.select("doc_id").where("doc_id IS NOT NULL").join(labels, "doc_id", "left_anti").distinct()
-    pool_ids = [row["doc_id"] for row in others.orderBy(order, "doc_id").limit(POOL).collect()]
-    as_table = lambda ids: spark.createDataFrame([(i,) for i in ids], "doc_id long")
-    both, text, meta = sampled(documents, as_table([*outcome, *pool_ids]))
-    labelled = np.array([int(i) in outcome for i in both])
-    chosen, pool = np.flatnonzero(labelled), np.flatnonzero(~labelled)
-    chosen = chosen[np.argsort(mix(both[chosen].astype(np.uint64)), kind="stable")]
-    truth = np.array([outcome[int(i)] for i in both[chosen]])
-    return co_train(text.take(chosen), meta.take(chosen), truth, text.take(pool), meta.take(pool))
+    ids, text, meta = sampled(documents, F.col("doc_id"), list(outcome))
+    order = np.argsort(mix(ids.astype(np.uint64)), kind="stable")
+    truth = np.array([outcome[int(i)] for i in ids[order]])
+    return co_trained(text.take(order), meta.take(order), truth, lending(documents, labels))
 
 
 def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:

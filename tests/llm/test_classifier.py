@@ -82,3 +82,39 @@ def test_calibration_is_near_the_shares():
     good = rng.random(4000) < C.sigmoid(2 * scores - 1)
     scale = C.calibrated(scores, good)
     assert abs(scale[0] - 2) < 0.3 and abs(scale[1] + 1) < 0.2
+
+
+def lent_in_rounds(spark, monkeypatch, rows, labels):
+    """What the views have after each round, with 5 documents of either class lent a round."""
+    monkeypatch.setattr(C, "LENT", 5)
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").repartition(4)
+    found, lending = [], C.lending
+
+    def watched(*tables):
+        lend = lending(*tables)
+
+        def watch(*state):
+            found.append(lend(*state))
+            return found[-1]
+
+        return watch
+
+    monkeypatch.setattr(C, "lending", watched)
+    assert C.trained(documents, spark.createDataFrame(labels, LABELS)) is not None
+    return found
+
+
+def test_every_unlabelled_document_can_be_lent(spark, monkeypatch):
+    """New documents of both classes each round, from the whole table, rows without an id or a label that counts too."""
+    text = lambda good: ("fine " if good else "bad ") * 9
+    row = lambda i, key: (key, f"{text(i % 2)} w{i}", "en", "a" if i % 2 else "b", 50)
+    monkeypatch.setattr(C, "POOL", 8)
+    rows = [row(i, i) for i in range(800)] + [row(800 + i, None if i % 3 else 800 + i) for i in range(60)]
+    labels = [(i, i % 2, 0) for i in range(800)] + [(800 + i, None, 0) for i in range(60)]
+    rounds = lent_in_rounds(spark, monkeypatch, rows + rows[:30] + rows[-9:], labels)
+    assert len(rounds) == C.ROUNDS
+    for number, lent in enumerate(rounds, 1):
+        for view in lent:
+            assert len(set(view.key.tolist())) == len(view.key) == 10 * number
+            assert view.good.sum() == 5 * number
+            assert len(view.rows.first) - 1 == len(view.key)
