@@ -6,6 +6,7 @@ documents, and a bounded knapsack over sizes spends what is left. Which
 documents of a size are taken is set by a seeded hash of their id.
 """
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -19,8 +20,10 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 REPEATS = 2
 SEED = "mix-42"
-#: The knapsack handles rests of at most so many words; larger rests are first cut by whole documents.
+#: Rests above so many words, and above four of the largest document, are first cut by whole documents.
 KNAPSACK_WORDS = 1 << 16
+#: Where that is not exact, the knapsack goes over all documents if no sum that counts has more words.
+EXACT_WORDS = 1 << 25
 
 
 def water_fill(sizes: Sequence[int], weights: Sequence[float], total: float, most: float) -> list[float]:
@@ -43,6 +46,9 @@ def chosen_counts(sizes: np.ndarray, counts: np.ndarray, budget: float) -> np.nd
     """How many documents of each size to take so that their words come closest to ``budget``.
 
     ``sizes`` are distinct and positive. Of sums equally close the smaller wins.
+    Proportional shares come first, which documents cover exactly where there
+    are many; where they do not, all choices are compared up to EXACT_WORDS.
+    Beyond, those are compared that add to the shares and to the largest documents.
     """
     total = int((sizes * counts).sum())
     if budget <= 0 or not total:
@@ -50,34 +56,55 @@ def chosen_counts(sizes: np.ndarray, counts: np.ndarray, budget: float) -> np.nd
     take = np.floor(counts * min(1.0, budget / total)).astype(np.int64)
     rest = budget - float((take * sizes).sum())
     for i in np.argsort(-sizes, kind="stable"):
-        if rest <= KNAPSACK_WORDS:
+        bound = max(KNAPSACK_WORDS, 4 * int(sizes[take < counts].max(initial=0)))
+        if rest <= bound:
             break
-        if take[i] < counts[i] and sizes[i] <= rest:
-            more = min(counts[i] - take[i], int((rest - KNAPSACK_WORDS) // sizes[i]) + 1, int(rest // sizes[i]))
+        if take[i] < counts[i]:
+            more = min(int(counts[i] - take[i]), int((rest - bound) // sizes[i]) + 1)
             take[i] += more
             rest -= float(more * sizes[i])
-    return take + _knapsack(sizes, counts - take, rest)
+    take += _knapsack(sizes, counts - take, rest)
+    words = int((take * sizes).sum())
+    if words != _nearest(budget) and _limit(sizes, counts, budget) <= EXACT_WORDS:
+        other = _knapsack(sizes, counts, budget)
+        other_words = int((other * sizes).sum())
+        if (abs(other_words - budget), other_words) < (abs(words - budget), words):
+            return other
+    return take
+
+
+def _nearest(budget: float) -> int:
+    """The whole number nearest to the budget, the smaller of two."""
+    return math.ceil(budget - 0.5)
+
+
+def _limit(sizes: np.ndarray, counts: np.ndarray, budget: float) -> int:
+    """The largest sum that can be the closest: without any of its documents, larger ones would be closer."""
+    return int(min(2 * budget, budget + int(sizes[counts > 0].max(initial=0)))) + 1
 
 
 def _knapsack(sizes: np.ndarray, counts: np.ndarray, budget: float) -> np.ndarray:
     """Bounded knapsack: bit s of ``reached`` is set if some choice has s words."""
     taken = np.zeros(len(sizes), np.int64)
-    limit = int(min(2 * budget, 2 * KNAPSACK_WORDS)) + 1
+    limit = _limit(sizes, counts, budget)
     usable = [i for i in np.argsort(-sizes, kind="stable") if 0 < sizes[i] <= limit and counts[i] > 0]
     if budget <= 0 or not usable:
         return taken
     reached, everything = 1, (1 << (limit + 1)) - 1  # the empty choice has 0 words
-    first = np.full(limit + 1, -1, np.int64)
+    first = np.full(limit + 1, -1, np.int32)
     steps: list[tuple[int, int]] = []
-    wanted = 1 << int(round(budget))
+    wanted = 1 << _nearest(budget)
     for i in usable:
         left, copies = min(int(counts[i]), limit // int(sizes[i])), 1
         while left and not reached & wanted:
             copies = min(copies, left)
             new = (reached << int(sizes[i]) * copies) & everything & ~reached
             if new:
-                data = np.frombuffer(new.to_bytes(limit // 8 + 1, "little"), np.uint8)
-                first[np.flatnonzero(np.unpackbits(data, bitorder="little")[: limit + 1])] = len(steps)
+                data = np.frombuffer(new.to_bytes((limit // 64 + 1) * 8, "little"), "<u8")
+                some = np.flatnonzero(data)  # each sum is new once, so that few bits are unpacked a step
+                bits = np.unpackbits(data[some].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                row, bit = np.nonzero(bits)
+                first[some[row] * 64 + bit] = len(steps)
                 reached |= new
             steps.append((i, copies))
             left, copies = left - copies, copies * 2

@@ -83,3 +83,38 @@ def test_one_size_in_a_third_of_the_rows(spark):
     frame = spark.range(3000).selectExpr("id AS doc_id", "'s' AS source", "if(id % 3 = 0, 'a b', repeat('w ', 1 + id % 40)) AS text")
     rows = mixing.mix(frame, share=0.5).collect()
     assert abs(sum(r["size"] * r["copies"] for r in rows) - rows[0]["target"]) <= 1
+
+
+def test_few_long_documents_come_closest():
+    rng = np.random.default_rng(8)
+    cases = [([1_000_000], [1], 900_000), ([140_000, 150_000, 200_000], [1, 1, 1], 290_000)]
+    cases += [([45_000, 50_000, 60_000], [1, 1, 1], 95_000), ([7, 10], [3, 3], 21), ([3], [1], 1.5), ([1, 3], [1, 1], 1.5)]
+    for most in (40, 70_000, 200_000, 1_500_000):
+        for _ in range(6):
+            sizes, counts = np.sort(rng.choice(most, 5, replace=False) + 1), rng.integers(1, 4, 5)
+            cases.append((sizes, counts, float(rng.integers(1, int((sizes * counts).sum()) + 1))))
+    for sizes, counts, budget in cases:
+        sizes, counts = np.array(sizes), np.array(counts)
+        got = mixing.chosen_counts(sizes, counts, budget)
+        sums = [int(np.dot(t, sizes)) for t in itertools.product(*[range(c + 1) for c in counts])]
+        best = min((abs(s - budget), s) for s in sums)
+        assert (got >= 0).all() and (got <= counts).all()
+        assert (abs(int(np.dot(got, sizes)) - budget), int(np.dot(got, sizes))) == best
+
+
+def test_many_long_documents_come_close_without_all_choices(monkeypatch):
+    monkeypatch.setattr(mixing, "EXACT_WORDS", 0)
+    rng = np.random.default_rng(9)
+    sizes = np.unique(rng.integers(140_000, 900_000, 60))
+    counts = rng.integers(1, 3, len(sizes))
+    for share in (0.02, 0.4, 0.9):
+        budget = share * float((sizes * counts).sum())
+        taken = mixing.chosen_counts(sizes, counts, budget)
+        assert (taken <= counts).all() and (taken >= 0).all()
+        assert abs((taken * sizes).sum() - budget) <= 1000
+
+
+def test_source_of_long_documents_gets_its_target(spark):
+    frame = spark.createDataFrame([(1, "s", 200_000), (2, "s", 150_000), (3, "s", 140_000)], "doc_id long, source string, n int")
+    rows = mixing.mix(frame.selectExpr("doc_id", "source", "repeat('w ', n) AS text"), share=29 / 49).collect()
+    assert sum(row["size"] * row["copies"] for row in rows) == 290_000
