@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlive.llm.common import WORD, numbered, parts_for, saved
+from matchlive.llm.common import WORD, Carried, numbered, parts_for, saved
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -155,6 +155,21 @@ def mix(
     are left out. No documents give no rows.
     """
     rows = saved(documents.select("doc_id", "source", source_key(), word_count().alias("__size")), "mix-sizes")
+    return taken(rows, weights, share, repeats, seed).select(
+        "doc_id",
+        F.col("__source").alias("source_key"),
+        F.col("__size").alias("size"),
+        F.col("__source_size").alias("source_size"),
+        F.col("__target").alias("target"),
+        F.col("__copies").alias("copies"),
+    )
+
+
+def taken(
+    rows: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, repeats: float = REPEATS,
+    seed: str = SEED,
+) -> DataFrame:
+    """Adds ``__source_size``, ``__target`` and ``__copies`` to saved rows of id, source, its key and size."""
     histogram = saved(rows.groupBy("source", "__source", "__size").agg(F.count("*").alias("__count")), "mix-counts")
     sums = histogram.groupBy("source", "__source").agg(F.sum(F.col("__size") * F.col("__count")).alias("__source_size"))
     targets = source_targets(sums, weights, share, repeats)
@@ -172,14 +187,8 @@ def mix(
         rows.drop("source"), ["__source", "__size"], [F.lit(seed), F.col("doc_id")], parts_for(total), "__rank"
     )
     copies = F.col("__whole") + (F.col("__rank") < F.col("__extra")).cast("long")
-    return ranked.join(plan, ["__source", "__size"]).select(
-        "doc_id",
-        F.col("__source").alias("source_key"),
-        F.col("__size").alias("size"),
-        F.col("__source_size").alias("source_size"),
-        F.col("__target").alias("target"),
-        F.when(F.col("__size") > 0, copies).otherwise(F.lit(0)).cast("long").alias("copies"),
-    )
+    copies = F.when(F.col("__size") > 0, copies).otherwise(F.lit(0)).cast("long")
+    return ranked.join(plan, ["__source", "__size"]).withColumn("__copies", copies)
 
 
 def source_key():
@@ -194,14 +203,15 @@ def word_count():
 def mixed_documents(documents: DataFrame, **settings) -> DataFrame:
     """The documents of the mix with their columns, each as often as it is taken.
 
-    Rows that share id, source and size share their copies evenly.
+    Each row has a key of its own, so that rows without an id, and rows that share
+    one, get the copies that the mix gives them.
     """
-    taken = mix(documents, **settings).groupBy("doc_id", "source_key", "size")
-    taken = taken.agg(F.floor(F.sum("copies") / F.count("*")).cast("int").alias("__copies")).where("__copies > 0")
-    keyed = taken.select(
-        F.col("doc_id").alias("__id"), F.col("source_key").alias("__key"), F.col("size").alias("__size"), "__copies"
+    whole = Carried(documents)
+    keyed = documents.select(
+        *whole.columns, source_key(), word_count().alias("__size"), F.monotonically_increasing_id().alias("__row")
     )
-    same = (F.col("doc_id") == F.col("__id")) & (F.col("__key") == source_key()) & (F.col("__size") == word_count())
-    joined = documents.join(keyed, same)
-    copies = F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy")
-    return joined.select(*[F.col(f"`{name}`") for name in documents.columns], copies).drop("__copy")
+    kept = saved(keyed, "mix-documents")  # from here on the keys stay the same
+    own = [F.col(whole[name]).alias(name) for name in ("doc_id", "source")]
+    copies = taken(kept.select(*own, "__source", "__size", "__row"), **settings).where("__copies > 0")
+    joined = kept.join(copies.select("__row", "__copies"), "__row")
+    return whole.restored(joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))))

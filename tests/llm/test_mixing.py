@@ -118,3 +118,23 @@ def test_source_of_long_documents_gets_its_target(spark):
     frame = spark.createDataFrame([(1, "s", 200_000), (2, "s", 150_000), (3, "s", 140_000)], "doc_id long, source string, n int")
     rows = mixing.mix(frame.selectExpr("doc_id", "source", "repeat('w ', n) AS text"), share=29 / 49).collect()
     assert sum(row["size"] * row["copies"] for row in rows) == 290_000
+
+
+def test_what_is_emitted_is_what_is_taken(spark):
+    """Rows without an id, and rows with one id, source and size, of which not all get as many copies."""
+    rows = [(None, f"x{i} " + "w " * (i % 7), "a") for i in range(50)] + [(None, "n " * 5, None), (None, "m " * 6, "b")]
+    rows += [(i % 9, f"y{i} z", "ab"[i % 2]) for i in range(60)] + [(100 + i, "v " * (1 + i % 9), "b") for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    for share, repeats in ((1.5, 2), (0.37, 2), (2.3, 3)):
+        want, got = {}, {}
+        for row in mixing.mix(frame, share=share, repeats=repeats).collect():
+            key = row["source_key"], row["doc_id"], row["size"]
+            want[key] = want.get(key, 0) + row["copies"]
+        out = mixing.mixed_documents(frame, share=share, repeats=repeats)
+        assert out.dtypes == frame.dtypes
+        for row in out.collect():
+            assert tuple(row) in set(rows)
+            key = "null" if row["source"] is None else "=" + row["source"], row["doc_id"], len(words(row["text"]))
+            got[key] = got.get(key, 0) + 1
+        assert got == {key: copies for key, copies in want.items() if copies}
+        assert any(key[1] is None for key in got)
