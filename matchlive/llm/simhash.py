@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlive.llm.common import saved, small_batches, text_of
+from matchlive.llm.common import Carried, saved, small_batches, text_of
 from matchlive.llm.components import components, forest
 from matchlive.llm.tiles import tiled
 from matchlive.llm.words import Words, chunks
@@ -248,11 +248,18 @@ def near_duplicates(documents: DataFrame, distance: int = DISTANCE, size: int =
     columns are left out. A null doc_id never is a component's id unless all of
     its members are null. Needs integer ids.
     """
+    return grouped(documents, distance, size).select("doc_id", "fingerprint", "component_id")
+
+
+def grouped(documents: DataFrame, distance: int, size: int) -> DataFrame:
+    """(doc_id, fingerprint, component_id, root); root is a fingerprint of the group, and only of this group."""
     marked = saved(fingerprints(documents, size), "fingerprints")
     distinct = saved(marked.groupBy("fingerprint").agg(F.min("doc_id").cast("long").alias("first")), "distinct")
     if distinct.isEmpty():
-        return marked.select("doc_id", "fingerprint", F.col("doc_id").cast("long").alias("component_id"))
-    rows = probes(distinct.where("first IS NOT NULL"), partitions(distinct, distance))
+        return marked.select("doc_id", "fingerprint", F.col("doc_id").cast("long").alias("component_id"), F.col("fingerprint").alias("root"))
+    # fingerprints are the nodes: they are distinct and never null
+    nodes = distinct.select("fingerprint", F.col("fingerprint").alias("first"))
+    rows = probes(nodes, partitions(distinct, distance))
     counts = rows.groupBy("part", "value").count().where("count > 1")
     shared = rows.join(counts.select("part", "value"), ["part", "value"])
     tiles = tiled(shared, ["part", "value"], "fingerprint", TILE_ROWS, counts)
@@ -260,16 +267,34 @@ def near_duplicates(documents: DataFrame, distance: int = DISTANCE, size: int =
     dealt = tiles.select(tile, "fingerprint", "probe", "first").repartition("tile").sortWithinPartitions("tile")
     links = dealt.mapInArrow(verifier(distance), "a long, b long")
     found = components(links)
-    named = distinct.join(found, F.col("first") == F.col("node"), "left")
-    named = named.select("fingerprint", F.coalesce("component", "first").alias("component_id"))
-    return marked.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    root = F.coalesce("component", "fingerprint").alias("root")
+    rooted = saved(distinct.join(found, F.col("fingerprint") == F.col("node"), "left").select("fingerprint", "first", root), "rooted")
+    lowest = saved(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "component-ids")
+    named = rooted.drop("first").join(lowest, "root")
+    return marked.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id", "root")
 
 
 def survivors(documents: DataFrame, distance: int = DISTANCE, size: int = SHINGLE_WORDS) -> DataFrame:
     """One document of each group, with its columns: that whose id names the group.
 
-    Of rows repeated with that id one stays; rows without an id all stay.
+    Rows that share an id but not a group are documents of their own. Of rows
+    repeated with the id that names a group one stays; rows without an id all stay.
     """
-    ids = near_duplicates(documents.where("doc_id IS NOT NULL"), distance, size).where("doc_id = component_id")
-    kept = documents.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(documents.where("doc_id IS NULL")).select(documents.columns)
+    groups = grouped(documents.where("doc_id IS NOT NULL"), distance, size).groupBy("root")
+    chosen = groups.agg(F.min(F.struct("doc_id", "fingerprint")).alias("chosen")).select("chosen.*")
+    chosen = saved(chosen, "survivors")
+    whole = Carried(documents)
+    text, doc_id = whole["text"], whole["doc_id"]
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, words in chunks(batch.column(text)):
+                values = majority_bits(*shingle_hashes(words, size)).view(np.int64)
+                yield batch.slice(low, high - low).append_column("__fingerprint", pa.array(values))
+
+    ids = chosen.select(F.col("doc_id").alias(doc_id)).distinct()
+    rows = small_batches(documents).select(*whole.columns).join(ids, doc_id, "left_semi")
+    rows = rows.mapInArrow(marked, f"{whole.schema}, __fingerprint long")
+    both = [doc_id, "__fingerprint"]
+    kept = rows.join(chosen.toDF(*both), both, "left_semi").dropDuplicates(both)
+    return whole.restored(kept).unionByName(documents.where("doc_id IS NULL")).select(documents.columns)

@@ -115,3 +115,25 @@ def test_components_of_random_links(spark):
         got = {r["node"]: r["component"] for r in components(frame).collect()}
         root = roots(count, pairs)
         assert got == {i * 10: root[i] * 10 for pair in pairs for i in pair if any(a != b and i in (a, b) for a, b in pairs)}
+
+
+def test_rows_without_an_id_link_near_ones(spark, monkeypatch):
+    """Fingerprints of rows without an id: near each other, and between two that have ids."""
+    base = 0x5DEECE66D1234567
+    values = [(None, base), (3, base ^ 3), (9, base ^ 0b1100), (None, ~base & (1 << 64) - 1), (None, ~base & (1 << 64) - 2)]
+    frame = spark.createDataFrame([(i, simhash.signed(v)) for i, v in values], "doc_id long, fingerprint long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda documents, size: documents)
+    rows = simhash.grouped(frame, 2, 3).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"]) for r in rows if r["component_id"]) == [(0, 3), (3, 3), (9, 3)]
+    alone = [r for r in rows if r["component_id"] is None]
+    assert len(alone) == 2 and len({r["root"] for r in alone}) == 1
+
+
+def test_survivors_of_texts_that_share_an_id(spark):
+    rng = random.Random(6)
+    one, two, three = (" ".join(f"w{rng.randrange(500)}" for _ in range(80)) for _ in range(3))
+    rows = [(1, one), (1, two), (1, two), (2, two), (5, three), (0, one), (7, None), (7, three)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = {(0, one), (1, two), (5, three), (7, None)}
+    kept = [tuple(row) for row in simhash.survivors(frame).collect()]
+    assert set(kept) == want and len(kept) == len(want)
