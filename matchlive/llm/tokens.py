@@ -42,13 +42,13 @@ class WordTokenizer:
 
     def __init__(self, path: str) -> None:
         self.full = tokenizers.Tokenizer.from_file(path)
-        self.full.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
         self.cores: dict[str, bytes] = {}
 
     def ids(self, text: bytes) -> bytes:
         """Ids of the text as little-endian unsigned 32-bit numbers."""
-        runs = (text.lower() if text.isascii() else text).split()
+        # marks such as <|endoftext|> are one id, but not in other case
+        runs = (text.lower() if text.isascii() and b"<|" not in text else text).split()
         try:
             return b"".join([self.known[run] for run in runs])
         except KeyError:

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import tokenizers
 from brute import odd_documents
 
 from matchlive.llm import packing, tokens
@@ -90,3 +91,13 @@ def test_one_length_in_a_third_of_the_rows(spark):
     frame = spark.range(3000).selectExpr("id AS doc_id", "if(id % 3 = 0, 'a b c', repeat('word ', id % 50)) AS text")
     count, least = check([tuple(r) for r in frame.collect()], packing.pack(frame, 60).collect(), 60)
     assert count <= 1.02 * least + 1
+
+
+def test_marks_of_the_vocabulary_are_single_ids():
+    """As the library has them by default, from a tokenizer of the test's own."""
+    full = tokenizers.Tokenizer.from_file(tokens.VOCABULARY)
+    texts = ["a <|endoftext|> b", "A<|endoftext|>B<|startoftext|>", "<|ENDOFTEXT|> <|Endoftext|>x", "é<|endoftext|>É <|start <|endoftext|>|>"]
+    assert full.encode(texts[0], add_special_tokens=False).ids == [320, 49407, 321]
+    known = tokens.WordTokenizer(tokens.VOCABULARY)
+    for text in [*texts, "Plain WORDS", *texts, *[row[1] or "" for row in odd_documents()]]:
+        assert known.ids(text.encode()) == np.array(full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
