@@ -152,3 +152,120 @@ SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed,
   sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256
 FROM k
 """
+
+# Shares are in billionths; the distance of two sources is summed over all kept terms, held by either or not.
+OP11 = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+),
+g AS (SELECT DISTINCT lang, source FROM d),
+k AS (
+  SELECT lang, term FROM (SELECT lang, unnest(list_distinct(terms)) AS term FROM d) GROUP BY ALL HAVING count(*) >= 30
+),
+n AS (
+  SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(terms) AS term FROM d)
+  SEMI JOIN k USING (lang, term) GROUP BY ALL
+),
+c AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n FROM g JOIN k USING (lang) LEFT JOIN n USING (lang, source, term)
+),
+p AS (
+  SELECT lang, source, term, n, (1 + 1000000000::HUGEINT * (n + 5)
+    // (sum(n) OVER s + 5 * count(*) OVER s))::BIGINT AS p FROM c WINDOW s AS (PARTITION BY lang, source)
+),
+q AS (
+  SELECT lang, term, (1 + 1000000000::HUGEINT * (n + 5) // (sum(n) OVER s + 5 * count(*) OVER s))::BIGINT AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL) WINDOW s AS (PARTITION BY lang)
+),
+t AS (
+  SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+),
+f AS (
+  SELECT a.lang AS lang, a.source AS source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+o AS (
+  SELECT a.lang AS lang, a.source AS source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM t UNION ALL SELECT * FROM o)
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= 50
+"""
+
+
+def lloyd(rounds: int = 10) -> str:
+    """Rounds of assignment and means in whole numbers, one after the other."""
+    apart = "list_sum(list_transform(range(1, 65), lambda i: (v.e[i] - c.e[i]) * (v.e[i] - c.e[i])))::BIGINT"
+    steps = ""
+    for number in range(rounds + 1):
+        steps += f""",
+a{number} AS MATERIALIZED (
+  SELECT k, any_value(vec_id) AS vec_id, any_value(v.e) AS e, min([{apart}, c.n]) AS best FROM v, c{number} c GROUP BY k
+)"""
+        if number < rounds:
+            steps += f""",
+s{number} AS MATERIALIZED (
+  SELECT n, list(x ORDER BY i) AS e FROM (
+    SELECT n, i, (s - ((s % c) + c) % c) // c AS x
+    FROM (SELECT best[2] AS n, i, sum(e[i])::BIGINT AS s, count(*) AS c FROM a{number}, range(1, 65) r(i) GROUP BY ALL)
+  ) GROUP BY n
+),
+c{number + 1} AS MATERIALIZED (SELECT n, coalesce(s.e, c.e) AS e FROM c{number} c LEFT JOIN s{number} s USING (n))"""
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS k, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings
+  WHERE len(embedding) = 64 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS n, e FROM v QUALIFY n < 8
+){steps}
+SELECT vec_id, best[2]::INTEGER AS cluster, best[1] AS distance,
+  (sum(best[1]) OVER (PARTITION BY best[2]))::BIGINT AS cluster_inertia, (sum(best[1]) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(c.e, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} c ON c.n = best[2]
+"""
+
+
+OP12 = lloyd()
+
+# Windows of ten words, or of all words of a shorter item, wherever they occur.
+OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+),
+w AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS m, array_to_string(words[s:s + 9], ' ') AS text
+  FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS s FROM b WHERE len(words) > 0)
+),
+o AS (
+  SELECT k, s, d.m AS m, item_id
+  FROM (
+    SELECT k, m, s, array_to_string(words[s:s + m - 1], ' ') AS text
+    FROM (SELECT k, words, m, unnest(range(1, len(words) - m + 2)) AS s FROM d, (SELECT DISTINCT m FROM w))
+  ) d JOIN w ON w.m = d.m AND w.text = d.text
+),
+h AS (SELECT k, count(*) AS n_hit FROM (SELECT DISTINCT k, unnest(range(s, s + m)) AS i FROM o) GROUP BY k),
+i AS (
+  SELECT k, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT k, item_id::VARCHAR AS item FROM o WHERE item_id IS NOT NULL) GROUP BY k
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (k) LEFT JOIN i USING (k)
+"""

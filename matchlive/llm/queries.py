@@ -3,7 +3,22 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlive.llm import chat, classifier, embeddings, mixing, oracles, packing, quality, sharding, simhash, substring, warc
+from matchlive.llm import (
+    chat,
+    classifier,
+    clustering,
+    decontamination,
+    divergence,
+    embeddings,
+    mixing,
+    oracles,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    substring,
+    warc,
+)
 from matchlive.llm.common import table, text_of
 
 
@@ -71,6 +86,26 @@ def op10_fixed_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_frequent_pattern_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audited(table(spark, sf_dir, "documents"))
+
+
+def op12_bisector_tournament(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.clustered(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def op13_prefix_filtered_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 QUERIES = {
     "op1_distribution_divergence": op1_distribution_divergence,
     "op2_subspace_pigeonhole_join": op2_subspace_pigeonhole_join,
@@ -82,6 +117,9 @@ QUERIES = {
     "op8_histogram_sort_shards": op8_histogram_sort_shards,
     "op9_typed_parts_chat": op9_typed_parts_chat,
     "op10_fixed_block_anchors": op10_fixed_block_anchors,
+    "op11_frequent_pattern_audit": op11_frequent_pattern_audit,
+    "op12_bisector_tournament": op12_bisector_tournament,
+    "op13_prefix_filtered_join": op13_prefix_filtered_join,
 }
 
 ORACLES = {
@@ -90,4 +128,7 @@ ORACLES = {
     "op6_index_first_warc": oracles.OP6,
     "op9_typed_parts_chat": oracles.OP9,
     "op10_fixed_block_anchors": oracles.OP10,
+    "op11_frequent_pattern_audit": oracles.OP11,
+    "op12_bisector_tournament": oracles.OP12,
+    "op13_prefix_filtered_join": oracles.OP13,
 }

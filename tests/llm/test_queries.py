@@ -11,7 +11,7 @@ import corpus_pipeline
 from matchlive.llm import chat, classifier, embeddings, packing, quality, queries, simhash, substring, tokens, warc
 
 FOLDER = "/root/testdata/sf0.01"
-TABLES = ("documents", "embeddings", "pages", "conversations")
+TABLES = ("documents", "embeddings", "pages", "benchmark", "conversations")
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +34,7 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_one_query_per_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(contract.queries())
 
 
