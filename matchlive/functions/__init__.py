@@ -8,9 +8,12 @@ from matchlive.functions.clock import (
 )
 from matchlive.functions.rules import (
     ATTACKING_TYPES,
+    in_box,
     is_attacking,
+    is_completed,
     is_goal,
     is_shot,
+    is_touch,
     safe_xg,
     win_probability,
 )
@@ -18,9 +21,12 @@ from matchlive.functions.rules import (
 __all__ = [
     "ATTACKING_TYPES",
     "clock_or_zero",
+    "in_box",
     "is_attacking",
+    "is_completed",
     "is_goal",
     "is_shot",
+    "is_touch",
     "match_second",
     "minute_label",
     "minutes_remaining",

@@ -7,6 +7,7 @@ from matchlive.functions.clock import FULL_TIME
 
 # Labels used in the event documents.
 SHOT = "Shot"
+PASS = "Pass"
 GOAL = "Goal"
 ATTACKING_TYPES = (
     "Shot",
@@ -18,6 +19,12 @@ ATTACKING_TYPES = (
     "Miscontrol",
 )
 
+# Types of event in which a player has the ball.
+TOUCH_TYPES = ("Shot", "Dribble", "Carry", "Pass", "Ball Receipt*", "Miscontrol")
+
+# The box of the side that is attacked, on a 120 by 80 pitch.
+BOX_X, BOX_Y = 102, (18, 62)
+
 # Weights of the win-probability model.
 GOAL_WEIGHT_START = 1.5
 GOAL_WEIGHT_GAIN = 2.0
@@ -40,6 +47,21 @@ def is_attacking(event_type: Column) -> Column:
     return _known(event_type.isin(*ATTACKING_TYPES))
 
 
+def is_touch(event_type: Column, x: Column, y: Column) -> Column:
+    """A player's event with the ball at a known place."""
+    return _known(event_type.isin(*TOUCH_TYPES)) & x.isNotNull() & y.isNotNull()
+
+
+def in_box(x: Column, y: Column) -> Column:
+    """Whether a place lies in the attacked box; null where it is unknown."""
+    return (x >= BOX_X) & y.between(*BOX_Y)
+
+
+def is_completed(is_pass: Column, pass_outcome: Column) -> Column:
+    """A pass without an outcome arrived; what is no pass did not."""
+    return is_pass & pass_outcome.isNull()
+
+
 def safe_xg(xg: Column) -> Column:
     """xG with null, negative and non-numeric (NaN) values counted as 0."""
     value = xg.cast("double")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from matchlive.functions import match_second
-from matchlive.schemas import EVENT, SILVER, columns
+from matchlive.functions.rules import PASS
+from matchlive.schemas import EVENT, EVENT_DETAILS, SILVER, SILVER_DETAILS, columns
 
 LAST_PERIOD_OF_PLAY = 4
 EVENT_KEY = ("match_id", "event_id")
@@ -28,9 +29,19 @@ FIELDS = {
     "loc_y": ("location",),
     "xg": ("shot",),
     "shot_outcome": ("shot",),
+    "is_pass": ("type", "pass"),
+    "pass_outcome": ("pass",),
+    "is_key_pass": ("pass",),
 }
 
 
+def silver_columns(wanted: Sequence[str] | None) -> list[str]:
+    """Silver's columns without it, otherwise those of Silver and its details that are wanted."""
+    if wanted is None:
+        return columns(SILVER)
+    return [name for name in (*columns(SILVER), *columns(SILVER_DETAILS)) if name in wanted]
+
+
 def parse_documents(
     bronze: DataFrame,
     event_time: str = "kafka_timestamp",
@@ -40,13 +51,14 @@ def parse_documents(
     """Flat typed columns of every row; all null where the text is not a JSON object.
 
     Only the fields for the ``wanted`` columns are read, all of Silver's without
-    it. ``inline`` keeps the optimizer from pushing later filters below the
+    it; those of ``SILVER_DETAILS`` have to be asked for. ``inline`` keeps the optimizer from pushing later filters below the
     parse, which would parse a row once more for each field they name; it also
     hides from it which fields are used. NaN is no xG.
     """
-    wanted = [name for name in columns(SILVER) if wanted is None or name in wanted]
+    wanted = silver_columns(wanted)
     read = {field for name in wanted for field in FIELDS.get(name, (name,))}
-    schema = StructType([field for field in StructType.fromDDL(EVENT) if field.name in read])
+    fields = [*StructType.fromDDL(EVENT), *StructType.fromDDL(EVENT_DETAILS)]
+    schema = StructType([field for field in fields if field.name in read])
     document = F.inline(F.array(F.from_json("event_json", schema)))
     parsed = bronze.select("match_id", F.col(event_time).alias("event_time"), *carry, document)
     flat = {
@@ -62,6 +74,9 @@ def parse_documents(
         "loc_y": F.try_element_at("location", F.lit(2)),
         "xg": F.coalesce(F.nullif(F.col("shot.statsbomb_xg"), F.lit(float("nan"))), F.lit(0.0)),
         "shot_outcome": F.col("shot.outcome.name"),
+        "is_pass": F.coalesce((F.col("type.name") == PASS) & F.col("pass").isNotNull(), F.lit(False)),
+        "pass_outcome": F.col("pass.outcome.name"),
+        "is_key_pass": F.coalesce(F.col("pass.shot_assist"), F.lit(False)),
     }
     return parsed.select(*(flat.get(name, F.col(name)).alias(name) for name in wanted), *carry)
 
@@ -97,8 +112,7 @@ def silver_events(bronze: DataFrame, wanted: Sequence[str] | None = None) -> Dat
     """The Silver table of a batch of Bronze rows, or some columns of it."""
     read = None if wanted is None else {*wanted, "event_time"}
     events = parse_events(bronze, carry=("partition", "offset"), wanted=read)
-    kept = [name for name in columns(SILVER) if wanted is None or name in wanted]
-    return first_arrivals(events).select(*kept)
+    return first_arrivals(events).select(*silver_columns(wanted))
 
 
 def repeated_events(bronze: DataFrame) -> DataFrame:

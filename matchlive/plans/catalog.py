@@ -9,12 +9,12 @@ from matchlive import functions as rules
 from matchlive.functions.rules import SHOT
 from matchlive.operators import parse
 from matchlive.operators.upsert import VERSION, latest_by_key, merge_additive
-from matchlive.plans import gold, replay, views
+from matchlive.plans import gold, matches, passing, players, replay, views
 from matchlive.schemas import SHOTS, SILVER, columns
 from matchlive.sources.log import bronze_rows
 from matchlive.sources.match_files import read_match_documents, read_match_events
 from matchlive.sources.tables import read_table
-from matchlive.sources.testdata import event_documents, event_log
+from matchlive.sources.testdata import event_documents, event_log, staggered_documents
 from matchlive.workspace import new_run_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,25 @@ FOR_SERIES = "match_id team_name match_second event_index event_id event_type"
 FOR_CHANCES = "match_id team_name event_index event_id event_type minute shot_outcome xg"
 
 
+FOR_PLAYERS = "match_id team_name player_id player_name event_type shot_outcome loc_x loc_y xg"
+FOR_PASSES = "match_id team_name match_second is_pass pass_outcome"
+FOR_CHANCES_MADE = (
+    "match_id team_name match_second event_index event_id event_type loc_x loc_y xg possession is_key_pass"
+)
+FOR_CATALOGUE = "match_id team_name shot_outcome event_time"
+
+TOP_PLAYERS = 5
+#: What the test queries take the parts of weighted momentum for.
+WEIGHTS = passing.Weights(shot=1.0, xg=4.0, key_pass=0.5, box_entry=0.25)
+
+
+def detailed_silver(spark: SparkSession, sf_dir: str, wanted: str, large: bool = False) -> DataFrame:
+    """Silver columns of documents that have passes and possessions; as one match if ``large``."""
+    documents = event_documents(spark, sf_dir, details=True)
+    log = event_log(one_match(documents) if large else documents)
+    return parse.silver_events(bronze_rows(log), wanted.split())
+
+
 # --- log and Silver -------------------------------------------------------
 
 
@@ -116,6 +135,43 @@ def win_probability_large_match(spark, sf_dir):
     return rounded(result, "xg_diff")
 
 
+# --- passes, players, matches ---------------------------------------------
+
+
+def pass_completion(spark, sf_dir):
+    return passing.pass_completion(detailed_silver(spark, sf_dir, FOR_PASSES))
+
+
+def weighted_momentum(spark, sf_dir):
+    found = passing.weighted_momentum(detailed_silver(spark, sf_dir, FOR_CHANCES_MADE), WEIGHTS)
+    return rounded(found, "xg_total", "weighted")
+
+
+def weighted_momentum_series(spark, sf_dir):
+    found = passing.weighted_momentum_series(detailed_silver(spark, sf_dir, FOR_CHANCES_MADE), WEIGHTS)
+    return rounded(found, "xg_total", "weighted")
+
+
+def weighted_momentum_series_large_match(spark, sf_dir):
+    found = passing.weighted_momentum_series(detailed_silver(spark, sf_dir, FOR_CHANCES_MADE, large=True), WEIGHTS)
+    return rounded(found, "xg_total", "weighted")
+
+
+def player_spotlight(spark, sf_dir):
+    totals = players.player_totals(silver(spark, sf_dir, FOR_PLAYERS))
+    return rounded(players.player_spotlight(totals), "xg_total")
+
+
+def player_top(spark, sf_dir):
+    totals = players.player_totals(silver(spark, sf_dir, FOR_PLAYERS))
+    return rounded(players.player_top(totals, TOP_PLAYERS), "xg_total")
+
+
+def match_catalogue(spark, sf_dir):
+    bronze = bronze_rows(event_log(staggered_documents(spark, sf_dir)))
+    return matches.match_catalogue(parse.silver_events(bronze, FOR_CATALOGUE.split()))
+
+
 # --- rules, row by row ----------------------------------------------------
 
 
@@ -321,6 +377,12 @@ BATCH: dict[str, Query] = {
     "momentum": momentum,
     "momentum_series": momentum_series,
     "win_probability": win_probability,
+    "pass_completion": pass_completion,
+    "weighted_momentum": weighted_momentum,
+    "weighted_momentum_series": weighted_momentum_series,
+    "player_spotlight": player_spotlight,
+    "player_top": player_top,
+    "match_catalogue": match_catalogue,
     "match_clock": match_clock,
     "minute_label": minute_label,
     "event_flags": event_flags,
@@ -345,4 +407,5 @@ BATCH: dict[str, Query] = {
     "shot_map_large_match": shot_map_large_match,
     "replay_schedule_large_match": replay_schedule_large_match,
     "replay_progress_large_match": replay_progress_large_match,
+    "weighted_momentum_series_large_match": weighted_momentum_series_large_match,
 }

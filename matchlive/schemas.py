@@ -14,6 +14,12 @@ EVENT = """
     shot STRUCT<statsbomb_xg: DOUBLE, outcome: STRUCT<name: STRING>>
 """
 
+# Further fields, read only for the tables that ask for a column made of them.
+EVENT_DETAILS = """
+    possession INT,
+    pass STRUCT<outcome: STRUCT<name: STRING>, shot_assist: BOOLEAN>
+"""
+
 # The fields of the event document that the replay clock and the log need.
 CLOCK_FIELDS = """
     id STRING,
@@ -66,6 +72,14 @@ SILVER = """
     event_time TIMESTAMP
 """
 
+# Columns that Silver can have besides, where they are asked for.
+SILVER_DETAILS = """
+    possession INT,
+    is_pass BOOLEAN,
+    pass_outcome STRING,
+    is_key_pass BOOLEAN
+"""
+
 SHOTS = """
     match_id BIGINT,
     event_id STRING,
@@ -105,6 +119,35 @@ MOMENTUM = """
 """
 
 
+PLAYER_TOTALS = """
+    match_id BIGINT,
+    team_name STRING,
+    player_id INT,
+    player_name STRING,
+    shots BIGINT,
+    goals BIGINT,
+    passes BIGINT,
+    touches BIGINT,
+    xg_total DOUBLE
+"""
+
+TEAM_TIMES = """
+    match_id BIGINT,
+    team_name STRING,
+    goals BIGINT,
+    events BIGINT,
+    first_event TIMESTAMP,
+    last_event TIMESTAMP
+"""
+
+SITTINGS = """
+    match_id BIGINT,
+    sitting_start TIMESTAMP,
+    sitting_end TIMESTAMP,
+    events BIGINT
+"""
+
+
 def columns(ddl: str) -> list[str]:
     """Top-level column names of one of the schemas above."""
     lines = (line.strip() for line in ddl.strip().splitlines())

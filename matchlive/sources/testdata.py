@@ -24,7 +24,6 @@ TEAM = """CASE WHEN match_id % 10 = 3 AND user_id % 7 = 1 THEN 3
 MATCH = f"event_id div {EVENTS_PER_MATCH} AS match_id"
 
 DOCUMENT = """
-named_struct(
   'id', concat('e', event_id),
   'index', CAST(pos + 1 AS INT),
   'period', CASE WHEN pos < 40 THEN 1 WHEN pos < 80 THEN 2 WHEN pos < 88 THEN 3
@@ -55,7 +54,17 @@ named_struct(
         WHEN k < 12 THEN 'Goal' WHEN k < 40 THEN 'Saved' WHEN k < 60 THEN 'Off T'
         WHEN k < 75 THEN 'Blocked' WHEN k < 85 THEN 'Wayward' WHEN k < 90 THEN 'Post'
         ELSE 'Saved to Post' END)) END
-)
+"""
+
+# Further fields of the documents. Some passes lack the object, some have an outcome without a name.
+DETAILS = """,
+  'possession', CASE WHEN k <> 98 THEN CAST(pos div 5 + 1 AS INT) END,
+  'pass', CASE WHEN event_type = 'view' AND k % 4 = 0 AND user_id % 9 <> 0 THEN named_struct(
+     'outcome', CASE WHEN user_id % 5 = 0 THEN named_struct('name', 'Incomplete')
+                     WHEN user_id % 5 = 1 THEN named_struct('name', CAST(NULL AS STRING)) END,
+     'shot_assist', CASE WHEN user_id % 4 = 0 THEN true WHEN user_id % 4 = 1 THEN false END)
+     WHEN event_type = 'click' AND k % 4 = 0 THEN
+     named_struct('outcome', CAST(NULL AS STRUCT<name: STRING>), 'shot_assist', false) END
 """
 
 
@@ -68,8 +77,9 @@ def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.repartition(cores, "event_id")
 
 
-def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_documents(spark: SparkSession, sf_dir: str, details: bool = False) -> DataFrame:
     """One JSON event document per source row: match_id, source_id, ts, log_key, payload."""
+    document = DOCUMENT + DETAILS if details else DOCUMENT
     return (
         source_events(spark, sf_dir)
         .selectExpr("*", POSITION, EVENT_NUMBER, MATCH)
@@ -79,7 +89,7 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             "event_id AS source_id",
             "CAST(ts AS TIMESTAMP) AS ts",
             "coalesce(possession, 'unknown') AS log_key",
-            f"to_json({DOCUMENT}) AS payload",
+            f"to_json(named_struct({document})) AS payload",
         )
     )
 
@@ -91,6 +101,18 @@ def parallel_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_documents(spark, sf_dir).withColumn("ts", kick_off)
 
 
+def staggered_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as if matches kicked off one after the other on seven pitches, an event a minute.
+
+    Some matches pause after half of their events, for ten minutes or for two hours.
+    """
+    position = f"source_id % {EVENTS_PER_MATCH}"
+    pause = f"CASE WHEN {position} < 50 THEN 0 WHEN match_id % 10 = 7 THEN 10 WHEN match_id % 10 = 8 THEN 120 ELSE 0 END"
+    minutes = f"CAST(match_id div 7 * 40 + {position} + {pause} AS INT)"
+    start = F.expr(f"TIMESTAMP '{KICK_OFF}' + make_dt_interval(0, 0, {minutes})")
+    return event_documents(spark, sf_dir).withColumn("ts", start)
+
+
 def event_log(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Log rows with some values cut short and some messages sent twice."""
     copies = "explode(CASE WHEN source_id % 7 = 0 THEN array(0, 1) ELSE array(0) END) AS copy"

@@ -262,6 +262,77 @@ sliced AS (
   FROM ev, span
 )"""
 
+# Passes and possessions of the detailed documents; a possession is five events of a match.
+DETAILED = """,
+detailed AS (
+  SELECT s.*, eid, event_type = 'Pass' AND player_id % 9 <> 0 AS is_pass,
+    CASE WHEN player_id % 5 = 0 THEN 'Incomplete' END AS pass_outcome,
+    event_type = 'Pass' AND player_id % 9 <> 0 AND player_id % 4 = 0 AS is_key_pass,
+    CASE WHEN k <> 98 THEN (eid % 100) // 5 + 1 END AS possession
+  FROM silver s JOIN (SELECT eid, k, event_id FROM ev) e USING (event_id)
+)"""
+
+# Chances per second, and box entries: inside, with the placed event before in the team's possession outside.
+CHANCES_MADE = DETAILED + """,
+placed AS (
+  SELECT *, loc_x >= 102 AND loc_y BETWEEN 18 AND 62 AS inside,
+    lag(loc_x >= 102 AND loc_y BETWEEN 18 AND 62) OVER (
+      PARTITION BY match_id, possession, team_name ORDER BY event_index, event_id) AS was_inside
+  FROM detailed WHERE possession IS NOT NULL AND loc_x IS NOT NULL AND loc_y IS NOT NULL
+),
+made AS (
+  SELECT match_id, team_name, match_second, count(*) FILTER (event_type = 'Shot') AS shots,
+    sum(greatest(0::DOUBLE, xg)) AS xg_total, count(*) FILTER (is_key_pass) AS key_passes, 0 AS box_entries
+  FROM detailed GROUP BY ALL
+  UNION ALL
+  SELECT match_id, team_name, match_second, 0, 0, 0, count(*) FROM placed WHERE inside AND NOT was_inside GROUP BY ALL
+),
+per_second AS (
+  SELECT match_id, team_name, match_second, sum(shots) AS shots, sum(xg_total) AS xg_total,
+    sum(key_passes) AS key_passes, sum(box_entries) AS box_entries
+  FROM made WHERE match_second IS NOT NULL GROUP BY ALL
+)"""
+
+WEIGHTED = "1 * shots + 4 * xg_total + 0.5::DOUBLE * key_passes + 0.25::DOUBLE * box_entries"
+
+PLAYER_TOTALS = """,
+player_totals AS (
+  SELECT match_id, team_name, player_id, max(player_name) AS player_name,
+    count(*) FILTER (event_type = 'Shot') AS shots,
+    count(*) FILTER (event_type = 'Shot' AND shot_outcome = 'Goal') AS goals,
+    count(*) FILTER (event_type = 'Pass') AS passes,
+    count(*) FILTER (loc_x IS NOT NULL AND loc_y IS NOT NULL AND event_type IN
+      ('Shot', 'Dribble', 'Carry', 'Pass', 'Ball Receipt*', 'Miscontrol')) AS touches,
+    sum(greatest(0::DOUBLE, xg)) AS xg_total
+  FROM silver GROUP BY match_id, team_name, player_id
+)"""
+
+# Matches that start one after the other; sittings are cut where half an hour passes without an event.
+SITTINGS = """,
+staggered AS (
+  SELECT s.match_id, s.team_name, s.shot_outcome, e.eid,
+    TIMESTAMP '2024-01-01' + to_minutes(CAST(s.match_id // 7 * 40 + e.eid % 100 + CASE WHEN e.eid % 100 < 50 THEN 0
+      WHEN s.match_id % 10 = 7 THEN 10 WHEN s.match_id % 10 = 8 THEN 120 ELSE 0 END AS INTEGER)) AS seen_at
+  FROM silver s JOIN (SELECT eid, event_id FROM ev) e USING (event_id)
+),
+cut_times AS (
+  SELECT match_id, seen_at, CASE WHEN seen_at - lag(seen_at) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh
+  FROM staggered WINDOW w AS (PARTITION BY match_id ORDER BY seen_at)
+),
+sittings AS (
+  SELECT match_id, min(seen_at) AS b, max(seen_at) AS e
+  FROM (SELECT *, sum(fresh) OVER (PARTITION BY match_id ORDER BY seen_at) AS n FROM cut_times) GROUP BY match_id, n
+),
+closed AS (
+  SELECT match_id, count(*) AS n, max(e) AS e FROM sittings
+  WHERE e + INTERVAL 30 MINUTE <= (SELECT max(seen_at) - INTERVAL 10 MINUTE FROM staggered) GROUP BY match_id
+),
+named_teams AS (
+  SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY team_name) AS place
+  FROM (SELECT match_id, team_name, count(*) FILTER (shot_outcome = 'Goal') AS goals
+        FROM staggered WHERE team_name IS NOT NULL GROUP BY ALL)
+)"""
+
 ORACLES: dict[str, str] = {
     "bronze_envelope": _with(
         """SELECT match_id, log_key AS kafka_key,
@@ -315,6 +386,72 @@ FROM silver WHERE match_second IS NOT NULL"""
 FROM running""",
         RUNNING,
     ),
+    "pass_completion": _with(
+        """SELECT match_id, team_name, match_second, attempted, completed,
+  CASE WHEN attempted > 0 THEN round(completed / CAST(attempted AS DOUBLE), 3) END AS completion_pct
+FROM (SELECT match_id, team_name, match_second, CAST(sum(a) OVER w AS BIGINT) AS attempted,
+        CAST(sum(c) OVER w AS BIGINT) AS completed
+      FROM (SELECT match_id, team_name, match_second, count(*) FILTER (is_pass) AS a,
+              count(*) FILTER (is_pass AND pass_outcome IS NULL) AS c
+            FROM detailed WHERE match_second IS NOT NULL GROUP BY ALL)
+      WINDOW w AS (PARTITION BY match_id, team_name ORDER BY match_second
+                   RANGE BETWEEN 300 PRECEDING AND CURRENT ROW))""",
+        DETAILED,
+    ),
+    "weighted_momentum": _with(
+        f"""SELECT match_id, team_name, CAST(shots AS BIGINT) AS shots, round(xg_total, 6) AS xg_total,
+  CAST(key_passes AS BIGINT) AS key_passes, CAST(box_entries AS BIGINT) AS box_entries,
+  CAST(greatest(0, newest - 300) AS INTEGER) AS window_start_second, newest AS window_end_second,
+  round({WEIGHTED}, 6) AS weighted,
+  CASE WHEN sum({WEIGHTED}) OVER (PARTITION BY match_id) <> 0
+       THEN round(({WEIGHTED}) / sum({WEIGHTED}) OVER (PARTITION BY match_id), 3) END AS weighted_share
+FROM (SELECT match_id, team_name, newest, coalesce(sum(shots) FILTER (match_second >= newest - 300), 0) AS shots,
+        coalesce(sum(xg_total) FILTER (match_second >= newest - 300), 0) AS xg_total,
+        coalesce(sum(key_passes) FILTER (match_second >= newest - 300), 0) AS key_passes,
+        coalesce(sum(box_entries) FILTER (match_second >= newest - 300), 0) AS box_entries
+      FROM (SELECT *, max(match_second) OVER (PARTITION BY match_id) AS newest FROM per_second) GROUP BY ALL)""",
+        CHANCES_MADE,
+    ),
+    "weighted_momentum_series": _with(
+        f"""SELECT match_id, team_name, match_second, CAST(shots AS BIGINT) AS shots, round(xg_total, 6) AS xg_total,
+  CAST(key_passes AS BIGINT) AS key_passes, CAST(box_entries AS BIGINT) AS box_entries,
+  round({WEIGHTED}, 6) AS weighted
+FROM (SELECT match_id, team_name, match_second, sum(shots) OVER w AS shots, sum(xg_total) OVER w AS xg_total,
+        sum(key_passes) OVER w AS key_passes, sum(box_entries) OVER w AS box_entries
+      FROM per_second WINDOW w AS (PARTITION BY match_id, team_name ORDER BY match_second
+                                   RANGE BETWEEN 300 PRECEDING AND CURRENT ROW))""",
+        CHANCES_MADE,
+    ),
+    "player_spotlight": _with(
+        """SELECT CASE grouping(team_name) + grouping(player_id) WHEN 0 THEN 'player' WHEN 1 THEN 'team' ELSE 'match' END
+    AS level, match_id, team_name, player_id,
+  CASE WHEN grouping(player_id) = 0 THEN max(player_name) END AS player_name,
+  CAST(sum(shots) AS BIGINT) AS shots, CAST(sum(goals) AS BIGINT) AS goals, CAST(sum(passes) AS BIGINT) AS passes,
+  CAST(sum(touches) AS BIGINT) AS touches, round(sum(xg_total), 6) AS xg_total
+FROM player_totals
+GROUP BY GROUPING SETS ((match_id, team_name, player_id), (match_id, team_name), (match_id))""",
+        PLAYER_TOTALS,
+    ),
+    "player_top": _with(
+        """SELECT match_id, CAST(place AS INTEGER) AS rank, team_name, player_id, player_name, shots, goals, passes,
+  touches, round(xg_total, 6) AS xg_total
+FROM (SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY round(xg_total, 6) DESC, goals DESC, shots DESC,
+        touches DESC, player_id, team_name NULLS FIRST) AS place
+      FROM player_totals WHERE player_id IS NOT NULL)
+WHERE place <= 5""",
+        PLAYER_TOTALS,
+    ),
+    "match_catalogue": _with(
+        """SELECT m.match_id, coalesce(a.team_name, '?') AS team1, coalesce(b.team_name, '?') AS team2,
+  coalesce(a.goals, 0) AS goals1, coalesce(b.goals, 0) AS goals2, m.events, first_event, last_event,
+  coalesce(c.n, 0) AS closed_sittings, CASE WHEN c.e >= last_event THEN 'finished' ELSE 'live' END AS status
+FROM (SELECT match_id, count(*) AS events, min(seen_at) AS first_event, max(seen_at) AS last_event
+      FROM staggered GROUP BY match_id) m
+LEFT JOIN named_teams a ON a.match_id = m.match_id AND a.place = 1
+LEFT JOIN named_teams b ON b.match_id = m.match_id AND b.place = 2
+LEFT JOIN closed c ON c.match_id = m.match_id""",
+        SITTINGS,
+    ),
     "match_clock": _with(
         """SELECT match_id, event_id, match_second,
   CAST(coalesce(minute, 0) * 60 + second AS INTEGER) AS clock_or_zero FROM silver"""
@@ -455,5 +592,8 @@ ORACLES["stream_bronze"] = ORACLES["bronze_envelope"]
 # The same with every event in one match.
 ORACLES |= {
     f"{name}_large_match": ORACLES[name].replace("event_id // 100 AS match_id", "CAST(0 AS BIGINT) AS match_id")
-    for name in ("momentum_series", "win_probability", "shot_map", "replay_schedule", "replay_progress")
+    for name in (
+        "momentum_series", "win_probability", "shot_map", "replay_schedule", "replay_progress",
+        "weighted_momentum_series",
+    )
 }
