@@ -5,12 +5,22 @@ import argparse
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlive.plans import replay, views
-from matchlive.schemas import BRONZE, MOMENTUM, SHOTS, SILVER, TEAM_TOTALS, XG_TIMELINE
+from matchlive.plans import players, replay, views
+from matchlive.schemas import (
+    BRONZE,
+    MOMENTUM,
+    PLAYER_TOTALS,
+    SHOTS,
+    SILVER,
+    SITTINGS,
+    TEAM_TIMES,
+    TEAM_TOTALS,
+    XG_TIMELINE,
+)
 from matchlive.sources.log import match_id_in_header, match_id_in_topic, read_log_stream
 from matchlive.sources.match_files import read_match_documents
 from matchlive.sources.tables import append_version, read_table
-from matchlive.streaming import change_log, jobs
+from matchlive.streaming import change_log, folded, jobs, progress
 from matchlive.streaming.serving import live_views
 
 BRONZE_EVERY = "2 seconds"
@@ -21,14 +31,26 @@ GOLD_JOBS = {
     "xg_timeline": jobs.start_xg_timeline,
     "match_state": jobs.start_team_totals,
     "momentum": jobs.start_momentum,
+    "event_log": jobs.start_event_log,
+    "player_totals": jobs.start_player_totals,
+    "team_times": jobs.start_team_times,
+    "sittings": jobs.start_sittings,
 }
-APPENDED = {"bronze": BRONZE, "silver": SILVER, "shots": SHOTS}
+APPENDED = {"bronze": BRONZE, "silver": SILVER, "shots": SHOTS, "sittings": SITTINGS}
 CHANGE_LOGS = {
     "xg_timeline": (XG_TIMELINE, jobs.current_xg_timeline),
     "match_state": (TEAM_TOTALS, jobs.current_match_state),
     "momentum": (MOMENTUM, jobs.current_momentum),
+    "player_totals": (PLAYER_TOTALS, jobs.current_player_totals),
+    "team_times": (TEAM_TIMES, jobs.current_team_times),
+}
+KEYS = {
+    "xg_timeline": jobs.TEAM_MINUTE,
+    "match_state": jobs.TEAM,
+    "momentum": jobs.TEAM,
+    "player_totals": players.NAMED_PLAYER,
+    "team_times": jobs.TEAM,
 }
-KEYS = {"xg_timeline": jobs.TEAM_MINUTE, "match_state": jobs.TEAM, "momentum": jobs.TEAM}
 
 
 def match_id_column(source: str) -> Column | None:
@@ -78,6 +100,8 @@ def table_now(spark: SparkSession, name: str, path: str) -> tuple[DataFrame, int
     if name in CHANGE_LOGS:
         schema, current = CHANGE_LOGS[name]
         return current(spark, path), change_log.version(spark, path, schema)
+    if name == "event_log":
+        return jobs.current_event_log(spark, path), folded.version(spark, path)
     return read_table(spark, path, APPENDED[name]), append_version(path)
 
 
@@ -121,6 +145,7 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--checkpoint", required=True)
             sub.add_argument("--every", default=every, help="trigger interval")
             sub.add_argument("--once", action="store_true", help="stop after the rows there are")
+            sub.add_argument("--batches", help="table that every batch adds a row of its figures to")
         return sub
 
     bronze = command("bronze", run_bronze, "log files, if not Kafka", BRONZE_EVERY)
@@ -151,11 +176,18 @@ def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     spark = SparkSession.builder.appName(f"matchlive-{args.command}").getOrCreate()
     session = jobs.job_session(spark)
+    watched = getattr(args, "batches", None)
+    listener = progress.BatchTable(session, watched) if watched else None
+    if listener is not None:
+        session.streams.addListener(listener)
     queries = args.run(session, args)
     if args.command in ("bronze", "silver", "gold") and not args.once:
         session.streams.awaitAnyTermination()
     for query in queries:
         query.awaitTermination()
+    if listener is not None:
+        listener.wait_for(len(queries))
+        session.streams.removeListener(listener)
 
 
 if __name__ == "__main__":

@@ -54,7 +54,7 @@ def is_touch(event_type: Column, x: Column, y: Column) -> Column:
 
 def in_box(x: Column, y: Column) -> Column:
     """Whether a place lies in the attacked box; null where it is unknown."""
-    return (x >= BOX_X) & y.between(*BOX_Y)
+    return F.when(x.isNotNull() & y.isNotNull(), (x >= BOX_X) & y.between(*BOX_Y))
 
 
 def is_completed(is_pass: Column, pass_outcome: Column) -> Column:

@@ -102,6 +102,13 @@ def actions_per_second(silver: DataFrame, by: Sequence[str] = MATCH) -> DataFram
     )
 
 
+def in_last_window(per_second: DataFrame, seconds: int = MOMENTUM_SECONDS) -> DataFrame:
+    """The rows of ``actions_per_second`` that the momentum of a match is made of."""
+    bounded = _with_time_window(per_second, MATCH, seconds)
+    recent = bounded.filter(F.col("match_second") >= F.col("window_start_second"))
+    return recent.drop("window_start_second", "window_end_second")
+
+
 def momentum_of(
     per_second: DataFrame, by: Sequence[str] = MATCH, seconds: int = MOMENTUM_SECONDS
 ) -> DataFrame:

@@ -7,20 +7,19 @@ from matchlive.functions import is_goal, is_shot, is_touch, safe_xg
 from matchlive.functions.rules import PASS
 
 PLAYER = ("match_id", "team_name", "player_id")
+NAMED_PLAYER = (*PLAYER, "player_name")
 SUMS = ("shots", "goals", "passes", "touches", "xg_total")
 LEVELS = {0: "player", 1: "team", 3: "match"}
 
 
 def player_totals(silver: DataFrame) -> DataFrame:
-    """Shots, goals, passes, touches and xG per player of a team in a match.
+    """Shots, goals, passes, touches and xG per name of a player of a team in a match.
 
     Events without a player are a player of their own, with a null id. A touch
-    is an event with the ball at a known place. A player has the last of its
-    names in alphabetical order.
+    is an event with the ball at a known place.
     """
     kind = F.col("event_type")
-    return silver.groupBy(*PLAYER).agg(
-        F.max("player_name").alias("player_name"),
+    return silver.groupBy(*NAMED_PLAYER).agg(
         F.count_if(is_shot(kind)).alias("shots"),
         F.count_if(is_goal(kind, F.col("shot_outcome"))).alias("goals"),
         F.count_if(F.coalesce(kind == PASS, F.lit(False))).alias("passes"),
@@ -32,7 +31,7 @@ def player_totals(silver: DataFrame) -> DataFrame:
 def player_spotlight(totals: DataFrame) -> DataFrame:
     """The totals together with those per team and per match.
 
-    ``level`` tells subtotals from the rows of events without a player or team,
+    A player has the last of its names in alphabetical order. ``level`` tells subtotals from the rows of events without a player or team,
     which have nulls in the same places. The subtotals are made of the players'
     rows, not of events.
     """
@@ -56,6 +55,8 @@ def player_top(totals: DataFrame, rows: int) -> DataFrame:
     best = Window.partitionBy("match_id").orderBy(
         F.round("xg_total", 6).desc(), F.desc("goals"), F.desc("shots"), F.desc("touches"), "player_id", "team_name"
     )
+    sums = [F.sum(name).alias(name) for name in SUMS]
     known = totals.filter(F.col("player_id").isNotNull())
+    known = known.groupBy(*PLAYER).agg(F.max("player_name").alias("player_name"), *sums)
     ranked = known.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= rows)
     return ranked.select("match_id", "rank", "team_name", "player_id", "player_name", *SUMS)

@@ -171,17 +171,22 @@ def shot_zones(shots: DataFrame) -> DataFrame:
     )
 
 
-def event_log(events: DataFrame, rows: int = EVENT_LOG_ROWS) -> DataFrame:
-    """Newest events per match; columns the input lacks are left out.
+def newest_events(events: DataFrame, rows: int = EVENT_LOG_ROWS) -> DataFrame:
+    """The newest events per match. The rank limit is applied in each task before the shuffle."""
+    return _ranked(events).filter(F.col("rank") <= rows).drop("rank")
 
-    The rank limit is applied in each task before the shuffle.
-    """
+
+def _ranked(events: DataFrame) -> DataFrame:
     newest = Window.partitionBy(*MATCH).orderBy(
         F.desc("match_second"), F.desc("event_index"), F.desc("event_id")
     )
+    return events.withColumn("rank", F.row_number().over(newest))
+
+
+def event_log(events: DataFrame, rows: int = EVENT_LOG_ROWS) -> DataFrame:
+    """Newest events per match with their rank; columns the input lacks are left out."""
     shown = [name for name in EVENT_LOG_COLUMNS if name in events.columns]
-    ranked = events.withColumn("rank", F.row_number().over(newest))
-    return ranked.filter(F.col("rank") <= rows).select(*MATCH, "rank", *shown)
+    return _ranked(events).filter(F.col("rank") <= rows).select(*MATCH, "rank", *shown)
 
 
 def table_head(silver: DataFrame, rows: int = 10) -> DataFrame:

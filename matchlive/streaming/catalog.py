@@ -8,9 +8,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchlive.plans import matches, players
 from matchlive.plans.catalog import rounded
 from matchlive.plans.views import row_counts
-from matchlive.schemas import BRONZE, SHOTS, SILVER, XG_TIMELINE, columns
+from matchlive.schemas import BRONZE, SHOTS, SILVER, SITTINGS, XG_TIMELINE, columns
 from matchlive.sources.log import read_log_stream
 from matchlive.sources.tables import append_version, read_table
 from matchlive.sources.testdata import (
@@ -18,8 +19,9 @@ from matchlive.sources.testdata import (
     event_documents,
     event_log,
     parallel_documents,
+    staggered_documents,
 )
-from matchlive.streaming import jobs
+from matchlive.streaming import jobs, progress
 from matchlive.streaming.change_log import version
 from matchlive.streaming.serving import live_views
 from matchlive.workspace import new_run_dir
@@ -181,21 +183,78 @@ def stream_restart(spark, sf_dir):
     )
 
 
-def stream_late_rows(spark, sf_dir):
-    """Every event is sent once more under a new id, after all others.
-
-    Only those within ten minutes of the newest event are still taken.
-    """
+def _sent_again(spark, sf_dir):
+    """Every event once more under a new id, after all others."""
     documents = parallel_documents(spark, sf_dir)
     on_time = _parallel(spark, sf_dir)
     new_id = F.regexp_replace("payload", r'^\{"id":"', '{"id":"again-')
     again = event_log(documents.withColumn("payload", new_id))
     resent = again.filter(F.col("offset") % 2 == 0).withColumn(SLICE, F.lit(SLICES))
+    return on_time.unionByName(resent)
+
+
+def stream_late_rows(spark, sf_dir):
+    """Of events sent once more at the end only those within ten minutes of the newest one are still taken."""
     run = Run(spark, "stream-late-rows")
-    run.feed(on_time.unionByName(resent), [run.bronze, run.silver], SLICES + 1)
+    run.feed(_sent_again(spark, sf_dir), [run.bronze, run.silver], SLICES + 1)
     return read_table(spark, run.path("silver"), SILVER).select("match_id", "event_id")
 
 
+def stream_dropped_rows(spark, sf_dir):
+    """Rows in and rows dropped as late, by job, as the jobs' batches have reported them."""
+    run = Run(spark, "stream-dropped-rows")
+    listener = progress.BatchTable(run.session, run.path("batches"))
+    run.session.streams.addListener(listener)
+    try:
+        run.feed(_sent_again(spark, sf_dir), [run.bronze, run.silver], SLICES + 1)
+        listener.wait_for(2 * (SLICES + 1))
+    finally:
+        run.session.streams.removeListener(listener)
+    sums = {name: F.sum(name).cast("bigint").alias(name) for name in ("rows_in", "rows_late")}
+    return progress.batches(spark, run.path("batches")).groupBy("query_name").agg(*sums.values())
+
+
+def stream_state_rows(spark, sf_dir):
+    """What the jobs' state holds for each match: event ids, and keys of the xG timeline."""
+    run = Run(spark, "stream-state-rows")
+    run.feed(
+        _parallel(spark, sf_dir),
+        [run.bronze, run.silver, lambda: run.gold(jobs.start_xg_timeline, "xg_timeline")],
+    )
+
+    def held(table: str, name: str) -> DataFrame:
+        state = run.session.read.format("statestore").load(run.checkpoint(table))
+        return state.groupBy(F.col("key.match_id").alias("match_id")).agg(F.count(F.lit(1)).alias(name))
+
+    return held("silver", "ids").join(held("xg_timeline", "minutes"), "match_id", "full_outer")
+
+
+def stream_event_log(spark, sf_dir):
+    run = Run(spark, "stream-event-log")
+    run.feed(
+        _parallel(spark, sf_dir),
+        [run.bronze, run.silver, lambda: run.gold(jobs.start_event_log, "event_log")],
+    )
+    return jobs.current_event_log(spark, run.path("event_log"))
+
+
+def stream_player_spotlight(spark, sf_dir):
+    path = _gold_run(spark, sf_dir, jobs.start_player_totals, "player_totals")
+    return rounded(players.player_spotlight(jobs.current_player_totals(spark, path)), "xg_total")
+
+
+def stream_match_catalogue(spark, sf_dir):
+    """Matches that start one after the other and pause; the first ones are over when the log ends."""
+    run = Run(spark, "stream-match-catalogue")
+    run.feed(
+        event_log(by_time(staggered_documents(spark, sf_dir)), [SLICE]),
+        [run.bronze, run.silver, lambda: run.gold(jobs.start_team_times, "team_times"),
+         lambda: run.gold(jobs.start_sittings, "sittings")],
+    )
+    closed = read_table(spark, run.path("sittings"), SITTINGS)
+    return matches.catalogue(jobs.current_team_times(spark, run.path("team_times")), closed)
+
+
 def _gold_run(spark, sf_dir, start, table):
     run = Run(spark, f"stream-{table}")
     run.feed(
@@ -244,6 +303,11 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_momentum": stream_momentum,
     "stream_kpi_row": stream_kpi_row,
     "stream_late_rows": stream_late_rows,
+    "stream_dropped_rows": stream_dropped_rows,
+    "stream_state_rows": stream_state_rows,
+    "stream_event_log": stream_event_log,
+    "stream_player_spotlight": stream_player_spotlight,
+    "stream_match_catalogue": stream_match_catalogue,
     "stream_restart": stream_restart,
     "stream_processing_time": stream_processing_time,
     "stream_replayed_match": stream_replayed_match,

@@ -569,6 +569,19 @@ SELECT match_id, 'again-' || event_id FROM arrivals
 WHERE first_at > (SELECT max(last_at) FROM arrivals) - 600""",
         ARRIVALS,
     ),
+    # a row of the log that comes late is counted once; of resent rows there is one copy each
+    "stream_dropped_rows": _with(
+        """SELECT 'bronze' AS query_name, (SELECT count(*) FROM log) + (SELECT count(*) FROM ev) AS rows_in,
+  0::BIGINT AS rows_late
+UNION ALL
+SELECT 'silver', (SELECT count(*) FROM log) + (SELECT count(*) FROM ev),
+  (SELECT count(*) FROM arrivals WHERE first_at <= (SELECT max(last_at) FROM arrivals) - 600)""",
+        ARRIVALS,
+    ),
+    "stream_state_rows": _with(
+        """SELECT match_id, ids, minutes FROM (SELECT match_id, count(*) AS ids FROM silver GROUP BY match_id)
+FULL JOIN (SELECT match_id, count(*) AS minutes FROM xg_timeline GROUP BY match_id) USING (match_id)"""
+    ),
     "stream_restart": _with(f"SELECT {SILVER_COLUMNS} FROM silver"),
     "stream_processing_time": SILVER,
     "stream_replayed_match": SILVER,
@@ -588,6 +601,8 @@ UNION ALL SELECT 'xg_timeline', count(*), count(DISTINCT match_id), 2 FROM xg_ti
 }
 
 ORACLES["stream_bronze"] = ORACLES["bronze_envelope"]
+for _name in ("event_log", "player_spotlight", "match_catalogue"):
+    ORACLES[f"stream_{_name}"] = ORACLES[_name]
 
 # The same with every event in one match.
 ORACLES |= {

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from matchlive import __main__ as cli
 from matchlive.operators.upsert import latest_by_key, merge_additive
-from matchlive.plans import gold
+from matchlive.plans import gold, views
 from matchlive.schemas import BRONZE, LOG, SILVER, XG_TIMELINE
 from matchlive.sources.tables import append_version, read_table, stream_table
-from matchlive.streaming import change_log, jobs
+from matchlive.streaming import change_log, folded, jobs, progress
+from matchlive.streaming.serving import live_views
 from matchlive.workspace import new_run_dir, shared_dir
 
 NOON = datetime.datetime(2024, 1, 1, 12)
@@ -236,6 +237,96 @@ def test_retried_momentum_batch_counts_once(pipe):
     assert row.attacking_actions == 3
 
 
+def versions(path):
+    return {p.name: sorted(int(v.name.split("=")[1]) for v in p.iterdir() if v.name.startswith("batch_id=")) for p in Path(path).glob("match_bucket=*")}
+
+
+def test_state_by_bucket_does_not_grow_with_batches(pipe):
+    for n in range(6):
+        pipe.add(shot(2 * n, minute=n * 9), shot(2 * n + 1, minute=n, match_id=n + 10))
+        pipe.silver()
+        pipe.gold("momentum")
+        pipe.gold("event_log")
+        for folder in ("ck/momentum/seconds", "event_log"):
+            assert all(len(found) <= 2 for found in versions(pipe.path(folder)).values())
+    kept = folded.current(pipe.spark, pipe.path("ck/momentum/seconds"), jobs.SECONDS, match_id=1).collect()
+    assert [row.match_second for row in kept] == [45 * 60]  # all else is out of the last window's reach
+
+
+def test_event_log_of_random_batches(pipe):
+    rng = random.Random(4)
+    for batch in range(4):
+        rows = [
+            shot(100 * batch + n, rng.choice(["A", None]), rng.randrange(90), match_id=rng.choice([1, 2, 3, None]))
+            for n in range(45)
+        ]
+        rng.shuffle(rows)
+        pipe.add(*rows, *rows[:5], files=2)
+        pipe.silver()
+        pipe.gold("event_log")
+        if batch == 2:
+            pipe.forget_last_commit("event_log")  # the batch once more
+            pipe.gold("event_log")
+    rows, version = pipe.table("event_log")
+    key = lambda row: tuple((x is not None, x) for x in row[:2])
+    want = views.event_log(pipe.table("silver")[0])
+    assert sorted(map(tuple, rows.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+    assert version == 3
+    kept = folded.current(pipe.spark, pipe.path("event_log"), jobs.NEWEST_EVENTS)
+    assert kept.groupBy("match_id").count().agg(F.max("count")).first()[0] == 20
+    one = jobs.current_event_log(pipe.spark, pipe.path("event_log"), 2)
+    assert one.count() == 20 and one.inputFiles() and all("match_bucket" in name for name in one.inputFiles())
+    assert len({name.split("match_bucket=")[1].split("/")[0] for name in one.inputFiles()}) == 1
+
+
+def test_a_new_checkpoint_over_old_state_is_refused(spark, pipe):
+    rows = spark.createDataFrame([(1, "H", 5, 2)], jobs.SECONDS)
+    merge = lambda both: both.groupBy("match_id", "team_name", "match_second").agg(F.sum("actions").alias("actions"))
+    path = pipe.path("state")
+    assert folded.version(spark, path) is None and not folded.exists(spark, path)
+    assert folded.current(spark, path, jobs.SECONDS).count() == 0
+    assert folded.fold(rows.limit(0), 0, path, jobs.SECONDS, merge) is None
+    for batch_id in (0, 1, 1, 3):  # one of them twice
+        folded.refuse_older(spark, batch_id, path)
+        folded.fold(rows, batch_id, path, jobs.SECONDS, merge)
+    assert [tuple(row) for row in folded.current(spark, path, jobs.SECONDS).collect()] == [(1, "H", 5, 6)]
+    with pytest.raises(ValueError, match="checkpoint"):
+        folded.refuse_older(spark, 2, path)
+
+
+def test_sittings_are_closed_by_the_watermark(pipe):
+    """A match that goes on within the gap, one after it, and one whose last sitting is still open."""
+    for after in ([(1, 0), (2, 0)], [(1, 20)], [(2, 60), (1, 49)], [(3, 100), (2, 61)], [(3, 131)]):
+        pipe.add(*(shot(100 * match_id + at, match_id=match_id, after=at) for match_id, at in after))
+        pipe.silver()
+        for name in ("sittings", "team_times"):
+            pipe.gold(name)
+    minutes = lambda at: int((at - NOON).total_seconds() // 60)
+    got = sorted((r.match_id, minutes(r.sitting_start), minutes(r.sitting_end), r.events) for r in pipe.table("sittings")[0].collect())
+    assert got == [(1, 0, 49, 3), (2, 0, 0, 1), (2, 60, 61, 2)]
+    found = live_views(pipe.spark, pipe.path("silver"), pipe.root)["match_catalogue"]
+    assert {r.match_id: (r.events, r.closed_sittings, r.status) for r in found.collect()} == {
+        1: (3, 1, "finished"), 2: (3, 2, "finished"), 3: (2, 0, "live"),
+    }
+
+
+def test_batches_become_rows_of_a_table(pipe):
+    table = pipe.path("batches")
+    listener = progress.BatchTable(pipe.session, table, rows_per_file=2)
+    pipe.session.streams.addListener(listener)
+    try:
+        for rows in ([shot(1, after=0), shot(1, after=0)], [shot(2, after=40)], [shot(3, after=41)], [shot(4, after=5), shot(5, after=42)]):
+            pipe.add(*rows)
+            pipe.silver()
+        listener.wait_for(4)
+    finally:
+        pipe.session.streams.removeListener(listener)
+    found = progress.batches(pipe.spark, table)
+    assert {row.query_name for row in found.select("query_name").collect()} == {"silver"}
+    sums = found.agg(F.sum("rows_in"), F.sum("rows_late"), F.count_distinct("run_id"), F.min("milliseconds")).first()
+    assert tuple(sums)[:3] == (6, 1, 4) and sums[3] >= 0
+
+
 def test_momentum_needs_no_python_worker(spark, pipe):
     pipe.add(shot(1))
     pipe.silver()
