@@ -20,8 +20,10 @@ from matchlive.llm.common import Carried, saved, small_batches, text_of
 from matchlive.llm.quality import CLASSES, class_counts, repeated_lines, shares
 from matchlive.llm.words import Words, chunks, mix, split
 
-#: Labelled documents used, a quarter of them for calibration only, and rows whose products are held at once.
-LABELLED, POOL = 16_000, 4_000
+#: Labelled documents used, a quarter of them for calibration only.
+LABELLED = 16_000
+#: Rows that the driver receives, and whose products it holds, at once.
+BLOCK_ROWS = 2_000
 TEXT_BITS = 18
 META_BITS = 12
 ROUNDS = 3
@@ -57,19 +59,16 @@ class Rows(NamedTuple):
 
     def times(self, weights: np.ndarray) -> np.ndarray:
         out = np.zeros(len(self.first) - 1)
-        for low, part in self.blocks():
-            first = self.first[low : low + POOL + 1] - part.start
-            sums = np.concatenate(([0.0], np.cumsum(self.value[part] * weights[self.at[part]])))
-            out[low : low + POOL] = sums[first[1:]] - sums[first[:-1]]
+        for rows, part in self.blocks():
+            out[rows] = row_sums(self.value[part] * weights[self.at[part]], self.first[rows.start : rows.stop + 1] - part.start)
         return out
 
-    def blocks(self) -> Iterator[tuple[int, slice]]:
-        """Number of the first of POOL rows, and their places."""
-        for low in range(0, len(self.first) - 1, POOL):
-            yield low, slice(self.first[low], self.first[min(low + POOL, len(self.first) - 1)])
-
-    def row_numbers(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.first) - 1, dtype=np.int32), np.diff(self.first))
+    def blocks(self) -> Iterator[tuple[slice, slice]]:
+        """BLOCK_ROWS rows, and their places."""
+        count = len(self.first) - 1
+        for low in range(0, count, BLOCK_ROWS):
+            high = min(low + BLOCK_ROWS, count)
+            yield slice(low, high), slice(self.first[low], self.first[high])
 
     def take(self, rows: np.ndarray) -> "Rows":
         length = np.diff(self.first)[rows]
@@ -78,6 +77,11 @@ class Rows(NamedTuple):
         return Rows(first, self.at[place], self.value[place])
 
 
+def row_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    sums = np.concatenate(([0.0], np.cumsum(values)))
+    return sums[first[1:]] - sums[first[:-1]]
+
+
 def summed(row: np.ndarray, place: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (row, place) in order, with their counts, as (first, place, count)."""
     key, count = np.unique(row.astype(np.int64) << 32 | place.astype(np.int64), return_counts=True)
@@ -153,20 +157,39 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def fitted(rows: Rows, good: np.ndarray, places: int, weights: np.ndarray | None = None) -> np.ndarray:
-    """Logistic regression with both classes weighed alike, by Adam from ``weights`` on."""
+class Part(NamedTuple):
+    """Some rows with their outcomes; those that are not ``used`` are left out of training."""
+
+    rows: Rows
+    good: np.ndarray
+    used: np.ndarray
+
+
+def fitted(parts: Sequence[Part], places: int, weights: np.ndarray | None = None) -> np.ndarray:
+    """Logistic regression with both classes weighed alike, by Adam from ``weights`` on.
+
+    Rows are read where they are: what is not used weighs nothing, and places of
+    too few rows keep no weight.
+    """
     steps = STEPS if weights is None else MORE_STEPS
     weights = np.zeros(places) if weights is None else weights.copy()
-    balance = np.where(good, 0.5 / max(good.sum(), 1), 0.5 / max((~good).sum(), 1))
+    number = np.zeros(places, np.int64)
+    for part in parts:
+        for rows, at in part.rows.blocks():
+            own = np.repeat(part.used[rows], np.diff(part.rows.first[rows.start : rows.stop + 1]))
+            number += np.bincount(part.rows.at[at][own], minlength=places)
+    seen = number >= LEAST_ROWS
+    of_class = [max(sum(int((part.used & (part.good == kind)).sum()) for part in parts), 1) for kind in (False, True)]
+    balance = [np.where(part.good, 0.5 / of_class[1], 0.5 / of_class[0]) * part.used for part in parts]
     mean, square = np.zeros(places), np.zeros(places)
-    seen = (np.bincount(rows.at, minlength=places) >= LEAST_ROWS)[rows.at]
-    rows = Rows(np.concatenate(([0], np.cumsum(seen)))[rows.first], rows.at[seen], rows.value[seen])
-    number = rows.row_numbers()
     for step in range(1, steps + 1):
-        error = (sigmoid(rows.times(weights)) - good) * balance
         slope = PENALTY * weights
-        for _, part in rows.blocks():
-            slope += np.bincount(rows.at[part], rows.value[part] * error[number[part]], places)
+        for part, weigh in zip(parts, balance, strict=True):
+            for rows, at in part.rows.blocks():
+                place, value, first = part.rows.at[at], part.rows.value[at], part.rows.first[rows.start : rows.stop + 1] - at.start
+                error = (sigmoid(row_sums(value * weights[place], first)) - part.good[rows]) * weigh[rows]
+                slope += np.bincount(place, value * np.repeat(error, np.diff(first)), places)
+        slope *= seen
         mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope**2
         weights -= RATE / np.sqrt(step) * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)
     return weights
@@ -240,26 +263,25 @@ def co_train(text: Rows, meta: Rows, good: np.ndarray, pool_text: Rows, pool_met
             out.append(lent[view].plus(chosen, pools[view].take(chosen), margin[chosen] > 0))
         return out
 
-    return co_trained(text, meta, good, lend)
+    return co_trained([text], meta, good, lend)
 
 
-def co_trained(text: Rows, meta: Rows, good: np.ndarray, lend: Lending) -> Model:
+def co_trained(text: Sequence[Rows], meta: Rows, good: np.ndarray, lend: Lending) -> Model:
     """Trains both views on three quarters of the rows; the fourth calibrates and sets the threshold."""
     held = np.arange(len(good)) % 4 == 3
-    views = [(text, (1 << TEXT_BITS) + SHAPES), (meta, (1 << META_BITS) + 1)]
+    views = [(as_parts(text, good, ~held), (1 << TEXT_BITS) + SHAPES), (as_parts([meta], good, ~held), (1 << META_BITS) + 1)]
     lent = [Lent(np.zeros(0, np.int64), NOTHING, np.zeros(0, bool)) for _ in views]
     weights: list[np.ndarray | None] = [None, None]
     scales = [np.zeros(2), np.zeros(2)]
-    own = np.flatnonzero(~held)
+    raw = [np.zeros(0), np.zeros(0)]
     for round_ in range(ROUNDS + 1):
-        for view, (rows, places) in enumerate(views):
-            joined = stacked(rows.take(own), lent[view].rows)
-            outcome = np.concatenate([good[own], lent[view].good])
-            weights[view] = fitted(joined, outcome, places, weights[view])
-            scales[view] = calibrated(rows.take(np.flatnonzero(held)).times(weights[view]), good[held])
+        for view, (parts, places) in enumerate(views):
+            borrowed = Part(lent[view].rows, lent[view].good, np.ones(len(lent[view].good), bool))
+            weights[view] = fitted([*parts, borrowed], places, weights[view])
+            raw[view] = np.concatenate([part.rows.times(weights[view])[~part.used] for part in parts])
+            scales[view] = calibrated(raw[view], good[held])
         if round_ < ROUNDS:
             lent = lend(weights, scales, lent)
-    raw = [rows.take(np.flatnonzero(held)).times(weights[view]) for view, (rows, _) in enumerate(views)]
     logits = np.column_stack([scales[view][0] * raw[view] + scales[view][1] for view in (0, 1)])
     combine = calibrated(logits, good[held])
     model = Model(weights[0], weights[1], scales[0], scales[1], combine, 0.5)
@@ -267,6 +289,15 @@ def co_trained(text: Rows, meta: Rows, good: np.ndarray, lend: Lending) -> Model
     return model._replace(threshold=float(min(0.5, np.quantile(both[good[held]], 1 - KEEP_GOOD))))
 
 
+def as_parts(rows: Sequence[Rows], good: np.ndarray, used: np.ndarray) -> list[Part]:
+    out, low = [], 0
+    for some in rows:
+        high = low + len(some.first) - 1
+        out.append(Part(some, good[low:high], used[low:high]))
+        low = high
+    return out
+
+
 def stacked(one: Rows, other: Rows) -> Rows:
     return Rows(
         np.concatenate([one.first, one.first[-1] + other.first[1:]]),
@@ -275,11 +306,18 @@ def stacked(one: Rows, other: Rows) -> Rows:
     )
 
 
-def sampled(documents: DataFrame, key: Column, keys: Sequence[int]) -> tuple[np.ndarray, Rows, Rows]:
-    """Keys and features of the documents with these keys, in order of the key; one with each key."""
-    ids = documents.sparkSession.createDataFrame([(int(i),) for i in keys], "key long")
+def sampled(documents: DataFrame, key: Column, keys: Sequence[int]) -> tuple[list[Rows], Rows]:
+    """Features of the documents with these keys, in that order; of documents that share a key, the same one each time.
+
+    The features are written and come to the driver some BLOCK_ROWS at a time,
+    each time in one part of the text rows.
+    """
+    spark = documents.sparkSession
+    places = spark.createDataFrame([(int(own), place) for place, own in enumerate(keys)], "key long, place int")
     rows = documents.select(key.cast("long").alias("key"), text_of("text").alias("text"), *meta_columns())
-    rows = rows.join(F.broadcast(ids), "key", "left_semi")
+    rows = rows.join(F.broadcast(places), "key")
+    one = F.min(F.struct(F.xxhash64("text", *META).alias("tie"), "text", *META)).alias("one")
+    rows = rows.groupBy("place").agg(one).select("place", "one.*").drop("tie").repartition(16, "place")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -290,17 +328,20 @@ def sampled(documents: DataFrame, key: Column, keys: Sequence[int]) -> tuple[np.
                     pa.ListArray.from_arrays(pa.array(found.first, pa.int32()), pa.array(values))
                     for values in (found.at, found.value)
                 ]
-                kept = [part.column(name) for name in ("key", *META)]
-                yield pa.RecordBatch.from_arrays([*kept, *lists], names=["key", *META, "at", "value"])
-
-    schema = "key long, " + ", ".join(f"{name} long" for name in META) + ", at array<int>, value array<float>"
-    table = rows.mapInArrow(features, schema).toArrow().combine_chunks()
-    ids_, first = np.unique(table.column("key").to_numpy(), return_index=True)  # repeated keys count once
-    at, value = table.column("at").combine_chunks(), table.column("value").combine_chunks()
-    text = Rows(np.concatenate(([0], np.cumsum(at.value_lengths().to_numpy()))).astype(np.int64),
-                at.flatten().to_numpy(), value.flatten().to_numpy())
-    columns = np.column_stack([table.column(name).to_numpy() for name in META])
-    return ids_, text.take(first), meta_rows(columns[first])
+                kept = [part.column(name) for name in ("place", *META)]
+                yield pa.RecordBatch.from_arrays([*kept, *lists], names=["place", *META, "at", "value"])
+
+    schema = "place int, " + ", ".join(f"{name} long" for name in META) + ", at array<int>, value array<float>"
+    table = saved(rows.mapInArrow(features, schema), "features")
+    text, meta = [], []
+    for low in range(0, max(len(keys), 1), BLOCK_ROWS):
+        some = table.where((F.col("place") >= low) & (F.col("place") < low + BLOCK_ROWS)).toArrow()
+        some = some.sort_by("place").combine_chunks()
+        at, value = (some.column(name).combine_chunks() for name in ("at", "value"))
+        first = np.concatenate(([0], np.cumsum(at.value_lengths().to_numpy()))).astype(np.int64)
+        text.append(Rows(first, at.flatten().to_numpy().copy(), value.flatten().to_numpy().copy()))
+        meta.append(np.column_stack([some.column(name).to_numpy() for name in META]))
+    return text, meta_rows(np.concatenate(meta))
 
 
 def row_key() -> Column:
@@ -342,14 +383,17 @@ def lending(documents: DataFrame, labels: DataFrame) -> Lending:
         for view, margin in enumerate(("meta_margin", "text_margin")):
             chosen = []
             for of_class in (F.col(margin) > 0, F.col(margin) < 0):
-                some = sure.where(of_class).select("key", *META, margin).distinct()
+                # the sums of copies can differ in their last digits
+                some = sure.where(of_class).groupBy("key", *META).agg(F.max(margin).alias(margin))
                 chosen += some.orderBy(F.abs(margin).desc(), "key").limit(LENT).collect()
             if not chosen:
                 out.append(lent[view])
                 continue
             good = {row["key"]: row[margin] > 0 for row in chosen}
             if view == 0:
-                key, rows, _ = sampled(documents, row_key(), list(good))
+                key, rows = np.array(sorted(good), np.int64), NOTHING
+                for part in sampled(documents, row_key(), sorted(good))[0]:
+                    rows = stacked(rows, part)
             else:
                 key = np.array([row["key"] for row in chosen], np.int64)
                 rows = meta_rows(np.array([[row[name] for name in META] for row in chosen], np.int64))
@@ -376,10 +420,10 @@ def trained(documents: DataFrame, labels: DataFrame) -> Model | None:
     outcome = {row["doc_id"]: row["good"] for row in known.orderBy(order, "doc_id").limit(LABELLED).collect()}
     if len(set(outcome.values())) < 2 or len(outcome) < 16:
         return None
-    ids, text, meta = sampled(documents, F.col("doc_id"), list(outcome))
-    order = np.argsort(mix(ids.astype(np.uint64)), kind="stable")
-    truth = np.array([outcome[int(i)] for i in ids[order]])
-    return co_trained(text.take(order), meta.take(order), truth, lending(documents, labels))
+    ids = np.array(sorted(outcome), np.int64)
+    ids = ids[np.argsort(mix(ids.astype(np.uint64)), kind="stable")]
+    truth = np.array([outcome[int(i)] for i in ids])
+    return co_trained(*sampled(documents, F.col("doc_id"), ids.tolist()), truth, lending(documents, labels))
 
 
 def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ LABELS = "doc_id long, quality int, toxic int"
 def test_real_documents_held_out(spark, monkeypatch):
     """Labelled documents that the bounded sample leaves out are told apart."""
     monkeypatch.setattr(C, "LABELLED", 1500)
-    monkeypatch.setattr(C, "POOL", 1500)
+    monkeypatch.setattr(C, "BLOCK_ROWS", 700)
     folder = "/root/testdata/sf0.1"
     documents, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
     order = "xxhash64('sample', doc_id)"
@@ -108,7 +108,7 @@ def test_every_unlabelled_document_can_be_lent(spark, monkeypatch):
     """New documents of both classes each round, from the whole table, rows without an id or a label that counts too."""
     text = lambda good: ("fine " if good else "bad ") * 9
     row = lambda i, key: (key, f"{text(i % 2)} w{i}", "en", "a" if i % 2 else "b", 50)
-    monkeypatch.setattr(C, "POOL", 8)
+    monkeypatch.setattr(C, "BLOCK_ROWS", 8)
     rows = [row(i, i) for i in range(800)] + [row(800 + i, None if i % 3 else 800 + i) for i in range(60)]
     labels = [(i, i % 2, 0) for i in range(800)] + [(800 + i, None, 0) for i in range(60)]
     rounds = lent_in_rounds(spark, monkeypatch, rows + rows[:30] + rows[-9:], labels)
