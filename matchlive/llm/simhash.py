@@ -16,7 +16,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlive.llm.common import Carried, saved, small_batches, text_of
@@ -72,8 +72,12 @@ def majority_bits(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Tell rows of different ids or texts apart.
+ROW_KEYS = ("row_1", "row_2")
+
+
 def fingerprints(documents: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fingerprint as signed 64-bit number) of every whole text."""
+    """(doc_id, fingerprint as signed 64-bit number, ROW_KEYS) of every whole text."""
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,10 +85,17 @@ def fingerprints(documents: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
             parts = [majority_bits(*shingle_hashes(words, size)) for _, _, words in chunks(batch.column("text"))]
             if parts:
                 values = pa.array(np.concatenate(parts).view(np.int64))
-                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "fingerprint": values})
+                own = {name: batch.column(name) for name in ("doc_id", *ROW_KEYS)}
+                yield pa.RecordBatch.from_pydict({"doc_id": own.pop("doc_id"), "fingerprint": values} | own)
+
+    rows = small_batches(documents).select("doc_id", text_of("text").alias("text"), *row_keys("doc_id", "text"))
+    return rows.mapInArrow(digest, f"doc_id {kind}, fingerprint long, " + ", ".join(f"{name} long" for name in ROW_KEYS))
 
-    rows = small_batches(documents).select("doc_id", text_of("text").alias("text"))
-    return rows.mapInArrow(digest, f"doc_id {kind}, fingerprint long")
+
+def row_keys(doc_id: str, text: str) -> list[Column]:
+    """A null id differs from all others, a null text does not from an empty one."""
+    known = F.col(doc_id).isNotNull()
+    return [F.xxhash64(F.lit(name), known, doc_id, text_of(text)).alias(name) for name in ROW_KEYS]
 
 
 class Part(NamedTuple):
@@ -252,11 +263,11 @@ def near_duplicates(documents: DataFrame, distance: int = DISTANCE, size: int =
 
 
 def grouped(documents: DataFrame, distance: int, size: int) -> DataFrame:
-    """(doc_id, fingerprint, component_id, root); root is a fingerprint of the group, and only of this group."""
+    """(doc_id, fingerprint, ROW_KEYS, component_id, root); root is a fingerprint of the group, and only of this group."""
     marked = saved(fingerprints(documents, size), "fingerprints")
     distinct = saved(marked.groupBy("fingerprint").agg(F.min("doc_id").cast("long").alias("first")), "distinct")
     if distinct.isEmpty():
-        return marked.select("doc_id", "fingerprint", F.col("doc_id").cast("long").alias("component_id"), F.col("fingerprint").alias("root"))
+        return marked.select("*", F.col("doc_id").cast("long").alias("component_id"), F.col("fingerprint").alias("root"))
     # fingerprints are the nodes: they are distinct and never null
     nodes = distinct.select("fingerprint", F.col("fingerprint").alias("first"))
     rows = probes(nodes, partitions(distinct, distance))
@@ -271,30 +282,20 @@ def grouped(documents: DataFrame, distance: int, size: int) -> DataFrame:
     rooted = saved(distinct.join(found, F.col("fingerprint") == F.col("node"), "left").select("fingerprint", "first", root), "rooted")
     lowest = saved(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "component-ids")
     named = rooted.drop("first").join(lowest, "root")
-    return marked.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id", "root")
+    return marked.join(named, "fingerprint").select(*marked.columns, "component_id", "root")
 
 
 def survivors(documents: DataFrame, distance: int = DISTANCE, size: int = SHINGLE_WORDS) -> DataFrame:
     """One document of each group, with its columns: that whose id names the group.
 
     Rows that share an id but not a group are documents of their own. Of rows
-    repeated with the id that names a group one stays; rows without an id all stay.
+    repeated with the id that names a group one stays. Rows without an id are in
+    groups like others; one of them stays where no row of the group has an id.
     """
-    groups = grouped(documents.where("doc_id IS NOT NULL"), distance, size).groupBy("root")
-    chosen = groups.agg(F.min(F.struct("doc_id", "fingerprint")).alias("chosen")).select("chosen.*")
-    chosen = saved(chosen, "survivors")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "fingerprint", *ROW_KEYS)
+    groups = grouped(documents, distance, size).groupBy("root").agg(F.min(order).alias("chosen"))
+    chosen = saved(groups.select(*[f"chosen.{name}" for name in ROW_KEYS]), "survivors")
     whole = Carried(documents)
-    text, doc_id = whole["text"], whole["doc_id"]
-
-    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low, high, words in chunks(batch.column(text)):
-                values = majority_bits(*shingle_hashes(words, size)).view(np.int64)
-                yield batch.slice(low, high - low).append_column("__fingerprint", pa.array(values))
-
-    ids = chosen.select(F.col("doc_id").alias(doc_id)).distinct()
-    rows = small_batches(documents).select(*whole.columns).join(ids, doc_id, "left_semi")
-    rows = rows.mapInArrow(marked, f"{whole.schema}, __fingerprint long")
-    both = [doc_id, "__fingerprint"]
-    kept = rows.join(chosen.toDF(*both), both, "left_semi").dropDuplicates(both)
-    return whole.restored(kept).unionByName(documents.where("doc_id IS NULL")).select(documents.columns)
+    rows = documents.select(*whole.columns, *row_keys("doc_id", "text"))
+    kept = rows.join(chosen, list(ROW_KEYS), "left_semi").dropDuplicates(list(ROW_KEYS))
+    return whole.restored(kept).select(documents.columns)

@@ -48,7 +48,9 @@ def test_no_documents_and_no_ids(spark, none):
     assert sorted((r["doc_id"] or 0, r["component_id"]) for r in simhash.near_duplicates(frame).collect()) == [
         (0, 5), (0, 5), (5, 5), (6, 6),
     ]
-    assert sorted(r["doc_id"] or 0 for r in simhash.survivors(frame).collect()) == [0, 0, 5, 6]
+    assert sorted(r["doc_id"] or 0 for r in simhash.survivors(frame).collect()) == [5, 6]
+    alone = frame.where("doc_id IS NULL OR doc_id = 6")
+    assert sorted(r["doc_id"] or 0 for r in simhash.survivors(alone).collect()) == [0, 6]
 
 
 def clustered(rng, count):
