@@ -1,8 +1,11 @@
 """Token ids of whole documents from a public BPE vocabulary, with an end mark, cut into pieces."""
 
 import re
+import struct
+import sys
+import types
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -13,11 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchlive.llm.common import small_batches, text_of
+from matchlive.llm.words import release
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
 #: Words whose ids a worker remembers, and those it keeps when there are more, and between tasks.
-CACHED_WORDS, KEPT_WORDS = 200_000, 80_000
+CACHED_WORDS, KEPT_WORDS = 300_000, 150_000
 #: Latin letters in composed form, then ASCII marks without the apostrophe of contractions:
 #: the vocabulary cuts between the two, and its normal form only changes case.
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
@@ -37,56 +41,74 @@ class WordTokenizer:
     """Ids per run of non-white-space, remembered.
 
     The vocabulary drops white space and never joins what it separates, so the
-    ids of a text are those of its runs in order.
+    ids of a text are those of its runs in order. Where a run is a word and marks,
+    its ids are those of the two as runs of their own.
     """
 
     def __init__(self, path: str) -> None:
         self.full = tokenizers.Tokenizer.from_file(path)
+        self.model = self.full.model
         self.known: dict[bytes, bytes] = {}
-        self.cores: dict[str, bytes] = {}
 
     def ids(self, text: bytes) -> bytes:
         """Ids of the text as little-endian unsigned 32-bit numbers."""
         # marks such as <|endoftext|> are one id, but not in other case
         runs = (text.lower() if text.isascii() and b"<|" not in text else text).split()
-        try:
-            return b"".join([self.known[run] for run in runs])
-        except KeyError:
-            if len(self.known) > CACHED_WORDS:
-                self.forget()
-            for run in set(runs):
-                if run not in self.known:
-                    self.known[run] = self._run(run)
-            return b"".join([self.known[run] for run in runs])
+        found = list(map(self.known.get, runs))
+        if None not in found:
+            return b"".join(found)
+        fresh = {run for run, ids in zip(runs, found, strict=True) if ids is None}
+        if len(self.known) > CACHED_WORDS:
+            self.forget()
+        here = {run: self._run(run) for run in fresh}
+        self.known.update(here)
+        return b"".join([here[run] if ids is None else ids for run, ids in zip(runs, found, strict=True)])
 
     def forget(self) -> None:
         """Keeps the words seen first, as common words are."""
         self.known = dict(islice(self.known.items(), KEPT_WORDS))
-        self.cores = dict(islice(self.cores.items(), KEPT_WORDS))
 
     def _run(self, run: bytes) -> bytes:
-        plain = PLAIN.fullmatch(text := run.decode())
+        text = run.decode()
+        if text.isascii() and text.isalpha():
+            return self._word(text.lower())
+        plain = PLAIN.fullmatch(text)
         if plain is None:
             return self._pack(self.full.encode(text, add_special_tokens=False).ids)
         core, marks = plain[1].lower(), plain[2]
-        if core not in self.cores:
-            letters = core.encode().decode("latin-1").translate(BYTE_LETTERS)
-            self.cores[core] = self._pack([token.id for token in self.full.model.tokenize(letters)])
-        if marks and marks not in self.cores:
-            self.cores[marks] = self._pack(self.full.encode(marks, add_special_tokens=False).ids)
-        return self.cores[core] + (self.cores[marks] if marks else b"")
+        if not marks:
+            return self._word(core)
+        return self._part(core, self._word) + self._part(marks, self._marks)
+
+    def _part(self, text: str, ids_of: Callable[[str], bytes]) -> bytes:
+        key = text.encode()
+        ids = self.known.get(key)
+        if ids is None:
+            ids = self.known[key] = ids_of(text)
+        return ids
+
+    def _word(self, core: str) -> bytes:
+        letters = core if core.isascii() else core.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return self._pack([token.id for token in self.model.tokenize(letters)])
+
+    def _marks(self, marks: str) -> bytes:
+        return self._pack(self.full.encode(marks, add_special_tokens=False).ids)
 
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def tokenizer(path: str) -> WordTokenizer:
-    """One per worker process, kept between its tasks beside the library it wraps."""
-    kept = tokenizers.__dict__.setdefault("kept_word_tokenizers", {})
-    if path not in kept:
-        kept[path] = WordTokenizer(path)
-    return kept[path]
+    """One per worker process, kept between its tasks.
+
+    A worker gets this function anew with every task, so what it keeps lies in a
+    module object of its own among those of the process.
+    """
+    kept = sys.modules.setdefault("matchlive_kept_tokenizers", types.ModuleType("matchlive_kept_tokenizers"))
+    if path not in vars(kept):
+        setattr(kept, path, WordTokenizer(path))
+    return getattr(kept, path)
 
 
 def cut(documents: DataFrame, most: int, path: str = VOCABULARY, end_id: int = END_ID, ids: bool = False) -> DataFrame:
@@ -121,6 +143,7 @@ def cut(documents: DataFrame, most: int, path: str = VOCABULARY, end_id: int = E
             }
             yield pa.RecordBatch.from_pydict(columns | ({"ids": pa.array(data, pa.binary())} if ids else {}))
         tokenizer(path).forget()
+        release()
 
     rows = small_batches(documents).select("doc_id", text_of("text").alias("text"))
     return rows.mapInArrow(pieces, schema)
