@@ -1,6 +1,8 @@
 """Words of whole texts as numpy arrays: where they begin and end, and a 64-bit hash of each."""
 
+import ctypes
 from collections.abc import Iterator
+from contextlib import suppress
 from typing import NamedTuple
 
 import numpy as np
@@ -102,6 +104,13 @@ def split(flat: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(flat, offsets, np.searchsorted(start, offsets), start, end)
 
 
+def release() -> None:
+    """Gives memory that is free again back to the system; a worker that waits for its next task keeps none."""
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int, Words]]:
     """(from, to, words) over runs of documents of about ``most`` bytes."""
     low = 0
@@ -111,6 +120,7 @@ def chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int,
         at = offsets[low : high + 1]
         yield low, high, split(flat[at[0] : at[-1]], at - at[0])
         low = high
+    release()
 
 
 def windows(hashes: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
