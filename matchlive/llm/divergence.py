@@ -26,7 +26,7 @@ LEAST_DOCUMENTS, TOP_TERMS = 30, 50
 #: Shares are in billionths; so many occurrences are added to each term.
 UNIT, ADDED = 1_000_000_000, 5
 #: Bytes of text counted at once; rows of counts held by a task; entries of a tree handled at once.
-TEXT_BYTES, COUNTED_ROWS, TREE_ENTRIES = 4 << 20, 400_000, 1 << 18
+TEXT_BYTES, COUNTED_ROWS, TREE_ENTRIES = 2 << 20, 200_000, 1 << 18
 
 
 def folded_bytes() -> np.ndarray:
@@ -52,8 +52,8 @@ def text_slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
         low = high
 
 
-def counted(groups: pa.Array, texts: pa.Array) -> pa.Table:
-    """(group, term, number, holding): occurrences of each term, and documents that hold it, by group."""
+def counted(langs: pa.Array, sources: pa.Array, texts: pa.Array) -> pa.Table:
+    """(lang, source, term, number, holding): occurrences of each term, and documents that hold it."""
     lists = pc.ascii_split_whitespace(texts)
     words = lists.flatten()
     document = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
@@ -61,22 +61,29 @@ def counted(groups: pa.Array, texts: pa.Array) -> pa.Table:
     coded, document = words.filter(real).dictionary_encode(), document[real.to_numpy(zero_copy_only=False)]
     size = max(1, len(coded.dictionary))
     in_document, number = np.unique(document * size + coded.indices.to_numpy(), return_counts=True)
-    of = groups.dictionary_encode()
-    key = of.indices.to_numpy()[in_document // size].astype(np.int64) * size + in_document % size
+    lang, source = langs.dictionary_encode(), sources.dictionary_encode()
+    of = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
+    key = of[in_document // size] * size + in_document % size
     key, place, holding = np.unique(key, return_inverse=True, return_counts=True)
+    of, term = np.divmod(key, size)
     return pa.table(
         {
-            "group": of.dictionary.take(pa.array(key // size)),
-            "term": coded.dictionary.take(pa.array(key % size)).cast(pa.large_string()),
+            "lang": lang.dictionary.take(pa.array(of // len(source.dictionary))),
+            "source": source.dictionary.take(pa.array(of % len(source.dictionary))),
+            "term": coded.dictionary.take(pa.array(term)).cast(pa.string()),
             "number": np.bincount(place, number, len(key)).astype(np.int64),
             "holding": holding.astype(np.int64),
         }
     )
 
 
+COUNTS = "lang string, source string, term string, number long, holding long"
+
+
 def added_up(parts: list[pa.Table]) -> pa.Table:
-    sums = pa.concat_tables(parts).group_by(["group", "term"]).aggregate([("number", "sum"), ("holding", "sum")])
-    return sums.rename_columns(["group", "term", "number", "holding"])
+    sums = pa.concat_tables(parts).group_by(["lang", "source", "term"], use_threads=False)
+    sums = sums.aggregate([("number", "sum"), ("holding", "sum")])
+    return sums.rename_columns(["lang", "source", "term", "number", "holding"])
 
 
 def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,32 +92,24 @@ def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = 0
     for batch in batches:
         for low, texts in text_slices(batch.column("text")):
-            parts.append(counted(batch.column("group").slice(low, len(texts)).cast(pa.large_string()), texts))
+            names = [batch.column(name).slice(low, len(texts)) for name in ("lang", "source")]
+            parts.append(counted(*names, texts))
             rows += parts[-1].num_rows
             if rows > 2 * COUNTED_ROWS:
                 parts = [added_up(parts)]
                 rows = parts[0].num_rows
             if rows > COUNTED_ROWS and len(parts) == 1:
-                yield from as_batches(parts[0])
+                yield from parts[0].combine_chunks().to_batches(max_chunksize=50_000)
                 parts, rows = [], 0
     if parts:
-        yield from as_batches(added_up(parts))
-
-
-def as_batches(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    names = ("group", "term")
-    plain = table.set_column(0, names[0], table.column(0).cast(pa.string())).set_column(1, names[1], table.column(1).cast(pa.string()))
-    yield from plain.combine_chunks().to_batches(max_chunksize=50_000)
+        yield from added_up(parts).combine_chunks().to_batches(max_chunksize=50_000)
 
 
 def term_counts(documents: DataFrame) -> DataFrame:
     """(lang, source, term, number, holding) over all documents; null text, language and source count as empty."""
-    pair = F.to_json(F.struct(*named_columns()))
-    rows = small_batches(documents).select(pair.alias("group"), text_of("text").alias("text"))
-    parts = rows.mapInArrow(count_terms, "group string, term string, number long, holding long")
-    sums = parts.groupBy("group", "term").agg(F.sum("number").alias("number"), F.sum("holding").alias("holding"))
-    named = F.from_json("group", "lang string, source string")
-    return sums.withColumn("named", named).select("named.lang", "named.source", "term", "number", "holding")
+    rows = small_batches(documents).select(*named_columns(), text_of("text").alias("text"))
+    parts = rows.mapInArrow(count_terms, COUNTS)
+    return parts.groupBy("lang", "source", "term").agg(F.sum("number").alias("number"), F.sum("holding").alias("holding"))
 
 
 def named_columns() -> list[Column]:
