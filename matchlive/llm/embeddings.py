@@ -21,9 +21,13 @@ from matchlive.llm.components import components, forest
 from matchlive.llm.tiles import tiled
 
 COSINE = 0.95
-BLOCK_DIMENSIONS = 16
-GRID_DIMENSIONS = 2
+#: Larger blocks and fewer grid dimensions mean that a vector visits fewer cells; what they prune less, the order
+#: along one more coordinate prunes within a cell.
+BLOCK_DIMENSIONS = 32
+GRID_DIMENSIONS = 1
 SEED = 7
+#: The own cell, and those whose rows a cell's rows visit.
+NEIGHBOURS = ((0, 0), (0, 1), (1, -1), (1, 1), (1, 0))
 #: Vectors of one grid cell compared in one task; vectors and pairs compared in one step there.
 TILE_ROWS = 16_384
 STEP_ROWS, STEP_PAIRS = 512, 1 << 20
@@ -81,15 +85,15 @@ def cells(cosine: float, whole: bool):
                     yield from visits(part, points[:, block], number, np.sqrt(budget) + SLACK)
 
     def visits(part: pa.RecordBatch, points: np.ndarray, block: int, reach: float) -> Iterator[pa.RecordBatch]:
-        grid = np.zeros((len(points), GRID_DIMENSIONS))
+        grid = np.zeros((len(points), 2))
         grid[:, : min(points.shape[1], GRID_DIMENSIONS)] = points[:, :GRID_DIMENSIONS]
         own = np.floor(grid / reach)
         inside = grid - own * reach
-        for dx, dy in ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1)):
+        for dx, dy in NEIGHBOURS[:1] + NEIGHBOURS[-(GRID_DIMENSIONS**2) :]:
             gap_x = reach - inside[:, 0] if dx else 0.0
             gap_y = {1: reach - inside[:, 1], -1: inside[:, 1], 0: 0.0}[dy]
             at = np.flatnonzero(np.full(len(points), gap_x**2 + gap_y**2) <= (reach + SLACK) ** 2)
-            carried = ["size", "first", "copies", "vector"] if whole else ["size"]
+            carried = ["size", "node", "copies", "vector"] if whole else ["size"]
             rows = part.select(carried).take(pa.array(at))
             yield pa.RecordBatch.from_pydict(
                 {
@@ -136,7 +140,7 @@ def compare(cosine: float):
 
     def links(table: pa.Table) -> pa.Table:
         raw = matrix(table.column("vector").combine_chunks())
-        first, copies = table.column("first").to_numpy(), table.column("copies").to_numpy()
+        node, copies = table.column("node").to_numpy(), table.column("copies").to_numpy()
         visitor = table.column("visitor").to_numpy()
         side, block = table.column("side").to_numpy(), table.column("block")[0].as_py()
         crossing = table.column("tile_i")[0] != table.column("tile_j")[0]
@@ -162,8 +166,8 @@ def compare(cosine: float):
         moved, some = np.flatnonzero(found != np.arange(len(raw))), np.flatnonzero(total)
         return pa.table(
             {
-                "a": np.concatenate([first[some], first[moved]]),
-                "b": np.concatenate([first[some], first[found[moved]]]),
+                "a": np.concatenate([node[some], node[moved]]),
+                "b": np.concatenate([node[some], node[found[moved]]]),
                 "links": np.concatenate([total[some], np.zeros(len(moved), np.int64)]),
             }
         )
@@ -177,40 +181,45 @@ def near_duplicates(vectors: DataFrame, id_: str = "vec_id", vector: str = "embe
     The cosine is computed in double precision. Vectors that are null, empty,
     zero or hold null or non-finite components link with nothing, nor do vectors
     of different length. Equal vectors are compared once and count as linked
-    with each other; rows repeated with one id count as rows, so that each links
-    to the other. component_id is the smallest id reachable, the row's own
-    included; a null id links like others and is never the smallest. Extra
-    columns are left out.
+    with each other. Rows are what is linked: rows repeated with one id link to
+    each other if their vectors are near, and only then. component_id is the
+    smallest id reachable, the row's own included; a row without an id links like
+    others, and has a null component_id if it reaches no id. Extra columns are
+    left out.
     """
     rows = vectors.select(F.col(id_).cast("long").alias("vec_id"), F.col(vector).alias("vector"))
     # adding 0.0 turns -0.0 into 0.0, so that equal vectors have one key
     clean = rows.withColumn("vector", F.when(usable("vector"), F.transform("vector", lambda x: x + F.lit(0).cast("float"))))
     keys = [F.xxhash64(F.lit(word), "vector").alias(word) for word in ("k1", "k2")]
     marked = saved(clean.select("vec_id", F.col("vector").isNotNull().alias("valid"), *keys), "vector-keys")
+    # a class is a node of its own, numbered as it is written: ids can be null or on several vectors
     classes = saved(
         clean.where("vector IS NOT NULL").select("vec_id", "vector", *keys).groupBy("k1", "k2")
-        .agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"), F.first("vector").alias("vector")),
+        .agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"), F.first("vector").alias("vector"))
+        .withColumn("node", F.monotonically_increasing_id()),
         "vector-classes",
     )
-    compared = classes.where("first IS NOT NULL").select(F.size("vector").alias("size"), "first", "copies", "vector")
+    compared = classes.select(F.size("vector").alias("size"), "node", "copies", "vector")
     kind = classes.schema["vector"].dataType.simpleString()
     place = "block int, cell_x int, cell_y int, visitor boolean, size int"
-    spread = compared.mapInArrow(cells(cosine, True), f"{place}, first long, copies long, vector {kind}")
+    spread = compared.mapInArrow(cells(cosine, True), f"{place}, node long, copies long, vector {kind}")
     bare = compared.select("size", "vector").mapInArrow(cells(cosine, False), place)
     cell = ["size", "block", "cell_x", "cell_y"]
     counts = bare.groupBy(*cell).agg(F.count("*").alias("count"), F.count_if(~F.col("visitor")).alias("home"))
     counts = saved(counts.where("home > 0 AND count > 1").drop("home"), "vector-cells")
-    tiles = tiled(spread, cell, "first", TILE_ROWS, counts)
+    tiles = tiled(spread, cell, "node", TILE_ROWS, counts)
     found = saved(
         tiles.groupBy(*cell, "tile_i", "tile_j").applyInArrow(compare(cosine), "a long, b long, links long"),
         "vector-links",
     )
-    linked = found.groupBy(F.col("a").alias("first")).agg(F.sum("links").alias("links"))
-    named = components(found.select("a", "b")).withColumnRenamed("node", "first")
-    known = classes.drop("vector").join(linked, "first", "left").join(named, "first", "left")
-    known = known.select("k1", "k2", "first", "copies", "links", "component")
+    linked = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+    named = saved(components(found.select("a", "b")), "vector-components")
+    members = classes.drop("vector").join(linked, "node", "left").join(named, "node", "left")
+    members = saved(members.withColumn("component", F.coalesce("component", "node")), "vector-members")
+    smallest = members.groupBy("component").agg(F.min("first").alias("smallest"))
+    known = members.join(smallest, "component").select("k1", "k2", "copies", "links", "smallest")
     out = marked.join(known, ["k1", "k2"], "left")
     count = F.when(F.col("valid"), F.coalesce("links", F.lit(0)) + F.col("copies") - 1).otherwise(0).cast("long")
-    component = F.when(F.col("valid"), F.coalesce("component", "first")).otherwise(F.col("vec_id"))
+    component = F.when(F.col("valid"), F.col("smallest")).otherwise(F.col("vec_id"))
     out = out.select("vec_id", count.alias("n_links"), component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

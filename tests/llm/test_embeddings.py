@@ -38,19 +38,45 @@ def brute(ids, rows):
     ]
     links = np.bincount(np.array(pairs, int).ravel(), minlength=len(rows))
     root = roots(len(rows), pairs)
-    lowest = {r: min(i for i, own in zip(ids, root, strict=True) if own == r) for r in set(root)}
-    return sorted((i, int(n), lowest[r], i == lowest[r]) for i, n, r in zip(ids, links, root, strict=True))
+    reached = {r: [i for i, own in zip(ids, root, strict=True) if own == r and i is not None] for r in set(root)}
+    lowest = {r: min(found, default=None) for r, found in reached.items()}
+    out = ((i, int(n), lowest[r], i is not None and i == lowest[r]) for i, n, r in zip(ids, links, root, strict=True))
+    return sorted(out, key=repr)
+
+
+def found(spark, ids, rows):
+    frame = spark.createDataFrame([(i, row, 0, "x", "y", "z") for i, row in zip(ids, rows, strict=True)], SCHEMA)
+    return sorted(map(tuple, embeddings.near_duplicates(frame.repartition(3)).collect()), key=repr)
 
 
 def test_links_and_components(spark, monkeypatch):
     rows = vectors(64) + vectors(20)
     ids = [int(i) for i in np.random.default_rng(1).permutation(len(rows))]
-    frame = spark.createDataFrame([(i, row, 0, "x", "y", "z") for i, row in zip(ids, rows, strict=True)], SCHEMA)
     want = brute(ids, rows)
     assert sum(row[1] for row in want) > 1500
-    assert sorted(map(tuple, embeddings.near_duplicates(frame.repartition(4)).collect())) == want
+    assert found(spark, ids, rows) == want
     monkeypatch.setattr(embeddings, "TILE_ROWS", 20)  # cells in many tiles
-    assert sorted(map(tuple, embeddings.near_duplicates(frame).collect())) == want
+    assert found(spark, ids, rows) == want
+    monkeypatch.setattr(embeddings, "GRID_DIMENSIONS", 2)
+    monkeypatch.setattr(embeddings, "BLOCK_DIMENSIONS", 16)
+    assert found(spark, ids, rows) == want
+
+
+def test_missing_and_shared_ids(spark):
+    """A row is what is linked: a null id bridges two others, one id on two vectors joins nothing by itself."""
+    rng = np.random.default_rng(9)
+    apart = list(rng.normal(size=(6, 30)))
+    middle = near(rng, apart[0], 0.97)
+    bridged = near(rng, middle, 0.97)  # too far from apart[0] to link with it
+    rows = [apart[0], middle, bridged, apart[1], near(rng, apart[1], 0.99), apart[2], near(rng, apart[2], 0.99), apart[3], apart[4], apart[4]]
+    ids = [3, None, 8, 1, 5, 9, 5, None, None, None]
+    rows = [np.asarray(row, np.float32).tolist() for row in rows] + [None, rows[7].tolist()]
+    ids += [None, 20]
+    want = brute(ids, rows)
+    assert (None, 2, 3, False) in want and (8, 1, 3, False) in want  # the bridge
+    assert (5, 1, 1, False) in want and (5, 1, 5, True) in want and (9, 1, 5, False) in want
+    assert (None, 1, None, False) in want
+    assert found(spark, ids, rows) == want
 
 
 def test_repeated_rows_and_doubles(spark):
