@@ -23,8 +23,8 @@ REVISIT_BYTES = 100
 ARCHIVE_BYTES = 256 << 20
 #: Ranges with at most so much between them are read together, up to so much at once.
 GAP_BYTES, READ_BYTES = 64 << 10, 8 << 20
-#: A task reads the records that begin in one stretch of a file.
-STRETCH_BYTES = 32 << 20
+#: A task reads the records that begin in some stretches of files, of about so many bytes in all.
+STRETCH_BYTES, TASK_BYTES = 8 << 20, 16 << 20
 #: Up to so many revisits are broadcast to the writers (some 40 MB); more are joined by a shuffle.
 BROADCAST_REVISITS = 400_000
 #: The tables have no time of their own.
@@ -146,7 +146,10 @@ def read_records(index: DataFrame) -> DataFrame:
     payload it stands for.
     """
     stretch = F.expr(f"offset div {STRETCH_BYTES}").alias("stretch")
-    wanted = index.select("file", stretch, "offset", "length").repartition("file", "stretch")
+    # adaptive execution would merge these tasks by the size of the index, not of the archives
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-total // TASK_BYTES))
+    wanted = index.select("file", stretch, "offset", "length").repartition(tasks, "file", "stretch")
 
     def runs(rows: Iterator[tuple[str, int, int]]) -> Iterator[tuple[str, list[tuple[int, int]]]]:
         name, run = "", []
