@@ -104,13 +104,16 @@ def group_of() -> Column:
 
 
 def common_words(documents: DataFrame, most: int = COMMON_WORDS) -> dict[str, list[str]]:
-    """Per language the words that most documents have; ties go to the smaller word."""
+    """Per language with enough documents the words that most of them have; ties go to the smaller word."""
     found = F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))).alias("word")
     counts = documents.select(group_of(), found).groupBy("group", "word").count()
     best = Window.partitionBy("group").orderBy(F.desc("count"), "word")
     rows = counts.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= most)
+    # languages that can have a reference, so that an unclean column sends nothing to the driver
+    judged = documents.groupBy(group_of()).count().where(F.col("count") >= REFERENCE_DOCUMENTS).select("group")
+    rows = rows.join(judged, "group", "left_semi")
     out: dict[str, list[str]] = {}
-    for row in rows.orderBy("group", "rank").collect():  # ``most`` words a language
+    for row in rows.orderBy("group", "rank").collect():  # ``most`` words a language with a reference
         out.setdefault(row["group"], []).append(row["word"])
     return out
 
@@ -177,13 +180,14 @@ def references(measures: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
 
     parts = measures.where("NOT base_failed").select("group", "classes", "common")
     parts = parts.mapInArrow(add_up, "group string, place long, value double")
+    added = parts.groupBy("group", "place").agg(F.sum("value").alias("value"))
+    enough = added.where((F.col("place") == 0) & (F.col("value") >= REFERENCE_DOCUMENTS)).select("group")
     sums: dict[str, np.ndarray] = {}
-    for group, place, value in parts.groupBy("group", "place").agg(F.sum("value")).collect():
+    for group, place, value in added.join(enough, "group", "left_semi").select("group", "place", "value").collect():
         sums.setdefault(group, np.zeros(1 + CLASSES + COMMON_WORDS + 1))[place] = value
     return {
         group: (values[1 : 1 + CLASSES] / values[0], values[1 + CLASSES :] / values[0])
         for group, values in sums.items()
-        if values[0] >= REFERENCE_DOCUMENTS
     }
 
 
@@ -204,8 +208,8 @@ def judged(documents: DataFrame) -> DataFrame:
     windows. kept: not base_failed, and near enough to its language in both
     histograms, where these are judged. class_distance and word_distance are
     null where they are not. Null text counts as empty; documents without a
-    language are a language of their own; rows repeated are judged each; extra
-    columns are left out. Sums are doubles added in any order, so distances can
+    language are a language of their own; rows repeated, or without a doc_id, are
+    judged each; extra columns are left out. Sums are doubles added in any order, so distances can
     differ in their last digits between runs.
     """
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))

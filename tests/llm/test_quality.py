@@ -85,6 +85,22 @@ def test_real_documents(spark):
     check(quality.judged(frame), [tuple(r) for r in frame.select("doc_id", "text", "lang").collect()])
 
 
+def test_many_languages_send_nothing_to_the_driver(spark):
+    """An unclean column: no language has the documents for a reference, so none is judged."""
+    frame = spark.range(3000).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 60) AS text", "concat('x', id) AS lang")
+    assert quality.common_words(frame) == {}
+    measures = quality.measured(frame, {}).withColumn("base_failed", quality.F.lit(False))
+    assert quality.references(measures) == {}
+    few = spark.range(40).selectExpr("id AS doc_id", "'a b' AS text", "IF(id < 20, 'en', concat('x', id)) AS lang")
+    assert set(quality.common_words(few)) == {"=en"}
+
+
+def test_rows_without_an_id_are_judged(spark):
+    frame = spark.createDataFrame([(None, "a " * 60, "en"), (None, None, None), (3, "b", "en")], "doc_id long, text string, lang string")
+    rows = quality.judged(frame).collect()
+    assert sorted((row["doc_id"] or 0, row["n_words"]) for row in rows) == [(0, 0), (0, 60), (3, 1)]
+
+
 def test_no_documents(none):
     assert quality.judged(none).collect() == []
 
