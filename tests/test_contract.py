@@ -60,8 +60,8 @@ def physical(frame):
 def test_batch_plans_stay_in_the_jvm_and_join_on_keys(spark, name):
     plan = physical(catalog.BATCH[name](spark, "/root/testdata/sf0.001"))
     for operator in ("CartesianProduct", "NestedLoop", "Python", "Arrow", "SinglePartition, ENSURE"):
-        if name in ("table_summary",) and operator.startswith("Single"):
-            continue  # one row per table: the last step of a global count
+        if name in ("table_summary", "match_catalogue") and operator.startswith("Single"):
+            continue  # one row per task: the last step of a global count, or of the newest time of all
         assert operator not in plan
 
 
