@@ -5,10 +5,25 @@ import sys
 import duckdb
 import pytest
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from matchlive.llm import chat, classifier, embeddings, packing, quality, queries, simhash, substring, tokens, warc
+from matchlive.llm import (
+    chat,
+    classifier,
+    clustering,
+    divergence,
+    embeddings,
+    packing,
+    quality,
+    queries,
+    sharding,
+    simhash,
+    substring,
+    tokens,
+    warc,
+)
 
 FOLDER = "/root/testdata/sf0.01"
 TABLES = ("documents", "embeddings", "pages", "benchmark", "conversations")
@@ -59,11 +74,45 @@ def test_pipeline_over_no_documents(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
 
+def test_odd_rows_through_all_stages(spark, odd, tmp_path):
+    """Nulls in every column, empty and very long texts, repeated rows and rows without an id, extra columns."""
+    ids = odd.where("doc_id IN (4, 15, 20)").withColumn("doc_id", F.lit(None).cast("long"))
+    start = odd.unionByName(odd.where("doc_id IN (2, 9)")).unionByName(ids).unionByName(ids)
+    start.write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(30 + i, i % 2, 0) for i in range(60)] + [(None, 1, 0), (31, None, None), (31, 0, 1), (999, 1, 0)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for place, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before, out = docs, stage(spark, docs, str(tmp_path))
+        out.write.parquet(str(tmp_path / str(place)))
+        docs = spark.read.parquet(str(tmp_path / str(place)))
+        if place + 1 < len(corpus_pipeline.STAGES):
+            assert docs.dtypes == before.dtypes
+        if name == "SimHash near-dedup":
+            groups = simhash.near_duplicates(before).agg(F.count_distinct("component_id")).first()[0]
+            assert groups <= docs.count() < before.count()
+        if name == "substring dedup":
+            assert docs.count() == before.count()
+    assert docs.count() >= before.count() > 0
+    rows = docs.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
+    assert all(row["n"] == row["end"] <= 4096 for row in rows)
+
+
+def test_rows_without_an_id(spark):
+    """Operators that say nothing else about a null doc_id handle it as an id of its own row."""
+    frame = spark.createDataFrame([(None, "a b c"), (None, None), (None, "a b c"), (7, "d e")], "doc_id long, text string")
+    packed = packing.pack(frame).collect()
+    assert sorted(row["doc_id"] or 0 for row in packed) == [0, 0, 0, 7] and sum(row["length"] for row in packed) == 12
+    shards = sharding.write_shards(frame, 2).collect()
+    assert sorted((row["doc_id"] or 0, row["text"] or "") for row in shards) == [(0, ""), (0, "a b c"), (0, "a b c"), (7, "d e")]
+    assert sorted(row["slot"] for row in shards if row["shard"] == 0) == list(range(sum(row["shard"] == 0 for row in shards)))
+
+
 def test_workers_need_no_package():
     functions = [
         substring.resolver(5, True), substring.gatherer(substring.anchors, 64, 5), simhash.verifier(2),
         embeddings.compare(0.95), embeddings.cells(0.95, True), quality.divergence, packing.plan, warc.parsed,
-        tokens.tokenizer, classifier.co_train, chat.segment,
+        tokens.tokenizer, classifier.co_train, chat.segment, divergence.corrections, clustering.Bisectors,
     ]
     load = "import pickle, sys; print(len(pickle.load(sys.stdin.buffer)), 'matchlive' in sys.modules)"
     environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
@@ -71,4 +120,4 @@ def test_workers_need_no_package():
         [sys.executable, "-c", load], input=cloudpickle.dumps(functions), cwd="/", env=environment,
         capture_output=True, check=True,
     )
-    assert done.stdout.split() == [b"11", b"False"]
+    assert done.stdout.split() == [b"13", b"False"]
