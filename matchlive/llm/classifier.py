@@ -430,7 +430,8 @@ def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text_score, meta_score, score, kept) of every document.
 
     Scores are probabilities of being fit for training. Null text is scored as
-    empty; null metadata is a value of its own; rows repeated are scored each.
+    empty; null metadata is a value of its own; rows repeated, or without an id,
+    are scored each.
     Without labelled documents of both kinds, scores are null and all is kept.
     Extra columns are left out. Ids are integers.
     """

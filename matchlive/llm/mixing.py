@@ -151,8 +151,10 @@ def mix(
     Size is the number of words; null text has 0 and an empty text too, and such
     documents get 0 copies. A null source is a source of its own. Documents of
     one size in one source are chosen by a seeded hash of the id, so reruns
-    agree; of rows repeated with one id any may be the one taken. Extra columns
-    are left out. No documents give no rows.
+    agree; of rows repeated with one id, or without an id, any may be the one
+    taken. Extra columns are left out. No documents give no rows. What is known of
+    a source, one row each, passes through the driver, and the sizes of one source
+    are fitted in one task: sources are a list, not hosts by the million.
     """
     rows = saved(documents.select("doc_id", "source", source_key(), word_count().alias("__size")), "mix-sizes")
     return taken(rows, weights, share, repeats, seed).select(

@@ -133,8 +133,9 @@ def pack(
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids], sequence_id, offset) of all documents.
 
-    Null and empty texts are one piece, the end mark. Rows repeated with one id
-    are packed each; extra columns are left out; no documents give no rows.
+    Null and empty texts are one piece, the end mark. Rows repeated with one id,
+    and rows without an id, are packed each; extra columns are left out; no
+    documents give no rows.
     """
     return placed(saved(cut(documents, most, path, ids=ids), "pack-pieces"), most)
 

@@ -121,8 +121,8 @@ def write_shards(documents: DataFrame, shards: int = SHARDS, tolerance: float =
     Shards have equally many bytes within the tolerance and the size of a
     document; slots count from 0 in key order. A null text stays null and counts
     as empty for the order. Rows repeated with one id and text stay together, as
-    nothing tells them apart; extra columns are left out; no documents give
-    no rows.
+    nothing tells them apart, and so do rows of one text without an id; extra
+    columns are left out; no documents give no rows.
     """
     keys = saved(documents.select(sort_key().alias("key"), size_of().alias("size")), "shard-keys")
     total = keys.agg(F.sum("size")).first()[0] or 0
