@@ -20,6 +20,8 @@ from matchlive.workspace import new_run_dir
 Query = Callable[[SparkSession, str], DataFrame]
 
 PROGRESS_STEP = 25
+#: Range of a match file that an event of the test tables may be longer than.
+FEW_BYTES = 200
 KEPT_DECIMALS = 6
 
 
@@ -312,6 +314,15 @@ def backfill_match_files(spark, sf_dir):
     )
 
 
+def backfill_by_ranges(spark, sf_dir):
+    """The same from files cut into ranges shorter than many an event."""
+    documents = read_match_documents(spark, _write_match_files(spark, sf_dir), range_bytes=FEW_BYTES)
+    return documents.groupBy("match_id").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.max(F.get_json_object("payload", "$.index").cast("int")).alias("max_index"),
+    )
+
+
 def backfill_silver(spark, sf_dir):
     """Match files to log rows to Silver."""
     documents = read_match_documents(spark, _write_match_files(spark, sf_dir))
@@ -398,6 +409,7 @@ BATCH: dict[str, Query] = {
     "replay_progress": replay_progress,
     "publish_log_rows": publish_log_rows,
     "backfill_match_files": backfill_match_files,
+    "backfill_by_ranges": backfill_by_ranges,
     "backfill_silver": backfill_silver,
     "tolerant_scan": tolerant_scan,
     "merge_additive": merge_additive_halves,

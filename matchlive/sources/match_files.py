@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlive.schemas import EVENT
+from matchlive.sources.json_ranges import RANGE_BYTES, array_elements
 
 MATCH_ID_IN_PATH = r"events_(\d+)"
 
@@ -26,15 +27,9 @@ def read_match_events(
 
 
 def read_match_documents(
-    spark: SparkSession, path: str, pattern: str = MATCH_ID_IN_PATH
+    spark: SparkSession, path: str, pattern: str = MATCH_ID_IN_PATH, range_bytes: int = RANGE_BYTES
 ) -> DataFrame:
-    """Events of all match files as JSON text, with every field kept.
-
-    A file is one row before it is split into events, and a JSON array cannot be
-    read in parts: a match larger than a task's memory has to come by the log.
-    """
-    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-    return files.select(
-        _match_id(pattern).alias("match_id"),
-        F.explode(F.from_json("value", "ARRAY<STRING>")).alias("payload"),
-    )
+    """Events of all match files as JSON text, with every field kept; a large file is read by many tasks."""
+    found = array_elements(spark, path, range_bytes)
+    match_id = F.regexp_extract("path", pattern, 1).try_cast("bigint")
+    return found.select(match_id.alias("match_id"), "payload")

@@ -542,6 +542,10 @@ FROM ev e JOIN documents d ON d.eid = e.eid""",
     ),
     "backfill_match_files": _with(
         """SELECT match_id, count(*) AS events, max(event_index) AS max_index
+FROM ev GROUP BY match_id"""
+    ),
+    "backfill_by_ranges": _with(
+        """SELECT match_id, count(*) AS events, max(event_index) AS max_index
 FROM ev GROUP BY match_id"""
     ),
     "backfill_silver": _with(

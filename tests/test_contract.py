@@ -24,7 +24,7 @@ GOLDEN = {
 }
 
 # These write and read tables while the query is being built.
-EAGER = {"publish_log_rows", "backfill_match_files", "backfill_silver", "tolerant_scan"}
+EAGER = {"publish_log_rows", "backfill_match_files", "backfill_by_ranges", "backfill_silver", "tolerant_scan"}
 
 
 @pytest.mark.parametrize("sf", GOLDEN)
