@@ -25,8 +25,9 @@ SHARDS = 40
 ROW_BYTES = 16
 #: A splitter may be off by this part of a shard, and by so much more to keep equal texts together.
 TOLERANCE, GROUP_TOLERANCE = 0.01, 0.04
-#: Shards are sorted in parts of about so many bytes, four at least.
-PART_BYTES = 64 << 20
+#: Shards are sorted in parts of about so many bytes, four at least; a part is larger where that is more than
+#: the driver should hold keys for, and spills like any sort.
+PART_BYTES, MOST_PARTS = 64 << 20, 8192
 PROBES = 16
 GROUP_BITS = 20
 LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
@@ -84,6 +85,11 @@ def between(low: Edge, high: Edge) -> list[int]:
     return [key for key in found if low.key < key < high.key]
 
 
+def parts_of(total: int, shards: int) -> int:
+    """Parts of a shard for so many bytes in all; the keys on the driver are bounded by MOST_PARTS, not by the rows."""
+    return max(4, min(-(-total // (shards * PART_BYTES)), MOST_PARTS // shards))
+
+
 def splitters(keys: DataFrame, shards: int, parts: int, tolerance: float = TOLERANCE) -> np.ndarray:
     """Keys that cut the rows into shards * parts runs; every ``parts``-th is exact to ``tolerance``."""
     count = shards * parts
@@ -126,7 +132,7 @@ def write_shards(documents: DataFrame, shards: int = SHARDS, tolerance: float =
     """
     keys = saved(documents.select(sort_key().alias("key"), size_of().alias("size")), "shard-keys")
     total = keys.agg(F.sum("size")).first()[0] or 0
-    parts = max(4, -(-total // (shards * PART_BYTES)))
+    parts = parts_of(total, shards)
     bounds = splitters(keys, shards, parts, tolerance)
     below = counts_below(keys, bounds).rows[:-1]
     starts = np.concatenate(([0], below))

@@ -70,3 +70,16 @@ def test_counts_are_exact(spark):
     below = sharding.counts_below(frame, probes)
     assert below.bytes[:-1].tolist() == [int(sizes[keys < p].sum()) for p in probes]
     assert below.rows.tolist() == [*[int((keys < p).sum()) for p in probes], 500]
+
+
+def test_probes_are_bounded_at_any_size(spark, monkeypatch):
+    sent = []
+    count = sharding.counts_below
+    monkeypatch.setattr(sharding, "counts_below", lambda keys, probes: (sent.append(len(probes)), count(keys, probes))[1])
+    keys = spark.range(40_000).selectExpr("xxhash64(id) AS key", "1000L + id % 7 AS size")
+    for total in (1 << 20, 100 << 40, 1 << 60):
+        parts = sharding.parts_of(total, sharding.SHARDS)
+        assert 4 <= parts and parts * sharding.SHARDS <= sharding.MOST_PARTS
+    bounds = sharding.splitters(keys, sharding.SHARDS, parts)
+    assert len(bounds) == parts * sharding.SHARDS - 1
+    assert max(sent) <= max(8, sharding.PROBES) * sharding.MOST_PARTS
