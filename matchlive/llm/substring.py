@@ -10,7 +10,8 @@ Blocks and probes travel as packs: all those of one task and one hash bucket in
 one row, hashes cut to what the bucket leaves open. A task takes a bucket's
 references first, one per hash, and then its probes one pack after the other, so
 a passage that many documents share is neither a group in memory nor a pair per
-two documents.
+two documents. Probes are counted per bucket beforehand: those of a large bucket
+are dealt over several tasks by their document, and its references go to each.
 """
 
 from collections.abc import Callable, Iterator
@@ -28,6 +29,8 @@ WINDOW = 50
 #: Text bytes per hash bucket, and the most buckets.
 BUCKET_BYTES = 8 << 20
 MOST_BUCKETS = 1 << 16
+#: A bucket with more than so many times the mean number of probes is split.
+EVEN = 2
 #: Positions a task gathers before it writes its packs.
 GATHERED = 500_000
 #: Up to so many document ids are broadcast to pick out documents (16 MB); more are joined by shuffles.
@@ -48,6 +51,10 @@ class Places(NamedTuple):
     word: np.ndarray
 
 
+#: References and probes of the texts of a batch.
+PlacesOf = Callable[[pa.RecordBatch], Iterator[tuple[Places, Places]]]
+
+
 def joined(parts: list[Places]) -> Places:
     return Places(*(np.concatenate(columns) for columns in zip(*parts, strict=True)))
 
@@ -66,9 +73,30 @@ def from_planes(data: bytes, width: int) -> np.ndarray:
     return np.cumsum((folded >> np.uint64(1)).astype(np.int64) ^ -(folded & np.uint64(1)).astype(np.int64))
 
 
-def packs(places: Places, kind: int, buckets: int, width: int) -> pa.RecordBatch:
-    """Rows (see PACK), one a bucket: for each document how many entries, for each entry hash and word."""
-    bucket = (mix(places.hash) >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)
+def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return ((mix(hashes) >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
+
+
+class Spread(NamedTuple):
+    """Over how many parts the probes of each bucket are dealt, and the number of its first part."""
+
+    splits: np.ndarray
+    offset: np.ndarray
+
+    def parts(self, places: Places, kind: int) -> tuple[Places, np.ndarray]:
+        """The places with the number of their part; references (kind 0) once for each part."""
+        bucket = bucket_of(places.hash, len(self.splits))
+        splits = self.splits[bucket]
+        if kind:
+            part = (mix(places.doc.astype(np.uint64)) % splits.astype(np.uint64)).astype(np.int64)
+            return places, self.offset[bucket] + part
+        part = np.arange(splits.sum()) - np.repeat(np.cumsum(splits) - splits, splits)
+        return Places(*(np.repeat(column, splits) for column in places)), np.repeat(self.offset[bucket], splits) + part
+
+
+def packs(places: Places, kind: int, spread: Spread, width: int) -> pa.RecordBatch:
+    """Rows (see PACK), one a part of a bucket: for each document how many entries, for each entry hash and word."""
+    places, bucket = spread.parts(places, kind)
     order = np.lexsort((places.word, places.doc, bucket))
     bucket, hashes = bucket[order].astype(np.int32), places.hash[order]
     doc, word = places.doc[order], places.word[order]
@@ -155,14 +183,33 @@ def resolver(width: int, references: bool) -> Callable[[Iterator[pa.RecordBatch]
     return resolve
 
 
-def exchanged(packed: DataFrame, width: int, references: bool) -> DataFrame:
-    """(doc_id, word) of the probes answered, bucket by bucket, references first."""
-    dealt = packed.repartition("bucket").sortWithinPartitions("bucket", "kind")
+def exchanged(sent: DataFrame, width: int, references: bool) -> DataFrame:
+    """(doc_id, word) of the probes answered, part by part, references first."""
+    dealt = sent.repartition("bucket").sortWithinPartitions("bucket", "kind")
     return dealt.mapInArrow(resolver(width, references), "doc_id long, word long")
 
 
+def spread_over(rows: DataFrame, places_of: PlacesOf, buckets: int) -> Spread:
+    """Counts all probes per bucket; what the driver gets is a number a bucket, MOST_BUCKETS at most."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(buckets, np.int64)
+        for batch in batches:
+            for _, probes in places_of(batch):
+                found += np.bincount(bucket_of(probes.hash, buckets), minlength=buckets)
+        at = np.flatnonzero(found)
+        yield pa.RecordBatch.from_pydict({"bucket": at, "entries": found[at]})
+
+    counted = rows.mapInArrow(count, "bucket long, entries long").groupBy("bucket").agg(F.sum("entries"))
+    entries = np.zeros(buckets, np.int64)
+    for bucket, number in counted.collect():
+        entries[bucket] = number
+    splits = np.maximum(1, np.ceil(entries / max(1.0, EVEN * entries.mean()))).astype(np.int64)
+    return Spread(splits, np.cumsum(splits) - splits)
+
+
 def gatherer(
-    places_of: Callable[[pa.RecordBatch], Iterator[tuple[Places, Places]]], buckets: int, width: int
+    places_of: PlacesOf, spread: Spread, width: int
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Packs what ``places_of`` finds in a task's batches: (references, probes)."""
 
@@ -182,12 +229,16 @@ def gatherer(
     def write(kept: list[tuple[Places, Places]]) -> Iterator[pa.RecordBatch]:
         references = first_holders(joined([pair[0] for pair in kept]), True)
         if len(references.hash):
-            yield packs(references, 0, buckets, width)
-        yield packs(joined([pair[1] for pair in kept]), 1, buckets, width)
+            yield packs(references, 0, spread, width)
+        yield packs(joined([pair[1] for pair in kept]), 1, spread, width)
 
     return gather
 
 
+def packed(rows: DataFrame, places_of: PlacesOf, buckets: int, width: int) -> DataFrame:
+    return rows.mapInArrow(gatherer(places_of, spread_over(rows, places_of, buckets), width), PACK)
+
+
 def anchors(batch: pa.RecordBatch, block: int, window: int) -> Iterator[tuple[Places, Places]]:
     """Reference blocks and rolling runs of the documents that are long enough for a window."""
     ids = batch.column("doc_id").to_numpy()
@@ -236,13 +287,12 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     rows = small_batches(documents).select("doc_id", text_of("text").alias("text")).where("doc_id IS NOT NULL")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(min(MOST_BUCKETS, max(64, total // BUCKET_BYTES)))
-    first = rows.mapInArrow(gatherer(lambda batch: anchors(batch, block, window), buckets, PROBE_BYTES), PACK)
+    first = packed(rows, lambda batch: anchors(batch, block, window), buckets, PROBE_BYTES)
     hits = saved(exchanged(first, PROBE_BYTES, True), "anchor-hits")
     by_doc = hits.groupBy("doc_id").agg(F.collect_set("word").alias("hits"))
     near = only(rows, hits.select("doc_id").distinct()).join(by_doc, "doc_id")
-    second = near.select("doc_id", "text", "hits", mark_of("text")).mapInArrow(
-        gatherer(lambda batch: around(batch, block, window), buckets, WINDOW_BYTES), PACK
-    )
+    marked = near.select("doc_id", "text", "hits", mark_of("text"))
+    second = packed(marked, lambda batch: around(batch, block, window), buckets, WINDOW_BYTES)
     found = exchanged(second, WINDOW_BYTES, False)
     word = F.col("word").bitwiseAND((1 << WORD_BITS) - 1).cast("int").alias("word")
     return found.select("doc_id", F.shiftright("word", WORD_BITS).alias("mark"), word)

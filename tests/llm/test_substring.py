@@ -92,6 +92,23 @@ def test_a_passage_in_a_third_of_the_documents(spark):
     assert found.where("n_removed > 0").count() == 499
 
 
+def test_a_hot_bucket_is_split(spark):
+    passage = random_text(random.Random(3), 55)
+    rows = [(n, f"{passage} u{n}" if n % 3 == 0 else random_text(random.Random(n), 56, 10**9)) for n in range(3000)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    places_of = lambda batch: substring.anchors(batch, 25, 50)
+    spread = substring.spread_over(frame, places_of, 4096)
+    sent = substring.packed(frame, places_of, 4096, 5)
+    size = F.sum(F.octet_length("hashes") / 5)
+    probes = [r[1] for r in sent.where("kind = 1").groupBy("bucket").agg(size).collect()]
+    mean = sum(probes) / 4096
+    assert spread.splits.max() > 20 and len(spread.splits) < spread.splits.sum() <= 1.5 * 4096
+    assert max(probes) < 200 and sum(probes) > 60_000 and mean > 15
+    references = sent.where("kind = 0").groupBy("bucket").count()
+    assert references.join(sent.where("kind = 1"), "bucket", "left_semi").count() > 4096 / 2
+    assert check(frame, rows) == 999 * 55
+
+
 def test_planes_round_trip():
     for values in ([], [5], [-3, 9, 9, -(1 << 62), 1 << 62], list(range(300))):
         array = np.array(values, np.int64)
