@@ -183,9 +183,9 @@ def resolver(width: int, references: bool) -> Callable[[Iterator[pa.RecordBatch]
     return resolve
 
 
-def exchanged(sent: DataFrame, width: int, references: bool) -> DataFrame:
-    """(doc_id, word) of the probes answered, part by part, references first."""
-    dealt = sent.repartition("bucket").sortWithinPartitions("bucket", "kind")
+def exchanged(sent: DataFrame, parts: int, width: int, references: bool) -> DataFrame:
+    """(doc_id, word) of the probes answered, a task for each part, references first."""
+    dealt = sent.repartitionById(parts, "bucket").sortWithinPartitions("bucket", "kind")
     return dealt.mapInArrow(resolver(width, references), "doc_id long, word long")
 
 
@@ -235,8 +235,10 @@ def gatherer(
     return gather
 
 
-def packed(rows: DataFrame, places_of: PlacesOf, buckets: int, width: int) -> DataFrame:
-    return rows.mapInArrow(gatherer(places_of, spread_over(rows, places_of, buckets), width), PACK)
+def packed(rows: DataFrame, places_of: PlacesOf, buckets: int, width: int) -> tuple[DataFrame, int]:
+    """The packs, and the number of parts their buckets are cut into."""
+    spread = spread_over(rows, places_of, buckets)
+    return rows.mapInArrow(gatherer(places_of, spread, width), PACK), int(spread.splits.sum())
 
 
 def anchors(batch: pa.RecordBatch, block: int, window: int) -> Iterator[tuple[Places, Places]]:
@@ -287,13 +289,13 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     rows = small_batches(documents).select("doc_id", text_of("text").alias("text")).where("doc_id IS NOT NULL")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(min(MOST_BUCKETS, max(64, total // BUCKET_BYTES)))
-    first = packed(rows, lambda batch: anchors(batch, block, window), buckets, PROBE_BYTES)
-    hits = saved(exchanged(first, PROBE_BYTES, True), "anchor-hits")
+    first, parts = packed(rows, lambda batch: anchors(batch, block, window), buckets, PROBE_BYTES)
+    hits = saved(exchanged(first, parts, PROBE_BYTES, True), "anchor-hits")
     by_doc = hits.groupBy("doc_id").agg(F.collect_set("word").alias("hits"))
     near = only(rows, hits.select("doc_id").distinct()).join(by_doc, "doc_id")
     marked = near.select("doc_id", "text", "hits", mark_of("text"))
-    second = packed(marked, lambda batch: around(batch, block, window), buckets, WINDOW_BYTES)
-    found = exchanged(second, WINDOW_BYTES, False)
+    second, parts = packed(marked, lambda batch: around(batch, block, window), buckets, WINDOW_BYTES)
+    found = exchanged(second, parts, WINDOW_BYTES, False)
     word = F.col("word").bitwiseAND((1 << WORD_BITS) - 1).cast("int").alias("word")
     return found.select("doc_id", F.shiftright("word", WORD_BITS).alias("mark"), word)
 

@@ -98,10 +98,11 @@ def test_a_hot_bucket_is_split(spark):
     frame = spark.createDataFrame(rows, SCHEMA).repartition(6)
     places_of = lambda batch: substring.anchors(batch, 25, 50)
     spread = substring.spread_over(frame, places_of, 4096)
-    sent = substring.packed(frame, places_of, 4096, 5)
+    sent, parts = substring.packed(frame, places_of, 4096, 5)
     size = F.sum(F.octet_length("hashes") / 5)
     probes = [r[1] for r in sent.where("kind = 1").groupBy("bucket").agg(size).collect()]
     mean = sum(probes) / 4096
+    assert parts == spread.splits.sum()
     assert spread.splits.max() > 20 and len(spread.splits) < spread.splits.sum() <= 1.5 * 4096
     assert max(probes) < 200 and sum(probes) > 60_000 and mean > 15
     references = sent.where("kind = 0").groupBy("bucket").count()
