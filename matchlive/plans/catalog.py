@@ -20,8 +20,8 @@ from matchlive.workspace import new_run_dir
 Query = Callable[[SparkSession, str], DataFrame]
 
 PROGRESS_STEP = 25
-#: Range of a match file that an event of the test tables may be longer than.
-FEW_BYTES = 200
+#: A range so short that a match file of the test tables has several, and events lie across their ends.
+FEW_BYTES = 8192
 KEPT_DECIMALS = 6
 
 
@@ -315,7 +315,7 @@ def backfill_match_files(spark, sf_dir):
 
 
 def backfill_by_ranges(spark, sf_dir):
-    """The same from files cut into ranges shorter than many an event."""
+    """The same from files cut into short ranges."""
     documents = read_match_documents(spark, _write_match_files(spark, sf_dir), range_bytes=FEW_BYTES)
     return documents.groupBy("match_id").agg(
         F.count(F.lit(1)).alias("events"),
