@@ -12,7 +12,7 @@ from matchlive.operators.upsert import VERSION, latest_by_key, merge_additive
 from matchlive.plans import gold, matches, passing, players, replay, views
 from matchlive.schemas import SHOTS, SILVER, columns
 from matchlive.sources.log import bronze_rows
-from matchlive.sources.match_files import read_match_documents, read_match_events
+from matchlive.sources.match_files import read_match_documents, read_match_events, write_match_documents
 from matchlive.sources.tables import read_table
 from matchlive.sources.testdata import event_documents, event_log, staggered_documents
 from matchlive.workspace import new_run_dir
@@ -294,17 +294,9 @@ def publish_log_rows(spark, sf_dir):
     return spark.read.parquet(path).select("match_id", "key", "value")
 
 
-def _write_match_files(spark, sf_dir) -> str:
-    """One JSON array per match; a match of the test tables has 100 events at most."""
-    path = new_run_dir(spark, "match-files")
-    files = (
-        event_documents(spark, sf_dir)
-        .groupBy("match_id")
-        .agg(F.concat(F.lit("["), F.array_join(F.collect_list("payload"), ","), F.lit("]")).alias("value"))
-        .select(F.concat(F.lit("events_"), F.col("match_id").cast("string")).alias("match"), "value")
-    )
-    files.write.partitionBy("match").text(path)
-    return path
+def _write_match_files(spark, sf_dir) -> list[str]:
+    """One JSON array per match, and the folders that have them."""
+    return write_match_documents(event_documents(spark, sf_dir), new_run_dir(spark, "match-files"))
 
 
 def backfill_match_files(spark, sf_dir):

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 RANGE_BYTES = 64 << 20
 CHUNK_BYTES = 1 << 20
 BATCH_BYTES = 4 << 20
+#: Splits of the list of files that one task goes through; a split has 32 files by Spark's default.
+SPLITS = 64
 QUOTE, BACKSLASH, COMMA, OPEN, CLOSE = b'"\\,[]'
 STEP = np.zeros(256, np.int64)
 STEP[list(b"[{")] = 1
@@ -104,49 +106,56 @@ def elements(source, start: int, end: int, size: int, quoted: int, depth: int) -
         at += len(data)
 
 
+def store_of(path: str) -> tuple[fs.FileSystem, str]:
+    """The store of a path that Spark names, and the path there."""
+    return fs.FileSystem.from_uri(path.removeprefix("file:"))
+
+
 def opened(path: str):
     """A file of any store that Spark names."""
-    plain = path.removeprefix("file:") if path.startswith("file:") else path
-    store, place = fs.FileSystem.from_uri(plain)
+    store, place = store_of(path)
     return store.open_input_file(place)
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    for batch in batches:
-        yield from batch.to_pylist()
-
-
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for row in _rows(batches):
-        with opened(row["path"]) as source:
-            found = summary(source, row["start"], row["end"])
-        names = ("quotes", "change_outside", "change_inside")
-        yield pa.RecordBatch.from_pylist([row | dict(zip(names, found, strict=True))])
+    for batch in batches:
+        found = []
+        for row in batch.to_pylist():
+            with opened(row["path"]) as source:
+                found.append(summary(source, row["start"], row["end"]))
+        columns = [pa.array(values, pa.int64()) for values in zip(*found, strict=True)]
+        if found:
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *COUNTS])
 
 
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for row in _rows(batches):
-        with opened(row["path"]) as source:
-            if not holds_array(source, row["length"]):
-                continue
-            begin = (row["start"], row["end"], row["length"], row["quoted"], row["depth"])
-            held, size = [], 0
-            for text in elements(source, *begin):
-                if text:
-                    held.append(None if text == b"null" else text.decode("utf-8", "replace"))
-                    size += len(text)
-                if size >= BATCH_BYTES:
-                    yield pa.RecordBatch.from_pydict({"path": [row["path"]] * len(held), "payload": held}, RESULT)
-                    held, size = [], 0
-            yield pa.RecordBatch.from_pydict({"path": [row["path"]] * len(held), "payload": held}, RESULT)
-
-
+    """Elements of several ranges go in one batch: a batch per range costs more than a short range does."""
+    paths, held, size = [], [], 0
+    for batch in batches:
+        for row in batch.to_pylist():
+            path = row["path"]
+            with opened(path) as source:
+                if not holds_array(source, row["length"]):
+                    continue
+                begin = (row["start"], row["end"], row["length"], row["quoted"], row["depth"])
+                for text in elements(source, *begin):
+                    if text:
+                        paths.append(path)
+                        held.append(None if text == b"null" else text.decode("utf-8", "replace"))
+                        size += len(text) + len(path)
+                    if size >= BATCH_BYTES:
+                        yield pa.RecordBatch.from_pydict({"path": paths, "payload": held}, RESULT)
+                        paths, held, size = [], [], 0
+    yield pa.RecordBatch.from_pydict({"path": paths, "payload": held}, RESULT)
+
+
+COUNTS = ("quotes", "change_outside", "change_inside")
 RESULT = pa.schema([("path", pa.string()), ("payload", pa.string())])
 RANGE = "path string, length long, start long, end long"
 
 
-def array_elements(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """(path, payload): the elements of the JSON arrays in all files below a folder, as JSON text.
+def array_elements(spark: SparkSession, path: str | list[str], range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """(path, payload): the elements of the JSON arrays in all files below a folder or several, as JSON text.
 
     A file is read by as many tasks as it has ranges, and no more than an element
     is held. ``null`` gives a null payload. A file that holds no array gives no
@@ -154,7 +163,11 @@ def array_elements(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTE
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     files = files.select("path", "length").where("length > 0")
-    total = files.agg(F.sum("length")).first()[0] or 0
+    # only names and lengths are read, so a split of a few files is not worth a task
+    listers = max(spark.sparkContext.defaultParallelism, -(-files.rdd.getNumPartitions() // SPLITS))
+    files = files.coalesce(listers)
+    total, shortest, longest = files.agg(F.sum("length"), F.min("length"), F.max("length")).first()
+    total, shortest, longest = total or 0, shortest or 0, longest or 0
     tasks = max(spark.sparkContext.defaultParallelism, -(-total // RANGE_BYTES))
 
     def ranges(some: DataFrame) -> DataFrame:
@@ -167,6 +180,8 @@ def array_elements(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTE
 
     one = ranges(files.where(F.col("length") <= range_bytes))
     known = one.select("*", F.lit(0).alias("quoted"), F.lit(0).cast("long").alias("depth"))
+    if longest <= range_bytes:
+        return known.mapInArrow(_elements, "path string, payload string")
     several = ranges(files.where(F.col("length") > range_bytes)).mapInArrow(
         _summaries, f"{RANGE}, quotes long, change_outside long, change_inside long"
     )
@@ -177,4 +192,6 @@ def array_elements(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTE
     depth = F.coalesce(F.sum("change").over(before), F.lit(0))
     begins = begins.select("path", "length", "start", "end", "quoted", depth.alias("depth"))
     begins = begins.repartition(tasks, "path", "start")
+    if shortest > range_bytes:
+        return begins.mapInArrow(_elements, "path string, payload string")
     return known.unionByName(begins).mapInArrow(_elements, "path string, payload string")
