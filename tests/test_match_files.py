@@ -5,6 +5,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from matchlive.plans import catalog
 from matchlive.sources import match_files
 from matchlive.sources.match_files import read_match_documents, read_match_events, write_match_documents
 
@@ -85,3 +86,26 @@ def read(spark, folder, width):
     plan = documents._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("FileScan binaryFile") == 1
     return documents.where(F.col("payload").isNotNull()).count()
+
+
+def made_events(spark, path, matches):
+    """An events table of two events a match, written as the test tables are."""
+    kind = "CASE WHEN id % 3 = 0 THEN 'purchase' ELSE 'view' END AS event_type"
+    rows = spark.range(matches * 2).selectExpr(
+        "id div 2 * 100 + id % 2 AS event_id", "TIMESTAMP '2024-01-01 00:00:00' AS ts", "id % 50 AS user_id", kind,
+        "CAST(id AS DOUBLE) AS value", "concat('{\"k\": ', id % 100, '}') AS props",
+    )
+    rows.write.parquet(f"{path}/events.parquet")
+    return str(path)
+
+
+def test_backfill_silver_spends_no_task_on_a_match(spark, tmp_path):
+    """A folder per match took a task each to list: 1,000 here, and most of the time with many matches."""
+    sf_dir = made_events(spark, tmp_path, 1000)
+    rows, numbers = tasks(spark, "silver", lambda: catalog.backfill_silver(spark, sf_dir).collect())
+    assert max(numbers) < 100
+    direct = catalog.silver(spark, sf_dir).where("event_id IS NOT NULL")
+    assert len(rows) == 2000 and len({(row.match_id, row.event_id) for row in rows}) == 2000
+    parsed = {(row.match_id, row.event_id): row for row in rows}
+    for row in direct.drop("event_time").collect():
+        assert parsed[row.match_id, row.event_id] == row
